@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LIST = 200_000
+MAX_LIST = 500_000
 
 
 def with_part(df: DataFrame, keys: Sequence[str], spread: Sequence[str], max_len: int = MAX_LIST) -> DataFrame:
     """Add ``part``: 0 for ordinary keys, a hash bucket of ``spread`` for keys over ``max_len``.
 
-    The sizes come from a partial aggregate; only keys over the bound are joined back, at most
-    ``rows / max_len`` of them.
+    The sizes come from a partial aggregate.  Only keys over the bound are joined back: at most
+    ``rows / max_len`` of them (2,000 per billion rows), which is what makes the broadcast safe.
     """
     oversized = (
         df.groupBy(*keys)
@@ -35,7 +35,7 @@ def with_part(df: DataFrame, keys: Sequence[str], spread: Sequence[str], max_len
         F.pmod(F.xxhash64(*spread), F.col("_parts"))
     )
     return (
-        df.join(oversized, condition, "left")
+        df.join(F.broadcast(oversized), condition, "left")
         .withColumn("part", part.cast("int"))
         .drop("_parts", *[f"_{k}" for k in keys])
     )
