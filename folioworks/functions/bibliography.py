@@ -14,7 +14,7 @@ def date_text(date_parts: Column) -> Column:
     return (
         F.when(F.coalesce(F.size(parts), F.lit(0)) <= 0, F.lit(None))
         .when(F.size(parts) == 1, F.get(parts, F.lit(0)))
-        .otherwise(F.array_join(F.transform(parts, zero_pad), "-"))
+        .otherwise(F.array_join(F.transform(parts, lambda p: zero_pad(p)), "-"))
     )
 
 
@@ -40,7 +40,10 @@ def tag_value(tags: Column, kind: str) -> Column:
 
 def plain_tags(tags: Column, kinds: list[str]) -> Column:
     """Tags of none of the given kinds; an empty list of tags gives null."""
-    plain = tags
-    for kind in kinds:
-        plain = F.filter(plain, lambda t, k=kind: ~F.startswith(t, F.lit(f"{k}:")))
-    return F.when(F.size(tags) > 0, plain)
+    def is_plain(tag: Column) -> Column:
+        keep = F.lit(True)
+        for kind in kinds:
+            keep = keep & ~F.startswith(tag, F.lit(f"{kind}:"))
+        return keep
+
+    return F.when(F.size(tags) > 0, F.filter(tags, is_plain))

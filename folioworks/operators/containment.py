@@ -33,13 +33,12 @@ def contains_pairs(
     )
     # Only the block lengths some key asks for are cut; there are never more than len(BLOCKS).
     in_use = sorted(row["_q"] for row in sized.select("_q").distinct().collect())
-    cuts = [
-        F.transform(
-            F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{q}}}"), F.lit(0))),
-            lambda block, q=q: F.struct(F.lit(q).alias("_q"), block.alias("_gram")),
-        )
-        for q in in_use or [1]
-    ]
+
+    def cut(q: int):
+        found = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{q}}}"), F.lit(0)))
+        return F.transform(found, lambda block: F.struct(F.lit(q).alias("_q"), block.alias("_gram")))
+
+    cuts = [cut(q) for q in in_use or [1]]
     blocks = texts.select(F.col(text_id).alias("_tid"), F.inline(F.concat(*cuts)))
     candidates = blocks.join(grams, ["_q", "_gram"]).select("_tid", "_kid").distinct()
     checked = (

@@ -119,12 +119,11 @@ VIEWS = {
     "v_page": """
         SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages""",
     "v_href": """
-        SELECT o_orderkey AS link_id,
-               CASE o_orderkey % 5 WHEN 0 THEN concat('https://nowhere.example/', o_orderkey)
-                    WHEN 1 THEN concat(url, '#part', o_orderkey) WHEN 2 THEN replace(url, 'http', 'HTTP')
-                    WHEN 3 THEN concat('https://nowhere.example/', o_orderkey) ELSE url END AS href,
-               CASE WHEN o_orderkey % 5 = 3 THEN title END AS link_title
-        FROM orders JOIN v_page ON page_id = o_orderkey % (SELECT count(*) FROM pages)""",
+        SELECT page_id * 5 AS link_id, concat('https://nowhere.example/', page_id) AS href, CAST(NULL AS STRING) AS link_title FROM v_page
+        UNION ALL SELECT page_id * 5 + 1, concat(url, '#part', page_id), NULL FROM v_page
+        UNION ALL SELECT page_id * 5 + 2, replace(url, 'http', 'HTTP'), 'no such title' FROM v_page
+        UNION ALL SELECT page_id * 5 + 3, concat('https://nowhere.example/', page_id), title FROM v_page
+        UNION ALL SELECT page_id * 5 + 4, url, title FROM v_page""",
 }
 
 _NEEDS = {
