@@ -104,13 +104,9 @@ VIEWS = {
                CASE WHEN turn % 5 = 4 THEN text ELSE concat(role, ': ', text) END AS line
         FROM conversations""",
     # Content widgets of seventeen kinds, the rows behind the generated articles.
-    "v_widget_raw": """
-        SELECT l_orderkey AS doc_id, l_partkey AS k, (l_orderkey + l_partkey) % 16 AS raw,
-               row_number() OVER (PARTITION BY l_orderkey
-                                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount) AS w
-        FROM lineitem""",
     "v_widget": """
-        SELECT doc_id, w, k, CASE WHEN raw = 13 AND w > 1 THEN 16 ELSE raw END AS kind FROM v_widget_raw""",
+        SELECT doc_id, w, k, CASE WHEN (doc_id + k + w) % 16 = 13 AND w > 1 THEN 16 ELSE (doc_id + k + w) % 16 END AS kind
+        FROM (SELECT l_orderkey AS doc_id, l_linenumber AS w, min(l_partkey) AS k FROM lineitem GROUP BY l_orderkey, l_linenumber) AS line""",
     # A ten-fold hierarchy of numbered categories.
     "v_chapter": """
         SELECT p_partkey AS node_id, CASE WHEN p_partkey >= 10 THEN CAST(floor(p_partkey / 10) AS BIGINT) END AS parent_id
@@ -128,7 +124,6 @@ VIEWS = {
 
 _NEEDS = {
     "v_edge": ["v_link"],
-    "v_widget": ["v_widget_raw"],
     "v_href": ["v_page"],
 }
 
