@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioworks.functions.links import CATEGORY_PATTERN, Site
 from folioworks.functions.text import strip
 from folioworks.html.select import (
+    at,
     descendants,
     find,
     find_all,
@@ -104,26 +105,27 @@ def related_links(nodes: Column, site: Site) -> Column:
 def category_nodes(documents: DataFrame, doc: str) -> DataFrame:
     """The nested list of download categories as adjacency rows.
 
-    Parse with ``li`` tracked: the enclosing item is then known per node.  Items without a title
-    are named ``Untitled``.
+    Parse with ``li`` tracked: the enclosing item, which is the parent, is then known per node.
+    Items without a title are named ``Untitled``.
     """
-    def is_item(n):
-        return is_tag("li")(n)
+    def attr(node, name):
+        return F.coalesce(node["attrs"][name], F.lit(""))
+
+    def item(n):
+        sub = subtree(F.col("nodes"), n)
+        title = find(sub, has_class("title", "span"))
+        return F.struct(
+            attr(n, "data-id").alias("node_id"),
+            let(at(F.col("nodes"), n["scopes"]["li"]), lambda p: F.when(p.isNotNull(), attr(p, "data-id"))).alias("parent_id"),
+            attr(n, "data-parent-id").alias("data_parent_id"),
+            attr(n, "data-level").alias("level"),
+            n["pre"].alias("ordinal"),
+            let(
+                title, lambda t: F.when(t.isNull(), F.lit("Untitled")).otherwise(stripped_text_of(subtree(sub, t)))
+            ).alias("name"),
+        )
 
-    rows = select_nodes(documents, [doc], is_item)
-    attrs = F.col("node.attrs")
-    title = let(
-        find(F.col("sub"), has_class("title", "span")),
-        lambda t: F.when(t.isNotNull(), stripped_text_of(subtree(F.col("sub"), t))),
-    )
-    return rows.select(
-        doc,
-        F.coalesce(attrs["data-id"], F.lit("")).alias("node_id"),
-        F.when(F.map_contains_key(F.col("node.scopes"), "li"), F.coalesce(attrs["data-parent-id"], F.lit(""))).alias("parent_id"),
-        F.coalesce(attrs["data-level"], F.lit("")).alias("level"),
-        F.col("node.pre").alias("ordinal"),
-        F.coalesce(title, F.lit("Untitled")).alias("name"),
-    )
+    return documents.select(doc, F.inline(F.transform(find_all(F.col("nodes"), is_tag("li")), item)))
 
 
 def file_links(documents: DataFrame, doc: str) -> DataFrame:

@@ -8,39 +8,16 @@ all of its entries.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_LIST = 500_000
 
 
-def with_part(df: DataFrame, keys: Sequence[str], spread: Sequence[str], max_len: int = MAX_LIST) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, a hash bucket of ``spread`` for keys over ``max_len``.
-
-    The sizes come from a partial aggregate.  Only keys over the bound are joined back: at most
-    ``rows / max_len`` of them (2,000 per billion rows), which is what makes the broadcast safe.
-    """
-    oversized = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_len)
-        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / max_len).alias("_parts"))
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    condition = same[0]
-    for clause in same[1:]:
-        condition = condition & clause
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*spread), F.col("_parts"))
-    )
-    return (
-        df.join(F.broadcast(oversized), condition, "left")
-        .withColumn("part", part.cast("int"))
-        .drop("_parts", *[f"_{k}" for k in keys])
-    )
-
-
 def gather(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,19 +26,51 @@ def gather(
     alias: str,
     keep_nulls: bool = False,
     distinct: bool = False,
+    count_alias: str | None = None,
     max_len: int = MAX_LIST,
 ) -> DataFrame:
-    """One sorted list per key and part.  ``collect_list`` skips nulls, so they travel in a struct."""
-    if distinct:
-        df = df.select(*keys, value).distinct()
-    parted = with_part(df.select(*keys, value), keys, [value], max_len)
-    if keep_nulls:
-        entries: Column = F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(value).alias("v")))), lambda s: s["v"]
+    """One sorted list per key and part, with ``count_alias`` for the rows behind it.
+
+    Equal entries are counted before anything is shuffled, so copies cost nothing.  Keys over the
+    bound are found from these counts and their entries dealt out over as many parts as they need.
+    There are at most ``rows / max_len`` such keys (2,000 per billion rows), which is what makes
+    their broadcast safe.
+    """
+    counted = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    copies = F.lit(1) if distinct else F.col("_n")
+    oversized = (
+        counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        .agg(F.sum(copies).alias("_total"))
+        .filter(F.col("_total") > max_len)
+        .select(*[f"_{k}" for k in keys], F.ceil(F.col("_total") / max_len).alias("_parts"))
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    # An entry with more copies than a list may hold is itself cut into stretches.
+    stretches = F.when(F.col("_parts").isNull(), F.array(copies)).otherwise(
+        F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / max_len)),
+            lambda i: F.least(F.lit(max_len), copies - i * max_len),
         )
-    else:
-        entries = F.array_sort(F.collect_list(F.col(value)))
-    return parted.repartition(*keys, "part").groupBy(*keys, "part").agg(entries.alias(alias))
+    )
+    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("_v", "_stretch"), F.col("_parts"))
+    )
+    entries = F.array_repeat("_v", F.col("_copies").cast("int"))
+    if not keep_nulls:
+        entries = F.when(F.col("_v").isNull(), F.array().cast(entries_type(df, value))).otherwise(entries)
+    behind = F.when(F.col("_stretch") == 0, F.col("_n")).otherwise(0)
+    figures = [F.sum(behind).alias(count_alias)] if count_alias else []
+    return (
+        counted.join(F.broadcast(oversized), same, "left")
+        .select(*keys, "_v", "_n", "_parts", F.posexplode(stretches).alias("_stretch", "_copies"))
+        .withColumn("part", part.cast("int"))
+        .groupBy(*keys, "part")
+        .agg(F.sort_array(F.flatten(F.collect_list(entries))).alias(alias), *figures)
+    )
+
+
+def entries_type(df: DataFrame, column: str) -> T.ArrayType:
+    return T.ArrayType(df.schema[column].dataType)
 
 
 def join_text(

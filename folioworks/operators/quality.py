@@ -15,14 +15,14 @@ from folioworks.contracts import Contract, Enum, ListOf, domain_of, spark_type
 
 
 def _outside(name: str, declared: object) -> Column | None:
-    """True where a value is outside its domain; null elements count as outside."""
+    """True where a value is outside its domain; null, also as a list element, is inside."""
     domain = domain_of(declared)
     if domain is None:
         return None
     if isinstance(declared, Enum):
         return F.coalesce(~F.col(name).isin(*domain), F.lit(False))
     if isinstance(declared, ListOf) and isinstance(declared.inner, Enum):
-        return F.coalesce(F.exists(name, lambda x: x.isNull() | ~x.isin(*domain)), F.lit(False))
+        return F.coalesce(F.exists(name, lambda x: x.isNotNull() & ~x.isin(*domain)), F.lit(False))
     raise NotImplementedError(f"no domain check for {declared!r}")
 
 

@@ -62,7 +62,17 @@ def missing_downloads(category_pages: DataFrame, doc: str, payloads: DataFrame)
     return orphans(file_links(category_pages, doc), "data_id", payloads, "data_id")
 
 
-def split_labels(lines: DataFrame, term: str, position: str, line: str, aliases: DataFrame) -> DataFrame:
+# Further names by which glossary entries call a jurisdiction.
+SHORT_NAMES = {"Deutschland": "DE", "NRW": "DE_NW"}
+
+
+def jurisdiction_aliases(spark) -> DataFrame:
+    """The labels glossary lines start with, and their codes."""
+    pairs = [(label, code) for code, label in JURISDICTIONS.items()] + list(SHORT_NAMES.items())
+    return spark.createDataFrame(pairs, "label string, code string")
+
+
+def split_labels(lines: DataFrame, keys: list[str], position: str, line: str, aliases: DataFrame) -> DataFrame:
     """Lines with the ``code`` their label stands for, and the text behind the label.
 
     A label is what precedes the first ``:`` or ``=``; lines whose label is not in
@@ -75,7 +85,7 @@ def split_labels(lines: DataFrame, term: str, position: str, line: str, aliases:
         lines.withColumn("_l", F.lower(label))
         .join(known, F.col("_l") == F.col("_label"), "left")
         .select(
-            term,
+            *keys,
             position,
             F.coalesce("_code", F.lit("definition")).alias("code"),
             F.when(F.col("_code").isNull(), strip(F.col(line))).otherwise(body).alias("body"),
@@ -83,27 +93,38 @@ def split_labels(lines: DataFrame, term: str, position: str, line: str, aliases:
     )
 
 
-def label_pivot(lines: DataFrame, term: str, position: str, line: str, aliases: DataFrame, codes: list[str]) -> DataFrame:
-    """One row per term with its definition and one column per code."""
-    texts = join_text(
-        split_labels(lines, term, position, line, aliases).filter(F.col("body") != ""),
-        [term, "code"], position, "body", alias="body",
+def label_pivot(
+    lines: DataFrame, keys: list[str], position: str, line: str, aliases: DataFrame, codes: list[str]
+) -> DataFrame:
+    """One row per entry with its definition and one column per code."""
+    labelled = split_labels(lines, keys, position, line, aliases).filter(F.col("body") != "")
+    texts = join_text(labelled, [*keys, "code"], position, "body", alias="body")
+    wide = (
+        texts.groupBy(*keys, "part")
+        .pivot("code", ["definition", *codes])
+        .agg(F.first(strip(F.col("body")), ignorenulls=True))
     )
-    wide = texts.groupBy(term, "part").pivot("code", ["definition", *codes]).agg(F.first(strip(F.col("body")), ignorenulls=True))
-    # A term of blank lines alone keeps its row.
-    return lines.select(term).distinct().join(wide, term, "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    # An entry of blank lines alone keeps its row.
+    return lines.select(*keys).distinct().join(wide, keys, "left").withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 def glossary_lines(documents: DataFrame, doc: str) -> DataFrame:
-    """Lines of the paragraphs of each glossary entry, with its title as ``term``."""
+    """Lines of the paragraphs of each glossary entry, numbered, with its title as ``term``."""
     entries = select_nodes(documents, [doc], has_class("elementor-toggle-item"))
-    term = text_of(descendants(F.col("sub"), find(F.col("sub"), has_class("elementor-toggle-title"))))
-    paragraphs = F.transform(
-        F.filter("sub", is_tag("p")),
-        lambda p: F.struct(p["pre"].alias("pos"), text_of(descendants(F.col("sub"), p)).alias("text")),
+    sub = F.col("sub")
+    term = text_of(descendants(sub, find(sub, has_class("elementor-toggle-title"))))
+    lines = F.flatten(
+        F.transform(F.filter("sub", is_tag("p")), lambda p: F.split(text_of(descendants(sub, p)), "\n"))
+    )
+    return entries.select(
+        doc, F.col("node.pre").alias("entry"), term.alias("term"), F.posexplode_outer(lines).alias("pos", "line")
     )
-    rows = entries.select(doc, term.alias("term"), F.inline_outer(paragraphs))
-    return rows.select(doc, "term", "pos", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+
+
+def glossary(documents: DataFrame, doc: str, aliases: DataFrame, codes: list[str]) -> DataFrame:
+    """One row per entry of the parsed glossary pages."""
+    rows = label_pivot(glossary_lines(documents, doc), [doc, "entry", "term"], "pos", "line", aliases, codes)
+    return rows.drop(doc, "entry")
 
 
 def councils(cards: DataFrame, doc: str, details: DataFrame, dimension: DataFrame) -> DataFrame:

@@ -81,9 +81,9 @@ def related_posts(links: DataFrame, items: DataFrame, max_len: int = MAX_LIST) -
     ``n_links`` counts the resolved links before duplicates are merged.
     """
     found = resolve_links(links, items).filter(F.col("target_id").isNotNull() & (F.col("target_id") != F.col("id")))
-    counted = found.groupBy("id", "target_id").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counted.groupBy("id").agg(F.sum("_n").alias("n_links"))
-    return gather(counted, ["id"], "target_id", alias="related_posts", max_len=max_len).join(totals, "id")
+    return gather(
+        found, ["id"], "target_id", alias="related_posts", distinct=True, count_alias="n_links", max_len=max_len
+    )
 
 
 def read_facts(documents: DataFrame, site: Site, doc: str = "id") -> DataFrame:

@@ -18,6 +18,7 @@ from folioworks.operators.tables import value_counts
 from folioworks.plans.posts import enrich, read_facts, related_posts, sections
 from folioworks.queries.registry import query, view
 from folioworks.queries.relations import NORMALISED, NORMALISED_VIEWS, joined, normalised
+from folioworks.session import written
 
 SITE = Site(host="site.example", archive="/archive")
 
@@ -287,7 +288,7 @@ def post_enriched(spark, folder):
     tree_nodes = view(spark, folder, "v_chapter").withColumn("ordinal", F.col("node_id"))
     enriched = enrich(
         normalised(spark, folder),
-        facts(spark, folder),
+        written(facts(spark, folder), "facts"),
         view(spark, folder, "v_post"),
         view(spark, folder, "v_filed"),
         tree_nodes,

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folioworks.contracts import PUBLICATIONS
 from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.operators.navigation import fill_levels, url_hierarchy
 from folioworks.operators.quality import violations
-from folioworks.contracts import PUBLICATIONS
 from folioworks.plans import bibliography, catalogue
 from folioworks.queries.registry import query, view
 from folioworks.sources.landing import table
@@ -76,7 +76,7 @@ def nav_tree(spark, folder):
         "html", F.when(key % 9 == 0, _text('<span class="title">Untitled</span>', F.coalesce("html", F.lit("")))).otherwise(F.col("html"))
     )
     pages = _pages(listed, "page", "o_orderkey", entry, '<ol class="dd-list">', "</ol>")
-    return category_nodes(parse(pages, track=("li",)), "page").drop("ordinal")
+    return category_nodes(parse(pages, track=("li",)), "page").drop("ordinal", "data_parent_id")
 
 
 @query(
@@ -168,29 +168,27 @@ def guide_pages(spark, folder):
 
 @query(
     "glossary_terms",
-    """WITH clean AS (
-         SELECT conv_id, turn, role, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line
-         FROM (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM conversations)
-         WHERE n = 1)
-       SELECT concat('Term ', conv_id) AS term, 0 AS part,
-              string_agg(line, chr(10) ORDER BY turn) FILTER (role <> 'user' AND line <> '') AS definition,
-              string_agg(line, chr(10) ORDER BY turn) FILTER (role = 'user' AND line <> '') AS "DE_BE"
-       FROM clean GROUP BY conv_id""",
+    """WITH line AS (
+         SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+         FROM conversations),
+       clean AS (
+         SELECT conv_id, turn // 500 AS block, turn, n, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line, role = 'user' AND n = 1 AS state FROM line)
+       SELECT concat('Term ', conv_id, '.', block) AS term, 0 AS part,
+              string_agg(line, chr(10) ORDER BY turn, n) FILTER (NOT state AND line <> '') AS definition,
+              string_agg(line, chr(10) ORDER BY turn, n) FILTER (state AND line <> '') AS "DE_BE"
+       FROM clean GROUP BY conv_id, block""",
 )
 def glossary_terms(spark, folder):
-    """Glossary entries in toggle items, a paragraph per turn; turns of users are labelled with a state."""
-    turns = table(spark, folder, "conversations").select(
-        "conv_id", "turn", "role", F.split("text", "\n")[0].alias("line")
-    )
-    body = F.replace(F.replace(F.replace("line", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("="), F.lit("="))
+    """Glossary entries of at most five hundred paragraphs, one per turn; those of users name a state."""
+    turns = table(spark, folder, "conversations").withColumn("block", F.floor(F.col("turn") / 500))
+    body = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     marked = F.when(F.col("role") == "user", _text("Berlin: ", body)).otherwise(body)
-    title = _text('<div class="elementor-toggle-item"><a class="elementor-toggle-title">Term ', F.col("conv_id"), "</a>")
-    entries = _pages(turns, "conv_id", "turn", _text("<p>", marked, "</p>")).select(
-        F.col("conv_id").alias("id"), _text(title, F.col("html"), "</div>").alias("html")
+    entry = _text("Term ", F.col("conv_id"), ".", F.col("block"))
+    head = _text('<div class="elementor-toggle-item"><a class="elementor-toggle-title">', F.col("id"), "</a>")
+    entries = _pages(turns.withColumn("id", entry), "id", "turn", _text("<p>", marked, "</p>")).select(
+        "id", _text(head, F.col("html"), "</div>").alias("html")
     )
-    lines = catalogue.glossary_lines(parse(entries), "id")
-    aliases = catalogue.jurisdiction_table(spark)
-    return catalogue.label_pivot(lines, "term", "pos", "line", aliases, ["DE_BE"])
+    return catalogue.glossary(parse(entries), "id", catalogue.jurisdiction_aliases(spark), ["DE_BE"])
 
 
 @query(

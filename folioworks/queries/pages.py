@@ -373,4 +373,4 @@ _LABELS = [("user", "DE_BE"), ("assistant", "DE_NW"), ("Berlin", "DE_BB")]
 )
 def pivoted(spark, folder):
     aliases = spark.createDataFrame(_LABELS, "label string, code string")
-    return label_pivot(view(spark, folder, "v_line"), "term_id", "pos", "line", aliases, ["DE_BB", "DE_BE", "DE_NW"])
+    return label_pivot(view(spark, folder, "v_line"), ["term_id"], "pos", "line", aliases, ["DE_BB", "DE_BE", "DE_NW"])
