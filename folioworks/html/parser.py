@@ -111,6 +111,9 @@ class NodeBuilder(HTMLParser):
         pre = self.open.pop()[0]
         self.last[self.first + pre] = len(self.tag) - self.first - 1
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_starttag(self, tag, attrs):
         values = {name: value or "" for name, value in attrs}
         classes = values.get("class", "").split()

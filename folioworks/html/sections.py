@@ -23,6 +23,7 @@ from folioworks.html.select import (
     subtree,
     text_at,
 )
+from folioworks.operators.tables import left_join
 
 # Class names of the page builder whose output is read.
 WIDGET = "elementor-widget"
@@ -233,24 +234,23 @@ def widget_sections(widget: Column, sub: Column) -> Column:
 
 
 def widgets(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """Outermost widgets, one row each: those inside an accordion tab belong to the accordion."""
+    """Outermost widgets, numbered, one row each: those inside an accordion tab belong to the accordion."""
     outer = F.filter(
         "nodes", lambda n: F.array_contains(n["classes"], WIDGET) & ~F.map_contains_key(n["scopes"], f".{TAB}")
     )
     pairs = F.transform(outer, lambda n: F.struct(n.alias("widget"), subtree(F.col("nodes"), n).alias("sub")))
-    return documents.select(*keep, F.inline(pairs))
+    numbered = documents.select(*keep, F.posexplode(pairs).alias("widget_no", "_w"))
+    return numbered.select(*keep, "widget_no", "_w.widget", "_w.sub")
 
 
 def sections(documents: DataFrame, doc: str) -> DataFrame:
     """Sections in document order, before transcripts are looked up.
 
-    ``section_ord`` orders them within the document: the position of the widget, then the rank of
-    the section inside it.
+    ``widget_no`` and ``section_no``, the rank inside the widget, order them within the document.
     """
-    found = F.posexplode(widget_sections(F.col("widget"), F.col("sub"))).alias("sub_ord", "s")
-    return widgets(documents, [doc]).select(
-        F.col(doc).alias("post_id"), F.col("widget.pre").alias("widget_pos"), found
-    ).select("post_id", F.struct("widget_pos", "sub_ord").alias("section_ord"), "s.*")
+    found = F.posexplode(widget_sections(F.col("widget"), F.col("sub"))).alias("section_no", "s")
+    rows = widgets(documents, [doc]).select(F.col(doc).alias("post_id"), "widget_no", found)
+    return rows.select("post_id", "widget_no", "section_no", "s.*")
 
 
 def unknown_widgets(documents: DataFrame, doc: str) -> DataFrame:
@@ -276,7 +276,7 @@ def with_transcripts(found: DataFrame, media: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("pos", "url_transkript")).alias("_first"))
     )
     return (
-        found.join(by_id, F.col("media") == F.col("_id"), "left")
+        left_join(found, by_id, F.col("media"), "_id")
         .withColumn("transcript_url", F.col("_first.url_transkript"))
         .drop("_id", "_first", "media")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioworks.operators.tables import left_join
+
 BLOCKS = (2, 4, 8, 16, 32)
 
 
@@ -63,4 +65,4 @@ def first_containing(
     found = first.join(
         texts.select(F.col(position).alias("_first"), F.col(value).alias(alias)), "_first"
     ).select(F.col("_id").alias("_k"), alias)
-    return keys.join(found, F.col(key) == F.col("_k"), "left").drop("_k")
+    return left_join(keys, found, F.col(key), "_k").drop("_k")

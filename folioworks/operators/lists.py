@@ -37,7 +37,8 @@ def gather(
     their broadcast safe.
     """
     counted = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    copies = F.lit(1) if distinct else F.col("_n")
+    # Both readers of the counts need ``_n``, so that its one shuffle serves them both.
+    copies = F.least(F.col("_n"), F.lit(1)) if distinct else F.col("_n")
     oversized = (
         counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
         .agg(F.sum(copies).alias("_total"))

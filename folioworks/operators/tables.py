@@ -93,11 +93,22 @@ def add_missing(df: DataFrame, extra: DataFrame, key: str) -> DataFrame:
     return df.unionByName(extra.join(df.select(key), key, "left_anti").select(*df.columns))
 
 
-def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, value: str, alias: str) -> DataFrame:
-    """Left lookup of one column; without a match it is null.
+def left_join(df: DataFrame, side: DataFrame, on: Column, key: str) -> DataFrame:
+    """Left join in which rows without a key do not all meet in one partition.
 
-    No broadcast hint: the planner broadcasts the dimension when its size is known to be small and
-    otherwise shuffles, with skewed keys split at run time.
+    A null key matches nothing, so such rows may go anywhere: a second, always equal, key sends them
+    by the hash of the row.  No broadcast hint: the planner broadcasts a side it knows to be small
+    and otherwise shuffles, splitting skewed keys at run time.
     """
+    spread = F.when(on.isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    return (
+        df.withColumn("_spread", spread)
+        .join(side.withColumn("_zero", F.lit(0).cast("bigint")), (on == F.col(key)) & (F.col("_spread") == F.col("_zero")), "left")
+        .drop("_spread", "_zero")
+    )
+
+
+def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, value: str, alias: str) -> DataFrame:
+    """Left lookup of one column; without a match it is null."""
     side = dimension.select(F.col(key).alias("_key"), F.col(value).alias(alias))
-    return df.join(side, F.col(on) == F.col("_key"), "left").drop("_key")
+    return left_join(df, side, F.col(on), "_key").drop("_key")

@@ -13,7 +13,7 @@ from folioworks.html.sections import with_transcripts
 from folioworks.operators.hierarchy import associated_items
 from folioworks.operators.lists import MAX_LIST, gather
 from folioworks.operators.quality import multiple, orphans, require_none
-from folioworks.operators.tables import lookup
+from folioworks.operators.tables import left_join, lookup
 
 
 def labels_per_post(
@@ -58,18 +58,18 @@ def normalise(
 def resolve_links(links: DataFrame, items: DataFrame) -> DataFrame:
     """``links(..., href, link_title)`` with the ``target_id`` of ``items(id, url, title)``.
 
-    The address decides; links that match no address are tried by title.  Each distinct address
-    and title is looked up once.
+    The address decides; links that match no address are tried by title.
     """
     by_url = items.select(canonical(F.col("url")).alias("_url"), "id").groupBy("_url").agg(F.min("id").alias("_by_url"))
     by_title = (
         items.select(title_key(F.col("title")).alias("_title"), "id").groupBy("_title").agg(F.min("id").alias("_by_title"))
     )
+    keyed = links.withColumn("_u", canonical(F.col("href")))
+    by_address = left_join(keyed, by_url, F.col("_u"), "_url").withColumn(
+        "_t", F.when(F.col("_by_url").isNull(), title_key(F.col("link_title")))
+    )
     return (
-        links.withColumn("_u", canonical(F.col("href")))
-        .withColumn("_t", title_key(F.col("link_title")))
-        .join(by_url, F.col("_u") == F.col("_url"), "left")
-        .join(by_title, F.when(F.col("_by_url").isNull(), F.col("_t")) == F.col("_title"), "left")
+        left_join(by_address, by_title, F.col("_t"), "_title")
         .withColumn("target_id", F.coalesce("_by_url", "_by_title"))
         .drop("_u", "_t", "_url", "_title", "_by_url", "_by_title")
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioworks.functions.links import Site
@@ -159,16 +158,13 @@ _ROWS = " UNION ALL ".join(
     "sections",
     f"""WITH s AS ({_ROWS}), m AS (
           SELECT CASE WHEN pos % 3 = 1 THEN concat('v', pos) ELSE concat('prezi.com/view/v', pos, '/') END AS media, url_transkript FROM v_lookup)
-        SELECT doc_id AS post_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY w, sub) AS INT) AS ord, type, title, text, external_link,
-               url_transkript AS transcript_url
-        FROM s LEFT JOIN m USING (media)""",
+        SELECT doc_id AS post_id, CAST(n AS INT) AS widget_no, sub AS section_no, type, title, text, external_link, url_transkript AS transcript_url
+        FROM s LEFT JOIN m USING (media)
+        JOIN (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY w) - 1 AS n FROM v_widget) USING (doc_id, w)""",
     ("v_widget", "v_lookup"),
 )
 def all_sections(spark, folder):
-    found = sections(documents(spark, folder), view(spark, folder, "v_lookup"))
-    # Sections of one article only, whose HTML was one cell.
-    rank = F.row_number().over(W.partitionBy("post_id").orderBy("section_ord"))
-    return found.withColumn("ord", rank).drop("section_ord")
+    return sections(documents(spark, folder), view(spark, folder, "v_lookup"))
 
 
 @query("section_counts", f"SELECT type, count(*) AS n FROM ({_ROWS}) GROUP BY type", ("v_widget",))
