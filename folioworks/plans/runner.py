@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioworks import contracts
 from folioworks.functions.links import Site
@@ -41,14 +40,13 @@ INPUTS = {
     "glossary_pages": "id, html",
 }
 
-POST = T.StructType.fromDDL(
+# The fields of landed JSON that are used.
+POST = (
     "id bigint, date timestamp, link string, title struct<rendered: string>, content struct<rendered: string>, "
     "stufe array<bigint>, categories array<bigint>, tags array<bigint>"
 )
-TERM = T.StructType.fromDDL("id bigint, slug string")
-RESOURCE = T.StructType.fromDDL(
-    "title string, type string, permalink string, url string, strategy string, area_class string, html_url string"
-)
+TERM = "id bigint, slug string"
+RESOURCE = "title string, type string, permalink string, url string, strategy string, area_class string, html_url string"
 
 EXPECTED_COUNCILS = 17
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioworks.contracts import PUBLICATIONS, Contract, Enum, Field, ListOf
 from folioworks.functions.links import file_type
@@ -52,8 +51,8 @@ def paged(spark, folder):
     path = fresh_path(spark, "pages")
     landed = orders.groupBy("page").agg(F.collect_list("item").alias("items")).withColumn("total_pages", F.lit(total))
     landed.write.json(path)
-    item = T.StructType.fromDDL("id bigint, title struct<rendered: string>")
-    return flatten(scan_paged(spark, path, item), {"page": "page", "id": "id", "title": "title.rendered"})
+    landed_pages = scan_paged(spark, path, "id bigint, title struct<rendered: string>")
+    return flatten(landed_pages, {"page": "page", "id": "id", "title": "title.rendered"})
 
 
 @query(
@@ -115,8 +114,7 @@ def explode_config(spark, folder):
     )
     path = fresh_path(spark, "config")
     entries.write.json(path)
-    inner = T.StructType.fromDDL("title string, type string, permalink string, html_url string")
-    config = scan_config(spark, path, "jurisdiction", inner)
+    config = scan_config(spark, path, "jurisdiction", "title string, type string, permalink string, html_url string")
     return resources(config, "jurisdiction").select(
         "jurisdiction",
         "title",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioworks.functions.links import file_type
 from folioworks.operators.quality import require_none
@@ -22,18 +21,13 @@ def missing_pages(pages: DataFrame) -> DataFrame:
     ).filter(F.col("landed") != F.col("announced"))
 
 
-def scan_paged(spark: SparkSession, path: str, item: T.StructType, *, check: bool = True) -> DataFrame:
+def scan_paged(spark: SparkSession, path: str, item: str, *, check: bool = True) -> DataFrame:
     """Items of all pages of a resource, landed as one JSON object ``{page, total_pages, items}`` per page.
 
-    Pages may have been fetched more than once; the page numbers still have to be complete.
+    ``item`` names the fields of an item with their types.  Pages may have been fetched more than
+    once; the page numbers still have to be complete.
     """
-    schema = T.StructType(
-        [
-            T.StructField("page", T.LongType()),
-            T.StructField("total_pages", T.LongType()),
-            T.StructField("items", T.ArrayType(item)),
-        ]
-    )
+    schema = f"page bigint, total_pages bigint, items array<struct<{item}>>"
     pages = spark.read.schema(schema).json(path)
     if check:
         require_none(missing_pages(pages.select("page", "total_pages")), "pages are missing")
@@ -51,14 +45,12 @@ def child_rows(df: DataFrame, parent: str, column: str, *, keep_empty: bool = Fa
     return df.select(F.col(parent).alias("parent_id"), expand(column).alias("idx", "value"))
 
 
-def scan_config(
-    spark: SparkSession, path: str, outer: str, inner: T.StructType, *, multi_line: bool = False
-) -> DataFrame:
+def scan_config(spark: SparkSession, path: str, outer: str, resource: str, *, multi_line: bool = False) -> DataFrame:
     """Entries ``{outer, resources: [...]}`` with their resources still nested.
 
     One entry per line by default; a hand-written file holding one JSON list needs ``multi_line``.
     """
-    schema = T.StructType([T.StructField(outer, T.StringType()), T.StructField("resources", T.ArrayType(inner))])
+    schema = f"{outer} string, resources array<struct<{resource}>>"
     return spark.read.schema(schema).json(path, multiLine=multi_line)
 
 
