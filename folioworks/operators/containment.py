@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.operators.tables import left_join
 
-BLOCKS = (2, 4, 8, 16, 32)
+BLOCKS = tuple(2**i for i in range(1, 13))
 
 
 def contains_pairs(
@@ -15,40 +15,37 @@ def contains_pairs(
 ) -> DataFrame:
     """All pairs ``(text_id, key_id)`` where the text holds the key literally.
 
-    A key of at least 2q-1 characters that occurs in a text covers one whole block of q characters
-    of that text, whatever its offset.  So each text is cut into blocks (together no longer than
-    the text itself), each key gives its grams at q offsets, and the two meet in an equi-join.  The
-    block length is the largest power of two a key allows.  Candidates are then checked on the
-    whole text, which is read only for texts that have a candidate.
+    A key of at least 2q-1 characters that occurs in a text covers a whole block of q characters of
+    that text, and the first such block lies r < q characters into the key.  So each text is cut
+    into blocks (together as long as the text), each key gives its q first grams, and the two meet
+    in an equi-join.  What is joined are the distinct grams with their r and key length, not the
+    keys: keys with a common start do not multiply.  A hit says where in the text a key of which
+    length may start; that piece of the text is taken out and meets the keys in a second equi-join.
     """
     usable = keys.select(F.col(key_id).alias("_kid"), F.col(key).alias("_key")).filter(F.length("_key") > 0)
     width = F.lit(1)
     for q in BLOCKS:
         width = F.when(F.length("_key") >= 2 * q - 1, F.lit(q)).otherwise(width)
-    sized = usable.withColumn("_q", width)
-    grams = sized.select(
-        "_kid",
-        "_q",
-        F.explode(
-            F.expr("array_distinct(transform(sequence(1, _q), i -> substring(_key, i, _q)))")
-        ).alias("_gram"),
-    )
-    # Only the block lengths some key asks for are cut; there are never more than len(BLOCKS).
+    sized = usable.select(F.length("_key").alias("_length"), width.alias("_q"), "_key")
+    starts = F.expr("transform(sequence(0, _q - 1), r -> struct(r AS _r, substring(_key, r + 1, _q) AS _gram))")
+    grams = sized.select("_q", "_length", F.inline(starts)).distinct()
+    # Only the block lengths some key asks for are cut; there are never more than len(BLOCKS) + 1.
     in_use = sorted(row["_q"] for row in sized.select("_q").distinct().collect())
 
     def cut(q: int):
-        found = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{q}}}"), F.lit(0)))
-        return F.transform(found, lambda block: F.struct(F.lit(q).alias("_q"), block.alias("_gram")))
+        found = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{{q}}}"), F.lit(0))
+        return F.transform(found, lambda block, i: F.struct(F.lit(q).alias("_q"), i.alias("_i"), block.alias("_gram")))
 
-    cuts = [cut(q) for q in in_use or [1]]
-    blocks = texts.select(F.col(text_id).alias("_tid"), F.inline(F.concat(*cuts)))
-    candidates = blocks.join(grams, ["_q", "_gram"]).select("_tid", "_kid").distinct()
-    checked = (
-        candidates.join(usable, "_kid")
-        .join(texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_text")), "_tid")
-        .filter(F.contains("_text", "_key"))
+    blocks = texts.select(F.col(text_id).alias("_tid"), F.inline(F.concat(*[cut(q) for q in in_use or [1]])))
+    begin = F.col("_i") * F.col("_q") - F.col("_r")
+    hits = blocks.join(grams, ["_q", "_gram"]).select("_tid", "_length", begin.alias("_begin")).filter(F.col("_begin") >= 0)
+    pieces = (
+        hits.join(texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_text")), "_tid")
+        .select("_tid", F.expr("substring(_text, _begin + 1, _length)").alias("_piece"))
+        .distinct()
     )
-    return checked.select(F.col("_tid").alias(text_id), F.col("_kid").alias(key_id))
+    found = pieces.join(usable, F.col("_piece") == F.col("_key"))
+    return found.select(F.col("_tid").alias(text_id), F.col("_kid").alias(key_id)).distinct()
 
 
 def first_containing(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.contracts import JURISDICTIONS
@@ -29,8 +29,14 @@ from folioworks.operators.quality import orphans, require_none, require_rows
 from folioworks.operators.tables import add_missing, count_unique, lookup
 
 
-def jurisdiction_table(spark) -> DataFrame:
-    return spark.createDataFrame(list(JURISDICTIONS.items()), "code string, label string")
+def fixed_table(spark: SparkSession, values: Mapping[str, str], key: str, value: str) -> DataFrame:
+    """A few fixed values as a table whose small size the planner knows."""
+    literals = [F.lit(x) for pair in values.items() for x in pair]
+    return spark.range(1).select(F.explode(F.create_map(*literals)).alias(key, value))
+
+
+def jurisdiction_table(spark: SparkSession) -> DataFrame:
+    return fixed_table(spark, JURISDICTIONS, "code", "label")
 
 
 def download_link(base: str, category: Column, data_id: Column) -> Column:
@@ -66,10 +72,10 @@ def missing_downloads(category_pages: DataFrame, doc: str, payloads: DataFrame)
 SHORT_NAMES = {"Deutschland": "DE", "NRW": "DE_NW"}
 
 
-def jurisdiction_aliases(spark) -> DataFrame:
+def jurisdiction_aliases(spark: SparkSession) -> DataFrame:
     """The labels glossary lines start with, and their codes."""
-    pairs = [(label, code) for code, label in JURISDICTIONS.items()] + list(SHORT_NAMES.items())
-    return spark.createDataFrame(pairs, "label string, code string")
+    names = {label: code for code, label in JURISDICTIONS.items()}
+    return fixed_table(spark, {**names, **SHORT_NAMES}, "label", "code")
 
 
 def split_labels(lines: DataFrame, keys: list[str], position: str, line: str, aliases: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from folioworks.operators.containment import contains_pairs, first_containing
 from folioworks.operators.lists import join_text
 from folioworks.operators.tables import first_per_key
 from folioworks.plans.bibliography import records, split_tags
-from folioworks.plans.catalogue import area_class, label_pivot, legal_texts
+from folioworks.plans.catalogue import area_class, fixed_table, label_pivot, legal_texts
 from folioworks.plans.posts import resolve_links
 from folioworks.queries.registry import query, view
 from folioworks.sources.landing import table
@@ -353,7 +353,7 @@ def doc_text(spark, folder):
     return join_text(table(spark, folder, "conversations"), ["conv_id"], "turn", "text", alias="text")
 
 
-_LABELS = [("user", "DE_BE"), ("assistant", "DE_NW"), ("Berlin", "DE_BB")]
+_LABELS = {"user": "DE_BE", "assistant": "DE_NW", "Berlin": "DE_BB"}
 
 
 @query(
@@ -372,5 +372,5 @@ _LABELS = [("user", "DE_BE"), ("assistant", "DE_NW"), ("Berlin", "DE_BB")]
     ("v_line",),
 )
 def pivoted(spark, folder):
-    aliases = spark.createDataFrame(_LABELS, "label string, code string")
+    aliases = fixed_table(spark, _LABELS, "label", "code")
     return label_pivot(view(spark, folder, "v_line"), ["term_id"], "pos", "line", aliases, ["DE_BB", "DE_BE", "DE_NW"])
