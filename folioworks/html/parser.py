@@ -11,9 +11,12 @@ and all inside it, a stray end tag is ignored, void elements never stay open.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -44,15 +47,37 @@ NODE = T.StructType(
     ]
 )
 
-_TEXT_MAP = pa.map_(pa.string(), pa.string())
-_SCOPE_MAP = pa.map_(pa.string(), pa.int32())
+# Regular markup, which is nearly all there is: words, end tags, start tags with plain attributes,
+# simple comments, declarations.  The quantifiers never give back, so a scan is linear.
+TOKEN = re.compile(
+    r"""(?P<words>[^<]++)
+    | </(?P<closed>[a-zA-Z][-a-zA-Z0-9:_]*+)[ \t\n\r\f]*+>
+    | <(?P<name>[a-zA-Z][-a-zA-Z0-9:_]*+)
+       (?P<attrs>(?:[ \t\n\r\f]++[^\s"'<>/=]++
+         (?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>=`]++))?+)*+)
+       [ \t\n\r\f]*+(?P<slash>/?+)>
+    | (?P<aside><!--(?:[^-]|-(?!-))*+-->|<!(?i:doctype)[^>]*+>)""",
+    re.VERBOSE,
+)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'<>=`]++)))?""")
+RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("script", "style")}
+
+
+def _value(text: str) -> str:
+    return unescape(text) if "&" in text else text
+
+
 _FLUSH_NODES = 50_000
 
 
 class NodeBuilder(HTMLParser):
-    """Collects the nodes of any number of documents as flat columns."""
+    """Collects the nodes of any number of documents as flat columns.
 
-    CDATA_CONTENT_ELEMENTS = ("script", "style")
+    Regular documents go through one regular expression; irregular ones are read again by the
+    library's lenient parser, which gives the same nodes for regular ones, only slower.
+    """
+
+    CDATA_CONTENT_ELEMENTS = tuple(RAW_END)
     RCDATA_CONTENT_ELEMENTS = ()
 
     def __init__(self, track: Sequence[str]):
@@ -62,17 +87,35 @@ class NodeBuilder(HTMLParser):
         self.clear()
 
     def clear(self) -> None:
-        self.last, self.parent, self.nth, self.tag = [], [], [], []
-        self.classes, self.attrs, self.text, self.scopes = [], [], [], []
-        self.pre, self.ends = [], []
+        """Forget all documents."""
+        self.ends: list[int] = []
+        # One entry per node.
+        self.last, self.parent, self.nth, self.tag, self.text = [], [], [], [], []
+        # The lists and maps of all nodes one after the other, and where those of each node end.
+        self.classes, self.class_ends = [], []
+        self.names, self.values, self.attr_ends = [], [], []
+        self.labels, self.places, self.scope_ends = [], [], []
+
+    def columns(self) -> tuple[list, ...]:
+        return (
+            self.last, self.parent, self.nth, self.tag, self.text, self.classes, self.class_ends,
+            self.names, self.values, self.attr_ends, self.labels, self.places, self.scope_ends,
+        )
 
-    def read(self, html: str | None) -> None:
-        """Append one document."""
-        self.first = len(self.tag)
+    def _begin(self) -> None:
         # Open elements as (position, tag, scopes inside, counts of child tags); the bottom is the document.
         self.open = [(-1, None, {}, {})]
         self.in_text = False
-        if html:
+
+    def read(self, html: str | None) -> None:
+        """Append one document."""
+        self.first = len(self.tag)
+        lengths = [len(c) for c in self.columns()]
+        self._begin()
+        if html and not self._scan(html):
+            for column, length in zip(self.columns(), lengths, strict=True):
+                del column[length:]
+            self._begin()
             self.reset()
             self.feed(html)
             self.close()
@@ -81,6 +124,40 @@ class NodeBuilder(HTMLParser):
         self._end_text()
         self.ends.append(len(self.tag))
 
+    def _scan(self, html: str) -> bool:
+        """Read regular markup token by token; give up (False) at the first irregular piece."""
+        at, end = 0, len(html)
+        while at < end:
+            token = TOKEN.match(html, at)
+            if token is None:
+                return False
+            at = token.end()
+            kind = token.lastgroup
+            if kind == "words":
+                words = token["words"]
+                self.handle_data(unescape(words) if "&" in words else words)
+            elif kind == "closed":
+                self.handle_endtag(token["closed"].lower())
+            elif kind == "slash":
+                tag = token["name"].lower()
+                attrs = token["attrs"]
+                pairs = [(n.lower(), _value(a or b or c)) for n, a, b, c in ATTRIBUTE.findall(attrs)] if attrs else ()
+                if token["slash"]:
+                    self.handle_startendtag(tag, pairs)
+                    continue
+                self.handle_starttag(tag, pairs)
+                if tag in RAW_END:
+                    close = RAW_END[tag].search(html, at)
+                    if close is None:
+                        return False
+                    if close.start() > at:
+                        self.handle_data(html[at : close.start()])
+                    self.handle_endtag(tag)
+                    at = close.end()
+            else:
+                self._end_text()
+        return True
+
     def _end_text(self) -> None:
         """A text of blanks alone shrinks to one newline or one space, except in preformatted text."""
         if self.in_text:
@@ -89,21 +166,28 @@ class NodeBuilder(HTMLParser):
             if not text.strip(" \t\n\r\f") and not any(entry[1] in KEEP_BLANKS for entry in self.open):
                 self.text[-1] = "\n" if "\n" in text else " "
 
-    def _append(self, tag, classes, attrs, text) -> int:
+    def _append(self, tag, text, attrs=None) -> int:
         self._end_text()
         at, _, scopes, counts = self.open[-1]
         nth = counts.get(tag, 0)
         counts[tag] = nth + 1
         pre = len(self.tag) - self.first
-        self.pre.append(pre)
         self.last.append(pre)
         self.parent.append(at)
         self.nth.append(nth)
         self.tag.append(tag)
-        self.classes.append(classes)
-        self.attrs.append(attrs)
         self.text.append(text)
-        self.scopes.append(scopes)
+        if attrs:
+            self.names.extend(attrs)
+            self.values.extend(attrs.values())
+            if "class" in attrs:
+                self.classes.extend(attrs["class"].split())
+        self.class_ends.append(len(self.classes))
+        self.attr_ends.append(len(self.names))
+        if scopes:
+            self.labels.extend(scopes)
+            self.places.extend(scopes.values())
+        self.scope_ends.append(len(self.labels))
         return pre
 
     def _close_top(self) -> None:
@@ -115,14 +199,14 @@ class NodeBuilder(HTMLParser):
         return j  # line numbers are not needed
 
     def handle_starttag(self, tag, attrs):
-        values = {name: value or "" for name, value in attrs}
-        classes = values.get("class", "").split()
-        pre = self._append(tag, classes, values, None)
+        values = {name: value or "" for name, value in attrs} if attrs else None
+        pre = self._append(tag, None, values)
         if tag in VOID:
             return
         scopes = self.open[-1][2]
         labels = [tag] if tag in self.tracked_tags else []
-        labels += [f".{c}" for c in classes if c in self.tracked_classes]
+        if values and self.tracked_classes and "class" in values:
+            labels += [f".{c}" for c in values["class"].split() if c in self.tracked_classes]
         if labels:
             scopes = {**scopes, **dict.fromkeys(labels, pre)}
         self.open.append((pre, tag, scopes, {}))
@@ -144,7 +228,7 @@ class NodeBuilder(HTMLParser):
         if self.in_text and not raw:
             self.text[-1] += data  # one run of text may arrive in pieces
         else:
-            self._append(RAW if raw else TEXT, [], {}, data)
+            self._append(RAW if raw else TEXT, data)
             self.in_text = not raw
 
     def handle_comment(self, data):
@@ -160,21 +244,31 @@ class NodeBuilder(HTMLParser):
         self._end_text()
 
     def column(self) -> pa.ListArray:
+        """All documents as one Arrow array of node lists."""
+        ends = np.asarray([0, *self.ends], dtype=np.int32)
+        pre = np.arange(ends[-1], dtype=np.int32) - np.repeat(ends[:-1], np.diff(ends))
+
+        def offsets(stops):
+            return pa.array(np.concatenate(([0], np.asarray(stops, dtype=np.int32))).astype(np.int32))
+
+        def strings(values):
+            return pa.array(values, pa.string())
+
         nodes = pa.StructArray.from_arrays(
             [
-                pa.array(self.pre, pa.int32()),
+                pa.array(pre),
                 pa.array(self.last, pa.int32()),
                 pa.array(self.parent, pa.int32()),
                 pa.array(self.nth, pa.int32()),
-                pa.array(self.tag, pa.string()),
-                pa.array(self.classes, pa.list_(pa.string())),
-                pa.array([list(a.items()) for a in self.attrs], _TEXT_MAP),
-                pa.array(self.text, pa.string()),
-                pa.array([list(s.items()) for s in self.scopes], _SCOPE_MAP),
+                strings(self.tag),
+                pa.ListArray.from_arrays(offsets(self.class_ends), strings(self.classes)),
+                pa.MapArray.from_arrays(offsets(self.attr_ends), strings(self.names), strings(self.values)),
+                strings(self.text),
+                pa.MapArray.from_arrays(offsets(self.scope_ends), strings(self.labels), pa.array(self.places, pa.int32())),
             ],
             names=[f.name for f in NODE.fields],
         )
-        return pa.ListArray.from_arrays(pa.array([0, *self.ends], pa.int32()), nodes)
+        return pa.ListArray.from_arrays(pa.array(ends), nodes)
 
 
 def parse(df: DataFrame, html: str = "html", track: Sequence[str] = ()) -> DataFrame:

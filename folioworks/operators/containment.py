@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.operators.tables import left_join
+from folioworks.session import written
 
 BLOCKS = tuple(2**i for i in range(1, 13))
 
@@ -39,6 +40,8 @@ def contains_pairs(
     blocks = texts.select(F.col(text_id).alias("_tid"), F.inline(F.concat(*[cut(q) for q in in_use or [1]])))
     begin = F.col("_i") * F.col("_q") - F.col("_r")
     hits = blocks.join(grams, ["_q", "_gram"]).select("_tid", "_length", begin.alias("_begin")).filter(F.col("_begin") >= 0)
+    # Written, so that the planner sees how few they are and need not shuffle the texts for them.
+    hits = written(hits, "hits")
     pieces = (
         hits.join(texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_text")), "_tid")
         .select("_tid", F.expr("substring(_text, _begin + 1, _length)").alias("_piece"))

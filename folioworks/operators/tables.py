@@ -52,9 +52,12 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], alias: str = "idx") -
     """A gapless 0-based index in a total order, without pulling the rows into one partition.
 
     The rows are range-partitioned and written once, in order; each row is numbered within its
-    stretch of the range and shifted by the number of rows in the stretches before it.
+    stretch of the range and shifted by the number of rows in the stretches before it.  Rows that
+    tie are ordered by their hash, so that a frequent value does not fill one stretch.
     """
     spark = df.sparkSession
+    df = df.withColumn("_tie", F.xxhash64(*df.columns))
+    order_by = [*order_by, "_tie"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(parts, *order_by)
@@ -72,7 +75,7 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], alias: str = "idx") -
         ranged.withColumn("_stretch", stretch)
         .join(F.broadcast(offsets), "_stretch")
         .withColumn(alias, F.col("_offset") + within)
-        .drop("_stretch", "_offset", "_serial")
+        .drop("_stretch", "_offset", "_serial", "_tie")
     )
 
 

@@ -26,44 +26,76 @@ pieces = st.sampled_from(
 )
 
 
-def built(*documents, track=()):
-    builder = NodeBuilder(track)
+def built(*documents, track=(), builder=NodeBuilder):
+    """The nodes of the last document, read after the others."""
+    b = builder(track)
     for d in documents:
-        builder.read(d)
-    return builder
+        b.read(d)
+    nodes = b.column().to_pylist()[-1]
+    return [{**n, "attrs": dict(n["attrs"]), "scopes": dict(n["scopes"])} for n in nodes]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(pieces, max_size=25).map("".join) | st.text(max_size=60))
 def test_nodes_nest_properly(html):
-    b = built("<p>before", html, track=("p", ".x"))
-    start, n = b.ends[0], b.ends[1] - b.ends[0]
-    pre, last = b.pre[start:], b.last[start:]
-    parent, tag, scopes = b.parent[start:], b.tag[start:], b.scopes[start:]
-    assert pre == list(range(n))
-    for i in range(n):
-        assert i <= last[i] < n
-        assert -1 <= parent[i] < i
+    nodes = built("<p>before", html, track=("p", ".x"))
+    for i, n in enumerate(nodes):
+        assert n["pre"] == i <= n["last"] < len(nodes)
+        assert -1 <= n["parent"] < i
         # A node is inside all nodes whose stretch covers it, and its parent is the nearest of them.
-        around = [j for j in range(i) if last[j] >= i]
-        assert all(last[j] >= last[i] for j in around)
-        assert parent[i] == (around[-1] if around else -1)
-        assert scopes[i].get("p") == next((j for j in reversed(around) if tag[j] == "p"), None)
-        if tag[i] in (TEXT, RAW) or tag[i] in VOID:
-            assert last[i] == i
+        around = [m for m in nodes[:i] if m["last"] >= i]
+        assert all(m["last"] >= n["last"] for m in around)
+        assert n["parent"] == (around[-1]["pre"] if around else -1)
+        assert n["scopes"].get("p") == next((m["pre"] for m in reversed(around) if m["tag"] == "p"), None)
+        assert n["nth"] == sum(m["tag"] == n["tag"] and m["parent"] == n["parent"] for m in nodes[:i])
+        if n["tag"] in (TEXT, RAW) or n["tag"] in VOID:
+            assert n["last"] == i
+
+
+class Lenient(NodeBuilder):
+    def _scan(self, html):
+        return False
+
+
+irregular = st.sampled_from(
+    ["<p>", "</p >", "<B>", "</ b>", "<br/>", "<div class='x y' id=q hidden>", "</div>", "<a href=/x/>", "<a b=1/>", "<a x=\"1\"y=2>", "<a x = '&amp;<'>",
+     "<!-- a -- b -->", "<!-- -->", "<!---->", "<!doctype html PUBLIC \"x\">", "<!x>", "<?php ?>", "<script>a<b</script >", "<style>x", "</x y>", "<p/ >",
+     "<script src=x/>", "<", "&", "&lt", "&copy;", "t", " ", "\n", "\xa0", "<a\x0cb>", "<a =b>", "<a b==c>", "<a b=\"\">", "<textarea> </textarea>", "<pre>\n"]
+)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(irregular, max_size=12).map("".join) | st.lists(pieces, max_size=12).map("".join))
+def test_both_readings_agree(html):
+    fast, slow = NodeBuilder(("p", ".x")), Lenient(("p", ".x"))
+    for builder in (fast, slow):
+        builder.read("<p>first")
+        builder.read(html)
+        builder.read("<p>last")
+    assert fast.ends == slow.ends
+    for got, expected in zip(fast.columns(), slow.columns(), strict=True):
+        assert got == expected
+
+
+def test_regular_pages_take_the_fast_reading():
+    page = '<!DOCTYPE html><html lang="en"><head><script>var t="</p>";</script></head><body><!-- ad --><p class=x>a&amp;b<br></body></html>'
+    builder = NodeBuilder(())
+    builder.first = 0
+    builder._begin()
+    assert builder._scan(page)
 
 
 def test_lenient_reading():
-    b = built('<div class=" a  b "></i>x<p>y<b>z</div>w&lt;<script>"</p>"</script>')
-    assert b.tag == ["div", TEXT, "p", TEXT, "b", TEXT, TEXT, "script", RAW]
-    assert b.last == [5, 1, 5, 3, 5, 5, 6, 8, 8]
-    assert b.classes[0] == ["a", "b"]
-    assert b.text[6] == "w<" and b.text[8] == '"</p>"'
+    nodes = built('<div class=" a  b "></i>x<p>y<b>z</div>w&lt;<script>"</p>"</script>')
+    assert [n["tag"] for n in nodes] == ["div", TEXT, "p", TEXT, "b", TEXT, TEXT, "script", RAW]
+    assert [n["last"] for n in nodes] == [5, 1, 5, 3, 5, 5, 6, 8, 8]
+    assert nodes[0]["classes"] == ["a", "b"] and nodes[0]["attrs"] == {"class": " a  b "}
+    assert nodes[6]["text"] == "w<" and nodes[8]["text"] == '"</p>"'
 
 
 def test_blank_texts_shrink_outside_pre():
-    b = built("<p> \n </p><p>   </p><pre> \n </pre>a<!-- c -->b")
-    assert [t for t in b.text if t is not None] == ["\n", " ", " \n ", "a", "b"]
+    nodes = built("<p> \n </p><p>   </p><pre> \n </pre>a<!-- c -->b")
+    assert [n["text"] for n in nodes if n["text"] is not None] == ["\n", " ", " \n ", "a", "b"]
 
 
 def test_empty_documents(spark):
