@@ -35,9 +35,9 @@ def parsed(spark, folder, *keep):
 
 
 def decoded(sql: str) -> str:
-    """Character references as they occur in the pages."""
-    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        sql = f"replace({sql}, '{ref}', '{char}')"
+    """Character references as they occur in the pages; a cut-off title may lack the semicolon."""
+    for ref, char in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
+        sql = f"regexp_replace({sql}, '{ref}', '{char}', 'g')"
     return sql
 
 
