@@ -144,20 +144,28 @@ def file_links(documents: DataFrame, doc: str) -> DataFrame:
 
 
 def nav_links(documents: DataFrame, doc: str, skip: tuple[str, ...] = ("Downloads",)) -> DataFrame:
-    """Links of the first list of the navigation, with level and text; excluded labels left out."""
+    """Links of the first list of the navigation, with level and text; excluded labels left out.
+
+    A link without a level is an error, unless it is excluded.
+    """
+    def level(a, label):
+        missing = F.raise_error(F.concat(F.lit("link without a level: "), a["attrs"]["href"])).cast("string")
+        return F.when(~label.isin(*skip), F.coalesce(a["attrs"]["data-level"], missing)).cast("int")
+
     nav = F.filter(
         F.col("nodes"), lambda n: is_tag("ul")(n) & F.map_contains_key(n["scopes"], "nav")
     )
     first = F.get(nav, F.lit(0))
-    links = F.transform(
-        F.filter(descendants(F.col("nodes"), first), has_attr("href", "a")),
-        lambda a: F.struct(
-            a["pre"].alias("pos"),
-            a["attrs"]["href"].alias("href"),
-            a["attrs"]["data-level"].cast("int").alias("lvl"),
-            stripped_text_of(subtree(F.col("nodes"), a)).alias("txt"),
-        ),
-    )
+
+    def link(a):
+        return let(
+            stripped_text_of(subtree(F.col("nodes"), a)),
+            lambda label: F.struct(
+                a["pre"].alias("pos"), a["attrs"]["href"].alias("href"), level(a, label).alias("lvl"), label.alias("txt")
+            ),
+        )
+
+    links = F.transform(F.filter(descendants(F.col("nodes"), first), has_attr("href", "a")), link)
     return documents.select(doc, F.inline(links)).filter(~F.col("txt").isin(*skip))
 
 

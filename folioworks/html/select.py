@@ -88,15 +88,15 @@ def node_table(documents: DataFrame, doc: str) -> DataFrame:
     return documents.select(doc, F.inline("nodes"))
 
 
-def select_nodes(documents: DataFrame, keep: list[str], test: Test, alias: str = "node") -> DataFrame:
-    """One row per matching node, with its subtree as ``sub``.
+def select_nodes(documents: DataFrame, keep: list[str], test: Test, skip: int = 0) -> DataFrame:
+    """One row per matching ``node``, with its subtree as ``sub``; the first ``skip`` of a document left out.
 
     The filter runs inside the array, so only matching nodes ever become rows.
     """
-    matched = F.expr("nodes")
-    pairs = F.transform(
-        F.filter(matched, test), lambda n: F.struct(n.alias(alias), subtree(F.col("nodes"), n).alias("sub"))
-    )
+    matched = F.filter("nodes", test)
+    if skip:
+        matched = F.slice(matched, skip + 1, F.size(matched))
+    pairs = F.transform(matched, lambda n: F.struct(n.alias("node"), subtree(F.col("nodes"), n).alias("sub")))
     return documents.select(*keep, F.inline(pairs))
 
 

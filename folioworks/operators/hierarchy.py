@@ -59,6 +59,11 @@ def closure(paths: DataFrame, max_distance: int | None = None) -> DataFrame:
     return rows if max_distance is None else rows.filter(F.col("distance") <= max_distance)
 
 
+def children(nodes: DataFrame, parent: object) -> DataFrame:
+    """The nodes right below one node, in order."""
+    return nodes.filter(F.col("parent_id") == F.lit(parent)).orderBy("ordinal")
+
+
 def levels(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """Depth, number of children and leaf flag per node."""
     children = nodes.filter(F.col("parent_id").isNotNull()).groupBy("parent_id").agg(

@@ -53,8 +53,9 @@ def gather(
             lambda i: F.least(F.lit(max_len), copies - i * max_len),
         )
     )
+    # Stretches of one entry go to parts in turn, different entries start at different parts.
     part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("_v", "_stretch"), F.col("_parts"))
+        F.pmod(F.pmod(F.xxhash64("_v"), F.col("_parts")) + F.col("_stretch"), F.col("_parts"))
     )
     entries = F.array_repeat("_v", F.col("_copies").cast("int"))
     if not keep_nulls:

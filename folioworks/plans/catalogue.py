@@ -134,11 +134,11 @@ def glossary(documents: DataFrame, doc: str, aliases: DataFrame, codes: list[str
 
 
 def councils(cards: DataFrame, doc: str, details: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Council cards of the parsed overview, the first of a page being its own heading.
+    """Council cards of the parsed overview, the first section of a page being its own heading.
 
     ``details(url, nodes)`` are the parsed detail pages; the description is their fourth paragraph.
     """
-    found = select_nodes(cards, [doc], has_class("a5-section-linklist", "section")).filter(F.col("node.nth") > 0)
+    found = select_nodes(cards, [doc], has_class("a5-section-linklist", "section"), skip=1)
     sub = F.col("sub")
     rows = found.select(
         text_of(descendants(sub, find(sub, is_tag("h4")))).alias("name"),
@@ -174,7 +174,7 @@ def guide_pages(start: DataFrame, doc: str, pages: DataFrame, base: str, allow:
     sub = F.slice("nodes", area["pre"] + 1, area["last"] - area["pre"] + 1)
     missing = F.raise_error(F.concat(F.lit("no content area: "), F.col("url"))).cast("string")
     return places.join(pages, "url", "inner").select(
-        first_filled(page_title(F.col("nodes")), last_folder(F.col("url")), F.lit("Unknown")).alias("title"),
+        F.coalesce(page_title(F.col("nodes")), first_filled(last_folder(F.col("url")), F.lit("Unknown"))).alias("title"),
         "url",
         F.coalesce(sanitize(sub, allow), missing).alias("html_content"),
         "category",

@@ -1,7 +1,8 @@
 """The six steps that turn a folder of landed inputs into the published tables.
 
-Landed inputs are parquet tables, apart from the API pages and the list of legal resources, which
-are JSON as they were fetched.  ``INPUTS`` names the columns each of them needs.
+Landed inputs are parquet tables with the columns named in ``INPUTS``.  JSON are the folders of API
+pages ``posts``, ``categories``, ``tags`` and ``stufe``, the hand-written list ``legal_resources.json``
+and the hand-written record ``council_supplement.json``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.html.sections import TRACK
 from folioworks.operators.hierarchy import associated_owners, closure, root_paths
+from folioworks.operators.quality import require_none
 from folioworks.operators.tables import head, sample_with_replacement
 from folioworks.plans import bibliography, catalogue, posts
 from folioworks.session import written
@@ -27,7 +29,6 @@ from folioworks.sources.landing import child_rows, flatten, resources, scan_conf
 INPUTS = {
     "council_pages": "id, html",
     "council_details": "url, html",
-    "council_supplement": "name, description, website, jurisdiction",
     "guide_start": "id, html",
     "guide_sources": "url, html",
     "legal_sources": "source_url, html",
@@ -42,7 +43,7 @@ INPUTS = {
 
 # The fields of landed JSON that are used.
 POST = (
-    "id bigint, date timestamp, link string, title struct<rendered: string>, content struct<rendered: string>, "
+    "id bigint, date timestamp_ntz, link string, title struct<rendered: string>, content struct<rendered: string>, "
     "stufe array<bigint>, categories array<bigint>, tags array<bigint>"
 )
 TERM = "id bigint, slug string"
@@ -86,7 +87,10 @@ def councils(run: Run) -> None:
         parse(run.read("council_details")),
         catalogue.jurisdiction_table(run.spark),
     )
-    whole = catalogue.complete_councils(found, run.read("council_supplement"), EXPECTED_COUNCILS)
+    supplement = run.spark.read.schema(contracts.COUNCILS.spark_schema()).json(
+        f"{run.source}/council_supplement.json", multiLine=True
+    )
+    whole = catalogue.complete_councils(found, supplement, EXPECTED_COUNCILS)
     run.publish(whole, contracts.COUNCILS)
 
 
@@ -106,8 +110,11 @@ def legal(run: Run) -> None:
 
 
 def publications(run: Run) -> None:
-    items = run.trial(run.read("publication_items"), "key").drop("key")
-    run.publish(bibliography.publications(items, run.read("publication_files")), contracts.PUBLICATIONS)
+    items = run.trial(run.read("publication_items"), "key")
+    require_none(bibliography.repeated_tags(items, "key"), "tags of a kind that allows one")
+    insecure = bibliography.records(items.drop("key"), []).filter(bibliography.is_insecure(F.col("url")))
+    require_none(insecure.select("key", "url"), "not a valid address")
+    run.publish(bibliography.publications(items.drop("key"), run.read("publication_files")), contracts.PUBLICATIONS)
 
 
 def _number(text: str):

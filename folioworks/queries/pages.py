@@ -102,7 +102,7 @@ def titles(spark, folder):
 def fallback_title(spark, folder):
     title = F.when(F.col("page_id") % 3 == 0, page_title(F.col("nodes")))
     return parsed(spark, folder, "url").select(
-        "page_id", text.first_filled(title, links.last_folder(F.col("url")), F.lit("Unknown")).alias("title")
+        "page_id", F.coalesce(title, text.first_filled(links.last_folder(F.col("url")), F.lit("Unknown"))).alias("title")
     )
 
 

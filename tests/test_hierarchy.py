@@ -87,6 +87,7 @@ def test_association_both_ways_with_hot_chapters(spark, max_len):
 def test_levels(spark):
     nodes = frame(spark, [(0, None, 0), (1, 0, 0), (2, 0, 1), (3, 1, 0)])
     got = {tuple(r) for r in hierarchy.levels(nodes, hierarchy.root_paths(nodes)).collect()}
+    assert [r.node_id for r in hierarchy.children(nodes, 0).collect()] == [1, 2]
     assert got == {(0, 0, 2, False), (1, 1, 1, False), (2, 1, 0, True), (3, 2, 0, True)}
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioworks import contracts as C
 from folioworks.functions.links import Site
+from folioworks.html.parser import parse
 from folioworks.plans import bibliography, catalogue, posts
 from folioworks.plans.runner import STEPS, Run, run_steps
 
@@ -46,8 +47,9 @@ def landed(spark, tmp_path_factory):
             details.append((f"/d/{n}", f'<div class="ym-gbox-left"><p>a</p><p>b</p><p>c</p><p>About {label}</p></div>'))
     put("council_pages", [(1, '<section class="a5-section-linklist">All</section>' + "".join(cards))], "id int, html string")
     put("council_details", details, "url string, html string")
-    put("council_supplement", [("Saarland", "By hand", "https://sl.example", "DE_SL")],
-        "name string, description string, website string, jurisdiction string")
+    (folder / "council_supplement.json").write_text(
+        json.dumps({"name": "Saarland", "website": "https://sl.example", "description": "By hand", "jurisdiction": "DE_SL"}, indent=1)
+    )
 
     nav = ('<nav><ul><li><a data-level="1" href="/a/">A</a></li><li><a data-level="2" href="/b/">B</a></li>'
            '<li><a data-level="3" href="https://guide.example/c/">C</a></li><li><a href="/d/">Downloads</a></li></ul></nav>')
@@ -147,6 +149,31 @@ def test_unknown_steps_stop_before_the_first(spark, landed, tmp_path):
     assert list(tmp_path.iterdir()) == []
 
 
+def test_publications_stop_at_bad_records(spark, tmp_path):
+    for name, url, tags in (("a", "http://x", []), ("b", "https://x", ["school_type:elementary", "school_type:other"])):
+        folder = tmp_path / name
+        folder.mkdir()
+        doc = json.dumps({"id": name, "URL": url})
+        spark.createDataFrame([(name, doc, tags)], "key string, doc string, tags array<string>").write.parquet(f"{folder}/publication_items.parquet")
+        with pytest.raises(ValueError, match="valid address" if name == "a" else "allows one"):
+            run_steps(make_run(spark, str(folder), tmp_path), ["publications"])
+
+
+def test_guide_without_level_or_area(spark):
+    def pages(nav, html):
+        start = spark.createDataFrame([(1, f"<nav><ul>{nav}</ul></nav>")], "id int, html string")
+        page = spark.createDataFrame([("https://g.example/a/", html)], "url string, html string")
+        return catalogue.guide_pages(parse(start, track=("nav",)), "id", parse(page), "https://g.example").collect()
+
+    link = '<a data-level="1" href="/a/">A</a>'
+    assert [r.title for r in pages(link, '<div id="content">x</div>')] == ["a"]  # no title: the last folder
+    assert [r.title for r in pages(link, '<title> </title><div id="content">x</div>')] == [""]
+    with pytest.raises(Exception, match="without a level"):
+        pages('<a href="/a/">A</a>', '<div id="content">x</div>')
+    with pytest.raises(Exception, match="no content area"):
+        pages(link, "<div>x</div>")
+
+
 def test_councils_must_be_complete(spark):
     found = spark.createDataFrame([("X", "d", "w", None)], "name string, description string, website string, jurisdiction string")
     with pytest.raises(ValueError, match="without a jurisdiction"):

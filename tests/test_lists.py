@@ -47,6 +47,12 @@ def test_oversized_lists_are_split_and_whole(spark, keep_nulls, distinct):
     assert all(r.part == 0 for r in lists if r.k != 0)
 
 
+def test_copies_of_one_entry_are_dealt_out_evenly(spark):
+    rows = spark.range(1000).select(F.lit("k").alias("k"), F.lit(7).alias("v"))
+    lists = gather(rows, ["k"], "v", alias="vs", max_len=100).collect()
+    assert sorted((r.part, len(r.vs)) for r in lists) == [(i, 100) for i in range(10)]
+
+
 def test_null_only_and_missing_lists(spark):
     rows = spark.createDataFrame([(1, None), (1, None), (2, "a")], "k int, v string")
     dropped = {r.k: r.vs for r in gather(rows, ["k"], "v", alias="vs").collect()}
