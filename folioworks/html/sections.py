@@ -186,11 +186,13 @@ def _flipcard(inside: Column) -> Column:
 
 
 def _video(widget: Column) -> Column:
-    settings = F.from_json(widget["attrs"]["data-settings"], "video_type string, youtube_url string")
-    link = F.replace(settings["youtube_url"], F.lit("\\/"), F.lit("/"))
-    return F.when(
-        settings["video_type"] == "youtube", F.array(_section("youtube", link=link, transcript=True))
-    ).otherwise(_none())
+    def by_settings(settings):
+        link = F.replace(settings["youtube_url"], F.lit("\\/"), F.lit("/"))
+        return F.when(
+            settings["video_type"] == "youtube", F.array(_section("youtube", link=link, transcript=True))
+        ).otherwise(_none())
+
+    return let(F.from_json(widget["attrs"]["data-settings"], "video_type string, youtube_url string"), by_settings)
 
 
 def widget_sections(widget: Column, sub: Column) -> Column:

@@ -45,8 +45,13 @@ def reasons(contract: Contract, columns: Sequence[str], extra: Mapping[str, Colu
 
 
 def violations(df: DataFrame, contract: Contract, extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Failing rows with their reasons, in one pass."""
-    return df.withColumn("reasons", reasons(contract, df.columns, extra)).filter(F.size("reasons") > 0)
+    """Failing rows with their reasons, in one pass.
+
+    The reasons come out of a generator, past which the filter is not pushed: checking twice, once
+    to filter and once to report, would also repeat whatever the columns are computed from.
+    """
+    found = df.select("*", F.explode(F.array(reasons(contract, df.columns, extra))).alias("reasons"))
+    return found.filter(F.size("reasons") > 0)
 
 
 def violation_counts(df: DataFrame, contract: Contract, extra: Mapping[str, Column] | None = None) -> DataFrame:

@@ -8,9 +8,10 @@ from folioworks.contracts import PUBLICATIONS
 from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.operators.navigation import fill_levels, url_hierarchy
-from folioworks.operators.quality import violations
+from folioworks.operators.quality import reasons
 from folioworks.plans import bibliography, catalogue
 from folioworks.queries.registry import query, view
+from folioworks.session import written
 from folioworks.sources.landing import table
 
 # Runs of each list: the last level 1 before a link, and the last level 2 after that.
@@ -96,7 +97,7 @@ def download_catalogue(spark, folder):
         '<a class="wpfd-file-link" data-id="', key, '" data-category_id="', F.col("o_custkey"), '" title="File ', key, '">get</a>'
     )
     pages = _pages(orders.withColumn("page", F.floor(key / 100)), "page", "o_orderkey", _text(link, link))
-    documents = parse(pages)
+    documents = written(parse(pages), "category-pages")
     categories = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     payloads = orders.filter(key % 9 > 0).select(
         key.alias("data_id"),
@@ -206,7 +207,5 @@ def publications(spark, folder):
         F.lit("x").cast("binary").alias("pdf_binary"),
     )
     found = bibliography.publications(items, payloads)
-    bad = violations(found, PUBLICATIONS, {"insecure:url": bibliography.is_insecure(F.col("url"))}).select("key")
-    return found.join(bad.withColumn("_bad", F.lit(True)), "key", "left").select(
-        "key", "title", "jurisdiction", F.col("_bad").isNull().alias("valid")
-    )
+    wrong = reasons(PUBLICATIONS, found.columns, {"insecure:url": bibliography.is_insecure(F.col("url"))})
+    return found.select("key", "title", "jurisdiction", (F.size(wrong) == 0).alias("valid"))
