@@ -12,12 +12,14 @@ and all inside it, a stray end tag is ignored, void elements never stay open.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator, Sequence
 from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -295,3 +297,7 @@ def parse(df: DataFrame, html: str = "html", track: Sequence[str] = ()) -> DataF
                     start = row + 1
 
     return df.select(*kept, html).mapInArrow(run, schema)
+
+
+# Send this module along with the tasks, so that the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -81,67 +81,77 @@ def levels(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     )
 
 
+def _scope(tree: DataFrame, nodes: DataFrame, ids: DataFrame, inside: str, other: str) -> DataFrame:
+    """Closure rows ``(id, other)`` of the given ids; an id the tree does not know only covers itself."""
+    known = tree.join(ids, F.col(inside) == F.col("id"), "left_semi").select(F.col(inside).alias("id"), other)
+    unknown = ids.join(nodes.select(F.col("node_id").alias("id")), "id", "left_anti")
+    return known.unionByName(unknown.select("id", F.col("id").alias(other)))
+
+
+def _distinct_ids(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).alias("id")).filter(F.col("id").isNotNull()).distinct()
+
+
+def chapter_items(
+    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
+) -> DataFrame:
+    """``(chapter_id, part, items)``: all items at or below each chapter that owners refer to.
+
+    What is filed under a chapter does not depend on the owner, so this small form says as much as
+    the lists per owner.
+    """
+    below = _scope(tree, nodes, _distinct_ids(owners, "chapter_id"), "ancestor_id", "node_id")
+    found = items.join(below, F.col("category_id") == F.col("node_id")).select(
+        F.col("id").alias("chapter_id"), "item_id"
+    )
+    return gather(found, ["chapter_id"], "item_id", alias="items", max_len=max_len)
+
+
 def associated_items(
     owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
 ) -> DataFrame:
     """For ``owners(owner_id, chapter_id)`` all ``items(item_id, category_id)`` at or below the chapter.
 
-    The list depends on the chapter alone, so it is built once per chapter in use and then joined
-    to the owners; owner-item pairs are never formed.  A chapter the tree does not know still
-    matches items filed under that very id.  Owners without items get a null list.
+    Owners take the list of their chapter; owner-item pairs are never formed.  Owners without items
+    get a null list.
     """
-    chapters = owners.select("chapter_id").filter(F.col("chapter_id").isNotNull()).distinct()
-    known = tree.join(chapters, F.col("ancestor_id") == F.col("chapter_id"), "left_semi").select(
-        F.col("ancestor_id").alias("chapter_id"), "node_id"
-    )
-    unknown = chapters.join(
-        nodes.select(F.col("node_id").alias("chapter_id")), "chapter_id", "left_anti"
-    ).select("chapter_id", F.col("chapter_id").alias("node_id"))
-    found = items.join(known.unionByName(unknown), F.col("category_id") == F.col("node_id")).select(
-        "chapter_id", "item_id"
-    )
-    lists = gather(found, ["chapter_id"], "item_id", alias="items", max_len=max_len)
+    lists = chapter_items(owners, items, nodes, tree, max_len)
     return owners.join(lists, "chapter_id", "left").select(
         "owner_id", "chapter_id", F.coalesce("part", F.lit(0)).alias("part"), "items"
     )
 
 
-def associated_owners(
+def category_owners(
     owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
 ) -> DataFrame:
-    """The inverse of ``associated_items``: per item the owners whose chapter covers its category.
+    """``(category_id, part, owners)``: the owners whose chapter covers each category with items.
 
-    Owners are listed once per chapter; a category then takes the lists of its ancestors, which are
+    Owners are listed once per chapter; a category takes the lists of its ancestors, which are
     merged up to ``max_len`` entries and otherwise kept as numbered parts.
     """
     per_chapter = gather(
-        owners.filter(F.col("chapter_id").isNotNull()).select("chapter_id", "owner_id"),
-        ["chapter_id"],
-        "owner_id",
-        alias="owners",
-        max_len=max_len,
-    )
-    categories = items.select("category_id").filter(F.col("category_id").isNotNull()).distinct()
-    known = tree.join(categories, F.col("node_id") == F.col("category_id"), "left_semi").select(
-        F.col("node_id").alias("category_id"), "ancestor_id"
-    )
-    unknown = categories.join(
-        nodes.select(F.col("node_id").alias("category_id")), "category_id", "left_anti"
-    ).select("category_id", F.col("category_id").alias("ancestor_id"))
-    pieces = known.unionByName(unknown).join(
-        per_chapter.withColumnRenamed("part", "_piece"), F.col("ancestor_id") == F.col("chapter_id")
-    )
-    # One row per ancestor chapter and part, so these windows stay as short as the tree is deep.
+        owners.filter(F.col("chapter_id").isNotNull()), ["chapter_id"], "owner_id", alias="owners", max_len=max_len
+    ).withColumnRenamed("part", "_piece")
+    above = _scope(tree, nodes, _distinct_ids(items, "category_id"), "node_id", "ancestor_id")
+    pieces = above.join(per_chapter, F.col("ancestor_id") == F.col("chapter_id")).withColumnRenamed("id", "category_id")
+    # One row per ancestor chapter and part, so this window stays as short as the tree is deep.
     running = (
         W.partitionBy("category_id").orderBy("ancestor_id", "_piece").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    merged = (
+    return (
         pieces.withColumn("_upto", F.sum(F.size("owners")).over(running))
         .withColumn("part", F.floor((F.col("_upto") - 1) / max_len).cast("int"))
         .groupBy("category_id", "part")
         .agg(F.array_sort(F.flatten(F.collect_list("owners"))).alias("owners"))
     )
-    return items.join(merged, "category_id", "left").select(
+
+
+def associated_owners(
+    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
+) -> DataFrame:
+    """The inverse of ``associated_items``: per item the owners whose chapter covers its category."""
+    lists = category_owners(owners, items, nodes, tree, max_len)
+    return items.join(lists, "category_id", "left").select(
         "item_id", "category_id", F.coalesce("part", F.lit(0)).alias("part"), "owners"
     )
 

@@ -257,6 +257,35 @@ def associated_owners(spark, folder):
     ).select("item_id", "category_id", "part", joined("owners"))
 
 
+@query(
+    "chapter_items",
+    f"""{_PAIRS} SELECT ancestor_id AS chapter_id, 0 AS part, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
+        FROM scope JOIN v_download ON category_id = node_id WHERE ancestor_id IN (SELECT chapter_id FROM v_owner) GROUP BY ancestor_id""",
+    ("v_node", "v_owner", "v_download"),
+)
+def chapter_items(spark, folder):
+    nodes = view(spark, folder, "v_node")
+    lists = hierarchy.chapter_items(
+        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
+    )
+    return lists.select("chapter_id", "part", joined("items"))
+
+
+@query(
+    "category_owners",
+    f"""{_PAIRS} SELECT category_id, 0 AS part, string_agg(CAST(owner_id AS VARCHAR), '|' ORDER BY owner_id) AS owners
+        FROM (SELECT DISTINCT category_id FROM v_download) JOIN scope ON node_id = category_id JOIN v_owner ON chapter_id = ancestor_id
+        GROUP BY category_id""",
+    ("v_node", "v_owner", "v_download"),
+)
+def category_owners(spark, folder):
+    nodes = view(spark, folder, "v_node")
+    lists = hierarchy.category_owners(
+        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
+    )
+    return lists.select("category_id", "part", joined("owners"))
+
+
 def _edges(spark, folder):
     return view(spark, folder, "v_edge")
 

@@ -32,7 +32,7 @@ def test_no_cross_join_and_no_python_outside_the_parser(spark, name):
 
 
 # Windows over a hot key would put it into one task: only these run any, over blocks or summaries.
-WINDOWED = {"nav_levels", "nav_hierarchy", "guide_pages", "associated_owners", "preorder", "sample_k"}
+WINDOWED = {"nav_levels", "nav_hierarchy", "guide_pages", "associated_owners", "category_owners", "preorder", "sample_k"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
