@@ -128,9 +128,8 @@ def glossary_lines(documents: DataFrame, doc: str) -> DataFrame:
 
 
 def glossary(documents: DataFrame, doc: str, aliases: DataFrame, codes: list[str]) -> DataFrame:
-    """One row per entry of the parsed glossary pages."""
-    rows = label_pivot(glossary_lines(documents, doc), [doc, "entry", "term"], "pos", "line", aliases, codes)
-    return rows.drop(doc, "entry")
+    """One row per entry of the parsed glossary pages, with the position of the ``entry`` on its page."""
+    return label_pivot(glossary_lines(documents, doc), [doc, "entry", "term"], "pos", "line", aliases, codes)
 
 
 def councils(cards: DataFrame, doc: str, details: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -167,6 +166,7 @@ def guide_pages(start: DataFrame, doc: str, pages: DataFrame, base: str, allow:
     """Guide pages with the category they have in the navigation of the parsed ``start`` page.
 
     ``pages(url, nodes)`` are the parsed pages; those without a content area are an error.
+    ``first_pos`` is where the navigation first links to a page.
     """
     links = nav_links(start, doc).withColumn("url", absolute(F.col("href"), base))
     places = url_hierarchy(links, doc, "pos", "lvl", "txt", "url")
@@ -179,6 +179,7 @@ def guide_pages(start: DataFrame, doc: str, pages: DataFrame, base: str, allow:
         F.coalesce(sanitize(sub, allow), missing).alias("html_content"),
         "category",
         "subcategory",
+        "first_pos",
     )
 
 

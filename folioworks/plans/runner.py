@@ -2,7 +2,7 @@
 
 Landed inputs are parquet tables with the columns named in ``INPUTS``.  JSON are the folders of API
 pages ``posts``, ``categories``, ``tags`` and ``stufe``, the hand-written list ``legal_resources.json``
-and the hand-written record ``council_supplement.json``.
+and the hand-written record ``council_supplement.json``; ``transcripts.csv`` is a saved sheet.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from folioworks.operators.tables import head, sample_with_replacement
 from folioworks.plans import bibliography, catalogue, posts
 from folioworks.session import written
 from folioworks.sinks.publish import export_tree_json, publish, target_path
-from folioworks.sources.landing import child_rows, flatten, resources, scan_config, scan_paged, table
+from folioworks.sources.landing import child_rows, flatten, resources, scan_config, scan_paged, scan_sheet, table
 
 INPUTS = {
     "council_pages": "id, html",
@@ -37,7 +37,6 @@ INPUTS = {
     "category_list": "id, html",
     "category_pages": "id, html",
     "download_files": "data_id, content_type, file_binary",
-    "transcripts": "pos, url_medium, url_transkript",
     "glossary_pages": "id, html",
 }
 
@@ -98,12 +97,13 @@ def guides(run: Run) -> None:
     pages = catalogue.guide_pages(
         parse(run.read("guide_start"), track=("nav",)), "id", parse(run.read("guide_sources")), run.guide_url
     )
-    run.publish(head(pages, ["url"], run.smoke_rows) if run.smoke else pages, contracts.GUIDE_PAGES)
+    chosen = head(pages, ["first_pos", "url"], run.smoke_rows) if run.smoke else pages
+    run.publish(chosen.drop("first_pos"), contracts.GUIDE_PAGES)
 
 
 def legal(run: Run) -> None:
     config = scan_config(run.spark, f"{run.source}/legal_resources.json", "jurisdiction", RESOURCE, multi_line=True)
-    listed = run.trial(resources(config, "jurisdiction"), "permalink").withColumn(
+    listed = resources(run.trial(config, "jurisdiction"), "jurisdiction").withColumn(
         "source_url", catalogue.source_url(F.col("html_url"), F.col("permalink"))
     )
     run.publish(catalogue.legal_texts(listed, parse(run.read("legal_sources"))), contracts.LEGAL_RESOURCES)
@@ -175,7 +175,8 @@ def articles(run: Run) -> None:
     )
     run.publish(downloads.join(listed, ["data_id", "data_category_id"]), contracts.DOWNLOADS)
 
-    found = posts.sections(documents, run.read("transcripts"))
+    media = scan_sheet(spark, f"{run.source}/transcripts.csv", "url_medium string, url_transkript string")
+    found = posts.sections(documents, media)
     posts.check_sections(found, chosen)
     run.publish(found.drop("widget_no", "section_no"), contracts.SECTIONS)
 
@@ -188,14 +189,14 @@ def articles(run: Run) -> None:
 
 
 def glossary(run: Run) -> None:
-    pages = run.read("glossary_pages")
     rows = catalogue.glossary(
-        parse(head(pages, ["id"], run.smoke_rows) if run.smoke else pages),
+        parse(run.read("glossary_pages")),
         "id",
         catalogue.jurisdiction_aliases(run.spark),
         list(contracts.JURISDICTIONS),
     )
-    run.publish(rows, contracts.GLOSSARY_TERMS)
+    chosen = head(rows, ["id", "entry"], run.smoke_rows) if run.smoke else rows
+    run.publish(chosen.drop("id", "entry"), contracts.GLOSSARY_TERMS)
 
 
 STEPS: dict[str, Callable[[Run], None]] = {

@@ -164,7 +164,9 @@ def guide_pages(spark, folder):
         _text("https://guide.example/n/", number).alias("url"),
         _text("<html><head>", title, '</head><body><div id="content"><div><p>Page <b>', number, "</b></p></div><script>x</script></div></body></html>").alias("html"),
     )
-    return catalogue.guide_pages(parse(start, track=("nav",)), "start", parse(pages), "https://guide.example")
+    return catalogue.guide_pages(
+        parse(start, track=("nav",)), "start", parse(pages), "https://guide.example"
+    ).drop("first_pos")
 
 
 @query(
@@ -189,7 +191,7 @@ def glossary_terms(spark, folder):
     entries = _pages(turns.withColumn("id", entry), "id", "turn", _text("<p>", marked, "</p>")).select(
         "id", _text(head, F.col("html"), "</div>").alias("html")
     )
-    return catalogue.glossary(parse(entries), "id", catalogue.jurisdiction_aliases(spark), ["DE_BE"])
+    return catalogue.glossary(parse(entries), "id", catalogue.jurisdiction_aliases(spark), ["DE_BE"]).drop("id", "entry")
 
 
 @query(

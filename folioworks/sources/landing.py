@@ -69,6 +69,12 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
 
+def scan_sheet(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """A lookup sheet saved as one CSV file, with ``pos`` for the order of its lines."""
+    rows = spark.read.schema(columns).csv(path, header=True)
+    return rows.withColumn("pos", F.monotonically_increasing_id())
+
+
 def with_file_type(df: DataFrame, content_type: str) -> DataFrame:
     return df.withColumn("file_type", file_type(F.col(content_type)))
 

@@ -80,7 +80,7 @@ def landed(spark, tmp_path_factory):
     link = '<a class="wpfd-file-link" data-id="{}" data-category_id="{}" title="F{}">x</a>'
     put("category_pages", [(36, link.format(7, 36, 7) + link.format(8, 41, 8)), (41, link.format(8, 41, 8))], "id int, html string")
     put("download_files", [(7, "application/pdf", b"7"), (8, None, b"8")], "data_id bigint, content_type string, file_binary binary")
-    put("transcripts", [(1, "https://youtu.be/abc", "abc.pdf")], "pos int, url_medium string, url_transkript string")
+    (folder / "transcripts.csv").write_text("url_medium,url_transkript\nhttps://youtu.be/abc ,abc.pdf\nhttps://youtu.be/abc,later.pdf\n")
     names = {1: "one", 2: "two", 3: "three"}
     pages("posts", [
         {"id": i, "date": "2024-05-06T07:08:09", "link": f"https://site.example/{names[i]}/", "title": {"rendered": f"Post {i}"},
@@ -138,9 +138,12 @@ def test_all_steps(spark, landed, tmp_path):
 
 def test_some_steps_and_trial_names(spark, landed, tmp_path):
     run = make_run(spark, landed, tmp_path, smoke=True, smoke_rows=2)
-    assert run_steps(run, ["publications", "guide_pages"]) == ["guide_pages", "publications"]
-    assert spark.read.parquet(f"{tmp_path}/smoke_test_guide_pages.parquet").count() == 2
-    assert sorted(p.name for p in tmp_path.glob("*.parquet")) == ["smoke_test_guide_pages.parquet", "smoke_test_publications.parquet"]
+    steps = ["guide_pages", "legal_resources", "publications", "downloads_and_posts_and_sections", "glossary_terms"]
+    assert run_steps(run, reversed(steps)) == steps
+    pages = spark.read.parquet(f"{tmp_path}/smoke_test_guide_pages.parquet").collect()
+    assert {r.title for r in pages} == {"a!", "b!"}  # the first of the navigation
+    assert 1 <= spark.read.parquet(f"{tmp_path}/smoke_test_posts.parquet").count() <= 2
+    assert all(p.name.startswith("smoke_test_") for p in tmp_path.glob("*.parquet"))
 
 
 def test_unknown_steps_stop_before_the_first(spark, landed, tmp_path):
