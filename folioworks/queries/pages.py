@@ -243,13 +243,14 @@ def title_keys(spark, folder):
     return view(spark, folder, "v_page").select("page_id", text.title_key(F.col("title")).alias("title"))
 
 
-_CANON = "lower(regexp_replace(regexp_replace(regexp_replace({}, '[?#].*$', ''), '^[a-zA-Z]+://', ''), '/+$', ''))"
+_BARE = "regexp_replace(regexp_replace({}, '[?#].*$', ''), '^[a-zA-Z]+://', '')"
+_CANON = f"concat(lower(split_part({_BARE}, '/', 1)), regexp_replace(regexp_replace({_BARE}, '^[^/]*', ''), '/+$', ''))"
 
 
 @query(
     "resolve_links",
     f"""SELECT link_id, href, link_title, coalesce(u.id, t.id) AS target_id FROM v_href
-        LEFT JOIN (SELECT {_CANON.format("url")} AS k, min(page_id) AS id FROM v_page GROUP BY 1) u ON u.k = {_CANON.format("href")}
+        LEFT JOIN (SELECT {_CANON.format("url", "url")} AS k, min(page_id) AS id FROM v_page GROUP BY 1) u ON u.k = {_CANON.format("href", "href")}
         LEFT JOIN (SELECT replace(title, '&', '') AS k, min(page_id) AS id FROM v_page GROUP BY 1) t
                ON u.id IS NULL AND t.k = replace(link_title, '&', '')""",
     ("v_page", "v_href"),

@@ -238,7 +238,8 @@ def test_scalar_rules(spark):
     assert run(media_key, "prezi.com/view/GWG/") == run(media_key, "https://prezi.com/view/GWG/") == "prezi.com/view/GWG/"
     assert run(file_type, "application/pdf") == "pdf"
     assert run(file_type, "") == run(file_type, None) == "unknown"
-    assert run(canonical, "HTTPS://X.org/a/?q=1#f") == "x.org/a"
+    assert run(canonical, "HTTPS://X.org/A/b/?q=1#f") == "x.org/A/b"
+    assert run(canonical, "https://x.org/") == run(canonical, "X.ORG#top") == "x.org"
     assert run(int_or_zero, None) == 0 and run(int_or_zero, "12") == 12
     assert run(zero_pad, "7") == "07" and run(zero_pad, "2024") == "2024"
     assert run(lambda c: capture_number(c, r"#\d+-(\d+)"), "/a/#36-41") == 41
