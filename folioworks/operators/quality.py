@@ -26,22 +26,26 @@ def _outside(name: str, declared: object) -> Column | None:
     raise NotImplementedError(f"no domain check for {declared!r}")
 
 
-def reasons(contract: Contract, columns: Sequence[str], extra: Mapping[str, Column] | None = None) -> Column:
-    """The list of everything wrong with a row, empty for a good one."""
-    found = []
+def rules(contract: Contract, columns: Sequence[str], extra: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """What can be wrong with a row: a condition per label.  ``extra`` adds rules of the caller."""
+    found: dict[str, Column] = {}
     for f in contract.fields:
         if f.name not in columns:
             continue
         if not f.nullable:
-            found.append(F.when(F.col(f.name).isNull(), F.lit(f"null:{f.name}")))
+            found[f"null:{f.name}"] = F.col(f.name).isNull()
         outside = _outside(f.name, f.type)
         if outside is not None:
-            found.append(F.when(outside, F.lit(f"domain:{f.name}")))
+            found[f"domain:{f.name}"] = outside
         if isinstance(f.type, str) and f.type.startswith("uint"):
-            found.append(F.when(F.col(f.name) < 0, F.lit(f"negative:{f.name}")))
-    for label, bad in (extra or {}).items():
-        found.append(F.when(bad, F.lit(label)))
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+            found[f"negative:{f.name}"] = F.col(f.name) < 0
+    return {**found, **(extra or {})}
+
+
+def reasons(contract: Contract, columns: Sequence[str], extra: Mapping[str, Column] | None = None) -> Column:
+    """The list of everything wrong with a row, empty for a good one."""
+    labelled = [F.when(bad, F.lit(label)) for label, bad in rules(contract, columns, extra).items()]
+    return F.array_compact(F.array(*labelled)) if labelled else F.array().cast("array<string>")
 
 
 def violations(df: DataFrame, contract: Contract, extra: Mapping[str, Column] | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ from folioworks.html.select import (
 )
 from folioworks.operators.lists import join_text
 from folioworks.operators.navigation import url_hierarchy
-from folioworks.operators.quality import orphans, require_none, require_rows
+from folioworks.operators.quality import require_none, require_rows
 from folioworks.operators.tables import add_missing, count_unique, lookup
 
 
@@ -45,27 +45,19 @@ def download_link(base: str, category: Column, data_id: Column) -> Column:
     )
 
 
-def downloads(category_pages: DataFrame, doc: str, categories: DataFrame, payloads: DataFrame, base: str) -> DataFrame:
-    """Files linked from the parsed category pages with category name and payload.
+def downloads(category_pages: DataFrame, doc: str, categories: DataFrame, base: str) -> DataFrame:
+    """Files linked from the parsed category pages, with the name of their category in ``categories(id, name)``."""
+    named = lookup(file_links(category_pages, doc), categories, "data_category_id", "id", "name", "category_title")
+    return named.withColumn("download_link", download_link(base, F.col("data_category_id"), F.col("data_id")))
 
-    ``categories(id, name)`` must know every category and ``payloads(data_id, content_type,
-    file_binary)`` every file; use ``missing_downloads`` to see what they miss.
-    """
-    files = file_links(category_pages, doc)
-    named = lookup(files, categories, "data_category_id", "id", "name", "category_title")
-    return named.join(payloads, "data_id").select(
-        "data_id",
-        "data_category_id",
-        "title",
-        "category_title",
-        download_link(base, F.col("data_category_id"), F.col("data_id")).alias("download_link"),
-        file_type(F.col("content_type")).alias("file_type"),
-        "file_binary",
-    )
 
+def with_payloads(files: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Add type and bytes of ``payloads(data_id, content_type, file_binary)``.
 
-def missing_downloads(category_pages: DataFrame, doc: str, payloads: DataFrame) -> DataFrame:
-    return orphans(file_links(category_pages, doc), "data_id", payloads, "data_id")
+    The last join of a job, so that the bytes are moved once; ``orphans`` tells which files have none.
+    """
+    landed = payloads.select("data_id", file_type(F.col("content_type")).alias("file_type"), "file_binary")
+    return files.join(landed, "data_id")
 
 
 # Further names by which glossary entries call a jurisdiction.

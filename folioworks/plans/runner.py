@@ -19,7 +19,7 @@ from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.html.sections import TRACK
 from folioworks.operators.hierarchy import associated_owners, closure, root_paths
-from folioworks.operators.quality import require_none
+from folioworks.operators.quality import orphans, require_none
 from folioworks.operators.tables import head, sample_with_replacement
 from folioworks.plans import bibliography, catalogue, posts
 from folioworks.session import written
@@ -128,16 +128,10 @@ def articles(run: Run) -> None:
     nodes = categories.select(_number("node_id"), _number("parent_id"), "ordinal", "name")
     tree = closure(root_paths(nodes))
 
-    downloads = written(
-        catalogue.downloads(
-            parse(run.read("category_pages")),
-            "id",
-            nodes.select(F.col("node_id").alias("id"), "name"),
-            run.read("download_files"),
-            run.site_url,
-        ),
-        "downloads",
-    )
+    names = nodes.select(F.col("node_id").alias("id"), "name")
+    downloads = written(catalogue.downloads(parse(run.read("category_pages")), "id", names, run.site_url), "downloads")
+    payloads = run.read("download_files")
+    require_none(orphans(downloads, "data_id", payloads, "data_id"), "downloads without a file")
     filed = downloads.select(F.col("data_id").alias("item_id"), F.col("data_category_id").alias("category_id"))
 
     def terms(name: str) -> DataFrame:
@@ -164,19 +158,19 @@ def articles(run: Run) -> None:
     )
     documents = written(parse(chosen.select("id", "html"), track=TRACK), "documents")
     facts = written(posts.read_facts(documents, run.site), "facts")
-    enriched = written(
-        posts.enrich(plain, facts, landed.select("id", "url", "title"), filed, nodes, tree), "enriched"
+    run.publish(
+        posts.enrich(plain, facts, landed.select("id", "url", "title"), filed, nodes, tree), contracts.POSTS
     )
-    run.publish(enriched, contracts.POSTS)
 
     owners = facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
     listed = associated_owners(owners, filed, nodes, tree).select(
         F.col("item_id").alias("data_id"), F.col("category_id").alias("data_category_id"), F.col("owners").alias("associated_posts")
     )
-    run.publish(downloads.join(listed, ["data_id", "data_category_id"]), contracts.DOWNLOADS)
+    complete = catalogue.with_payloads(downloads.join(listed, ["data_id", "data_category_id"]), payloads)
+    run.publish(complete, contracts.DOWNLOADS)
 
     media = scan_sheet(spark, f"{run.source}/transcripts.csv", "url_medium string, url_transkript string")
-    found = posts.sections(documents, media)
+    found = written(posts.sections(documents, media), "sections")
     posts.check_sections(found, chosen)
     run.publish(found.drop("widget_no", "section_no"), contracts.SECTIONS)
 

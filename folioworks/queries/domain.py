@@ -8,7 +8,7 @@ from folioworks.contracts import PUBLICATIONS
 from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.operators.navigation import fill_levels, url_hierarchy
-from folioworks.operators.quality import reasons
+from folioworks.operators.quality import orphans, reasons
 from folioworks.plans import bibliography, catalogue
 from folioworks.queries.registry import query, view
 from folioworks.session import written
@@ -97,15 +97,16 @@ def download_catalogue(spark, folder):
         '<a class="wpfd-file-link" data-id="', key, '" data-category_id="', F.col("o_custkey"), '" title="File ', key, '">get</a>'
     )
     pages = _pages(orders.withColumn("page", F.floor(key / 100)), "page", "o_orderkey", _text(link, link))
-    documents = written(parse(pages), "category-pages")
+    documents = parse(pages)
     categories = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     payloads = orders.filter(key % 9 > 0).select(
         key.alias("data_id"),
         F.when(key % 4 > 0, F.lit("application/pdf")).otherwise("").alias("content_type"),
         key.cast("string").cast("binary").alias("file_binary"),
     )
-    found = catalogue.downloads(documents, "page", categories, payloads, "https://site.example").drop("file_binary")
-    missing = catalogue.missing_downloads(documents, "page", payloads).select(F.col("key").alias("data_id"))
+    files = written(catalogue.downloads(documents, "page", categories, "https://site.example"), "files")
+    found = catalogue.with_payloads(files, payloads).drop("file_binary")
+    missing = orphans(files, "data_id", payloads, "data_id").select(F.col("key").alias("data_id"))
     return found.withColumn("landed", F.lit(True)).unionByName(
         missing.withColumn("landed", F.lit(False)), allowMissingColumns=True
     )

@@ -1,15 +1,15 @@
-"""Publishing a table: check it against its contract, put it into shape, replace the parquet."""
+"""Publishing a table: put it into shape, check it against its contract, replace the parquet."""
 
 from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.contracts import Contract
 from folioworks.operators.hierarchy import root_paths, tree_json_lines
-from folioworks.operators.quality import cast, reconcile, require_none, violation_counts
+from folioworks.operators.quality import cast, reconcile, rules
 
 
 def target_path(folder: str, table: str, *, smoke: bool = False) -> str:
@@ -27,21 +27,31 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return cast(df, contract)
 
 
-def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = False, check: bool = True) -> str:
-    """Write the table, then check what was written before anyone is told about it.
+def _promote(spark: SparkSession, staging: str, path: str) -> None:
+    """Put a finished folder in the place of the old one, without copying its files."""
+    location = spark._jvm.org.apache.hadoop.fs.Path
+    files = location(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(location(path), True)
+    if not files.rename(location(staging), location(path)):
+        raise OSError(f"could not put {staging} in the place of {path}")
 
-    The rows go to a staging folder once; the checks read that, so an expensive plan runs once.
+
+def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = False) -> str:
+    """Write the table and replace the published one by it if every row keeps the contract.
+
+    The rules are counted while the rows are written to a folder beside the table, so the plan runs
+    once and the rows are written once.
     """
     shaped = conform(df, contract)
     path = target_path(folder, contract.name, smoke=smoke)
-    if not check:
-        shaped.write.mode("overwrite").parquet(path)
-        return path
     staging = f"{path}.staging"
-    shaped.write.mode("overwrite").parquet(staging)
-    staged = df.sparkSession.read.schema(contract.spark_schema()).parquet(staging)
-    require_none(violation_counts(staged, contract), f"{contract.name} breaks its contract")
-    staged.write.mode("overwrite").parquet(path)
+    seen = Observation()
+    broken = [F.count_if(bad).alias(label) for label, bad in rules(contract, shaped.columns).items()]
+    shaped.observe(seen, F.count(F.lit(1)).alias("rows"), *broken).write.mode("overwrite").parquet(staging)
+    failed = {label: n for label, n in seen.get.items() if label != "rows" and n}
+    if failed:
+        raise ValueError(f"{contract.name} breaks its contract: {failed}; the rows are in {staging}")
+    _promote(df.sparkSession, staging, path)
     return path
 
 
