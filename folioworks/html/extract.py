@@ -178,6 +178,7 @@ def nth_text(nodes: Column, scope, tag: str, n: int) -> Column:
     )
 
 
-def strip_text(nodes: Column, test) -> Column:
-    """Stripped text of the first matching node, null without one."""
-    return let(find(nodes, test), lambda n: F.when(n.isNotNull(), strip(text_of(subtree(nodes, n)))))
+def headline(nodes: Column) -> Column:
+    """The title an article shows, null without one."""
+    shown = find(nodes, has_class("gb-headline", "h1"))
+    return let(shown, lambda n: F.when(n.isNotNull(), strip(text_of(subtree(nodes, n)))))

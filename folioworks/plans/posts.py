@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.links import Site, canonical
 from folioworks.functions.text import title_key
-from folioworks.html.extract import chapter_links, dedicated_category, labelled_link, related_links
+from folioworks.html.extract import chapter_links, dedicated_category, headline, labelled_link, related_links
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.sections import with_transcripts
 from folioworks.operators.hierarchy import associated_items
@@ -75,6 +75,13 @@ def resolve_links(links: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def with_headlines(links: DataFrame, targets: DataFrame) -> DataFrame:
+    """Add ``link_title``, the headline of the page a link leads to, from the parsed ``targets(url, nodes)``."""
+    shown = targets.select(canonical(F.col("url")).alias("_target"), headline(F.col("nodes")).alias("_shown"))
+    by_url = shown.filter(F.col("_shown") != "").groupBy("_target").agg(F.min("_shown").alias("link_title"))
+    return left_join(links, by_url, canonical(F.col("href")), "_target").drop("_target")
+
+
 def related_posts(links: DataFrame, items: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
     """``links(id, href, link_title)`` to the sorted distinct ids each post links to, itself left out.
 
@@ -101,6 +108,7 @@ def read_facts(documents: DataFrame, site: Site, doc: str = "id") -> DataFrame:
 def enrich(
     posts: DataFrame,
     facts: DataFrame,
+    targets: DataFrame,
     items: DataFrame,
     downloads: DataFrame,
     nodes: DataFrame,
@@ -109,9 +117,10 @@ def enrich(
 ) -> DataFrame:
     """Posts with chapters, book link, related posts and associated downloads.
 
+    ``targets(url, nodes)`` are the pages links lead to, as far as they were landed;
     ``downloads(item_id, category_id)`` reach a post through the ``tree`` closure of its chapter.
     """
-    links = facts.select("id", F.explode("links").alias("href")).withColumn("link_title", F.lit(None).cast("string"))
+    links = with_headlines(facts.select("id", F.explode("links").alias("href")), targets)
     related = related_posts(links, items, max_len).select(
         F.col("id").alias("_rid"), F.col("part").alias("_rpart"), "related_posts"
     )

@@ -37,6 +37,7 @@ INPUTS = {
     "category_list": "id, html",
     "category_pages": "id, html",
     "download_files": "data_id, content_type, file_binary",
+    "link_targets": "url, html",
     "glossary_pages": "id, html",
 }
 
@@ -158,9 +159,9 @@ def articles(run: Run) -> None:
     )
     documents = written(parse(chosen.select("id", "html"), track=TRACK), "documents")
     facts = written(posts.read_facts(documents, run.site), "facts")
-    run.publish(
-        posts.enrich(plain, facts, landed.select("id", "url", "title"), filed, nodes, tree), contracts.POSTS
-    )
+    known = landed.select("id", "url", "title")
+    targets = parse(run.read("link_targets"))
+    run.publish(posts.enrich(plain, facts, targets, known, filed, nodes, tree), contracts.POSTS)
 
     owners = facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
     listed = associated_owners(owners, filed, nodes, tree).select(

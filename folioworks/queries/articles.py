@@ -14,10 +14,11 @@ from folioworks.html.select import has_class, select_nodes
 from folioworks.operators.hierarchy import closure, root_paths
 from folioworks.operators.quality import orphans
 from folioworks.operators.tables import value_counts
-from folioworks.plans.posts import enrich, read_facts, related_posts, sections
+from folioworks.plans.posts import enrich, read_facts, related_posts, resolve_links, sections, with_headlines
 from folioworks.queries.registry import query, view
 from folioworks.queries.relations import NORMALISED, NORMALISED_VIEWS, joined, normalised
 from folioworks.session import written
+from folioworks.sources.landing import table
 
 SITE = Site(host="site.example", archive="/archive")
 
@@ -252,6 +253,47 @@ def scoped_attr(spark, folder):
     return documents(spark, folder).select("id", extract.dedicated_category(F.col("nodes")).alias("category"))
 
 
+@query(
+    "headline",
+    "SELECT id, CASE WHEN id % 6 > 0 THEN title END AS headline FROM v_post",
+    ("v_post",),
+)
+def headlines(spark, folder):
+    return targets(spark, folder).select("id", extract.headline(F.col("nodes")).alias("headline"))
+
+
+def targets(spark, folder) -> DataFrame:
+    """The page of every post under a second address, with a headline on five in six."""
+    shown = F.when(
+        F.col("id") % 6 > 0, F.concat(F.lit('<h1 class="big gb-headline"> '), F.col("title"), F.lit(" </h1>"))
+    ).otherwise("")
+    pages = view(spark, folder, "v_post").select(
+        "id",
+        F.concat(F.lit("https://site.example/go/"), F.col("id").cast("string")).alias("url"),
+        F.concat(F.lit("<body><h1>Site</h1>"), shown, F.lit("</body>")).alias("html"),
+    )
+    return parse(pages)
+
+
+@query(
+    "link_headlines",
+    """SELECT l_orderkey AS id, concat('https://site.example/go/', l_orderkey, '/?from=', l_linenumber) AS href,
+              CASE WHEN l_orderkey % 6 > 0 THEN title END AS link_title, CASE WHEN l_orderkey % 6 > 0 THEN p.id END AS target_id
+       FROM lineitem LEFT JOIN v_post p ON p.id = l_orderkey""",
+    ("v_post",),
+)
+def link_headlines(spark, folder):
+    """Links that no address of a post explains are found by the headline of the page behind them."""
+    key = F.col("l_orderkey")
+    links = table(spark, folder, "lineitem").select(
+        key.alias("id"),
+        F.concat(
+            F.lit("https://site.example/go/"), key.cast("string"), F.lit("/?from="), F.col("l_linenumber").cast("string")
+        ).alias("href"),
+    )
+    return resolve_links(with_headlines(links, targets(spark, folder)), view(spark, folder, "v_post"))
+
+
 _RELATED = """SELECT doc_id AS id, string_agg(DISTINCT k, '|' ORDER BY k) AS related_posts, count(*) AS n_links
               FROM v_widget JOIN v_post p ON p.id = k WHERE kind IN (0, 7, 15) AND k <> doc_id GROUP BY doc_id"""
 
@@ -285,6 +327,7 @@ def post_enriched(spark, folder):
     enriched = enrich(
         normalised(spark, folder),
         written(facts(spark, folder), "facts"),
+        targets(spark, folder),
         view(spark, folder, "v_post"),
         view(spark, folder, "v_filed"),
         tree_nodes,

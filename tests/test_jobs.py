@@ -21,7 +21,7 @@ HTML = {
        '<ul class="elementor-icon-list-items"><li class="elementor-icon-list-item"><a href="https://site.example/archive/#36-41">x</a></li>'
        '<li class="elementor-icon-list-item"><a href="https://site.example/two">self</a></li></ul>'
        '<div class="elementor-widget elementor-widget-button"><a href="/book.pdf">Volltext</a></div>',
-    3: "<p>nothing</p>",
+    3: '<div class="elementor-widget elementor-widget-text-editor"><a href="https://site.example/go/2">by headline</a></div>',
 }
 
 
@@ -90,6 +90,7 @@ def landed(spark, tmp_path_factory):
     pages("categories", [{"id": 1, "slug": "video"}, {"id": 2, "slug": "methode"}])
     pages("tags", [{"id": 9, "slug": "antraege"}])
     pages("stufe", [{"id": 5, "slug": "profis"}])
+    put("link_targets", [("https://site.example/go/2/", '<h1 class="gb-headline"> Post 2 </h1>')], "url string, html string")
     put("glossary_pages", [(1, '<div class="elementor-toggle-item"><a class="elementor-toggle-title">Antrag</a><p>Ein Vorschlag.</p></div>'
                                '<div class="elementor-toggle-item"><a class="elementor-toggle-title">BSV</a><p>Deutschland: BSK\nNRW:  BSV und LSV</p><p>Mehr</p></div>')],
         "id int, html string")
@@ -124,11 +125,12 @@ def test_all_steps(spark, landed, tmp_path):
     assert (one.download_chapter_dedicated, one.associated_downloads, one.related_posts) == (36, [7, 8], [2])
     assert (two.download_chapters_further, two.book_chapter, two.related_posts) == ([41], "/book.pdf", [])
     assert (three.stage, three.tool_types, three.topics, three.associated_downloads) == (None, [None], [], None)
+    assert three.related_posts == [2]
     downloads = {r.data_id: r for r in rows("downloads")}
     assert (downloads[8].category_title, downloads[8].file_type, downloads[8].associated_posts) == ("Sub", "unknown", [1])
     assert downloads[7].download_link == "https://site.example/download/36/cat-id/7/data-id"
     assert {(r.post_id, r.type, r.transcript_url) for r in rows("sections")} == {
-        (1, "plain_text", None), (1, "youtube", "abc.pdf"), (2, "image", None)}
+        (1, "plain_text", None), (1, "youtube", "abc.pdf"), (2, "image", None), (3, "plain_text", None)}
     terms = {r.term: r for r in rows("glossary_terms")}
     assert terms["Antrag"].definition == "Ein Vorschlag."
     assert (terms["BSV"].definition, terms["BSV"].DE, terms["BSV"].DE_NW, terms["BSV"].DE_BY) == ("Mehr", "BSK", "BSV und LSV", None)

@@ -11,7 +11,7 @@ from folioworks.queries import QUERIES
 
 # Queries that write or look at something while they are built are planned as they run; all others here.
 PARSED = {
-    "anchors", "area_extract", "chapter_links", "council_list", "distinct_links", "fallback_title",
+    "anchors", "area_extract", "chapter_links", "council_list", "distinct_links", "fallback_title", "headline", "link_headlines", "post_enriched",
     "glossary_terms", "guide_pages", "html_markdown", "html_nodes", "html_sanitize", "html_scope", "labelled_link", "legal_texts",
     "nav_tree", "nth_element", "page_title", "paragraph_text", "related_items", "sanitized_text", "scoped_attr", "section_counts",
     "section_orphans", "sections", "select_class", "unknown_widgets",
