@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What a Python ``str.strip`` removes that matters in HTML text: white space and the no-break space.
-BLANK = r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+"
+_BLANKS = r"\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}"
+BLANK = f"[{_BLANKS}]+"
 
 
 def strip(text: Column) -> Column:
@@ -16,7 +17,7 @@ def strip(text: Column) -> Column:
 
 def present(text: Column) -> Column:
     """True for text that is neither null nor blank."""
-    return F.coalesce(F.length(strip(text)) > 0, F.lit(False))
+    return F.coalesce(F.rlike(text, F.lit(f"[^{_BLANKS}]")), F.lit(False))
 
 
 def first_filled(*candidates: Column) -> Column:
