@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from folioworks.llm.common import by_value
 from folioworks.session import written
 
-DEPTH = 4
+DEPTH = 5
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 64 << 20
 #: Byte strings of the model that one task weighs at once.

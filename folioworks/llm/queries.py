@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioworks.llm import chat_format, context_tree, decontaminate, mixing, quality_rules, secret_scan, simhash_dedup, token_counts
+from folioworks.llm import chat_format, context_tree, decontaminate, html_text, mixing, quality_rules, secret_scan, simhash_dedup, token_counts, warc_zip
 from folioworks.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @_query("op6_chat_formatting", chat_format.SQL)
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(chat_format.with_probe(table(spark, sf_dir, "conversations"))))
@@ -61,3 +66,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_quality_rules", quality_rules.SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_warc_zip", warc_zip.SQL)
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"))
