@@ -14,7 +14,7 @@ from folioworks.session import build_session
 spark = build_session("entry", "local[2]", **{{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false"}})
 assert entry.entry(spark).count() > 0
 assert entry.queries()["page_title"](spark, "/root/testdata/sf0.001").count() > 0
-assert set(entry.oracle_sql()) == set(entry.queries())
+assert set(entry.oracle_sql()) <= set(entry.queries())
 """
 
 
