@@ -7,13 +7,15 @@ of all depths: a node's weight for stopping is half its own estimate's share of
 probability, which follows from its children.  The trained tree predicts each byte of a text, and the
 logarithms add up to the score.
 
-How it runs.  Texts are dealt into blocks of bounded size.  A block sends its distinct words and its
-distinct byte strings (context and next byte) with their training counts, cut into buckets by hash; a
-bucket merges what all blocks sent.  The merged strings are grouped by the two latest bytes of the
+How it runs.  Tasks gather the texts they read into blocks of bounded size.  A block sends its distinct
+words and its distinct byte strings (context and next byte) with their training counts, packed, cut
+into buckets by hash, and its own packed texts, which wait for the answers; a bucket merges what all
+blocks sent.  The merged strings are grouped by the two latest bytes of the
 context, so that each group holds whole subtrees; the two levels above, at most 255 * 257 nodes, are
 summed by Spark and handed back.  Buckets answer each block's strings with their code lengths and its
 words with their counts, in the order they were asked, and the block scores its texts.  So the model
-never sits in one place, and each string travels once per block.
+never sits in one place, each string travels once per block, and texts move once.  Answers are single
+precision, which changes a score by less than a ten-millionth part.
 
 Defined cases: a null or blank text is the line end alone; training takes the texts whose
 crc32(doc_id) mod 5 is not 1, a null doc_id counting as empty text; rows that repeat are texts of their
@@ -23,6 +25,7 @@ own; other columns are ignored; without training texts all estimates are one hal
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -96,47 +99,93 @@ def _binary(values: list[bytes | None]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
-ASKED = "block bigint, kind string, bucket bigint, keys binary, counts binary"
+_CODEC = "zstd"
 
 
-def _ask(buckets: int, depth: int):
-    """A block's distinct words and strings with their training counts."""
-
-    def run(block: pa.Table) -> pa.Table:
-        ids, texts = block.column("doc_id").to_pylist(), block.column("text").to_pylist()
-        trained, others = Counter(), set()
-        streams, trains = [], []
-        for doc_id, text in zip(ids, texts, strict=True):
-            words, stream = normal(text)
-            streams.append(stream)
-            trains.append(not held_out(doc_id))
-            if trains[-1]:
-                trained.update(words)
-                trained[b"\n"] += 1
-            else:
-                others.update(words)
-        others.add(b"\n")
-        rows = []
-        for bucket, words in _by_bucket(others | trained.keys(), buckets).items():
-            rows.append(("w", bucket, b" ".join(words), np.array([trained[w] for w in words], dtype=np.int64).tobytes()))
-        codes, lengths = strings(streams, depth)
-        train = np.repeat(np.array(trains, dtype=bool), lengths)
-        own, n = np.unique(codes[train], return_counts=True)
-        rest = np.setdiff1d(codes[~train], own)
-        own, n = np.concatenate([own, rest]), np.concatenate([n, np.zeros(len(rest), np.int64)])
-        order = np.argsort(own)
-        own, n = own[order], n[order].astype(np.int64)
-        for bucket, places in _code_groups(own, buckets):
-            rows.append(("s", bucket, own[places].tobytes(), n[places].tobytes()))
-        kinds, numbers, keys, counts = zip(*rows, strict=True)
-        number = block.column("block")[0].as_py()
-        return pa.table({"block": pa.array([number] * len(rows), pa.int64()), "kind": pa.array(kinds), "bucket": pa.array(numbers, pa.int64()), "keys": _binary(keys), "counts": _binary(counts)})
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers as bytes, those of equal weight together, compressed."""
+    width = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, width).T)
+    return pack_bytes(planes.tobytes())
 
-    return run
+
+def unpack(cell: bytes, dtype=np.int64) -> np.ndarray:
+    planes, width = np.frombuffer(unpack_bytes(cell), np.uint8), np.dtype(dtype).itemsize
+    return np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).view(dtype).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=0))
+
+
+def unpack_sorted(cell: bytes) -> np.ndarray:
+    return np.cumsum(unpack(cell))
+
+
+def pack_bytes(value: bytes) -> bytes:
+    return len(value).to_bytes(8, "little") + pa.compress(value, codec=_CODEC, asbytes=True)
+
+
+def unpack_bytes(cell: bytes) -> bytes:
+    return pa.decompress(cell[8:], decompressed_size=int.from_bytes(cell[:8], "little"), codec=_CODEC, asbytes=True)
+
+
+def _asked_schema(doc_id: T.StructField) -> T.StructType:
+    fields = [("block", T.LongType()), ("kind", T.StringType()), ("bucket", T.LongType()), ("keys", T.BinaryType()), ("counts", T.BinaryType())]
+    return T.StructType([*[T.StructField(n, t) for n, t in fields], T.StructField("ids", T.ArrayType(doc_id.dataType))])
 
 
-def _numbers(cells, dtype=np.int64) -> list[np.ndarray]:
-    return [np.frombuffer(c, dtype=dtype) for c in cells]
+def _ask_rows(ids: list, streams: list[bytes], word_lists: list[list[bytes]], buckets: int, depth: int) -> list[tuple]:
+    """A block's texts, and its distinct words and strings with their training counts."""
+    trained, others = Counter(), {b"\n"}
+    trains = [not held_out(i) for i in ids]
+    for words, train in zip(word_lists, trains, strict=True):
+        if train:
+            trained.update(words)
+            trained[b"\n"] += 1
+        else:
+            others.update(words)
+    rows = [("t", 0, pack_bytes(b"".join(streams)), None, ids)]
+    for bucket, words in _by_bucket(others | trained.keys(), buckets).items():
+        rows.append(("w", bucket, pack_bytes(b" ".join(words)), pack(np.array([trained[w] for w in words], dtype=np.int64)), None))
+    codes, lengths = strings(streams, depth)
+    train = np.repeat(np.array(trains, dtype=bool), lengths)
+    own, n = np.unique(codes[train], return_counts=True)
+    rest = np.setdiff1d(codes[~train], own)
+    own, n = np.concatenate([own, rest]), np.concatenate([n, np.zeros(len(rest), np.int64)])
+    order = np.argsort(own)
+    own, n = own[order], n[order].astype(np.int64)
+    for bucket, places in _code_groups(own, buckets):
+        rows.append(("s", bucket, pack_sorted(own[places]), pack(n[places]), None))
+    return rows
+
+
+def _ask(buckets: int, depth: int):
+    """Texts in, blocks of them out; a block's number is drawn by the attempt that writes it."""
+
+    def table_of(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+        number = uuid.uuid4().int >> 65
+        kinds, numbers, keys, counts, ids = zip(*rows, strict=True)
+        columns = [pa.array([number] * len(rows), pa.int64()), pa.array(kinds), pa.array(numbers, pa.int64()), _binary(keys), _binary(counts), pa.array(ids, pa.list_(id_type))]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "kind", "bucket", "keys", "counts", "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, streams, word_lists, size, id_type = [], [], [], 0, None
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words, stream = normal(text.as_py())
+                ids.append(doc_id)
+                streams.append(stream)
+                word_lists.append(words)
+                size += len(stream)
+                if size >= BLOCK_BYTES:
+                    yield table_of(_ask_rows(ids, streams, word_lists, buckets, depth), id_type)
+                    ids, streams, word_lists, size = [], [], [], 0
+        if ids:
+            yield table_of(_ask_rows(ids, streams, word_lists, buckets, depth), id_type)
+
+    return run
 
 
 ANSWER = "block bigint, kind string, bucket bigint, answer binary, n_tokens bigint, n_types bigint"
@@ -145,12 +194,12 @@ ANSWER = "block bigint, kind string, bucket bigint, answer binary, n_tokens bigi
 def _answer_words(bucket: pa.Table) -> pa.Table:
     """Corpus counts of each block's words, in the block's order, and a row with the bucket's sums."""
     total: Counter = Counter()
-    cells = list(zip(bucket.column("keys").to_pylist(), _numbers(bucket.column("counts").to_pylist()), strict=True))
-    for keys, counts in cells:
-        for word, n in zip(_words(keys), counts.tolist(), strict=True):
+    asked = bucket.column("keys").to_pylist()
+    for keys, counts in zip(asked, bucket.column("counts").to_pylist(), strict=True):
+        for word, n in zip(_words(keys), unpack(counts).tolist(), strict=True):
             total[word] += n
-    answers = [np.array([total[w] for w in _words(keys)], dtype=np.int64).tobytes() for keys, _ in cells]
-    n = len(cells)
+    answers = [pack(np.array([total[w] for w in _words(keys)], dtype=np.int64)) for keys in asked]
+    n = len(asked)
     number = bucket.column("bucket")[0].as_py()
     return pa.table(
         {
@@ -165,7 +214,7 @@ def _answer_words(bucket: pa.Table) -> pa.Table:
 
 
 def _words(keys: bytes) -> list[bytes]:
-    return keys.split(b" ")
+    return unpack_bytes(keys).split(b" ")
 
 
 MERGED = "part bigint, bucket bigint, keys binary, counts binary, n bigint"
@@ -175,8 +224,8 @@ def _merge(parts: int):
     """A bucket's strings with their counts in all training texts, apart by the two latest bytes of the context."""
 
     def run(bucket: pa.Table) -> pa.Table:
-        keys = np.concatenate(_numbers(bucket.column("keys").to_pylist()))
-        counts = np.concatenate(_numbers(bucket.column("counts").to_pylist()))
+        keys = np.concatenate([unpack_sorted(c) for c in bucket.column("keys").to_pylist()])
+        counts = np.concatenate([unpack(c) for c in bucket.column("counts").to_pylist()])
         own, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, weights=counts).astype(np.int64)
         latest = (own >> 8) & 0xFFFF
@@ -187,8 +236,8 @@ def _merge(parts: int):
             {
                 "part": pa.array([r[0] for r in rows], pa.int64()),
                 "bucket": pa.array([number] * len(rows), pa.int64()),
-                "keys": _binary([r[1].tobytes() for r in rows]),
-                "counts": _binary([r[2].tobytes() for r in rows]),
+                "keys": _binary([pack_sorted(r[1]) for r in rows]),
+                "counts": _binary([pack(r[2]) for r in rows]),
                 "n": pa.array([len(r[1]) for r in rows], pa.int64()),
             }
         )
@@ -211,29 +260,43 @@ def kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - math.log(math.pi) - log_gamma(zeros + ones + 1.0)
 
 
-def _reversed_context(codes: np.ndarray, depth: int) -> np.ndarray:
-    """The context with its latest byte first, so that a shorter context is a prefix."""
+def reversed_keys(codes: np.ndarray, depth: int) -> np.ndarray:
+    """The context with its latest byte first, so that a shorter context is a prefix, and the last byte."""
     out = np.zeros_like(codes)
     for back in range(depth):
         out = out << 8 | (codes >> 8 * (back + 1)) & 0xFF
-    return out
+    return out << 8 | codes & 0xFF
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the place of each key among them; quick where the keys come in few rising runs."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    place = np.empty(len(keys), dtype=np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], place
 
 
 class Subtrees:
-    """The nodes of depth 2 to ``depth`` over some strings, for one of the eight decisions of a byte."""
+    """The nodes of depth 2 to ``depth`` over some strings, for one of the eight decisions of a byte.
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, bit: int, depth: int) -> None:
-        byte = codes & 0xFF
+    ``reversed_keys`` are the strings' contexts, latest byte first, and their last byte, in rising order.
+    """
+
+    def __init__(self, reversed_keys: np.ndarray, counts: np.ndarray, bit: int, depth: int) -> None:
+        byte = reversed_keys & 0xFF
         self.ones = ((byte >> (7 - bit)) & 1).astype(bool)
-        keys = _reversed_context(codes, depth) << 8 | byte >> (8 - bit)
-        keys, place = np.unique(keys, return_inverse=True)
+        keys = reversed_keys & ~0xFF | byte >> (8 - bit)
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+        keys, place = keys[fresh], np.cumsum(fresh) - 1
         ones = np.bincount(place, weights=counts * self.ones, minlength=len(keys))
         zeros = np.bincount(place, weights=counts * ~self.ones, minlength=len(keys))
         weighted = kt_log(zeros, ones)
         # From the leaves up: place of each string's node, counts, probability of stopping.
         self.levels = [(place, zeros, ones, None)]
         for _ in range(depth - 2):
-            keys, up = np.unique(keys >> 16 << 8 | keys & 0xFF, return_inverse=True)
+            keys, up = _grouped(keys >> 16 << 8 | keys & 0xFF)
             ones, zeros = np.bincount(up, weights=ones), np.bincount(up, weights=zeros)
             below = np.bincount(up, weights=weighted)
             own = kt_log(zeros, ones)
@@ -259,11 +322,14 @@ def _tops(depth: int):
 
     def run(part: pa.Table) -> pa.Table:
         codes, counts = _strings_of(part)
+        keys = reversed_keys(codes, depth)
+        order = np.argsort(keys)
+        ordered, counts = keys[order], counts[order]
         rows = []
         for bit in range(8):
-            tree = Subtrees(codes, counts, bit, depth)
+            tree = Subtrees(ordered, counts, bit, depth)
             # Keys are two context bytes, the latest first, and the decisions so far in this byte.
-            keys, up = np.unique(tree.keys >> 16 << 8 | tree.keys & 0xFF, return_inverse=True)
+            keys, up = _grouped(tree.keys >> 16 << 8 | tree.keys & 0xFF)
             sums = [np.bincount(up, weights=v) for v in (tree.zeros, tree.n_ones, tree.weighted)]
             rows.append((keys >> 8, (1 << bit) | (keys & 0xFF), *sums))
         names = ["latest", "node", "zeros", "ones", "weighted"]
@@ -273,7 +339,8 @@ def _tops(depth: int):
 
 
 def _strings_of(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate(_numbers(part.column("keys").to_pylist())), np.concatenate(_numbers(part.column("counts").to_pylist())).astype(float)
+    keys = np.concatenate([unpack_sorted(c) for c in part.column("keys").to_pylist()])
+    return keys, np.concatenate([unpack(c) for c in part.column("counts").to_pylist()]).astype(float)
 
 
 class Crown:
@@ -306,9 +373,14 @@ class Crown:
 
 def log10_of(codes: np.ndarray, counts: np.ndarray, crown: Crown, depth: int = DEPTH) -> np.ndarray:
     """Log10 of each string's probability of its last byte."""
-    out = np.zeros(len(codes))
+    keys = reversed_keys(codes, depth)
+    order = np.argsort(keys)
+    codes, keys, counts = codes[order], keys[order], counts[order]
+    total = np.zeros(len(codes))
     for bit in range(8):
-        out += np.log10(crown.predict(codes, bit, Subtrees(codes, counts, bit, depth).predict()))
+        total += np.log10(crown.predict(codes, bit, Subtrees(keys, counts, bit, depth).predict()))
+    out = np.empty(len(codes))
+    out[order] = total
     return out
 
 
@@ -319,8 +391,8 @@ def _weigh(crown: Crown, depth: int):
     def run(part: pa.Table) -> pa.Table:
         codes, counts = _strings_of(part)
         logs = log10_of(codes, counts, crown, depth)
-        ends = np.cumsum([len(c) // 8 for c in part.column("keys").to_pylist()])[:-1]
-        return pa.table({"bucket": part.column("bucket"), "keys": part.column("keys"), "logs": _binary([v.tobytes() for v in np.split(logs, ends)])})
+        ends = np.cumsum(part.column("n").to_numpy())[:-1]
+        return pa.table({"bucket": part.column("bucket"), "keys": part.column("keys"), "logs": _binary([pack(v.astype(np.float32)) for v in np.split(logs, ends)])})
 
     return run
 
@@ -328,47 +400,65 @@ def _weigh(crown: Crown, depth: int):
 def _answer_strings(asked: pa.Table, weighed: pa.Table) -> pa.Table:
     if not asked.num_rows:
         return pa.table({"block": pa.array([], pa.int64()), "kind": pa.array([], pa.string()), "bucket": pa.array([], pa.int64()), "answer": _binary([]), "n_tokens": pa.array([], pa.int64()), "n_types": pa.array([], pa.int64())})
-    keys = np.concatenate(_numbers(weighed.column("keys").to_pylist()))
-    logs = np.concatenate(_numbers(weighed.column("logs").to_pylist(), np.float64))
+    keys = np.concatenate([unpack_sorted(c) for c in weighed.column("keys").to_pylist()])
+    logs = np.concatenate([unpack(c, np.float32) for c in weighed.column("logs").to_pylist()])
     order = np.argsort(keys)
     keys, logs = keys[order], logs[order]
-    answers = [logs[np.searchsorted(keys, own)].tobytes() for own in _numbers(asked.column("keys").to_pylist())]
+    answers = [pack(logs[np.searchsorted(keys, unpack_sorted(own))]) for own in asked.column("keys").to_pylist()]
     n = asked.num_rows
     none = pa.nulls(n, pa.int64())
     return pa.table({"block": asked.column("block"), "kind": pa.array(["s"] * n), "bucket": asked.column("bucket"), "answer": _binary(answers), "n_tokens": none, "n_types": none})
 
 
-def _score(buckets: int, depth: int, n_tokens: int, n_types: int, schema: T.StructType):
+class Places:
+    """The place of each code among distinct sorted ones, by hashing; the few that collide are searched."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self.codes, self.shift = codes, 64 - max(len(codes), 1).bit_length() - 2
+        self.table = np.zeros(1 << 64 - self.shift, dtype=np.int32)
+        self.table[self._slot(codes)] = np.arange(len(codes), dtype=np.int32)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(self.shift)).view(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        found = np.take(self.table, self._slot(codes))
+        missed = np.nonzero(np.take(self.codes, found) != codes)[0]
+        found[missed] = np.searchsorted(self.codes, codes[missed])
+        return found
+
+
+def _score(buckets: int, depth: int, n_tokens: int, n_types: int, names: list[str]):
     """Scores a block's texts from the answers it got."""
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, texts = block.column("doc_id").to_pylist(), block.column("text").to_pylist()
         got = {(k, b): a for k, b, a in zip(answers.column("kind").to_pylist(), answers.column("bucket").to_pylist(), answers.column("answer").to_pylist(), strict=True)}
-        read = [normal(t) for t in texts]
-        streams = [stream for _, stream in read]
+        ids = block.column("ids").chunk(0).flatten()
+        streams = [line + b"\n" for line in unpack_bytes(block.column("keys")[0].as_py()).split(b"\n")[:-1]]
+        word_lists = [stream.split() for stream in streams]
         codes, lengths = strings(streams, depth)
         own = np.unique(codes)
         logs = np.zeros(len(own))
         for bucket, places in _code_groups(own, buckets):
-            logs[places] = np.frombuffer(got["s", bucket])
+            logs[places] = unpack(got["s", bucket], np.float32)
         ends = np.cumsum(lengths)
-        scores = np.add.reduceat(logs[np.searchsorted(own, codes)], ends - lengths) if len(ids) else np.zeros(0)
+        found = Places(own)
+        spans = np.concatenate([logs[found.of(codes[at : at + (1 << 18)])] for at in range(0, len(codes), 1 << 18)])
+        scores = np.add.reduceat(spans, ends - lengths)
         counts: dict[bytes, int] = {}
-        vocabulary = {b"\n"}.union(*(words for words, _ in read))
-        for bucket, words in _by_bucket(vocabulary, buckets).items():
-            counts.update(zip(words, np.frombuffer(got["w", bucket], dtype=np.int64).tolist(), strict=True))
+        for bucket, words in _by_bucket({b"\n"}.union(*word_lists), buckets).items():
+            counts.update(zip(words, unpack(got["w", bucket]).tolist(), strict=True))
         whole = n_tokens + 0.5 * (n_types + 1)
         cost = {w: math.log10((c + 0.5) / whole) for w, c in counts.items()}
-        known = {w for w, c in counts.items() if c}
+        unknown = {w for w, c in counts.items() if not c}
         base, n_known = [], []
-        for words, _ in read:
+        for words in word_lists:
             base.append(math.fsum(map(cost.__getitem__, words)) + cost[b"\n"])
-            n_known.append(sum(map(known.__contains__, words)) + (b"\n" in known))
-        sizes = [len(words) + 1 for words, _ in read]
+            n_known.append(len(words) + 1 - sum(map(unknown.__contains__, words)) - (b"\n" in unknown))
         columns = {
-            "doc_id": block.column("doc_id"),
-            "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),
-            "n_tokens": pa.array(sizes, pa.int64()),
+            "doc_id": ids,
+            "held_out": pa.array([held_out(i) for i in ids.to_pylist()], pa.bool_()),
+            "n_tokens": pa.array([len(words) + 1 for words in word_lists], pa.int64()),
             "n_known": pa.array(n_known, pa.int64()),
             "train_tokens": pa.array([n_tokens] * len(ids), pa.int64()),
             "base_score": pa.array(base, pa.float64()),
@@ -376,7 +466,7 @@ def _score(buckets: int, depth: int, n_tokens: int, n_types: int, schema: T.Stru
             "n_bytes": pa.array(lengths, pa.int64()),
             "bits_per_byte": pa.array(-scores / math.log10(2) / lengths, pa.float64()),
         }
-        return pa.table(columns).select(schema.names)
+        return pa.table(columns).select(names)
 
     return run
 
@@ -387,15 +477,13 @@ def score(docs: DataFrame, depth: int = DEPTH, text: str = "text") -> DataFrame:
         raise ValueError("the depth must lie between 2 and 6")
     picked = docs.select("doc_id", F.col(text).alias("text"))
     size = picked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks, buckets = size // BLOCK_BYTES + 1, max(32, size // BUCKET_BYTES)
-    dealt = picked.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    asked = written(dealt.groupBy("block").applyInArrow(_ask(buckets, depth), ASKED), "ctw-asked")
-    words, codes = asked.filter("kind = 'w'"), asked.filter("kind = 's'")
+    buckets = max(32, size // BUCKET_BYTES)
+    asked = written(picked.mapInArrow(_ask(buckets, depth), _asked_schema(picked.schema["doc_id"])), "ctw-asked")
+    words, codes = [asked.filter(F.col("kind") == k).select("block", "bucket", "keys", "counts") for k in "ws"]
     answered = written(words.groupBy("bucket").applyInArrow(_answer_words, ANSWER), "ctw-words")
     n_tokens, n_types = answered.filter("block = -1").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
     # A part holds whole pairs of latest bytes; below a pair there are at most 256 ** (depth - 1) strings.
-    n_strings = codes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
-    parts = min(1 << 13, max(32, n_strings // blocks // PART_STRINGS))
+    parts = min(1 << 13, max(32, size // (PART_STRINGS << 5)))
     merged = written(codes.groupBy("bucket").applyInArrow(_merge(parts), MERGED), "ctw-merged")
     tops = merged.groupBy("part").applyInArrow(_tops(depth), TOP)
     tops = tops.groupBy("latest", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")])
@@ -408,7 +496,8 @@ def score(docs: DataFrame, depth: int = DEPTH, text: str = "text") -> DataFrame:
     fields += [T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
     fields += [T.StructField("n_bytes", T.LongType()), T.StructField("bits_per_byte", T.DoubleType())]
     schema = T.StructType(fields)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(buckets, depth, n_tokens, n_types, schema), schema)
+    texts = asked.filter("kind = 't'").select("block", "keys", "ids")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(buckets, depth, n_tokens, n_types, schema.names), schema)
 
 
 by_value(__name__)
