@@ -34,8 +34,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 15
 #: Lengths of neighbouring classes, and the part of a window's length by which it moves.
-CLASS_RATIO = 1.15
-STRIDE_PART = 8
+CLASS_RATIO = 1.1
+STRIDE_PART = 10
 #: Items, and characters of items, that go to the tasks at once.
 BLOCK_ITEMS = 4096
 BLOCK_CHARS = 4 << 20
