@@ -120,9 +120,10 @@ def mix(
     targets = source_targets(sized.select("source", "size"), weights, repeats)
     total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # The sources' blocks.  A source never takes more whole blocks than it may be repeated.
+    targets = written(targets.withColumn("_all", F.lit(0)), "mix-all")
     sources = written(
         apportion(
-            targets.withColumn("_all", F.lit(0)), ["_all"], F.lit(total // block), "target", ["rank"], F.ceil(F.col("source_size") / block) * repeats
+            targets, ["_all"], F.lit(total // block), "target", ["rank"], F.ceil(F.col("source_size") / block) * repeats
         ).drop("_all"),
         "mix-quotas",
     )
