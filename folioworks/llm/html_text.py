@@ -35,7 +35,7 @@ from folioworks.session import written
 
 RUN = 8
 PAGES = 3
-SHARD_PAGES = 2048
+SHARD_PAGES = 512
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -271,8 +271,10 @@ def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHA
     """page_id, url, text and n_chars of every page."""
     parsed = written(parse(pages), "pages-parsed")
     hosts = parsed.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / shard_pages).alias("_shards")).withColumnRenamed("host", "_host")
-    dealt = parsed.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-    dealt = dealt.select("page_id", "url", "host", "rest", "open", F.pmod(F.xxhash64("page_id", "url", "main"), F.col("_shards")).alias("shard"))
+    # The text of marked articles stays where it was written.
+    dealt = parsed.select("page_id", "url", "host", "rest", "open", F.xxhash64("page_id", "url").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    dealt = dealt.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
+    dealt = dealt.select("page_id", "url", "host", "rest", "open", F.pmod(F.xxhash64("_hash", "_row"), F.col("_shards")).alias("shard"))
     found = written(dealt.groupBy("host", "shard").applyInArrow(_substrings, FOUND), "host-substrings")
     repeated = found.groupBy("host", "hash").agg(F.sum("n_pages").alias("_n"), F.max("open").alias("_open")).filter(f"_n >= {least_pages} AND _open")
     repeated = repeated.select(F.col("host").alias("_host"), F.col("hash").alias("_hash"))
