@@ -69,7 +69,8 @@ def candidates(docs: DataFrame, keys: Sequence[str], owner: str, repository: Seq
     )
     # Numbered before the matches are spread, so that all of a document's rows share its number.
     rows = rows.select("_row", "_keys", "_owner", "_repository", F.explode_outer("_hits").alias("_hit"))
-    rows = rows.select("_row", "_keys", "_owner", "_repository", "_hit.*")
+    # Written before anything else, so texts are scanned once.
+    rows = written(rows.select("_row", "_keys", "_owner", "_repository", "_hit.*"), "secret-matches")
     place = W.partitionBy("_row", "kind").orderBy("nth")
     begin = F.sum("gap").over(place) + F.sum(F.length("hit")).over(place) - F.length("hit")
     value = F.when(F.col("kind") == "assign", F.regexp_extract("hit", ASSIGN, 2)).otherwise(F.col("hit"))
@@ -119,9 +120,12 @@ def classified(
 ) -> DataFrame:
     """Candidates with ``live``: known to fewer owners than an example is."""
     found = written(candidates(docs, keys, owner, repository), "secret-candidates")
-    counted = found.join(ownership(found), "hash", "left")
     lone = (F.col("kind") != "mixed") | (F.col("n_owners") == 1)
-    return counted.withColumn("live", F.col("n_owners") < example_owners).withColumn("kind", F.when(lone, F.col("kind")))
+    # Rows without a candidate have no hash, and would all meet in one task of the join.
+    counted = found.filter("kind IS NOT NULL").join(ownership(found), "hash")
+    counted = counted.withColumn("live", F.col("n_owners") < example_owners).withColumn("kind", F.when(lone, F.col("kind")))
+    bare = found.filter("kind IS NULL").withColumn("live", F.lit(None).cast("boolean"))
+    return counted.select(*bare.columns).unionByName(bare)
 
 
 def scan(
