@@ -4,49 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from folioworks.operators.lists import MAX_LIST, gather
+from folioworks.operators.lists import gather
+from folioworks.operators.tables import left_join
 from folioworks.session import written
 
-MAX_DEPTH = 1024
 
-
-def root_paths(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def root_paths(nodes: DataFrame) -> DataFrame:
     """``nodes(node_id, parent_id, ordinal)`` to ``(node_id, path)``, the path running root to node.
 
     Each round appends to every open path the path of its top node, so paths double in length and
-    a tree of depth d takes log2(d) joins.  A node whose parent is not in the table is a root.  A
-    cycle never closes, which ``max_depth`` turns into an error.
+    a tree of depth d takes log2(d) joins; finished rows are written once.  A node whose parent is
+    not in the table is a root.  After as many rounds as the number of nodes can be doubled, a node
+    still open is on a cycle or below one.
     """
-    state = nodes.select(
-        "node_id",
-        F.col("parent_id").alias("top"),
-        F.array(F.struct(F.col("ordinal").alias("ordinal"), F.col("node_id").alias("node_id"))).alias("path"),
+    state = written(
+        nodes.select(
+            "node_id",
+            F.col("parent_id").alias("top"),
+            F.array(F.struct(F.col("ordinal").alias("ordinal"), F.col("node_id").alias("node_id"))).alias("path"),
+        ),
+        "paths",
     )
-    state = written(state, "paths")
-    length = 1
-    while not state.filter(F.col("top").isNotNull()).isEmpty():
-        if length > max_depth:
-            raise ValueError(f"hierarchy is deeper than {max_depth} or has a cycle")
-        upper = state.select(
-            F.col("node_id").alias("_id"), F.col("top").alias("_top"), F.col("path").alias("_path")
-        )
-        closed = state.filter(F.col("top").isNull())
-        grown = (
-            state.filter(F.col("top").isNotNull())
-            .join(upper, F.col("top") == F.col("_id"), "left")
-            .select(
+    rounds, done = max(state.count(), 1).bit_length() + 1, state.filter(F.col("top").isNull())
+    state = state.filter(F.col("top").isNotNull())
+    while not state.isEmpty():
+        if rounds < 0:
+            raise ValueError("the hierarchy has a cycle")
+        rounds -= 1
+        known = done.unionByName(state)
+        upper = known.select(F.col("node_id").alias("_id"), F.col("top").alias("_top"), F.col("path").alias("_path"))
+        # A null top is a root that the table lacks; its path is complete as it is.
+        grown = written(
+            state.join(upper, F.col("top") == F.col("_id"), "left").select(
                 "node_id",
                 F.col("_top").alias("top"),
-                F.when(F.col("_path").isNull(), F.col("path"))
-                .otherwise(F.concat("_path", "path"))
-                .alias("path"),
-            )
+                F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path"),
+            ),
+            "paths",
         )
-        state = written(closed.unionByName(grown), "paths")
-        length *= 2
-    return state.select("node_id", "path")
+        done = done.unionByName(grown.filter(F.col("top").isNull()))
+        state = grown.filter(F.col("top").isNotNull())
+    return done.select("node_id", "path")
 
 
 def closure(paths: DataFrame, max_distance: int | None = None) -> DataFrame:
@@ -92,68 +91,47 @@ def _distinct_ids(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("id")).filter(F.col("id").isNotNull()).distinct()
 
 
-def chapter_items(
-    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
-) -> DataFrame:
-    """``(chapter_id, part, items)``: all items at or below each chapter that owners refer to.
+def chapter_item_rows(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """``(chapter_id, item_id)``: all items at or below each chapter that owners refer to, as rows."""
+    below = _scope(tree, nodes, _distinct_ids(owners, "chapter_id"), "ancestor_id", "node_id")
+    return items.join(below, F.col("category_id") == F.col("node_id")).select(F.col("id").alias("chapter_id"), "item_id")
+
+
+def chapter_items(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """``(chapter_id, items)``, the same as one list per chapter.
 
     What is filed under a chapter does not depend on the owner, so this small form says as much as
     the lists per owner.
     """
-    below = _scope(tree, nodes, _distinct_ids(owners, "chapter_id"), "ancestor_id", "node_id")
-    found = items.join(below, F.col("category_id") == F.col("node_id")).select(
-        F.col("id").alias("chapter_id"), "item_id"
-    )
-    return gather(found, ["chapter_id"], "item_id", alias="items", max_len=max_len)
+    return gather(chapter_item_rows(owners, items, nodes, tree), ["chapter_id"], "item_id", alias="items")
 
 
-def associated_items(
-    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
-) -> DataFrame:
+def associated_items(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
     """For ``owners(owner_id, chapter_id)`` all ``items(item_id, category_id)`` at or below the chapter.
 
-    Owners take the list of their chapter; owner-item pairs are never formed.  Owners without items
+    Owners take the list of their chapter; owner-item pairs are never rows.  Owners without items
     get a null list.
     """
-    lists = chapter_items(owners, items, nodes, tree, max_len)
-    return owners.join(lists, "chapter_id", "left").select(
-        "owner_id", "chapter_id", F.coalesce("part", F.lit(0)).alias("part"), "items"
-    )
-
+    lists = chapter_items(owners, items, nodes, tree).withColumnRenamed("chapter_id", "_chapter")
+    return left_join(owners, lists, F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
 
-def category_owners(
-    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
-) -> DataFrame:
-    """``(category_id, part, owners)``: the owners whose chapter covers each category with items.
 
-    Owners are listed once per chapter; a category takes the lists of its ancestors, which are
-    merged up to ``max_len`` entries and otherwise kept as numbered parts.
-    """
-    per_chapter = gather(
-        owners.filter(F.col("chapter_id").isNotNull()), ["chapter_id"], "owner_id", alias="owners", max_len=max_len
-    ).withColumnRenamed("part", "_piece")
+def category_owner_rows(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """``(category_id, owner_id)``: the owners whose chapter covers each category with items, as rows."""
     above = _scope(tree, nodes, _distinct_ids(items, "category_id"), "node_id", "ancestor_id")
-    pieces = above.join(per_chapter, F.col("ancestor_id") == F.col("chapter_id")).withColumnRenamed("id", "category_id")
-    # One row per ancestor chapter and part, so this window stays as short as the tree is deep.
-    running = (
-        W.partitionBy("category_id").orderBy("ancestor_id", "_piece").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return (
-        pieces.withColumn("_upto", F.sum(F.size("owners")).over(running))
-        .withColumn("part", F.floor((F.col("_upto") - 1) / max_len).cast("int"))
-        .groupBy("category_id", "part")
-        .agg(F.array_sort(F.flatten(F.collect_list("owners"))).alias("owners"))
-    )
+    filed = owners.filter(F.col("chapter_id").isNotNull())
+    return above.join(filed, F.col("ancestor_id") == F.col("chapter_id")).select(F.col("id").alias("category_id"), "owner_id")
+
 
+def category_owners(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
+    """``(category_id, owners)``, the same as one list per category."""
+    return gather(category_owner_rows(owners, items, nodes, tree), ["category_id"], "owner_id", alias="owners")
 
-def associated_owners(
-    owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame, max_len: int = MAX_LIST
-) -> DataFrame:
+
+def associated_owners(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
     """The inverse of ``associated_items``: per item the owners whose chapter covers its category."""
-    lists = category_owners(owners, items, nodes, tree, max_len)
-    return items.join(lists, "category_id", "left").select(
-        "item_id", "category_id", F.coalesce("part", F.lit(0)).alias("part"), "owners"
-    )
+    lists = category_owners(owners, items, nodes, tree).withColumnRenamed("category_id", "_category")
+    return left_join(items, lists, F.col("category_id"), "_category").select("item_id", "category_id", "owners")
 
 
 def pre_order_key(width: int = 12):

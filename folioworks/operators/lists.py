@@ -1,22 +1,13 @@
-"""Grouping rows into list columns without an unbounded group.
-
-A list with more than ``max_len`` entries is returned as several rows, numbered by ``part``; all
-other keys give exactly one row with ``part = 0``.  Nothing is dropped: the parts of a key hold
-all of its entries.
-"""
+"""Grouping rows into list columns: one row and one whole list per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LIST = 500_000
-
 
 def gather(
     df: DataFrame,
@@ -27,66 +18,30 @@ def gather(
     keep_nulls: bool = False,
     distinct: bool = False,
     count_alias: str | None = None,
-    max_len: int = MAX_LIST,
 ) -> DataFrame:
-    """One sorted list per key and part, with ``count_alias`` for the rows behind it.
+    """One sorted list per key, with ``count_alias`` for the rows behind it.
 
-    Equal entries are counted before anything is shuffled, so copies cost nothing.  Keys over the
-    bound are found from these counts and their entries dealt out over as many parts as they need.
-    There are at most ``rows / max_len`` such keys (2,000 per billion rows), which is what makes
-    their broadcast safe.
+    Equal entries are counted before anything is shuffled, so copies cost nothing.  A list is one
+    value; what has no such bound by nature is better kept as rows.
     """
     counted = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # Both readers of the counts need ``_n``, so that its one shuffle serves them both.
     copies = F.least(F.col("_n"), F.lit(1)) if distinct else F.col("_n")
-    oversized = (
-        counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.sum(copies).alias("_total"))
-        .filter(F.col("_total") > max_len)
-        .select(*[f"_{k}" for k in keys], F.ceil(F.col("_total") / max_len).alias("_parts"))
-    )
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    # An entry with more copies than a list may hold is itself cut into stretches.
-    stretches = F.when(F.col("_parts").isNull(), F.array(copies)).otherwise(
-        F.transform(
-            F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / max_len)),
-            lambda i: F.least(F.lit(max_len), copies - i * max_len),
-        )
-    )
-    # Stretches of one entry go to parts in turn, different entries start at different parts.
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.pmod(F.xxhash64("_v"), F.col("_parts")) + F.col("_stretch"), F.col("_parts"))
-    )
-    entries = F.array_repeat("_v", F.col("_copies").cast("int"))
+    entries = F.array_repeat("_v", copies.cast("int"))
     if not keep_nulls:
         entries = F.when(F.col("_v").isNull(), F.array().cast(entries_type(df, value))).otherwise(entries)
-    behind = F.when(F.col("_stretch") == 0, F.col("_n")).otherwise(0)
-    figures = [F.sum(behind).alias(count_alias)] if count_alias else []
-    return (
-        counted.join(F.broadcast(oversized), same, "left")
-        .select(*keys, "_v", "_n", "_parts", F.posexplode(stretches).alias("_stretch", "_copies"))
-        .withColumn("part", part.cast("int"))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.flatten(F.collect_list(entries))).alias(alias), *figures)
-    )
+    figures = [F.sum("_n").alias(count_alias)] if count_alias else []
+    return counted.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list(entries))).alias(alias), *figures)
 
 
 def entries_type(df: DataFrame, column: str) -> T.ArrayType:
     return T.ArrayType(df.schema[column].dataType)
 
 
-def join_text(
-    df: DataFrame, keys: Sequence[str], position: str, text: str, *, alias: str, end: str = "\n", block: int = MAX_LIST
-) -> DataFrame:
-    """Concatenate texts in order of ``position``, each followed by ``end``.
-
-    ``part`` is the block of positions, so one key with very many rows becomes several ordered
-    texts instead of one cell that cannot be held.
-    """
-    parted = df.withColumn("part", F.floor(F.col(position) / block).cast("int"))
+def join_text(df: DataFrame, keys: Sequence[str], position: str, text: str, *, alias: str, end: str = "\n") -> DataFrame:
+    """Concatenate texts in order of ``position``, each followed by ``end``."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(text).alias("t"))))
     pieces = F.transform(ordered, lambda s: F.concat(F.coalesce(s["t"], F.lit("")), F.lit(end)))
-    return parted.groupBy(*keys, "part").agg(F.array_join(pieces, "").alias(alias))
+    return df.groupBy(*keys).agg(F.array_join(pieces, "").alias(alias))
 
 
 def list_counts(df: DataFrame, column: str, *, alias: str = "n") -> DataFrame:

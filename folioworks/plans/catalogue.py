@@ -98,12 +98,12 @@ def label_pivot(
     labelled = split_labels(lines, keys, position, line, aliases).filter(F.col("body") != "")
     texts = join_text(labelled, [*keys, "code"], position, "body", alias="body")
     wide = (
-        texts.groupBy(*keys, "part")
+        texts.groupBy(*keys)
         .pivot("code", ["definition", *codes])
         .agg(F.first(strip(F.col("body")), ignorenulls=True))
     )
     # An entry of blank lines alone keeps its row.
-    return lines.select(*keys).distinct().join(wide, keys, "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    return lines.select(*keys).distinct().join(wide, keys, "left")
 
 
 def glossary_lines(documents: DataFrame, doc: str) -> DataFrame:
@@ -157,7 +157,8 @@ def complete_councils(found: DataFrame, supplement: DataFrame, expected: int) ->
 def guide_pages(start: DataFrame, doc: str, pages: DataFrame, base: str, allow: Allow = Allow()) -> DataFrame:
     """Guide pages with the category they have in the navigation of the parsed ``start`` page.
 
-    ``pages(url, nodes)`` are the parsed pages; those without a content area are an error.
+    ``pages(url, nodes)`` are the parsed pages; a linked page that was not landed and one without a content
+    area are errors.
     ``first_pos`` is where the navigation first links to a page.
     """
     links = nav_links(start, doc).withColumn("url", absolute(F.col("href"), base))
@@ -165,8 +166,11 @@ def guide_pages(start: DataFrame, doc: str, pages: DataFrame, base: str, allow:
     area = find(F.col("nodes"), lambda n: has_attr("id", "div")(n) & (n["attrs"]["id"] == "content"))
     sub = F.slice("nodes", area["pre"] + 1, area["last"] - area["pre"] + 1)
     missing = F.raise_error(F.concat(F.lit("no content area: "), F.col("url"))).cast("string")
-    return places.join(pages, "url", "inner").select(
-        F.coalesce(page_title(F.col("nodes")), first_filled(last_folder(F.col("url")), F.lit("Unknown"))).alias("title"),
+    lost = F.raise_error(F.concat(F.lit("page was not landed: "), F.col("url"))).cast("string")
+    return places.join(pages, "url", "left").select(
+        F.when(F.col("nodes").isNull(), lost)
+        .otherwise(F.coalesce(page_title(F.col("nodes")), first_filled(last_folder(F.col("url")), F.lit("Unknown"))))
+        .alias("title"),
         "url",
         F.coalesce(sanitize(sub, allow), missing).alias("html_content"),
         "category",

@@ -11,17 +11,17 @@ from folioworks.html.extract import chapter_links, dedicated_category, headline,
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.sections import with_transcripts
 from folioworks.operators.hierarchy import associated_items
-from folioworks.operators.lists import MAX_LIST, gather
+from folioworks.operators.lists import gather
 from folioworks.operators.quality import multiple, orphans, require_none
 from folioworks.operators.tables import left_join, lookup
 
 
 def labels_per_post(
-    bridge: DataFrame, dimension: DataFrame, key: str, slug: str, *, alias: str, keep_nulls: bool, max_len: int = MAX_LIST
+    bridge: DataFrame, dimension: DataFrame, key: str, slug: str, *, alias: str, keep_nulls: bool
 ) -> DataFrame:
     """The slugs behind the ids of ``bridge(post_id, value)``, one list per post."""
     named = lookup(bridge, dimension, "value", key, slug, alias).select("post_id", alias)
-    return gather(named, ["post_id"], alias, alias=alias, keep_nulls=keep_nulls, max_len=max_len)
+    return gather(named, ["post_id"], alias, alias=alias, keep_nulls=keep_nulls)
 
 
 def normalise(
@@ -31,24 +31,20 @@ def normalise(
     categories: DataFrame,
     tag_bridge: DataFrame,
     tags: DataFrame,
-    max_len: int = MAX_LIST,
 ) -> DataFrame:
     """``posts(id, date, title, stage_id, ...)`` with stage name and two label lists.
 
     Lists come from the bridges alone, so a post with several stages cannot repeat them.  Tool
     types keep nulls, a post without any having ``[null]``; topics drop them, giving ``[]``.  The
-    date is cut to the day.  A post whose list is over ``max_len`` has one row per ``part``.
+    date is cut to the day.
     """
-    tools = labels_per_post(
-        category_bridge, categories, "id", "slug", alias="tool_types", keep_nulls=True, max_len=max_len
-    )
-    topics = labels_per_post(tag_bridge, tags, "id", "slug", alias="topics", keep_nulls=False, max_len=max_len)
-    lists = tools.join(topics, ["post_id", "part"], "full")
+    tools = labels_per_post(category_bridge, categories, "id", "slug", alias="tool_types", keep_nulls=True)
+    topics = labels_per_post(tag_bridge, tags, "id", "slug", alias="topics", keep_nulls=False)
+    lists = tools.join(topics, "post_id", "full")
     staged = lookup(posts, stages, "stage_id", "id", "slug", "stage").drop("stage_id")
     return (
         staged.withColumn("date", F.to_date("date"))
         .join(lists, F.col("id") == F.col("post_id"), "left")
-        .withColumn("part", F.coalesce("part", F.lit(0)))
         .withColumn("topics", F.coalesce("topics", F.array().cast("array<string>")))
         .withColumn("tool_types", F.coalesce("tool_types", F.array(F.lit(None).cast("string"))))
         .drop("post_id")
@@ -82,14 +78,14 @@ def with_headlines(links: DataFrame, targets: DataFrame) -> DataFrame:
     return left_join(links, by_url, canonical(F.col("href")), "_target").drop("_target")
 
 
-def related_posts(links: DataFrame, items: DataFrame, max_len: int = MAX_LIST) -> DataFrame:
+def related_posts(links: DataFrame, items: DataFrame) -> DataFrame:
     """``links(id, href, link_title)`` to the sorted distinct ids each post links to, itself left out.
 
     ``n_links`` counts the resolved links before duplicates are merged.
     """
     found = resolve_links(links, items).filter(F.col("target_id").isNotNull() & (F.col("target_id") != F.col("id")))
     return gather(
-        found, ["id"], "target_id", alias="related_posts", distinct=True, count_alias="n_links", max_len=max_len
+        found, ["id"], "target_id", alias="related_posts", distinct=True, count_alias="n_links"
     )
 
 
@@ -113,7 +109,6 @@ def enrich(
     downloads: DataFrame,
     nodes: DataFrame,
     tree: DataFrame,
-    max_len: int = MAX_LIST,
 ) -> DataFrame:
     """Posts with chapters, book link, related posts and associated downloads.
 
@@ -121,26 +116,17 @@ def enrich(
     ``downloads(item_id, category_id)`` reach a post through the ``tree`` closure of its chapter.
     """
     links = with_headlines(facts.select("id", F.explode("links").alias("href")), targets)
-    related = related_posts(links, items, max_len).select(
-        F.col("id").alias("_rid"), F.col("part").alias("_rpart"), "related_posts"
-    )
+    related = related_posts(links, items).select(F.col("id").alias("_rid"), "related_posts")
     owners = facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
-    associated = associated_items(owners, downloads, nodes, tree, max_len).select(
-        F.col("owner_id").alias("_aid"), F.col("part").alias("_apart"), F.col("items").alias("associated_downloads")
-    )
-    lists = related.join(
-        associated, (F.col("_rid") == F.col("_aid")) & (F.col("_rpart") == F.col("_apart")), "full"
-    ).select(
-        F.coalesce("_aid", "_rid").alias("_lid"),
-        F.coalesce("_apart", "_rpart").alias("_lpart"),
-        "related_posts",
-        "associated_downloads",
+    associated = associated_items(owners, downloads, nodes, tree).select(
+        F.col("owner_id").alias("_aid"), F.col("items").alias("associated_downloads")
     )
     return (
         posts.join(facts.drop("links"), "id", "left")
-        .join(lists, (F.col("id") == F.col("_lid")) & (F.col("part") == F.col("_lpart")), "left")
+        .join(related, F.col("id") == F.col("_rid"), "left")
+        .join(associated, F.col("id") == F.col("_aid"), "left")
         .withColumn("related_posts", F.coalesce("related_posts", F.array().cast("array<bigint>")))
-        .drop("_lid", "_lpart")
+        .drop("_rid", "_aid")
     )
 
 

@@ -70,7 +70,7 @@ class Run:
         return table(self.spark, self.source, name)
 
     def publish(self, df: DataFrame, contract: contracts.Contract) -> str:
-        return publish(df.drop("part"), contract, self.target, smoke=self.smoke)
+        return publish(df, contract, self.target, smoke=self.smoke)
 
     def trial(self, df: DataFrame, key: str) -> DataFrame:
         """All rows, or for a trial run some drawn at random."""

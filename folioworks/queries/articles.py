@@ -158,7 +158,7 @@ _ROWS = " UNION ALL ".join(
 @query(
     "sections",
     f"""WITH s AS ({_ROWS}), m AS (
-          SELECT CASE WHEN pos % 3 = 1 THEN concat('v', pos) ELSE concat('prezi.com/view/v', pos, '/') END AS media, url_transkript FROM v_lookup)
+          SELECT CASE pos % 3 WHEN 1 THEN concat('v', pos) WHEN 2 THEN concat('prezi.com/view/v', pos, '/') ELSE concat('prezi.com/view/none', pos, '/') END AS media, url_transkript FROM v_lookup)
         SELECT doc_id AS post_id, CAST(n AS INT) AS widget_no, sub AS section_no, type, title, text, external_link, url_transkript AS transcript_url
         FROM s LEFT JOIN m USING (media)
         JOIN (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY w) - 1 AS n FROM v_widget) USING (doc_id, w)""",
@@ -298,7 +298,7 @@ _RELATED = """SELECT doc_id AS id, string_agg(DISTINCT k, '|' ORDER BY k) AS rel
               FROM v_widget JOIN v_post p ON p.id = k WHERE kind IN (0, 7, 15) AND k <> doc_id GROUP BY doc_id"""
 
 
-@query("related_items", f"SELECT *, 0 AS part FROM ({_RELATED})", ("v_widget", "v_post"))
+@query("related_items", f"SELECT * FROM ({_RELATED})", ("v_widget", "v_post"))
 def related_items(spark, folder):
     links = facts(spark, folder).select("id", F.explode("links").alias("href")).withColumn(
         "link_title", F.lit(None).cast("string")
@@ -316,7 +316,7 @@ def related_items(spark, folder):
         fact AS (SELECT doc_id, {_CHAPTERS} AS chapters, {_BOOK} AS book, {_DEDICATED} AS category FROM v_widget GROUP BY doc_id),
         files AS (SELECT ancestor_id, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
                   FROM closure JOIN v_filed ON category_id = node_id GROUP BY ancestor_id)
-        SELECT n.id, n.part, date, n.title, stage, tool_types, topics, chapters AS download_chapters_further, book AS book_chapter,
+        SELECT n.id, date, n.title, stage, tool_types, topics, chapters AS download_chapters_further, book AS book_chapter,
                category AS download_chapter_dedicated, coalesce(related_posts, '') AS related_posts, items AS associated_downloads
         FROM ({NORMALISED}) n LEFT JOIN fact f ON f.doc_id = n.id LEFT JOIN ({_RELATED}) r ON r.id = n.id
         LEFT JOIN files ON ancestor_id = category""",
@@ -334,7 +334,7 @@ def post_enriched(spark, folder):
         closure(root_paths(tree_nodes)),
     )
     return enriched.select(
-        "id", "part", "date", "title", "stage", joined("tool_types", "none"), joined("topics"),
+        "id", "date", "title", "stage", joined("tool_types", "none"), joined("topics"),
         joined("download_chapters_further"), "book_chapter", "download_chapter_dedicated",
         joined("related_posts"), joined("associated_downloads"),
     )

@@ -10,7 +10,7 @@ from folioworks.html.parser import parse
 from folioworks.operators.navigation import fill_levels, url_hierarchy
 from folioworks.operators.quality import orphans, reasons
 from folioworks.plans import bibliography, catalogue
-from folioworks.queries.registry import query, view
+from folioworks.queries.registry import STATE_OF_CUSTOMER, query, view
 from folioworks.session import written
 from folioworks.sources.landing import table
 
@@ -176,18 +176,18 @@ def guide_pages(spark, folder):
          SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
          FROM conversations),
        clean AS (
-         SELECT conv_id, turn // 500 AS block, turn, n, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line, role = 'user' AND n = 1 AS state FROM line)
-       SELECT concat('Term ', conv_id, '.', block) AS term, 0 AS part,
+         SELECT conv_id, turn, n, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line, role = 'user' AND n = 1 AS state FROM line)
+       SELECT concat('Term ', conv_id) AS term,
               string_agg(line, chr(10) ORDER BY turn, n) FILTER (NOT state AND line <> '') AS definition,
               string_agg(line, chr(10) ORDER BY turn, n) FILTER (state AND line <> '') AS "DE_BE"
-       FROM clean GROUP BY conv_id, block""",
+       FROM clean GROUP BY conv_id""",
 )
 def glossary_terms(spark, folder):
-    """Glossary entries of at most five hundred paragraphs, one per turn; those of users name a state."""
-    turns = table(spark, folder, "conversations").withColumn("block", F.floor(F.col("turn") / 500))
+    """Glossary entries with a paragraph per turn; those of users name a state."""
+    turns = table(spark, folder, "conversations")
     body = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     marked = F.when(F.col("role") == "user", _text("Berlin: ", body)).otherwise(body)
-    entry = _text("Term ", F.col("conv_id"), ".", F.col("block"))
+    entry = _text("Term ", F.col("conv_id"))
     head = _text('<div class="elementor-toggle-item"><a class="elementor-toggle-title">', F.col("id"), "</a>")
     entries = _pages(turns.withColumn("id", entry), "id", "turn", _text("<p>", marked, "</p>")).select(
         "id", _text(head, F.col("html"), "</div>").alias("html")
@@ -197,8 +197,8 @@ def glossary_terms(spark, folder):
 
 @query(
     "publications",
-    """SELECT concat('K', o_orderkey) AS key, concat('T', o_custkey) AS title,
-              CASE WHEN o_orderkey % 3 = 0 THEN concat('DE_', upper(substr('bwbybebbhbhhhemvninwrpslsnstshth', (o_custkey % 18) * 2 + 1, 2))) END AS jurisdiction,
+    f"""SELECT concat('K', o_orderkey) AS key, concat('T', o_custkey) AS title,
+              CASE WHEN o_orderkey % 3 = 0 THEN concat('DE_', upper({STATE_OF_CUSTOMER})) END AS jurisdiction,
               o_orderkey % 11 <> 0 AND NOT (o_orderkey % 3 = 0 AND o_custkey % 18 > 15) AND NOT (o_orderkey % 41 = 0 AND o_orderkey % 5 <> 0) AND o_orderkey % 50 <> 0 AS valid
        FROM orders WHERE o_orderkey % 8 <> 0""",
 )

@@ -234,7 +234,7 @@ def regex_capture(spark, folder):
     return table(spark, folder, "orders").select(
         "o_orderkey",
         text.capture_number(href, links.CATEGORY_PATTERN).alias("category"),
-        F.nullif(F.regexp_extract(media, links.PRESENTATION_PATTERN, 1), F.lit("")).alias("presentation"),
+        F.nullif(F.regexp_extract(media, links.PRESENTATION_ID, 1), F.lit("")).alias("presentation"),
     )
 
 
@@ -348,7 +348,7 @@ def tag_split(spark, folder):
 
 @query(
     "doc_text",
-    "SELECT conv_id, 0 AS part, string_agg(concat(text, chr(10)), '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
+    "SELECT conv_id, string_agg(concat(text, chr(10)), '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
 )
 def doc_text(spark, folder):
     return join_text(table(spark, folder, "conversations"), ["conv_id"], "turn", "text", alias="text")
@@ -365,7 +365,7 @@ _LABELS = {"user": "DE_BE", "assistant": "DE_NW", "Berlin": "DE_BB"}
          SELECT term_id, pos, CASE label WHEN 'user' THEN 'DE_BE' WHEN 'assistant' THEN 'DE_NW' WHEN 'berlin' THEN 'DE_BB' ELSE 'definition' END AS code,
                 CASE WHEN label IN ('user', 'assistant', 'berlin') THEN regexp_replace(line, '^[^:=]*[:=]', '') ELSE line END AS raw FROM split),
        clean AS (SELECT term_id, pos, code, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS body FROM body)
-       SELECT t.term_id, 0 AS part, string_agg(body, chr(10) ORDER BY pos) FILTER (code = 'definition') AS definition,
+       SELECT t.term_id, string_agg(body, chr(10) ORDER BY pos) FILTER (code = 'definition') AS definition,
               string_agg(body, chr(10) ORDER BY pos) FILTER (code = 'DE_BB') AS "DE_BB",
               string_agg(body, chr(10) ORDER BY pos) FILTER (code = 'DE_BE') AS "DE_BE",
               string_agg(body, chr(10) ORDER BY pos) FILTER (code = 'DE_NW') AS "DE_NW"

@@ -23,6 +23,11 @@ TABLES = (
 
 _JURISDICTION_ROWS = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(JURISDICTIONS.items()))
 
+#: The state of an order's customer, by the customer's number; two of eighteen numbers have none.
+STATE_OF_CUSTOMER = "CASE o_custkey % 18 " + " ".join(
+    f"WHEN {i} THEN '{c.partition('_')[2].lower()}'" for i, c in enumerate(c for c in JURISDICTIONS if "_" in c)
+) + " ELSE '' END"
+
 VIEWS = {
     # A hierarchy of regions, nations, market segments and customers.
     "v_node": """
@@ -58,21 +63,21 @@ VIEWS = {
     "v_category_bridge": """
         SELECT l_orderkey AS post_id, CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE l_partkey END AS value
         FROM lineitem""",
-    "v_tag": "SELECT s_suppkey AS id, s_name AS slug FROM supplier WHERE s_suppkey % 4 > 0",
-    "v_tag_bridge": "SELECT l_orderkey AS post_id, l_suppkey AS value FROM lineitem WHERE l_linenumber < 5",
+    "v_tag": "SELECT CASE WHEN s_suppkey % 4 = 0 THEN -s_suppkey ELSE s_suppkey END AS id, s_name AS slug FROM supplier",
+    "v_tag_bridge": "SELECT l_orderkey AS post_id, l_suppkey AS value FROM lineitem",
     "v_jurisdiction": f"SELECT * FROM (VALUES {_JURISDICTION_ROWS}) AS t(num, code, label)",
     "v_nav": """
         SELECT user_id AS doc_id, event_id AS pos,
                CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 ELSE 3 END AS lvl,
                concat(event_type, '-', event_id) AS txt, concat('/u/', user_id, '/', event_id % 40) AS url
-        FROM events WHERE event_type IN ('signup', 'view', 'click')""",
+        FROM events""",
     "v_link": """
         SELECT o_custkey AS src,
                CASE WHEN o_orderkey % 997 = 0 THEN o_custkey ELSE (o_orderkey * 31) % 20011 END AS dst FROM orders""",
     "v_edge": "SELECT DISTINCT src, dst FROM v_link",
-    "v_tags": """
+    "v_tags": f"""
         SELECT o_orderkey AS id, concat_ws('|',
-               CASE WHEN o_orderkey % 3 = 0 THEN concat('jurisdiction:de_', substr('bwbybebbhbhhhemvninwrpslsnstshth', CAST(o_custkey % 18 AS INT) * 2 + 1, 2)) END,
+               CASE WHEN o_orderkey % 3 = 0 THEN concat('jurisdiction:de_', {STATE_OF_CUSTOMER}) END,
                CASE WHEN o_orderkey % 5 = 0 THEN 'school_type:elementary' END,
                CASE WHEN o_orderkey % 41 = 0 THEN 'school_type:other' END,
                CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END) AS tags
@@ -95,10 +100,10 @@ VIEWS = {
         FROM events""",
     "v_lookup": """
         SELECT DISTINCT user_id AS pos,
-               concat(CASE WHEN user_id % 3 = 1 THEN 'https://youtu.be/v' ELSE 'https://prezi.com/view/v' END, user_id,
+               concat(CASE user_id % 3 WHEN 1 THEN 'https://youtu.be/v' WHEN 2 THEN 'https://prezi.com/view/v' ELSE 'https://prezi.com/view/none' END, user_id,
                       CASE WHEN user_id % 3 = 1 THEN ' ' ELSE '/ ' END) AS url_medium,
                concat('https://x.example/t/', user_id, '.pdf') AS url_transkript
-        FROM events WHERE user_id % 3 > 0""",
+        FROM events""",
     "v_line": """
         SELECT conv_id AS term_id, turn AS pos,
                CASE WHEN turn % 5 = 4 THEN text ELSE concat(role, ': ', text) END AS line

@@ -17,7 +17,7 @@ _TOPICS = """SELECT post_id, coalesce(string_agg(slug, '|' ORDER BY slug), '') A
              FROM v_tag_bridge LEFT JOIN v_tag ON value = id GROUP BY post_id"""
 
 # What each post looks like after normalising; shared with the enrichment query.
-NORMALISED = f"""SELECT p.id, 0 AS part, CAST(date AS DATE) AS date, title, s.slug AS stage,
+NORMALISED = f"""SELECT p.id, CAST(date AS DATE) AS date, title, s.slug AS stage,
                         coalesce(tool_types, 'none') AS tool_types, coalesce(topics, '') AS topics
                  FROM v_post p LEFT JOIN v_stage s ON p.stage_id = s.id
                  LEFT JOIN ({_TOOLS}) t ON t.post_id = p.id LEFT JOIN ({_TOPICS}) u ON u.post_id = p.id"""
@@ -38,26 +38,26 @@ def joined(column, null: str = ""):
 @query("post_dims", NORMALISED, NORMALISED_VIEWS)
 def post_dims(spark, folder):
     return normalised(spark, folder).select(
-        "id", "part", "date", "title", "stage", joined("tool_types", "none"), joined("topics")
+        "id", "date", "title", "stage", joined("tool_types", "none"), joined("topics")
     )
 
 
-@query("list_keep_nulls", f"SELECT post_id, 0 AS part, tool_types FROM ({_TOOLS})", NORMALISED_VIEWS)
+@query("list_keep_nulls", f"SELECT post_id, tool_types FROM ({_TOOLS})", NORMALISED_VIEWS)
 def list_keep_nulls(spark, folder):
     lists = labels_per_post(
         view(spark, folder, "v_category_bridge"), view(spark, folder, "v_category"), "id", "slug",
         alias="tool_types", keep_nulls=True,
     )
-    return lists.select("post_id", "part", joined("tool_types", "none"))
+    return lists.select("post_id", joined("tool_types", "none"))
 
 
-@query("list_drop_nulls", f"SELECT post_id, 0 AS part, topics FROM ({_TOPICS})", NORMALISED_VIEWS)
+@query("list_drop_nulls", f"SELECT post_id, topics FROM ({_TOPICS})", NORMALISED_VIEWS)
 def list_drop_nulls(spark, folder):
     lists = labels_per_post(
         view(spark, folder, "v_tag_bridge"), view(spark, folder, "v_tag"), "id", "slug",
         alias="topics", keep_nulls=False,
     )
-    return lists.select("post_id", "part", joined("topics"))
+    return lists.select("post_id", joined("topics"))
 
 
 @query(
@@ -231,7 +231,7 @@ _PAIRS = f"""{_CLOSURE}, scope AS (
 
 @query(
     "associated_items",
-    f"""{_PAIRS} SELECT owner_id, chapter_id, 0 AS part, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
+    f"""{_PAIRS} SELECT owner_id, chapter_id, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
         FROM v_owner LEFT JOIN (SELECT ancestor_id, item_id FROM scope JOIN v_download ON category_id = node_id) ON ancestor_id = chapter_id
         GROUP BY owner_id, chapter_id""",
     ("v_node", "v_owner", "v_download"),
@@ -240,12 +240,12 @@ def associated_items(spark, folder):
     nodes = view(spark, folder, "v_node")
     return hierarchy.associated_items(
         view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    ).select("owner_id", "chapter_id", "part", joined("items"))
+    ).select("owner_id", "chapter_id", joined("items"))
 
 
 @query(
     "associated_owners",
-    f"""{_PAIRS} SELECT item_id, category_id, 0 AS part, string_agg(CAST(owner_id AS VARCHAR), '|' ORDER BY owner_id) AS owners
+    f"""{_PAIRS} SELECT item_id, category_id, string_agg(CAST(owner_id AS VARCHAR), '|' ORDER BY owner_id) AS owners
         FROM v_download LEFT JOIN (SELECT node_id, owner_id FROM scope JOIN v_owner ON chapter_id = ancestor_id) ON node_id = category_id
         GROUP BY item_id, category_id""",
     ("v_node", "v_owner", "v_download"),
@@ -254,12 +254,12 @@ def associated_owners(spark, folder):
     nodes = view(spark, folder, "v_node")
     return hierarchy.associated_owners(
         view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    ).select("item_id", "category_id", "part", joined("owners"))
+    ).select("item_id", "category_id", joined("owners"))
 
 
 @query(
     "chapter_items",
-    f"""{_PAIRS} SELECT ancestor_id AS chapter_id, 0 AS part, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
+    f"""{_PAIRS} SELECT ancestor_id AS chapter_id, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
         FROM scope JOIN v_download ON category_id = node_id WHERE ancestor_id IN (SELECT chapter_id FROM v_owner) GROUP BY ancestor_id""",
     ("v_node", "v_owner", "v_download"),
 )
@@ -268,12 +268,12 @@ def chapter_items(spark, folder):
     lists = hierarchy.chapter_items(
         view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
     )
-    return lists.select("chapter_id", "part", joined("items"))
+    return lists.select("chapter_id", joined("items"))
 
 
 @query(
     "category_owners",
-    f"""{_PAIRS} SELECT category_id, 0 AS part, string_agg(CAST(owner_id AS VARCHAR), '|' ORDER BY owner_id) AS owners
+    f"""{_PAIRS} SELECT category_id, string_agg(CAST(owner_id AS VARCHAR), '|' ORDER BY owner_id) AS owners
         FROM (SELECT DISTINCT category_id FROM v_download) JOIN scope ON node_id = category_id JOIN v_owner ON chapter_id = ancestor_id
         GROUP BY category_id""",
     ("v_node", "v_owner", "v_download"),
@@ -283,7 +283,7 @@ def category_owners(spark, folder):
     lists = hierarchy.category_owners(
         view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
     )
-    return lists.select("category_id", "part", joined("owners"))
+    return lists.select("category_id", joined("owners"))
 
 
 def _edges(spark, folder):

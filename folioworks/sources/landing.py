@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def missing_pages(pages: DataFrame) -> DataFrame:
-    """Gaps in ``pages(page, total_pages)``: what was announced and what is there."""
-    return pages.agg(
-        F.count_distinct("page").alias("landed"), F.max("total_pages").alias("announced")
-    ).filter(F.col("landed") != F.col("announced"))
+    """Gaps in ``pages(page, total_pages)``: how many pages were announced, and how many of these numbers are there."""
+    announced = F.max("total_pages").alias("announced")
+    landed = F.count_distinct(F.when(F.col("page").between(1, F.col("total_pages")), F.col("page"))).alias("landed")
+    return pages.agg(landed, announced, F.max("page").alias("last")).filter(
+        (F.col("landed") != F.col("announced")) | (F.col("last") > F.col("announced"))
+    ).drop("last")
 
 
 def scan_paged(spark: SparkSession, path: str, item: str, *, check: bool = True) -> DataFrame:
@@ -79,7 +83,7 @@ def with_file_type(df: DataFrame, content_type: str) -> DataFrame:
     return df.withColumn("file_type", file_type(F.col(content_type)))
 
 
-def tree_rows(documents: DataFrame, tree: str, json: str, attributes: list[str], max_depth: int = 1024) -> DataFrame:
+def tree_rows(documents: DataFrame, tree: str, json: str, attributes: list[str]) -> DataFrame:
     """Nested JSON hierarchies, one per row, as adjacency rows.
 
     Each round opens one level of all trees at once; subtrees stay text until their level is
@@ -95,7 +99,7 @@ def tree_rows(documents: DataFrame, tree: str, json: str, attributes: list[str],
         F.col(json).alias("json"),
     )
     rows = None
-    for depth in range(max_depth + 1):
+    for depth in count():  # the text gets shorter at every level
         opened = written(level.withColumn("n", node).drop("json"), "tree-level")
         found = opened.select("tree_id", "parent_id", "depth", "ordinal", *[F.col(f"n.{a}").alias(a) for a in attributes])
         rows = found if rows is None else rows.unionByName(found)
@@ -107,4 +111,3 @@ def tree_rows(documents: DataFrame, tree: str, json: str, attributes: list[str],
         )
         if level.isEmpty():
             return rows
-    raise ValueError(f"hierarchy is deeper than {max_depth}")

@@ -26,7 +26,7 @@ def hot(spark, n=3000):
 
 @pytest.mark.parametrize("keep_nulls", [True, False])
 @pytest.mark.parametrize("distinct", [True, False])
-def test_oversized_lists_are_split_and_whole(spark, keep_nulls, distinct):
+def test_lists_of_hot_keys_are_whole(spark, keep_nulls, distinct):
     rows = hot(spark)
     expected = defaultdict(Counter)
     for r in rows.collect():
@@ -34,7 +34,7 @@ def test_oversized_lists_are_split_and_whole(spark, keep_nulls, distinct):
             expected[r.k][r.v] += 1
     if distinct:
         expected = {k: Counter(dict.fromkeys(c, 1)) for k, c in expected.items()}
-    lists = gather(rows, ["k"], "v", alias="vs", keep_nulls=keep_nulls, distinct=distinct, count_alias="n", max_len=100).collect()
+    lists = gather(rows, ["k"], "v", alias="vs", keep_nulls=keep_nulls, distinct=distinct, count_alias="n").collect()
     got, totals = defaultdict(Counter), Counter()
     for r in lists:
         got[r.k].update(r.vs)
@@ -42,15 +42,12 @@ def test_oversized_lists_are_split_and_whole(spark, keep_nulls, distinct):
         assert r.vs == sorted(r.vs, key=lambda x: (x is not None, x or 0))
     assert got == expected
     assert totals == Counter(r.k for r in rows.collect())
-    hot_parts = [r for r in lists if r.k == 0]
-    assert len(hot_parts) > 5 and max(len(r.vs) for r in hot_parts) < 400
-    assert all(r.part == 0 for r in lists if r.k != 0)
+    assert len({r.k for r in lists}) == len(lists)
 
 
-def test_copies_of_one_entry_are_dealt_out_evenly(spark):
+def test_copies_of_one_entry_stay_in_one_list(spark):
     rows = spark.range(1000).select(F.lit("k").alias("k"), F.lit(7).alias("v"))
-    lists = gather(rows, ["k"], "v", alias="vs", max_len=100).collect()
-    assert sorted((r.part, len(r.vs)) for r in lists) == [(i, 100) for i in range(10)]
+    assert [(r.k, r.vs) for r in gather(rows, ["k"], "v", alias="vs").collect()] == [("k", [7] * 1000)]
 
 
 def test_null_only_and_missing_lists(spark):
@@ -61,11 +58,10 @@ def test_null_only_and_missing_lists(spark):
     assert kept == {1: [None, None], 2: ["a"]}
 
 
-def test_text_is_joined_in_order_across_parts(spark):
+def test_text_is_joined_in_order(spark):
     rows = spark.range(250).select(F.lit("t").alias("k"), F.col("id").alias("pos"), F.col("id").cast("string").alias("s"))
-    parts = join_text(rows, ["k"], "pos", "s", alias="text", block=100).orderBy("part").collect()
-    assert [r.part for r in parts] == [0, 1, 2]
-    assert "".join(r.text for r in parts) == "".join(f"{i}\n" for i in range(250))
+    joined = join_text(rows, ["k"], "pos", "s", alias="text").collect()
+    assert [r.text for r in joined] == ["".join(f"{i}\n" for i in range(250))]
 
 
 def test_list_counts_skip_null_lists(spark):
