@@ -31,6 +31,14 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

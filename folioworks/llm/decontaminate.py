@@ -119,7 +119,7 @@ class WindowSums:
         while 2 << (len(self.levels) - 1) <= longest:
             last, step = self.levels[-1], 1 << (len(self.levels) - 1)
             wider = last.copy()
-            wider[: len(last) - step] += last[step:]
+            wider[: max(len(last) - step, 0)] += last[step:]
             self.levels.append(wider)
 
     def prints(self, start: np.ndarray, length: int) -> np.ndarray:

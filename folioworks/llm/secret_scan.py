@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioworks.llm.common import let, whole
+from folioworks.llm.common import fresh_name, let, whole
 from folioworks.session import written
 
 
@@ -187,12 +187,14 @@ def mask_live(docs: DataFrame, key: str = "doc_id", owner: str = "source", repos
         .agg(F.reverse(F.array_sort(F.transform(F.collect_set("value"), lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))).alias("_values"))
         .select("_key", F.concat(F.lit(r"\Q"), F.array_join(F.transform("_values", lambda s: s["v"]), r"\E|\Q"), F.lit(r"\E")).alias("_pattern"))
     )
-    masked = F.when(F.col("_pattern").isNotNull(), F.regexp_replace(F.col("text"), F.col("_pattern"), F.lit(MASK))).otherwise(F.col("text"))
-    joined = docs.join(live, docs[key] == live["_key"], "left")
+    # Names that the documents do not have.
+    own, pattern = fresh_name(docs, "_key"), fresh_name(docs, "_pattern")
+    joined = docs.join(live.select(F.col("_key").alias(own), F.col("_pattern").alias(pattern)), F.col(key) == F.col(own), "left")
+    masked = F.when(F.col(pattern).isNotNull(), F.regexp_replace(F.col("text"), F.col(pattern), F.lit(MASK))).otherwise(F.col("text"))
     changes = {"text": masked}
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col("_pattern").isNotNull(), F.length(masked).cast("bigint")).otherwise(F.col("n_chars"))
-    return joined.select(*[changes[c].alias(c) if c in changes else docs[c] for c in docs.columns])
+        changes["n_chars"] = F.when(F.col(pattern).isNotNull(), F.length(masked).cast("bigint")).otherwise(F.col("n_chars"))
+    return joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in docs.columns])
 
 
 SQL = rf"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioworks.llm.common import by_value
+from folioworks.llm.common import by_value, fresh_name
 from folioworks.llm.components import components
 from folioworks.llm.golay import Golay
 from folioworks.session import written
@@ -145,8 +145,9 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE
     """
     firsts = near_duplicates(docs.select("doc_id", "text"), max_bits, shingle).filter("doc_id = component_id").select("doc_id").distinct()
     firsts = written(firsts, "kept-ids")
-    kept = docs.join(firsts.withColumnRenamed("doc_id", "_kept"), F.col("doc_id") == F.col("_kept"), "left_semi")
-    kept = kept.withColumn("_row", F.xxhash64(*docs.columns)).dropDuplicates(["doc_id", "_row"]).drop("_row")
+    row = fresh_name(docs, "_row")
+    kept = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
+    kept = kept.withColumn(row, F.xxhash64(*docs.columns)).dropDuplicates(["doc_id", row]).drop(row)
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 

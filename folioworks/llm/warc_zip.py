@@ -26,6 +26,7 @@ import struct
 import uuid
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -132,7 +133,7 @@ class Package:
         raw = gzip.compress(record(page_id, url, payload, refers_to), 4, mtime=0)
         self.data.write(raw)
         entry = {"url": url, "page": page_id, "offset": self.at, "length": len(raw), "filename": DATA}
-        self.lines.append(f"{(url or '-').replace(' ', '%20')} {DATE} {json.dumps(entry)}\n")
+        self.lines.append(f"{quote(url or '-')} {DATE} {json.dumps(entry)}\n")
         self.at += len(raw)
 
     def close(self) -> tuple[str, int, int]:
