@@ -32,6 +32,9 @@ VOID = frozenset(
     "image isindex nextid spacer menuitem keygen".split()
 )
 
+# The elements that are lists of items.
+LISTS = ("ul", "ol")
+
 # Elements whose white space counts.
 KEEP_BLANKS = ("pre", "textarea")
 
@@ -46,6 +49,7 @@ NODE = T.StructType(
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
         T.StructField("text", T.StringType()),
         T.StructField("scopes", T.MapType(T.StringType(), T.IntegerType())),  # label -> nearest enclosing node
+        T.StructField("lists", T.IntegerType()),  # number of lists around the node
     ]
 )
 
@@ -92,7 +96,7 @@ class NodeBuilder(HTMLParser):
         """Forget all documents."""
         self.ends: list[int] = []
         # One entry per node.
-        self.last, self.parent, self.nth, self.tag, self.text = [], [], [], [], []
+        self.last, self.parent, self.nth, self.tag, self.text, self.lists = [], [], [], [], [], []
         # The lists and maps of all nodes one after the other, and where those of each node end.
         self.classes, self.class_ends = [], []
         self.names, self.values, self.attr_ends = [], [], []
@@ -100,13 +104,13 @@ class NodeBuilder(HTMLParser):
 
     def columns(self) -> tuple[list, ...]:
         return (
-            self.last, self.parent, self.nth, self.tag, self.text, self.classes, self.class_ends,
+            self.last, self.parent, self.nth, self.tag, self.text, self.lists, self.classes, self.class_ends,
             self.names, self.values, self.attr_ends, self.labels, self.places, self.scope_ends,
         )
 
     def _begin(self) -> None:
-        # Open elements as (position, tag, scopes inside, counts of child tags); the bottom is the document.
-        self.open = [(-1, None, {}, {})]
+        # Open elements as (position, tag, scopes inside, counts of child tags, lists open inside); the bottom is the document.
+        self.open = [(-1, None, {}, {}, 0)]
         self.in_text = False
 
     def read(self, html: str | None) -> None:
@@ -170,7 +174,7 @@ class NodeBuilder(HTMLParser):
 
     def _append(self, tag, text, attrs=None) -> int:
         self._end_text()
-        at, _, scopes, counts = self.open[-1]
+        at, _, scopes, counts, lists = self.open[-1]
         nth = counts.get(tag, 0)
         counts[tag] = nth + 1
         pre = len(self.tag) - self.first
@@ -179,6 +183,7 @@ class NodeBuilder(HTMLParser):
         self.nth.append(nth)
         self.tag.append(tag)
         self.text.append(text)
+        self.lists.append(lists)
         if attrs:
             self.names.extend(attrs)
             self.values.extend(attrs.values())
@@ -211,7 +216,7 @@ class NodeBuilder(HTMLParser):
             labels += [f".{c}" for c in values["class"].split() if c in self.tracked_classes]
         if labels:
             scopes = {**scopes, **dict.fromkeys(labels, pre)}
-        self.open.append((pre, tag, scopes, {}))
+        self.open.append((pre, tag, scopes, {}, self.open[-1][4] + (tag in LISTS)))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -267,6 +272,7 @@ class NodeBuilder(HTMLParser):
                 pa.MapArray.from_arrays(offsets(self.attr_ends), strings(self.names), strings(self.values)),
                 strings(self.text),
                 pa.MapArray.from_arrays(offsets(self.scope_ends), strings(self.labels), pa.array(self.places, pa.int32())),
+                pa.array(self.lists, pa.int32()),
             ],
             names=[f.name for f in NODE.fields],
         )

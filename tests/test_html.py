@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +49,7 @@ def test_nodes_nest_properly(html):
         assert all(m["last"] >= n["last"] for m in around)
         assert n["parent"] == (around[-1]["pre"] if around else -1)
         assert n["scopes"].get("p") == next((m["pre"] for m in reversed(around) if m["tag"] == "p"), None)
+        assert n["lists"] == sum(m["tag"] in ("ul", "ol") for m in around)
         assert n["nth"] == sum(m["tag"] == n["tag"] and m["parent"] == n["parent"] for m in nodes[:i])
         if n["tag"] in (TEXT, RAW) or n["tag"] in VOID:
             assert n["last"] == i
@@ -145,6 +148,22 @@ def test_markdown(one, html, expected):
     assert value(one(html), markdown(F.col("nodes"))) == expected
 
 
+def test_markdown_of_a_long_list_takes_the_time_of_its_length(one):
+    """With a search among all lists per item, this would take minutes."""
+    inner = "<ul>" + "".join(f"<li>in {i}</li>" for i in range(4)) + "</ul>"
+    html = "<ol>" + "".join(f"<li>item {i}{inner}</li>" for i in range(8_000)) + "</ol>"
+    began = time.monotonic()
+    text = value(one(html), markdown(F.col("nodes")))
+    assert time.monotonic() - began < 60
+    assert text.startswith("1. item 0  + in 0  + in 1") and "8000. item 7999" in text
+
+
+def test_markdown_counts_lists_inside_the_stretch_only(one):
+    html = "<ul><li><div class='x'><ol start='3'><li>a<ul><li>b</li></ul></li></ol></div></li></ul>"
+    area = content_area(F.col("nodes"), F.lit("x"))
+    assert value(one(html), markdown(area)) == "3. a  + b"
+
+
 @pytest.mark.parametrize(
     ("html", "expected"),
     [
