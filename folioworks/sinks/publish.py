@@ -27,20 +27,60 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return cast(df, contract)
 
 
+class _Folders:
+    """Folders of the store that a path is in.  A rename is cheap on a file system; an object store copies."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._store = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._store.exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        self._store.delete(self._path(path), True)
+
+    def move(self, old: str, new: str) -> None:
+        if not self._store.rename(self._path(old), self._path(new)):
+            raise OSError(f"could not move {old} to {new}")
+
+
+def aside_path(path: str) -> str:
+    """Where the old table waits while the new one takes its place."""
+    return f"{path}.previous"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the old table back if a publication was broken off before the new one stood in its place."""
+    folders = _Folders(spark, path)
+    if folders.exists(aside_path(path)) and not folders.exists(path):
+        folders.move(aside_path(path), path)
+
+
 def _promote(spark: SparkSession, staging: str, path: str) -> None:
-    """Put a finished folder in the place of the old one, without copying its files."""
-    location = spark._jvm.org.apache.hadoop.fs.Path
-    files = location(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(location(path), True)
-    if not files.rename(location(staging), location(path)):
-        raise OSError(f"could not put {staging} in the place of {path}")
+    """Put a finished folder in the place of the old one.
+
+    The old table moves aside first and is deleted last, so one whole table is there at any time.
+    """
+    recover(spark, path)
+    folders, aside = _Folders(spark, path), aside_path(path)
+    folders.delete(aside)
+    if folders.exists(path):
+        folders.move(path, aside)
+    try:
+        folders.move(staging, path)
+    except Exception:
+        recover(spark, path)
+        raise
+    folders.delete(aside)
 
 
 def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = False) -> str:
     """Write the table and replace the published one by it if every row keeps the contract.
 
     The rules are counted while the rows are written to a folder beside the table, so the plan runs
-    once and the rows are written once.
+    once and the rows are written once.  A run that is broken off leaves the old table in its place or
+    beside it, from where ``recover``, or the next run, puts it back.
     """
     shaped = conform(df, contract)
     path = target_path(folder, contract.name, smoke=smoke)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from folioworks import contracts as C
 from folioworks.operators import quality
 from folioworks.session import shared_dir
+from folioworks.sinks import publish as publishing
 from folioworks.sinks.publish import conform, publish, target_path
 from folioworks.sources.landing import missing_pages, scan_files, scan_paged, with_file_type
 
@@ -102,6 +103,29 @@ def test_publish_checks_and_replaces(spark, tmp_path):
     assert [r.id for r in spark.read.parquet(target_path(str(tmp_path), "small")).collect()] == [2]
 
 
+def test_publish_broken_off_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    good = spark.createDataFrame([(1, "a", ["x"])], "id int, kind string, marks array<string>")
+    path = publish(good, SMALL, str(tmp_path))
+    move = publishing._Folders.move
+
+    def fails(self, old, new):
+        if old.endswith(".staging"):
+            raise OSError("no room")
+        move(self, old, new)
+
+    monkeypatch.setattr(publishing._Folders, "move", fails)
+    with pytest.raises(OSError, match="no room"):
+        publish(good.withColumn("id", F.lit(2)), SMALL, str(tmp_path))
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+    # A driver that dies between the two moves leaves the old table aside.
+    monkeypatch.setattr(publishing._Folders, "move", move)
+    publishing._Folders(spark, path).move(path, publishing.aside_path(path))
+    publishing.recover(spark, path)
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+    publish(good.withColumn("id", F.lit(3)), SMALL, str(tmp_path))
+    assert [r.id for r in spark.read.parquet(path).collect()] == [3]
+
+
 def test_table_checks(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,)], "id int")
