@@ -100,10 +100,11 @@ def left_join(df: DataFrame, side: DataFrame, on: Column, key: str) -> DataFrame
     """Left join in which rows without a key do not all meet in one partition.
 
     A null key matches nothing, so such rows may go anywhere: a second, always equal, key sends them
-    by the hash of the row.  No broadcast hint: the planner broadcasts a side it knows to be small
+    by the hash of the row, maps left out.  No broadcast hint: the planner broadcasts a side it knows to be small
     and otherwise shuffles, splitting skewed keys at run time.
     """
-    spread = F.when(on.isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.when(on.isNull(), F.xxhash64(F.lit(0), *hashed)).otherwise(F.lit(0).cast("bigint"))
     return (
         df.withColumn("_spread", spread)
         .join(side.withColumn("_zero", F.lit(0).cast("bigint")), (on == F.col(key)) & (F.col("_spread") == F.col("_zero")), "left")

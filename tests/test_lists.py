@@ -99,3 +99,10 @@ def test_left_join_keeps_rows_without_a_key(spark):
     side = spark.createDataFrame([("a", 10), (None, 99)], "key string, x int")
     got = left_join(rows, side, F.col("k"), "key").select("id", "x").collect()
     assert sorted(map(tuple, got)) == [(1, None), (2, 10), (3, None), (4, None)]
+
+
+def test_left_join_takes_rows_with_maps(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, 'a', map('x', 1)), (2, NULL, map('y', 2)) AS t(id, k, m)")
+    side = spark.createDataFrame([("a", 5)], "key string, x int")
+    got = left_join(rows, side, F.col("k"), "key").select("id", "x", "m").collect()
+    assert sorted((r.id, r.x, r.m) for r in got) == [(1, 5, {"x": 1}), (2, None, {"y": 2})]
