@@ -10,6 +10,7 @@ from folioworks.html import extract
 from folioworks.html.parser import parse
 from folioworks.html.render import markdown, sanitize
 from folioworks.html.sections import TEXT_EDITOR, TRACK, WIDGET, unknown_widgets
+from folioworks.html.sections import sections as cut_sections
 from folioworks.html.select import has_class, select_nodes
 from folioworks.operators.hierarchy import closure, root_paths
 from folioworks.operators.quality import orphans
@@ -170,12 +171,12 @@ def all_sections(spark, folder):
 
 @query("section_counts", f"SELECT type, count(*) AS n FROM ({_ROWS}) GROUP BY type", ("v_widget",))
 def section_counts(spark, folder):
-    return value_counts(sections(documents(spark, folder), view(spark, folder, "v_lookup")), "type")
+    return value_counts(cut_sections(documents(spark, folder), "id"), "type")
 
 
 @query("section_orphans", f"SELECT DISTINCT doc_id AS key FROM ({_ROWS}) WHERE doc_id % 10 = 3", ("v_widget",))
 def section_orphans(spark, folder):
-    found = sections(documents(spark, folder), view(spark, folder, "v_lookup"))
+    found = cut_sections(documents(spark, folder), "id")
     return orphans(found, "post_id", view(spark, folder, "v_post").filter(F.col("id") % 10 != 3), "id")
 
 

@@ -192,6 +192,11 @@ def tree_closure(spark, folder):
     return closure_of(view(spark, folder, "v_node"))
 
 
+@query("tree_children", "SELECT node_id, ordinal, name FROM v_node WHERE parent_id = 'root'", ("v_node",))
+def tree_children(spark, folder):
+    return hierarchy.children(view(spark, folder, "v_node"), "root").drop("parent_id")
+
+
 @query(
     "tree_levels",
     f"""{_CLOSURE} SELECT node_id, CAST(max(distance) AS INT) AS depth,

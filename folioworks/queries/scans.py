@@ -20,6 +20,7 @@ from folioworks.sources.landing import (
     resources,
     scan_config,
     scan_paged,
+    scan_sheet,
     table,
     tree_rows,
 )
@@ -388,3 +389,42 @@ def publish_roundtrip(spark, folder):
     )
     path = publish(rows, _PUBLISHED, fresh_path(spark, "published"))
     return spark.read.parquet(path).withColumn("n_words", F.size("words")).drop("words")
+
+
+@query(
+    "publish_replace",
+    """SELECT 'full' AS name, id, title, stage_id AS stage FROM v_post
+       UNION ALL SELECT 'trial', id, 'trial', stage_id FROM v_post""",
+    ("v_post",),
+)
+def publish_replace(spark, folder):
+    """The second publication takes the place of the first; the trial after it goes under a name of its own."""
+    target = fresh_path(spark, "published")
+    rows = view(spark, folder, "v_post").select(
+        "id", "date", "title", F.col("stage_id").alias("stage"), F.split("title", " ").alias("words")
+    )
+    publish(rows.withColumn("title", F.lit("old")), _PUBLISHED, target)
+    full = publish(rows, _PUBLISHED, target)
+    trial = publish(rows.withColumn("title", F.lit("trial")), _PUBLISHED, target, smoke=True)
+    read = [spark.read.parquet(p).select(F.lit(n).alias("name"), "id", "title", "stage") for n, p in (("full", full), ("trial", trial))]
+    return read[0].unionByName(read[1])
+
+
+@query("sheet_scan", "SELECT url_medium, url_transkript, 1 AS places FROM v_lookup", ("v_lookup",))
+def sheet_scan(spark, folder):
+    """The lookup sheet, landed as CSV; every line has a place of its own."""
+    path = fresh_path(spark, "sheet")
+    landed = view(spark, folder, "v_lookup").select("url_medium", "url_transkript")
+    landed.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    sheet = scan_sheet(spark, path, "url_medium string, url_transkript string")
+    return sheet.groupBy("url_medium", "url_transkript").agg(F.count_distinct("pos").cast("int").alias("places"))
+
+
+@query("required_rows", "SELECT l_orderkey, l_linenumber FROM lineitem")
+def required_rows(spark, folder):
+    """Nested entries as rows; their number must be the one that the nested form announces."""
+    lines = F.collect_list(F.struct("l_linenumber")).alias("resources")
+    config = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(lines)
+    rows = resources(config, "l_orderkey")
+    quality.require_rows(rows, expected_resources(config).first()["expected"])
+    return rows
