@@ -44,7 +44,8 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def encoded(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "replace")
+    """The text without regard to case, in any script."""
+    return (text or "").lower().encode("utf-8", "replace")
 
 
 class WordHashes:

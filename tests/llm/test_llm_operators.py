@@ -175,6 +175,12 @@ def test_leaks_are_found_and_clean_texts_left(spark, odd):
     assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_are_found_in_any_case_of_any_script():
+    item = " ".join(f"é{k}à ñ{k}ö" for k in range(15))
+    found = list(decontaminate.Matcher([(1, item)]).find([f"before it {item.upper()} behind it", item.title(), LONG]))
+    assert [(place, similarity) for place, _, similarity, *_ in found] == [(0, 1.0), (1, 1.0)]
+
+
 def test_hamming_tables_find_all_within_the_radius():
     import numpy as np
 
