@@ -8,8 +8,9 @@ in all.  Texts meet on a key, and the distance decides.
 
 Links are found in two passes over the keys.  The first ties every fingerprint to the smallest one on
 its keys, where the distance allows, which joins dense groups at a cost linear in the keys.  The
-second joins on the keys, looking only at pairs not yet joined.  So a group of many copies never
-becomes all its pairs, and no link between different groups is lost.
+second looks only at keys that several groups share, and lays what is outside a key's largest group on
+the rest.  So a group of many copies never becomes all its pairs, and no link between different groups
+is lost.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of fewer
 words than a shingle is one shingle; a null ``doc_id`` stands for no document that could be linked to,
@@ -106,6 +107,23 @@ def _distance(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _links_between(keys: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (a, b): groups of which fingerprints that share a key lie within the distance.
+
+    Of two fingerprints of different groups, one is outside the key's largest group; so it is enough to
+    lay those outside on all of the key.  The pairs looked at are at most twice those between groups,
+    however large one group is.
+    """
+    sizes = keys.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    # A largest group; the tie of groups of the same size is broken by the group's own number.
+    tops = sizes.groupBy("key").agg(F.max(F.struct("n", "group"))["group"].alias("top"), F.count(F.lit(1)).alias("groups"))
+    shared = written(keys.join(tops.filter("groups > 1").drop("groups"), "key"), "shared-keys")
+    left = shared.filter(F.col("group") != F.col("top")).select("key", F.col("fp").alias("fp_a"), F.col("group").alias("a"))
+    right = shared.select("key", F.col("fp").alias("fp_b"), F.col("group").alias("b"))
+    near = left.join(right, "key").filter((F.col("a") != F.col("b")) & (_distance("fp_a", "fp_b") <= max_bits))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def linked_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows (node, component) for the distinct fingerprints that have links."""
     if not 0 <= max_bits <= 4:
@@ -116,11 +134,8 @@ def linked_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     first = components(stars.select(F.col("fp").alias("a"), F.col("least").alias("b")))
     named = prints.select("fp").distinct().join(first, F.col("fp") == F.col("node"), "left")
     named = written(named.select("fp", F.coalesce("component", "fp").alias("group")), "first-groups")
-    keys = fuzzy_keys(named)
-    left = keys.select("key", F.col("fp").alias("fp_a"), F.col("group").alias("a"))
-    right = keys.select(F.col("key").alias("key_b"), F.col("fp").alias("fp_b"), F.col("group").alias("b"))
-    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (_distance("fp_a", "fp_b") <= max_bits))
-    second = components(met.select("a", "b").distinct())
+    met = _links_between(written(fuzzy_keys(named), "grouped-keys"), max_bits)
+    second = components(met.distinct())
     group = named.join(second.withColumnRenamed("node", "_group"), F.col("group") == F.col("_group"), "left")
     return group.select(F.col("fp").alias("node"), F.coalesce("component", "group").alias("component"))
 
