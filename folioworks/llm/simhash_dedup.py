@@ -8,9 +8,8 @@ in all.  Texts meet on a key, and the distance decides.
 
 Links are found in two passes over the keys.  The first ties every fingerprint to the smallest one on
 its keys, where the distance allows, which joins dense groups at a cost linear in the keys.  The
-second looks only at keys that several groups share, and lays what is outside a key's largest group on
-the rest.  So a group of many copies never becomes all its pairs, and no link between different groups
-is lost.
+second lays what is outside a key's largest group on the rest.  So a group of many copies never
+becomes all its pairs, and no link between different groups is lost.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of fewer
 words than a shingle is one shingle; a null ``doc_id`` stands for no document that could be linked to,
@@ -116,10 +115,11 @@ def _links_between(keys: DataFrame, max_bits: int) -> DataFrame:
     """
     sizes = keys.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
     # A largest group; the tie of groups of the same size is broken by the group's own number.
-    tops = sizes.groupBy("key").agg(F.max(F.struct("n", "group"))["group"].alias("top"), F.count(F.lit(1)).alias("groups"))
-    shared = written(keys.join(tops.filter("groups > 1").drop("groups"), "key"), "shared-keys")
-    left = shared.filter(F.col("group") != F.col("top")).select("key", F.col("fp").alias("fp_a"), F.col("group").alias("a"))
-    right = shared.select("key", F.col("fp").alias("fp_b"), F.col("group").alias("b"))
+    tops = sizes.groupBy("key").agg(F.max(F.struct("n", "group"))["group"].alias("top"))
+    # Where a key has one group, nothing is outside it.
+    marked = written(keys.join(tops, "key"), "marked-keys")
+    left = marked.filter(F.col("group") != F.col("top")).select("key", F.col("fp").alias("fp_a"), F.col("group").alias("a"))
+    right = marked.select("key", F.col("fp").alias("fp_b"), F.col("group").alias("b"))
     near = left.join(right, "key").filter((F.col("a") != F.col("b")) & (_distance("fp_a", "fp_b") <= max_bits))
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
