@@ -4,23 +4,27 @@ A page is cut into blocks.  What stands in scripts, styles, forms, menus, header
 notices, adverts and reader comments, by element, role or class, is never main text.  Where a page
 marks its article (``article``, else ``main``, else an article body), the rest of that is the main text.
 
-Where it does not, the host decides.  The token streams of a host's pages, without the marked articles,
-are laid end to end and their suffixes sorted by their first ``RUN`` tokens; neighbours that agree in
-all of them are long substrings, counted by the distinct pages they occur on.  Tokens covered by a
-substring of ``PAGES`` pages or more are boilerplate, unique runs stay.  A host's pages are dealt into
-shards of bounded size with a suffix array each; what the shards found is added up per host, so the
-counts are those of the whole host.
+Where it does not, the host decides.  The token streams of a host's distinct pages are laid end to end and
+their suffixes sorted by their first ``RUN`` tokens; neighbours that agree in all of them are long
+substrings, counted by the distinct pages they occur on.  Tokens covered by a substring of ``PAGES``
+distinct pages or more, and of ``RUN_SHARE`` in a hundred of the host's, are boilerplate, unique runs stay.
+A host's pages are dealt into shards of bounded size with a suffix array each.  What reaches the share on a
+host reaches it in one of its shards; those substrings are then counted in all shards, so the counts are
+those of the whole host.
 
 The suffix array does not judge marked articles: passages that several articles quote would be taken
-for boilerplate there.  Defined cases: a null or empty html has an empty text; a null url is a host of
-its own; rows that repeat are pages of their own; other columns are ignored; markup may be broken
-anywhere, unclosed elements end with the one around them.
+for boilerplate there.  Defined cases: a null or empty html has an empty text and is no page that counts;
+pages whose blocks have the same texts are one distinct page of their host, and each gets its text; a host
+of less than ``PAGES`` distinct pages keeps all; a null url is a host of its own; other columns are
+ignored; markup may be broken anywhere, unclosed elements end with the one around them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,8 @@ from folioworks.session import written
 
 RUN = 8
 PAGES = 3
+#: A repeated run is boilerplate where so many of a hundred distinct pages of its host hold it.
+RUN_SHARE = 20
 SHARD_PAGES = 512
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -155,134 +161,203 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
     return [], [(t, s == 1) for t, s in found]
 
 
-PARSED = "page_id bigint, url string, host string, main string, rest array<struct<text:string,open:boolean>>, open boolean"
+#: What the host does with a block: nothing, cut the repeated runs out of it, or leave it as the article it is marked as.
+_CLOSED, _CUT, _MARKED = "-", "?", "="
+PARSED = "page_id bigint, url string, host string, content bigint, fresh boolean, deal bigint, packed binary"
+
+
+def _pack(page: str | None) -> bytes:
+    """All blocks of a page, each led by its kind; equal texts give equal bytes."""
+    main, rest = blocks(page)
+    lines = [_MARKED + t for t in main] + [(_CUT if o else _CLOSED) + t for t, o in rest]
+    return zlib.compress("\n".join(lines).encode("utf-8", "replace")) if lines else b""
+
+
+def _unpack(packed: bytes) -> list[tuple[str, str]]:
+    """Kind and text of every block."""
+    return [(line[0], line[1:]) for line in zlib.decompress(packed).decode().split("\n")] if packed else []
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """Pages with the text of their marked article and their other blocks."""
+    """Pages with their blocks, a number of their content, and whether their task has not seen it on that host before.
+
+    ``deal`` is the content's own number where it is fresh, so that the copies that several tasks hold meet in one
+    shard; a task's further copies are spread.
+    """
     host = F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     picked = pages.select("page_id", "url", "html", host.alias("host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        n = 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                cut = [blocks(page) for page in part.column("html").to_pylist()]
+                packed = [_pack(page) for page in part.column("html").to_pylist()]
+                content, fresh, deal = [], [], []
+                for host, body in zip(part.column("host").to_pylist(), packed, strict=True):
+                    digest = hashlib.blake2b(f"{host is None} {host}\n".encode("utf-8", "replace") + body, digest_size=16).digest()
+                    n += 1
+                    fresh.append(bool(body) and digest not in seen)
+                    seen.add(digest)
+                    content.append(int.from_bytes(digest[:8], "little", signed=True) if body else None)
+                    own = digest if fresh[-1] else hashlib.blake2b(digest + n.to_bytes(8, "little"), digest_size=16).digest()
+                    deal.append(int.from_bytes(own[8:], "little", signed=True))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("page_id"),
                         part.column("url"),
                         part.column("host"),
-                        pa.array(["\n".join(main) for main, _ in cut], pa.string()),
-                        pa.array([[{"text": t, "open": o} for t, o in rest] for _, rest in cut], _REST),
-                        pa.array([any(o for _, o in rest) for _, rest in cut], pa.bool_()),
+                        pa.array(content, pa.int64()),
+                        pa.array(fresh, pa.bool_()),
+                        pa.array(deal, pa.int64()),
+                        pa.array(packed, pa.binary()),
                     ],
-                    names=["page_id", "url", "host", "main", "rest", "open"],
+                    names=["page_id", "url", "host", "content", "fresh", "deal", "packed"],
                 )
 
     return picked.mapInArrow(run, T.StructType([picked.schema["page_id"], *T._parse_datatype_string(PARSED).fields[1:]]))
 
 
-_REST = pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_())]))
 _EDGE = "\x02"
 
 
 class HostArray:
-    """Suffixes of some pages' token streams, sorted by their first ``RUN`` tokens."""
+    """Token streams of some pages end to end, and their suffixes sorted by their first ``RUN`` tokens."""
 
-    def __init__(self, pages: list[list[dict]], run: int = RUN) -> None:
-        lines = [f" {_EDGE} ".join(b["text"] for b in page) for page in pages]
+    def __init__(self, pages: list[list[tuple[str, str]]], run: int = RUN) -> None:
+        lines = [f" {_EDGE} ".join(text for _, text in page) for page in pages]
         words, self.lengths = WordHashes().of([line.encode("utf-8", "replace") for line in lines])
         ends = np.cumsum(self.lengths)
-        owner = np.repeat(np.arange(len(pages)), self.lengths)
-        fits = ends[owner] - np.arange(len(words)) >= run if len(words) else np.zeros(0, dtype=bool)
-        # Ranks by the first 1, 2, 4, ... tokens; with the last doubling, suffixes agree in RUN tokens or not.
-        rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
-        step = 1
-        while step < run:
-            step = min(step, run - step)
-            behind = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.int64)])
-            rank = np.unique(rank * (rank.max(initial=0) + 1) + behind, return_inverse=True)[1].astype(np.int64)
-            step *= 2
+        self.owner = np.repeat(np.arange(len(pages)), self.lengths)
+        fits = ends[self.owner] - np.arange(len(words)) >= run if len(words) else np.zeros(0, dtype=bool)
+        self.words, self.run = words, run
         self.starts = np.nonzero(fits)[0]
-        self.order = self.starts[np.lexsort((self.starts, rank[self.starts]))]
-        self.rank, self.owner = rank, owner
         self.hashes = shingle_hashes(words, run).view(np.int64) if len(words) else np.zeros(0, np.int64)
 
     def substrings(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each distinct substring of RUN tokens and the number of pages it occurs on."""
-        if not len(self.order):
+        """Hash of each distinct substring of ``RUN`` tokens and the number of pages it occurs on."""
+        if not len(self.starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        rank, page = self.rank[self.order], self.owner[self.order]
+        # Ranks by the first 1, 2, 4, ... tokens; with the last doubling, suffixes agree in RUN tokens or not.
+        rank = np.unique(self.words, return_inverse=True)[1].astype(np.int64)
+        step = 1
+        while step < self.run:
+            step = min(step, self.run - step)
+            behind = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), np.int64)])
+            rank = np.unique(rank * (rank.max(initial=0) + 1) + behind, return_inverse=True)[1].astype(np.int64)
+            step *= 2
+        order = self.starts[np.lexsort((self.starts, rank[self.starts]))]
+        rank, page = rank[order], self.owner[order]
         first = np.concatenate([[True], rank[1:] != rank[:-1]])
         fresh = first | np.concatenate([[True], page[1:] != page[:-1]])
-        n = np.add.reduceat(fresh.astype(np.int64), np.nonzero(first)[0])
-        return self.hashes[self.order[first]], n
-
-    def covered(self, repeated: np.ndarray, run: int = RUN) -> list[np.ndarray]:
+        return self.hashes[order[first]], np.add.reduceat(fresh.astype(np.int64), np.nonzero(first)[0])
+
+    def count(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the wanted substrings that occur, and the number of pages they occur on."""
+        at = self.starts[np.isin(self.hashes[self.starts], wanted)]
+        order = at[np.lexsort((self.owner[at], self.hashes[at]))]
+        own, page = self.hashes[order], self.owner[order]
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (own[1:] != own[:-1]) | (page[1:] != page[:-1])
+        return np.unique(own[fresh], return_counts=True)
+
+    def covered(self, repeated: np.ndarray) -> list[np.ndarray]:
         """For each page, which tokens stand in a repeated substring."""
-        marks = np.zeros(len(self.rank) + run + 1, dtype=np.int64)
+        marks = np.zeros(len(self.hashes) + self.run + 1, dtype=np.int64)
         hit = self.starts[np.isin(self.hashes[self.starts], repeated)]
         np.add.at(marks, hit, 1)
-        np.add.at(marks, hit + run, -1)
-        return np.split(np.cumsum(marks)[: len(self.rank)] > 0, np.cumsum(self.lengths)[:-1])
+        np.add.at(marks, hit + self.run, -1)
+        return np.split(np.cumsum(marks)[: len(self.hashes)] > 0, np.cumsum(self.lengths)[:-1])
+
 
+FOUND = "host string, hash bigint"
+COUNTED = "host string, pages bigint, hash bigint, n bigint"
 
-FOUND = "host string, shard bigint, hash bigint, n_pages bigint, open boolean"
 
+def _distinct(pages: pa.Table) -> list[list[tuple[str, str]]]:
+    """The different contents among a shard's fresh pages."""
+    packed = zip(pages.column("packed").to_pylist(), pages.column("fresh").to_pylist(), strict=True)
+    return [_unpack(p) for p in dict.fromkeys(p for p, fresh in packed if fresh)]
 
-def _substrings(pages: pa.Table) -> pa.Table:
-    rest, opened = pages.column("rest").to_pylist(), pages.column("open").to_pylist()
-    array = HostArray(rest)
-    hashes, n = array.substrings()
-    own = array.starts[np.repeat(np.array(opened, dtype=bool), array.lengths)[array.starts]] if len(array.starts) else array.starts
-    host, shard = pages.column("host")[0].as_py(), pages.column("shard")[0].as_py()
+
+def _found(pages: pa.Table, least_pages: int) -> pa.Table:
+    """Substrings that may reach the host's share: what does so on the host does so in one of its shards at least."""
+    contents = _distinct(pages)
+    hashes, n = HostArray(contents).substrings()
+    alone = pages.column("shards")[0].as_py() == 1
+    hashes = hashes[(100 * n >= RUN_SHARE * len(contents)) & (n >= (least_pages if alone else 1))]
+    return pa.table({"host": pa.array([pages.column("host")[0].as_py()] * len(hashes), pa.string()), "hash": pa.array(hashes, pa.int64())})
+
+
+def _counted(pages: pa.Table, wanted: pa.Table) -> pa.Table:
+    """On how many of a shard's contents the host's candidates occur."""
+    hashes = n = np.zeros(0, np.int64)
+    host = total = None
+    if pages.num_rows and wanted.num_rows:
+        host, total = pages.column("host")[0].as_py(), pages.column("pages")[0].as_py()
+        hashes, n = HostArray(_distinct(pages)).count(wanted.column("hash").to_numpy())
     return pa.table(
         {
             "host": pa.array([host] * len(hashes), pa.string()),
-            "shard": pa.array([shard] * len(hashes), pa.int64()),
+            "pages": pa.array([total] * len(hashes), pa.int64()),
             "hash": pa.array(hashes, pa.int64()),
-            "n_pages": pa.array(n, pa.int64()),
-            "open": pa.array(np.isin(hashes, array.hashes[own]), pa.bool_()),
+            "n": pa.array(n, pa.int64()),
         }
     )
 
 
-def _unique_runs(pages: pa.Table, repeated: pa.Table) -> pa.Table:
+def _texts(pages: pa.Table, repeated: pa.Table) -> pa.Table:
+    """Marked articles, and what the host leaves of the other blocks."""
     if not pages.num_rows:
         return pa.table({"page_id": pa.array([], pa.int64()), "url": pa.array([], pa.string()), "text": pa.array([], pa.string())})
-    rest = pages.column("rest").to_pylist()
-    array = HostArray(rest)
-    texts = []
-    for page, covered in zip(rest, array.covered(repeated.column("hash").to_numpy()), strict=True):
-        kept, at = [], 0
-        for block in page:
-            words = block["text"].split()
-            if block["open"]:
-                left = " ".join(w for w, gone in zip(words, covered[at : at + len(words)], strict=True) if not gone)
-                if left:
-                    kept.append(left)
-            at += len(words) + 1
-        texts.append("\n".join(kept))
+    bodies = [_unpack(p) for p in pages.column("packed").to_pylist()]
+    if repeated.num_rows:
+        array = HostArray(bodies)
+        runs = array.covered(repeated.column("hash").to_numpy())
+        bodies = [_left(page, gone) for page, gone in zip(bodies, runs, strict=True)]
+    texts = ["\n".join(text for kind, text in page if kind != _CLOSED) for page in bodies]
     return pa.table({"page_id": pages.column("page_id"), "url": pages.column("url"), "text": pa.array(texts, pa.string())})
 
 
+def _left(page: list[tuple[str, str]], gone: np.ndarray) -> list[tuple[str, str]]:
+    """A page's blocks without the repeated runs of those that are to be cut."""
+    kept, at = [], 0
+    for kind, text in page:
+        words = text.split(" ")
+        here = gone[at : at + len(words)]
+        if kind == _CUT:
+            text = " ".join(w for w, out in zip(words, here, strict=True) if not out)
+        if text:
+            kept.append((kind, text))
+        at += len(words) + 1
+    return kept
+
+
 def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHARD_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    parsed = written(parse(pages), "pages-parsed")
-    hosts = parsed.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / shard_pages).alias("_shards")).withColumnRenamed("host", "_host")
-    # The text of marked articles stays where it was written.
-    dealt = parsed.select("page_id", "url", "host", "rest", "open", F.xxhash64("page_id", "url").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
-    dealt = dealt.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-    dealt = dealt.select("page_id", "url", "host", "rest", "open", F.pmod(F.xxhash64("_hash", "_row"), F.col("_shards")).alias("shard"))
-    found = written(dealt.groupBy("host", "shard").applyInArrow(_substrings, FOUND), "host-substrings")
-    repeated = found.groupBy("host", "hash").agg(F.sum("n_pages").alias("_n"), F.max("open").alias("_open")).filter(f"_n >= {least_pages} AND _open")
-    repeated = repeated.select(F.col("host").alias("_host"), F.col("hash").alias("_hash"))
-    told = found.filter("open").join(repeated, F.col("host").eqNullSafe(F.col("_host")) & (F.col("hash") == F.col("_hash"))).select("host", "shard", "hash")
+    parsed = parse(pages)
+    hosts = parsed.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / shard_pages).alias("shards"), F.count_distinct("content").alias("pages"))
+    hosts = written(hosts.withColumnRenamed("host", "_host"), "page-hosts")
+    # One deal serves all three passes; the passes hand on substrings only.
+    dealt = parsed.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
+    dealt = dealt.select("page_id", "url", "host", "fresh", "packed", "shards", "pages", F.pmod("deal", "shards").alias("shard"))
+    shards = hosts.select("_host", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)).alias("shard"))
+
+    def everywhere(found: DataFrame) -> DataFrame:
+        """A host's substrings, once for each of its shards."""
+        return found.join(shards, F.col("host").eqNullSafe(F.col("_host"))).drop("_host").groupBy("host", "shard")
+
+    def found(part: pa.Table) -> pa.Table:
+        return _found(part, least_pages)
+
+    by_shard = dealt.groupBy("host", "shard")
+    wanted = by_shard.applyInArrow(found, FOUND).distinct()
+    counted = by_shard.cogroup(everywhere(wanted)).applyInArrow(_counted, COUNTED).groupBy("host", "pages", "hash").agg(F.sum("n").alias("n"))
+    repeated = counted.filter((F.col("n") >= least_pages) & (100 * F.col("n") >= RUN_SHARE * F.col("pages"))).select("host", "hash")
     schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
-    decided = dealt.filter("open").groupBy("host", "shard").cogroup(told.groupBy("host", "shard")).applyInArrow(_unique_runs, schema)
-    marked = parsed.filter("NOT open").select("page_id", "url", F.col("main").alias("text"))
-    return marked.unionByName(decided).select("*", F.length("text").cast("bigint").alias("n_chars"))
+    decided = by_shard.cogroup(everywhere(repeated)).applyInArrow(_texts, schema)
+    return decided.select("*", F.length("text").cast("bigint").alias("n_chars"))
 
 
 by_value(__name__)

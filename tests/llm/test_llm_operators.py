@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import uuid
 import zlib
@@ -239,6 +240,46 @@ def test_main_text_of_pages(spark):
     assert len(rows) == len(pages)
 
 
+def html_rows(spark, pages, **how):
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in html_text.main_text(frame, **how).collect()}
+
+
+def test_copies_of_a_page_are_one_page_of_their_host(spark):
+    text = "a b c d e f g h i j k l"
+    pages = [(i, f"https://c.example/{i}", f"<div><p>{text}</p></div>") for i in range(5)] + [(10 + i, None, f"<p>{text}</p>") for i in range(3)]
+    assert set(html_rows(spark, pages, shard_pages=2).values()) == {text}
+
+
+def test_runs_are_cut_by_the_share_of_distinct_pages(spark):
+    phrase, foot = "to be or not to be that is the question", "all rights are reserved by the keepers of this place"
+    own = {i: " ".join(f"own{i}x{k}" for k in range(12)) for i in range(40)}
+    pages = [(i, f"https://s.example/{i}", f"<p>{own[i]} {phrase if i < 5 else ''} end{i}</p><p>{foot}</p>") for i in own]
+    for shard_pages in (512, 7):
+        rows = html_rows(spark, pages, shard_pages=shard_pages)
+        assert rows == {i: f"{own[i]} {phrase + ' ' if i < 5 else ''}end{i}" for i in own}
+
+
+def test_repeated_runs_are_those_of_brute_force(spark):
+    rng = random.Random(5)
+    pages = []
+    for i in range(60):
+        tokens = [rng.choice("abcd") for _ in range(rng.randrange(30))] + ["common", "run", "of", "eight", "words", "on", "many", "pages"] * (i % 3 == 0) + [f"own{i % 50}"]
+        pages.append((i, "https://b.example/x", "<p>" + " ".join(tokens) + "</p>"))
+    pages += [(100 + i, url, page) for i, _, page in pages[:20] for url in ["https://b.example/copy"]]
+    contents = {page[3:-4] for _, _, page in pages}
+    grams = collections.Counter(g for t in contents for g in {tuple(t.split()[k : k + 8]) for k in range(len(t.split()) - 7)})
+    often = {g for g, n in grams.items() if n >= 3 and 100 * n >= html_text.RUN_SHARE * len(contents)}
+    assert often
+
+    def left(tokens):
+        gone = {k + j for k in range(len(tokens) - 7) if tuple(tokens[k : k + 8]) in often for j in range(8)}
+        return " ".join(w for k, w in enumerate(tokens) if k not in gone)
+
+    want = {i: left(page[3:-4].split()) for i, _, page in pages}
+    assert html_rows(spark, pages) == html_rows(spark, pages, shard_pages=9) == want
+
+
 def test_packages_round_trip(spark, tmp_path, monkeypatch):
     pages = [(1, "u", "same"), (2, None, "same"), (3, "a\r\nb", ""), (4, "v", None), (None, "w", "lone é"), (7, "x", "y" * 300_000), (7, "x", "y" * 300_000)]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
