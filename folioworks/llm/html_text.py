@@ -12,8 +12,11 @@ A host's pages are dealt into shards of bounded size with a suffix array each.
 host reaches it in one of its shards; those substrings are then counted in all shards, so the counts are
 those of the whole host.
 
-The suffix array does not judge marked articles: passages that several articles quote would be taken
-for boilerplate there.  Defined cases: a null or empty html has an empty text and is no page that counts;
+Blocks of marked articles are judged by the same array, but whole: one goes where substrings on
+``PAGES`` distinct pages and on ``BLOCK_SHARE`` in a hundred cover all its tokens, so passages that some
+articles quote stay.  An article that would lose all its blocks keeps them: the page's own mark stands.
+
+Defined cases: a null or empty html has an empty text and is no page that counts;
 pages whose blocks have the same texts are one distinct page of their host, and each gets its text; a host
 of less than ``PAGES`` distinct pages keeps all; a null url is a host of its own; other columns are
 ignored; markup may be broken anywhere, unclosed elements end with the one around them.
@@ -41,6 +44,8 @@ RUN = 8
 PAGES = 3
 #: A repeated run is boilerplate where so many of a hundred distinct pages of its host hold it.
 RUN_SHARE = 20
+#: A whole block of a marked article goes only where runs on so many of a hundred cover all of it.
+BLOCK_SHARE = 50
 SHARD_PAGES = 512
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -161,7 +166,7 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
     return [], [(t, s == 1) for t, s in found]
 
 
-#: What the host does with a block: nothing, cut the repeated runs out of it, or leave it as the article it is marked as.
+#: What the host does with a block: nothing, cut the repeated runs out of it, or judge it whole as part of a marked article.
 _CLOSED, _CUT, _MARKED = "-", "?", "="
 PARSED = "page_id bigint, url string, host string, content bigint, fresh boolean, deal bigint, packed binary"
 
@@ -308,30 +313,34 @@ def _counted(pages: pa.Table, wanted: pa.Table) -> pa.Table:
 
 
 def _texts(pages: pa.Table, repeated: pa.Table) -> pa.Table:
-    """Marked articles, and what the host leaves of the other blocks."""
+    """What the host leaves of the marked articles and of the other open blocks."""
     if not pages.num_rows:
         return pa.table({"page_id": pa.array([], pa.int64()), "url": pa.array([], pa.string()), "text": pa.array([], pa.string())})
     bodies = [_unpack(p) for p in pages.column("packed").to_pylist()]
     if repeated.num_rows:
         array = HostArray(bodies)
-        runs = array.covered(repeated.column("hash").to_numpy())
-        bodies = [_left(page, gone) for page, gone in zip(bodies, runs, strict=True)]
+        hashes, wide = repeated.column("hash").to_numpy(), repeated.column("wide").to_numpy(zero_copy_only=False)
+        runs, most = array.covered(hashes), array.covered(hashes[wide])
+        bodies = [_left(*page) for page in zip(bodies, runs, most, strict=True)]
     texts = ["\n".join(text for kind, text in page if kind != _CLOSED) for page in bodies]
     return pa.table({"page_id": pages.column("page_id"), "url": pages.column("url"), "text": pa.array(texts, pa.string())})
 
 
-def _left(page: list[tuple[str, str]], gone: np.ndarray) -> list[tuple[str, str]]:
-    """A page's blocks without the repeated runs of those that are to be cut."""
+def _left(page: list[tuple[str, str]], runs: np.ndarray, most: np.ndarray) -> list[tuple[str, str]]:
+    """A page's blocks without repeated runs in those to be cut, and without marked ones that most pages hold."""
     kept, at = [], 0
     for kind, text in page:
         words = text.split(" ")
-        here = gone[at : at + len(words)]
+        end = at + len(words)
         if kind == _CUT:
-            text = " ".join(w for w, out in zip(words, here, strict=True) if not out)
+            text = " ".join(w for w, gone in zip(words, runs[at:end], strict=True) if not gone)
+        elif kind == _MARKED and most[at:end].all():
+            text = ""
         if text:
             kept.append((kind, text))
-        at += len(words) + 1
-    return kept
+        at = end + 1
+    marked = [b for b in page if b[0] == _MARKED]
+    return kept if not marked or any(kind == _MARKED for kind, _ in kept) else marked
 
 
 def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHARD_PAGES) -> DataFrame:
@@ -354,7 +363,8 @@ def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHA
     by_shard = dealt.groupBy("host", "shard")
     wanted = by_shard.applyInArrow(found, FOUND).distinct()
     counted = by_shard.cogroup(everywhere(wanted)).applyInArrow(_counted, COUNTED).groupBy("host", "pages", "hash").agg(F.sum("n").alias("n"))
-    repeated = counted.filter((F.col("n") >= least_pages) & (100 * F.col("n") >= RUN_SHARE * F.col("pages"))).select("host", "hash")
+    repeated = counted.filter((F.col("n") >= least_pages) & (100 * F.col("n") >= RUN_SHARE * F.col("pages")))
+    repeated = repeated.select("host", "hash", (100 * F.col("n") >= BLOCK_SHARE * F.col("pages")).alias("wide"))
     schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
     decided = by_shard.cogroup(everywhere(repeated)).applyInArrow(_texts, schema)
     return decided.select("*", F.length("text").cast("bigint").alias("n_chars"))

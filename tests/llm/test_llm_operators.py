@@ -280,6 +280,20 @@ def test_repeated_runs_are_those_of_brute_force(spark):
     assert html_rows(spark, pages) == html_rows(spark, pages, shard_pages=9) == want
 
 
+def test_blocks_of_marked_articles_are_judged_whole(spark):
+    note, quote = "read all our news in the app that you can load for free", "to be or not to be that is the question"
+    own = {i: " ".join(f"own{i}x{k}" for k in range(12)) for i in range(20)}
+
+    def page(i):
+        return f"<article><p>{own[i]}</p>{f'<blockquote>{quote}</blockquote>' if i < 7 else ''}<p>{note}</p><p>{note} now{i}</p></article>"
+
+    pages = [(i, f"https://a.example/{i}", page(i)) for i in own]
+    want = {i: own[i] + (f"\n{quote}" if i < 7 else "") + f"\n{note} now{i}" for i in own}
+    assert html_rows(spark, pages) == html_rows(spark, pages, shard_pages=6) == want
+    gone = [(i, f"https://g.example/{i}", f"<nav>n{i}</nav><article><p>{note}</p></article>") for i in range(4)]
+    assert set(html_rows(spark, gone).values()) == {note}
+
+
 def test_packages_round_trip(spark, tmp_path, monkeypatch):
     pages = [(1, "u", "same"), (2, None, "same"), (3, "a\r\nb", ""), (4, "v", None), (None, "w", "lone é"), (7, "x", "y" * 300_000), (7, "x", "y" * 300_000)]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
