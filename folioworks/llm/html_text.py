@@ -1,8 +1,10 @@
 """Main text of web pages: the page's own marks, and a suffix array over each host.
 
 A page is cut into blocks.  What stands in scripts, styles, forms, menus, headers, footers, side bars,
-notices, adverts and reader comments, by element, role or class, is never main text.  Where a page
-marks its article (``article``, else ``main``, else an article body), the rest of that is the main text.
+notices, adverts and reader comments, by element, role or class, is never main text; class words and ids do
+not drop html, body, main, article or an element that contains a marked article, and names that tell a
+state, as ``has-sidebar`` does, drop nothing.  Where a page marks its article (``article``, ``main`` or an
+article body; of several kinds the one with most text of its own), the rest of that is the main text.
 
 Where it does not, the host decides.  The token streams of a host's distinct pages are laid end to end and
 their suffixes sorted by their first ``RUN`` tokens; neighbours that agree in all of them are long
@@ -66,81 +68,95 @@ _NEVER_CLASSES = frozenset(
     skip masthead copyright""".split()
 )
 _NEVER_OUTSIDE = frozenset("header banner".split())
+#: Parts of a name that tell how a page is laid out, not what the element is.
+_STATES = frozenset("has have no not with without is layout open opened closed enabled disabled".split())
+#: What names never drop, and the names by which an article is a reader's comment.
+_WHOLE = frozenset("html body main article".split())
+_COMMENT_CLASSES = frozenset("comment comments comment-body".split())
 _BODY_CLASSES = frozenset("article-body article-content entry-content post-content post-body story-body articlebody".split())
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>)""", re.S)
 #: A tag whose quotes do not match ends at the next bracket.
 _BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
 _ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
 _SPACE = re.compile(r"[ \t\n\x0b\f\r\xa0]+")
-_DROP, _OPEN, _KEEP = 0, 1, 2
+_DROP = -1
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool, int]:
-    """Whether the element is never main text, whether it is not outside an article, and its rank as an article."""
-    never, outside, rank = tag in _NEVER, tag == "header", {"article": 3, "main": 2}.get(tag, 0)
+def _names_in(words: frozenset[str], names: list[str]) -> bool:
+    """Whether a name is one of the words, or else has one as a part and tells no state."""
+    if not words.isdisjoint(names):
+        return True
+    parts = [re.split("[-_]", n) for n in names]
+    return any(not words.isdisjoint(p) and _STATES.isdisjoint(p) for p in parts)
+
+
+def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, int]:
+    """Whether the element is never main text, is not by its names, and (both) outside an article; its rank as an article, 0 for a comment."""
+    never, rank, names = tag in _NEVER, {"article": 3, "main": 2}.get(tag, -1), []
     if attrs and not attrs.isspace():
         for name, *values in _ATTR.findall(attrs):
             name, value = name.lower(), "".join(values).lower()
-            names = value.split()
             if name == "role":
-                never = never or bool(_NEVER_ROLES.intersection(names))
-                rank = max(rank, {"article": 3, "main": 2}.get(value, 0))
+                never = never or bool(_NEVER_ROLES.intersection(value.split()))
+                rank = max(rank, {"article": 3, "main": 2}.get(value, -1))
             elif name in ("class", "id"):
-                parts = {p for n in names for p in (n, *re.split("[-_]", n))}
-                body = bool(_BODY_CLASSES.intersection(names))
-                never = never or (not body and not rank and bool(_NEVER_CLASSES.intersection(parts))) or (rank > 0 and bool({"comment", "comments"} & parts))
-                outside = outside or bool(_NEVER_OUTSIDE.intersection(parts))
-                rank = max(rank, int(body))
+                names += value.split()
             elif name == "itemprop":
-                rank = max(rank, int(value == "articlebody"))
+                rank = max(rank, 1 if value == "articlebody" else -1)
             elif name == "hidden" or value == "true":
                 never = True
-    return never, outside, 0 if never else rank
+    if not _BODY_CLASSES.isdisjoint(names):
+        rank = max(rank, 1)
+    if rank > 0 and tag != "main" and not _COMMENT_CLASSES.isdisjoint(names):
+        rank = 0
+    free = rank >= 0 or tag in _WHOLE or not names
+    return never, not free and _names_in(_NEVER_CLASSES, names), tag == "header", not free and _names_in(_NEVER_OUTSIDE, names), -1 if never else rank
 
 
 def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
     """Blocks of the marked article, and the others with whether the host may decide on them."""
     page = page or ""
-    found: list[tuple[str, int]] = []  # text, and 0 or 1 + rank of the article it stands in
-    stack: list[tuple[str, int]] = [("", 1)]
+    # Text, the ranks of the marks around it as bits, and the number of the innermost element that names drop.
+    found: list[tuple[str, int, int]] = []
+    buffers: dict[tuple[int, int], list[str]] = {}
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]
     opened: dict[str, int] = {}
-    pieces: list[str] = []
-    dropped: list[str] = []
+    around, holds = [0], [True]  # of elements that names drop: the next one outside, and whether a mark stands in it
+    comments = 0
     at, end, lower = 0, len(page), None
 
-    def flush(state: int) -> None:
-        for buffer, own in ((pieces, state), (dropped, _DROP)):
-            if buffer:
-                text = "".join(buffer)
-                text = _SPACE.sub(" ", html_lib.unescape(text) if "&" in text else text).strip(" ")
-                if text:
-                    found.append((text, own))
-                buffer.clear()
+    def flush() -> None:
+        for own, buffer in buffers.items():
+            text = "".join(buffer)
+            text = _SPACE.sub(" ", html_lib.unescape(text) if "&" in text else text).strip(" ")
+            if text:
+                found.append((text, *own))
+        buffers.clear()
 
     while at < end:
         begin = page.find("<", at)
         match = (_TAG.match(page, begin) or _BROKEN.match(page, begin)) if begin >= 0 else None
         if begin < 0 or not match:
             upto = end if begin < 0 else begin + 1
-            (pieces if stack[-1][1] else dropped).append(page[at:upto])
+            buffers.setdefault(stack[-1][1:], []).append(page[at:upto])
             at = upto
             continue
         if begin > at:
-            (pieces if stack[-1][1] else dropped).append(page[at:begin])
+            buffers.setdefault(stack[-1][1:], []).append(page[at:begin])
         at = match.end()
         tag = match[2]
         if not tag:
             continue
         tag = tag.lower()
         if tag in _BLOCKS:
-            flush(stack[-1][1])
+            flush()
         elif tag in _GAPS:
-            pieces.append(" ")
-            dropped.append(" ")
+            for buffer in buffers.values():
+                buffer.append(" ")
         if match[1]:
             if opened.get(tag):
                 while True:
-                    name, _ = stack.pop()
+                    name, *_ = stack.pop()
                     opened[name] -= 1
                     if name == tag:
                         break
@@ -151,19 +167,44 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
             at = end if close < 0 else close
         if tag in _VOID:
             continue
-        state = stack[-1][1]
-        never, outside, rank = _marks(tag, match[3])
-        if never or (outside and state < 2):
-            state = _DROP
-        elif state:
-            state = max(state, 1 + rank)
-        stack.append((tag, state))
+        _, ranks, drop = stack[-1]
+        never, named, outside, named_outside, rank = _marks(tag, match[3])
+        if never or (outside and 0 <= ranks < 2):
+            ranks = _DROP
+        if ranks != _DROP:
+            if rank > 0:
+                inner = drop
+                while not holds[inner]:
+                    holds[inner] = True
+                    inner = around[inner]
+            elif named or (named_outside and ranks < 2):
+                around.append(drop)
+                holds.append(False)
+                drop = len(around) - 1
+            if rank >= 0:
+                comments += rank == 0
+                ranks |= 1 << rank
+        stack.append((tag, ranks, drop))
         opened[tag] = opened.get(tag, 0) + 1
-    flush(stack[-1][1])
-    best = max((state for _, state in found), default=0)
-    if best > 1:
-        return [t for t, s in found if s == best], [(t, False) for t, s in found if s != best]
-    return [], [(t, s == 1) for t, s in found]
+    flush()
+    # How many elements that names drop stand around, all released by a mark in them; none where one is not.
+    depth: list[int | None] = [0]
+    for outer, held in zip(around[1:], holds[1:], strict=True):
+        depth.append(depth[outer] + 1 if held and depth[outer] is not None else None)
+    kept = [(text, _DROP if depth[drop] is None else ranks, depth[drop]) for text, ranks, drop in found]
+    # Comments are dropped, but one that is the page's only mark is its article.
+    alone = comments == 1 and not any(ranks > 1 for _, ranks, _ in kept)
+    kept = [(text, (8 if alone else _DROP) if ranks > 0 and ranks & 1 else ranks, deep) for text, ranks, deep in kept]
+    amounts: dict[tuple[int, int], int] = {}
+    for text, ranks, deep in kept:
+        if ranks > 0:
+            own = ranks.bit_length() - 1, -deep
+            amounts[own] = amounts.get(own, 0) + len(text)
+    if not amounts:
+        return [], [(text, ranks == 0) for text, ranks, _ in kept]
+    rank, deep = max(amounts, key=lambda own: (amounts[own], own))
+    main = [ranks > 0 and bool(ranks >> rank & 1) and at == -deep for _, ranks, at in kept]
+    return [t for (t, *_), own in zip(kept, main, strict=True) if own], [(t, False) for (t, *_), own in zip(kept, main, strict=True) if not own]
 
 
 #: What the host does with a block: nothing, cut the repeated runs out of it, or judge it whole as part of a marked article.

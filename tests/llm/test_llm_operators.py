@@ -294,6 +294,29 @@ def test_blocks_of_marked_articles_are_judged_whole(spark):
     assert set(html_rows(spark, gone).values()) == {note}
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<body class="single no-sidebar"><article>long text</article></body>', "long text"),
+        ('<body class="sidebar"><p>long text</p></body>', "long text"),
+        ('<div id="page" class="has-sidebar"><p>long text</p><div class="sidebar">s</div></div>', "long text"),
+        ('<div class="layout-with-sidebar"><main class="promo">long text<div class="site-footer">f</div></main></div>', "long text"),
+        ('<div class="sidebar"><article>long text</article> other</div>', "long text"),
+        ('<article class="post comments-open">long text<div class="share">s</div></article>', "long text"),
+        ('<main><h1>head</h1>long text of the page</main><article>teaser</article>', "head\nlong text of the page"),
+        ('<article>teaser</article><div class="related"><article>card</article></div><main><p>long text of the page</p></main>', "long text of the page"),
+        ('<main><h1>head</h1><article>the long article</article></main>', "the long article"),
+        ('<div class="sidebar"><article>long text</article><div class="related"><article>card</article></div></div>', "long text"),
+        ('<article>post<p>a <span class="share">s</span>b</p></article><div class="comments"><article class="comment">a comment</article></div>', "post\na b"),
+        ('<article class="comment">the only article</article>', "the only article"),
+        ('<div role="main" class="notice">long text</div><div class="cookie-notice">c</div>', "long text"),
+    ],
+)
+def test_names_drop_no_marked_article(page, text):
+    main, rest = html_text.blocks(page)
+    assert "\n".join(main + [t for t, may in rest if may]) == text
+
+
 def test_packages_round_trip(spark, tmp_path, monkeypatch):
     pages = [(1, "u", "same"), (2, None, "same"), (3, "a\r\nb", ""), (4, "v", None), (None, "w", "lone é"), (7, "x", "y" * 300_000), (7, "x", "y" * 300_000)]
     frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
