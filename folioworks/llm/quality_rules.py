@@ -3,11 +3,16 @@
 Metrics and rules are column expressions; no user function runs.  Defined cases: a null text is
 empty; a text without words fails on length; rows that repeat are judged one by one, alike; other
 columns, whatever their names, are left alone.
+
+The stop-word rule holds for texts of the languages in ``STOP_LANGUAGES``, by ``lang`` or, where that is
+null, blank, unknown or absent, for texts without a majority of letters of another script than Latin; texts of other
+languages pass it.  Texts mostly in a script that sets no spaces between words pass ``long_words`` too; the
+base rules, which the contract fixes, count words between white space in any script.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +31,11 @@ STOP_WORDS = sorted(
         """.split()
     )
 )
+STOP_LANGUAGES = "en eng de deu ger fr fra fre es spa".split()
+#: What tells no language.
+UNKNOWN = ("", "und", "unknown")
+#: Letters of scripts that set no spaces between words.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 PUNCTUATION = ".,;:!?\"'()[]"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -148,10 +158,30 @@ def measured(text: Column) -> Column:
     return let(let(word_list(whole(text)), fields), flat)
 
 
-def broken(metrics: Column, rules: Sequence[Rule] = RULES) -> Column:
-    """The names of the rules that the metrics break, in the table's order."""
+def _mostly(text: Column, letters: str) -> Column:
+    """Whether more than half of the text's letters are of a class."""
+    of_class = F.length(F.regexp_replace(text, f"[^{letters}]", ""))
+    return 2 * of_class > F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+
+
+def _exempt(docs: DataFrame, text: Column) -> dict[str, Column]:
+    """For rules that not every language is held to, whether a text is free of them."""
+    foreign = _mostly(text, r"\p{L}&&[^\p{IsLatin}]")
+    if "lang" in (c.lower() for c in docs.columns):
+        lang = F.lower(F.trim(F.col("lang").cast("string")))
+        foreign = F.when(F.coalesce(lang, F.lit("")).isin(*UNKNOWN), foreign).otherwise(~F.regexp_extract(lang, "^[a-z]*", 0).isin(*STOP_LANGUAGES))
+    return {"few_stop_words": foreign, "long_words": _mostly(text, UNSPACED)}
+
+
+def broken(metrics: Column, rules: Sequence[Rule] = RULES, exempt: Mapping[str, Column] | None = None) -> Column:
+    """The names of the rules that the metrics break, in the table's order; ``exempt`` tells what is free of a rule."""
 
     def fails(rule: Rule) -> Column:
+        low_or_high = outside(rule)
+        # Only a text that breaks the rule is looked at for its script.
+        return F.when(low_or_high, ~exempt[rule.name]).otherwise(F.lit(False)) if exempt and rule.name in exempt else low_or_high
+
+    def outside(rule: Rule) -> Column:
         value, per = metrics[rule.metric].cast("double"), metrics[rule.per].cast("double") if rule.per else F.lit(1.0)
         too_low = value < rule.least * per if rule.least is not None else F.lit(False)
         return too_low | (value > rule.most * per) if rule.most is not None else too_low
@@ -161,31 +191,32 @@ def broken(metrics: Column, rules: Sequence[Rule] = RULES) -> Column:
 
 def judge(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """Keys, metrics, ``base_failed``, ``kept`` and the broken rules of every row."""
-    m = F.col("_metrics")
-    base = m["n_words"] < 20
-    # In whole numbers, so that the bound itself passes exactly.
-    base = base | (100 * m["n_repeat_words"] > 30 * m["n_words"])
     rest = [r for r in rules if r not in BASE_RULES]
+    exempt = _exempt(docs, whole(text))
+
+    def verdict(m: Column) -> Column:
+        base = m["n_words"] < 20
+        # In whole numbers, so that the bound itself passes exactly.
+        base = base | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+        return F.struct(m.alias("metrics"), base.alias("base_failed"), broken(m, rest, exempt).alias("broken"))
+
     return (
-        docs.select(*keys, measured(F.col(text)).alias("_metrics"))
-        .select(*keys, "_metrics", base.alias("base_failed"), broken(m, rest).alias("_broken"))
-        .select(
-            *keys,
-            "_metrics.*",
-            "base_failed",
-            (~F.col("base_failed") & (F.size("_broken") == 0)).alias("kept"),
-            F.array_join("_broken", ",").alias("broken_rules"),
-        )
+        docs.select(*keys, let(measured(F.col(text)), verdict).alias("_verdict"))
+        .select(*keys, "_verdict.metrics.*", "_verdict.base_failed", F.col("_verdict.broken").alias("_broken"))
+        .withColumn("kept", ~F.col("base_failed") & (F.size("_broken") == 0))
+        .withColumn("broken_rules", F.array_join("_broken", ","))
+        .drop("_broken")
     )
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows that break no rule, with the columns they came with."""
+    exempt = _exempt(docs, whole(text))
     verdict = let(
         measured(F.col(text)),
         lambda m: (m["n_words"] >= 20)
         & (100 * m["n_repeat_words"] <= 30 * m["n_words"])
-        & (F.size(broken(m, [r for r in rules if r not in BASE_RULES])) == 0),
+        & (F.size(broken(m, [r for r in rules if r not in BASE_RULES], exempt)) == 0),
     )
     return docs.filter(verdict)
 

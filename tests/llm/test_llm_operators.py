@@ -75,6 +75,23 @@ def test_quality_counts_repeats_as_brute_force(spark):
     assert [r.kept for r in quality_rules.judge(docs).orderBy("doc_id").collect()] == [False, False, False, True]
 
 
+def test_other_languages_pass_the_stop_words(spark):
+    polish = "Wczoraj rano nasza mała grupa poszła przez stary las nad cichą rzekę, gdzie ptaki śpiewały głośno, słońce grzało mocno, dzieci zbierały kamienie"
+    russian = "Вчера утром наша группа прошла через старый лес над тихой рекой, где птицы пели громко, солнце грело сильно, дети собирали красивые белые камни"
+    thai = " ".join(["เมื่อวานนี้ตอนเช้ากลุ่มเล็กของเราเดินผ่านป่าเก่า" + "กขคงจฉ"[i % 6] * (i // 6 + 1) for i in range(24)])
+    plain = "wirrel dom tassen lurge pommer kelt ranno brill sopper hund marle test quolle birn zamt foller gritt nasch welm torre pux"
+    rows = [
+        (1, polish, "pl", True), (2, russian, "ru", True), (3, russian, None, True), (4, thai, "th", True), (5, thai, " ", True), (6, plain, "en", False),
+        (7, plain, "en-US", False), (8, plain, None, False), (9, plain, "fi", True), (10, GOOD + GOOD.upper(), None, True), (11, russian, "und", True),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, want boolean")
+    got = {r.doc_id: (r.kept, r.broken_rules) for r in quality_rules.judge(docs).collect()}
+    assert got == {i: (want, "" if want else "few_stop_words") for i, _, _, want in rows}
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == {r[0] for r in rows if r[3]}
+    bare = {r.doc_id: r.kept for r in quality_rules.judge(docs.drop("lang")).collect()}
+    assert bare[2] and bare[4] and not bare[6]
+
+
 def test_chat_round_trip(spark):
     texts = ["<|end|>\n", "<\\|", "a<", "|>", "", None, chat_format.PROBE, "<\\\\|user|>"]
     turns = [(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(texts)]
