@@ -106,6 +106,15 @@ def fallback_title(spark, folder):
     )
 
 
+def title_or_folder(spark, folder):
+    """Titles of all pages; pages without one are made of the same pages."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    untitled = F.when(F.col("page_id") % 3 == 0, F.col("html")).otherwise(F.regexp_replace("html", "<title>[^<]*</title>", ""))
+    both = pages.withColumn("html", untitled).unionByName(pages.withColumn("page_id", -1 - F.col("page_id")))
+    title = F.coalesce(text.first_filled(page_title(F.col("nodes"))), text.first_filled(links.last_folder(F.col("url")), F.lit("Unknown")))
+    return parse(both).select("page_id", title.alias("title"))
+
+
 @query(
     "paragraph_text",
     f"""SELECT page_id, trim({decoded("p")}) AS text
@@ -119,6 +128,15 @@ def paragraph_text(spark, folder):
     return found.filter(text.present(F.col("text")))
 
 
+def all_paragraphs(spark, folder):
+    """Texts of all paragraphs, whatever they hold; one that is not closed ends where the next begins."""
+    rows = select_nodes(parsed(spark, folder), ["page_id"], is_tag("p"))
+    ends = F.array_position(F.transform(F.slice("sub", 2, F.size("sub")), lambda n: n["tag"] == "p"), True).cast("int")
+    own = F.when(ends > 0, F.slice("sub", F.lit(1), ends)).otherwise(F.col("sub"))
+    found = rows.select("page_id", text.strip(text_of(own)).alias("text"))
+    return found.filter(text.present(F.col("text")))
+
+
 @query(
     "nth_element",
     f"""SELECT page_id, {decoded("regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)[4]")} AS text FROM pages""",
