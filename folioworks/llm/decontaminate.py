@@ -2,7 +2,7 @@
 
 Items are put into classes of nearly equal length.  For each class, windows of its length slide over
 every text; a window's SimHash over its shingles of five words is looked up in four tables of 16 bits
-each.  Two fingerprints that differ in at most 15 bits differ in at most three bits in one of the
+each.  Two fingerprints that differ in at most 19 bits differ in at most four bits in one of the
 tables, and the tables list every item under all values that near, so every item within the radius is
 met.  Each candidate is then compared exactly: around the place found, the windows with as many words
 as the item are laid on it, and the best similarity of the bags of shingles, sum of minima over sum of
@@ -32,7 +32,7 @@ from folioworks.llm.common import by_value
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 19
 #: Lengths of neighbouring classes, and the part of a window's length by which it moves.
 CLASS_RATIO = 1.1
 STRIDE_PART = 10
@@ -201,6 +201,8 @@ class Matcher:
             tables = HammingTables(np.array(prints, dtype=np.uint64), radius)
             self.classes[size].append((length, stride, stride + spread, np.array(members), tables))
         self.longest = max(self.sizes, default=1)
+        #: All shingles of the items, sorted, by the words they have.
+        self.known = {size: np.unique(np.concatenate([self.shingles[m] for c in classes for m in c[3]])) for size, classes in self.classes.items()}
 
     def find(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, float, int, int, int]]:
         """(place of the text, place of the item, similarity, first word, words, differing bits), the best for each pair."""
@@ -241,6 +243,8 @@ class Matcher:
             shingles = shingle_hashes(words, size)
             signs = _signs(shingles, left >= size)
             sums = WindowSums(signs, max(c[0] for c in classes) - size + 1)
+            known = self.known[size]
+            n_known = np.concatenate([[0], np.cumsum(known[np.minimum(np.searchsorted(known, shingles), len(known) - 1)] == shingles)])
             # Texts that no window fits into are windows themselves.
             short = np.nonzero((lengths >= size) & (lengths < max(c[0] for c in classes)))[0]
             whole = np.array([_packed(signs[begins[k] : ends[k]].sum(axis=0, dtype=np.int64))[0] for k in short], dtype=np.uint64)
@@ -252,6 +256,11 @@ class Matcher:
                 little = (lengths[short] < length) & (lengths[short] - size + 1 >= self.similarity * (length - slack - size + 1))
                 start, prints = np.concatenate([start, begins[short[little]]]), np.concatenate([prints, whole[little]])
                 rows, items = tables.within(prints)
+                # A place around which no item's shingle stands holds none.
+                at, part = start[rows], owner[start[rows]]
+                low, high = np.maximum(at - slack, begins[part]), np.minimum(at + length + slack, ends[part])
+                some = n_known[np.maximum(high - size + 1, low)] > n_known[low]
+                rows, items = rows[some], items[some]
                 for row, number in zip(rows.tolist(), items.tolist(), strict=True):
                     at, item = int(start[row]), int(members[number])
                     part = int(owner[at])

@@ -199,6 +199,31 @@ def test_leaks_are_found_in_any_case_of_any_script():
     assert [(place, similarity) for place, _, similarity, *_ in found] == [(0, 1.0), (1, 1.0)]
 
 
+def test_leaks_just_above_the_threshold_are_those_of_brute_force():
+    rng = random.Random(0)
+
+    def similarity(a, b):
+        x, y = (collections.Counter(tuple(t[k : k + 5]) for k in range(len(t) - 4)) for t in (a, b))
+        return (x & y).total() / (x | y).total()
+
+    items, docs = [], []
+    for i in range(200):
+        item = [f"i{i}w{k}" for k in range(rng.randrange(100, 300))]
+        near = item
+        while True:
+            edited = list(near)
+            edited[rng.randrange(len(item))] = f"n{rng.random()}"
+            if similarity(item, edited) < 0.8:
+                break
+            near = edited
+        pad = [f"p{i}w{k}" for k in range(rng.randrange(5, 400))]
+        cut = rng.randrange(len(pad))
+        items.append((i, " ".join(item)))
+        docs.append(" ".join(pad[:cut] + near + pad[cut:]))
+    found = {(place, item) for place, item, *_ in decontaminate.Matcher(items).find(docs)}
+    assert found == {(k, k) for k in range(len(docs))}
+
+
 def test_hamming_tables_find_all_within_the_radius():
     import numpy as np
 
