@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioworks.llm import chat_format, context_tree, decontaminate, html_text, mixing, quality_rules, secret_scan, simhash_dedup, token_counts, warc_zip
+from folioworks.llm import alignment, chat_format, context_tree, decontaminate, html_text, mixing, packing, quality_rules, resampling, secret_scan, simhash_dedup, token_counts, warc_zip
 from folioworks.llm.common import table
+from folioworks.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +73,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_warc_zip", warc_zip.SQL)
 def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.round_trip(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(written(pieces, "pack-pieces"))
+
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_importance_resampling", resampling.SQL)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
