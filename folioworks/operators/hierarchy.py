@@ -1,50 +1,120 @@
-"""Hierarchies as adjacency rows: root paths, closure, order, and items found through them."""
+"""Hierarchies as adjacency rows: interval labels, root paths, closure, and items found through them."""
 
 from __future__ import annotations
 
+from functools import cached_property, reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.operators.lists import gather
-from folioworks.operators.tables import left_join
+from folioworks.operators.tables import left_join, with_row_index, with_sum_before
 from folioworks.session import written
 
+#: Places that a range of items is spelt out by, and powers of two that an interval is cut into.
+PLACES = 1024
+LEVELS = 62
+
+
+def _rounds(nodes: DataFrame) -> int:
+    """After so many doublings, every walk upwards is over, or goes round a cycle."""
+    return max(nodes.count(), 1).bit_length() + 1
+
+
+def _cycle(state: DataFrame, pointer: str) -> ValueError:
+    """Walks of more steps than there are nodes end on a cycle, so where they point to are its nodes."""
+    on_it = [str(r[0]) for r in state.select(pointer).distinct().orderBy(pointer).limit(10).collect()]
+    return ValueError(f"the hierarchy has a cycle, among others through {', '.join(on_it)}")
+
+
+def _with_parents(nodes: DataFrame, *columns) -> DataFrame:
+    """``(node_id, jump, ...)``, ``jump`` being the parent if the table has it, else null."""
+    parents = nodes.select(F.col("parent_id").alias("_parent")).filter("_parent IS NOT NULL").distinct()
+    there = parents.join(nodes.select(F.col("node_id").alias("_parent")), "_parent", "left_semi")
+    linked = left_join(nodes, there, F.col("parent_id"), "_parent")
+    return written(linked.select("node_id", F.col("_parent").alias("jump"), *columns), "tree-parents")
+
+
+def subtree_sizes(nodes: DataFrame) -> DataFrame:
+    """``(node_id, size)``: how many nodes each subtree has, its root included.
+
+    Doubling: a node knows the sum over all nodes less than 2^k steps below, and the ancestor 2^k steps
+    above; that ancestor adds the sums of all nodes that point to it, and everyone moves on to the
+    pointer of the pointer.  Sums are combined before they are shuffled, and a pointer shared by many
+    is looked up once.
+    """
+    state, rounds = _with_parents(nodes, F.lit(1).cast("bigint").alias("size")), _rounds(nodes)
+    while True:
+        moving = state.filter("jump IS NOT NULL")
+        if moving.isEmpty():
+            return state.select("node_id", "size")
+        if rounds < 0:
+            raise _cycle(moving, "jump")
+        rounds -= 1
+        sums = moving.groupBy("jump").agg(F.sum("size").alias("_more"))
+        known = state.select(F.col("node_id").alias("_top"), F.col("jump").alias("_next"))
+        tops = written(sums.join(known, F.col("jump") == F.col("_top")).select("_top", "_next", "_more"), "tree-tops")
+        added = state.join(tops.select(F.col("_top").alias("node_id"), "_more"), "node_id", "left")
+        moved = left_join(added, tops.select("_top", "_next"), F.col("jump"), "_top")
+        state = written(
+            moved.select("node_id", F.col("_next").alias("jump"), (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size")), "tree-sizes"
+        )
+
+
+def interval_labels(nodes: DataFrame) -> DataFrame:
+    """``(node_id, first, last, depth)``: the pre-order numbers of each subtree, which are without a gap.
+
+    Siblings are in order of ``ordinal`` and then of their id; trees follow one another in the same way.
+    A node comes one place behind its parent and the subtrees of the siblings before it; the sum of these
+    steps from the root down is its number.  The sums of sizes among siblings are taken along one global
+    order, so a node with very many children is no single task's work, and those from the root down by
+    doubling.  A cycle is an error that names nodes on it.
+    """
+    sizes = subtree_sizes(nodes)
+    known = nodes.select("node_id", "parent_id", "ordinal").join(sizes, "node_id")
+    # A parent that is not in the table makes a root.
+    linked = _with_parents(known, "ordinal", "size")
+    ordered = with_sum_before(linked.withColumn("_inner", F.col("jump").isNotNull()), ["_inner", "jump", "ordinal", "node_id"], "size", "_before")
+    ordered = written(ordered.drop("_inner"), "tree-siblings")
+    eldest = ordered.filter("jump IS NOT NULL").groupBy("jump").agg(F.min("_before").alias("_start")).withColumnRenamed("jump", "_parent")
+    step = F.col("_before") + 1 - F.col("_start")
+    placed = left_join(ordered, eldest, F.col("jump"), "_parent")
+    depth = F.when(F.col("jump").isNull(), 0).otherwise(1)
+    state = written(placed.select("node_id", "jump", "size", F.coalesce(step, F.col("_before")).alias("first"), depth.alias("depth")), "tree-steps")
+    done, state = state.filter("jump IS NULL"), state.filter("jump IS NOT NULL")
+    while not state.isEmpty():
+        tops = state.select(F.col("jump").alias("_top")).distinct()
+        known = done.unionByName(state).select(F.col("node_id").alias("_top"), F.col("jump").alias("_next"), F.col("first").alias("_first"), F.col("depth").alias("_depth"))
+        tops = written(tops.join(known, "_top"), "tree-tops")
+        moved = left_join(state, tops, F.col("jump"), "_top").select(
+            "node_id", F.col("_next").alias("jump"), "size", (F.col("first") + F.col("_first")).alias("first"), (F.col("depth") + F.col("_depth")).alias("depth")
+        )
+        moved = written(moved, "tree-steps")
+        done, state = done.unionByName(moved.filter("jump IS NULL")), moved.filter("jump IS NOT NULL")
+    return written(done.select("node_id", "first", (F.col("first") + F.col("size") - 1).alias("last"), "depth"), "tree-labels")
+
 
 def root_paths(nodes: DataFrame) -> DataFrame:
     """``nodes(node_id, parent_id, ordinal)`` to ``(node_id, path)``, the path running root to node.
 
     Each round appends to every open path the path of its top node, so paths double in length and
-    a tree of depth d takes log2(d) joins; finished rows are written once.  A node whose parent is
-    not in the table is a root.  After as many rounds as the number of nodes can be doubled, a node
-    still open is on a cycle or below one.
+    a tree of depth d takes log2(d) joins; finished rows are written once.  A top shared by many is
+    looked up once.  A node whose parent is not in the table is a root; a cycle is an error that names
+    nodes on it.
     """
-    state = written(
-        nodes.select(
-            "node_id",
-            F.col("parent_id").alias("top"),
-            F.array(F.struct(F.col("ordinal").alias("ordinal"), F.col("node_id").alias("node_id"))).alias("path"),
-        ),
-        "paths",
-    )
-    rounds, done = max(state.count(), 1).bit_length() + 1, state.filter(F.col("top").isNull())
-    state = state.filter(F.col("top").isNotNull())
+    step = F.array(F.struct(F.col("ordinal").alias("ordinal"), F.col("node_id").alias("node_id"))).alias("path")
+    state, rounds = _with_parents(nodes, step), _rounds(nodes)
+    done, state = state.filter("jump IS NULL"), state.filter("jump IS NOT NULL")
     while not state.isEmpty():
         if rounds < 0:
-            raise ValueError("the hierarchy has a cycle")
+            raise _cycle(state, "jump")
         rounds -= 1
-        known = done.unionByName(state)
-        upper = known.select(F.col("node_id").alias("_id"), F.col("top").alias("_top"), F.col("path").alias("_path"))
-        # A null top is a root that the table lacks; its path is complete as it is.
-        grown = written(
-            state.join(upper, F.col("top") == F.col("_id"), "left").select(
-                "node_id",
-                F.col("_top").alias("top"),
-                F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path"),
-            ),
-            "paths",
-        )
-        done = done.unionByName(grown.filter(F.col("top").isNull()))
-        state = grown.filter(F.col("top").isNotNull())
+        tops = state.select(F.col("jump").alias("_top")).distinct()
+        known = done.unionByName(state).select(F.col("node_id").alias("_top"), F.col("jump").alias("_next"), F.col("path").alias("_path"))
+        tops = written(tops.join(known, "_top"), "path-tops")
+        grown = left_join(state, tops, F.col("jump"), "_top")
+        grown = written(grown.select("node_id", F.col("_next").alias("jump"), F.concat("_path", "path").alias("path")), "paths")
+        done, state = done.unionByName(grown.filter("jump IS NULL")), grown.filter("jump IS NOT NULL")
     return done.select("node_id", "path")
 
 
@@ -80,84 +150,133 @@ def levels(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     )
 
 
-def _scope(tree: DataFrame, nodes: DataFrame, ids: DataFrame, inside: str, other: str) -> DataFrame:
-    """Closure rows ``(id, other)`` of the given ids; an id the tree does not know only covers itself."""
-    known = tree.join(ids, F.col(inside) == F.col("id"), "left_semi").select(F.col(inside).alias("id"), other)
-    unknown = ids.join(nodes.select(F.col("node_id").alias("id")), "id", "left_anti")
-    return known.unionByName(unknown.select("id", F.col("id").alias(other)))
-
-
-def _distinct_ids(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).alias("id")).filter(F.col("id").isNotNull()).distinct()
-
+def _with_unknown(labels: DataFrame, *ids: DataFrame) -> DataFrame:
+    """``(node_id, first, last)`` with ids that the tree does not know added behind it; these cover only themselves."""
+    asked = reduce(DataFrame.unionByName, [i.select(F.col(i.columns[0]).alias("node_id")) for i in ids]).filter("node_id IS NOT NULL").distinct()
+    unknown = asked.join(labels.select("node_id"), "node_id", "left_anti")
+    behind = labels.agg(F.coalesce(F.max("last") + 1, F.lit(0))).first()[0]
+    number = F.col("_n") + behind
+    added = with_row_index(unknown, ["node_id"], "_n").select("node_id", number.alias("first"), number.alias("last"))
+    return written(labels.select("node_id", "first", "last").unionByName(added), "tree-known")
 
-def chapter_item_rows(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """``(chapter_id, item_id)``: all items at or below each chapter that owners refer to, as rows."""
-    below = _scope(tree, nodes, _distinct_ids(owners, "chapter_id"), "ancestor_id", "node_id")
-    return items.join(below, F.col("category_id") == F.col("node_id")).select(F.col("id").alias("chapter_id"), "item_id")
 
+class Associations:
+    """Owners of chapters and items filed under categories, associated through the tree without a row per pair.
 
-def chapter_items(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """``(chapter_id, items)``, the same as one list per chapter.
-
-    What is filed under a chapter does not depend on the owner, so this small form says as much as
-    the lists per owner.
+    ``owners(owner_id, chapter_id)``, ``items(item_id, category_id)`` and the ``labels`` of the tree.  Items
+    are put in order of the label of their category, so what is filed at or below a chapter is one range of
+    places; ranges come from running counts by equi-joins.  A category meets the chapters above it, of which
+    there are at most as many as the tree is deep, by a stabbing join of labels and intervals.  Rows and
+    lists of associated items or owners are made on request from these.
     """
-    return gather(chapter_item_rows(owners, items, nodes, tree), ["chapter_id"], "item_id", alias="items")
-
-
-def associated_items(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """For ``owners(owner_id, chapter_id)`` all ``items(item_id, category_id)`` at or below the chapter.
 
-    Owners take the list of their chapter; owner-item pairs are never rows.  Owners without items
-    get a null list.
+    def __init__(self, owners: DataFrame, items: DataFrame, labels: DataFrame) -> None:
+        self.owners, self.items = owners, items
+        self.labels = _with_unknown(labels, owners.select("chapter_id"), items.select("category_id"))
+
+    @cached_property
+    def places(self) -> DataFrame:
+        """``(item_id, category_id, place)``: filed items in order of label and id."""
+        label = self.labels.select(F.col("node_id").alias("_node"), F.col("first").alias("_label"))
+        labelled = left_join(self.items.filter("category_id IS NOT NULL"), label, F.col("category_id"), "_node")
+        return written(with_row_index(labelled.select("item_id", "category_id", "_label"), ["_label", "item_id"], "place").drop("_label"), "item-places")
+
+    @cached_property
+    def ranges(self) -> DataFrame:
+        """``(chapter_id, items_from, items_to)``: the places of what is filed at or below each chapter in use."""
+        filed = self.items.groupBy("category_id").agg(F.count(F.lit(1)).alias("_own")).withColumnRenamed("category_id", "node_id")
+        counted = self.labels.join(filed, "node_id", "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
+        before = written(with_sum_before(counted, ["first"], "_own", "_before"), "label-counts")
+        chapters = self.owners.select(F.col("chapter_id").alias("node_id")).filter("node_id IS NOT NULL").distinct()
+        ends = before.select(F.col("first").alias("last"), (F.col("_before") + F.col("_own")).alias("items_to"))
+        found = before.join(chapters, "node_id", "left_semi").join(ends, "last")
+        return written(found.select(F.col("node_id").alias("chapter_id"), F.col("_before").alias("items_from"), "items_to"), "chapter-ranges")
+
+    def owner_ranges(self) -> DataFrame:
+        """``(owner_id, chapter_id, items_from, items_to)``: all that is to be said about an owner's items; null without a chapter."""
+        return left_join(self.owners, self.ranges.withColumnRenamed("chapter_id", "_chapter"), F.col("chapter_id"), "_chapter").drop("_chapter")
+
+    def chapter_item_rows(self) -> DataFrame:
+        """``(chapter_id, item_id)``: the ranges spelt out, block of places by block."""
+        first, last = F.expr(f"items_from div {PLACES}"), F.expr(f"(items_to - 1) div {PLACES}")
+        blocks = self.ranges.filter("items_from < items_to").select("*", F.explode(F.sequence(first, last)).alias("_block"))
+        places = self.places.withColumn("_block", F.expr(f"place div {PLACES}"))
+        inside = (F.col("place") >= F.col("items_from")) & (F.col("place") < F.col("items_to"))
+        return blocks.join(places, "_block").filter(inside).select("chapter_id", "item_id")
+
+    def chapter_items(self) -> DataFrame:
+        """``(chapter_id, items)``, the same as one list per chapter."""
+        return gather(self.chapter_item_rows(), ["chapter_id"], "item_id", alias="items")
+
+    def associated_items(self) -> DataFrame:
+        """``(owner_id, chapter_id, items)``; owners without items have a null list."""
+        lists = self.chapter_items().withColumnRenamed("chapter_id", "_chapter")
+        return left_join(self.owners, lists, F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
+
+    def category_chapter_rows(self) -> DataFrame:
+        """``(category_id, chapter_id)``: the chapters in use at or above each category with items."""
+        categories = self.items.select(F.col("category_id").alias("node_id")).filter("node_id IS NOT NULL").distinct()
+        points = self.labels.join(categories, "node_id", "left_semi").select(F.col("node_id").alias("category_id"), "first")
+        chapters = self.owners.select(F.col("chapter_id").alias("node_id")).filter("node_id IS NOT NULL").distinct()
+        intervals = self.labels.join(chapters, "node_id", "left_semi").select(F.col("node_id").alias("chapter_id"), "first", "last")
+        return stabbed(points, "first", intervals, "first", "last").select("category_id", "chapter_id")
+
+    def chapter_owners(self) -> DataFrame:
+        """``(chapter_id, owners)``: who has exactly this chapter, once per chapter."""
+        return gather(self.owners.filter("chapter_id IS NOT NULL"), ["chapter_id"], "owner_id", alias="owners")
+
+    def category_owners(self) -> DataFrame:
+        """``(category_id, owners)``: the lists of the chapters above, merged; categories under the same chapters share one list."""
+        above = self.category_chapter_rows().groupBy("category_id").agg(F.sort_array(F.collect_list("chapter_id")).alias("_chapters"))
+        above = written(above, "category-chapters")
+        chains = above.select("_chapters").distinct().select("_chapters", F.explode("_chapters").alias("chapter_id"))
+        merged = chains.join(self.chapter_owners(), "chapter_id").groupBy("_chapters").agg(F.sort_array(F.flatten(F.collect_list("owners"))).alias("owners"))
+        return above.join(merged, "_chapters").select("category_id", "owners")
+
+    def associated_owners(self) -> DataFrame:
+        """``(item_id, category_id, owners)``, the inverse of ``associated_items``."""
+        lists = self.category_owners().withColumnRenamed("category_id", "_category")
+        return left_join(self.items, lists, F.col("category_id"), "_category").select("item_id", "category_id", "owners")
+
+
+def stabbed(points: DataFrame, at: str, intervals: DataFrame, first: str, last: str) -> DataFrame:
+    """All pairs of a point and an interval that holds it, by an equi-join; columns must not clash but for ``at``.
+
+    An interval is cut into aligned stretches whose lengths are powers of two, at most two of each
+    length; a point lies in one aligned stretch of each length.  Only lengths that some interval has are
+    looked up.
     """
-    lists = chapter_items(owners, items, nodes, tree).withColumnRenamed("chapter_id", "_chapter")
-    return left_join(owners, lists, F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
-
-
-def category_owner_rows(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """``(category_id, owner_id)``: the owners whose chapter covers each category with items, as rows."""
-    above = _scope(tree, nodes, _distinct_ids(items, "category_id"), "node_id", "ancestor_id")
-    filed = owners.filter(F.col("chapter_id").isNotNull())
-    return above.join(filed, F.col("ancestor_id") == F.col("chapter_id")).select(F.col("id").alias("category_id"), "owner_id")
-
-
-def category_owners(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """``(category_id, owners)``, the same as one list per category."""
-    return gather(category_owner_rows(owners, items, nodes, tree), ["category_id"], "owner_id", alias="owners")
-
-
-def associated_owners(owners: DataFrame, items: DataFrame, nodes: DataFrame, tree: DataFrame) -> DataFrame:
-    """The inverse of ``associated_items``: per item the owners whose chapter covers its category."""
-    lists = category_owners(owners, items, nodes, tree).withColumnRenamed("category_id", "_category")
-    return left_join(items, lists, F.col("category_id"), "_category").select("item_id", "category_id", "owners")
-
-
-def pre_order_key(width: int = 12):
-    """A string whose order is the pre-order of the tree: zero-padded ordinals from the root down."""
-    return F.array_join(
-        F.transform("path", lambda s: F.lpad(s["ordinal"].cast("string"), width, "0")), "/"
+    # At level k lie the stretches of length 2^k that no longer aligned stretch of the interval holds.
+    bounds = F.expr(
+        f"""transform(sequence(0, {LEVELS - 1}), k -> struct(k AS k,
+              ({first} + shiftleft(1L, k) - 1) div shiftleft(1L, k) AS low, ({last} + 1) div shiftleft(1L, k) AS high))"""
     )
+    own = F.expr(
+        """flatten(transform(filter(_bounds, s -> s.low < s.high), s -> concat(
+              if(s.low % 2 = 1, array(struct(s.k AS _k, s.low AS _i)), array()),
+              if(s.high % 2 = 1, array(struct(s.k AS _k, s.high - 1 AS _i)), array()))))"""
+    )
+    kept = [c for c in intervals.columns if c != at]
+    cut = intervals.withColumn("_bounds", bounds).select(*kept, F.inline(own))
+    cut = written(cut, "stretches")
+    levels = sorted(r[0] for r in cut.select("_k").distinct().collect())  # at most LEVELS
+    stretches = F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.shiftright(F.col(at), k).alias("_i")) for k in levels or [0]]))
+    return points.select("*", stretches.alias("_p")).select(*points.columns, "_p._k", "_p._i").join(cut, ["_k", "_i"]).drop("_k", "_i")
 
 
-def tree_json_lines(nodes: DataFrame, paths: DataFrame, attributes: list[str], indent: int = 2) -> DataFrame:
+def tree_json_lines(nodes: DataFrame, labels: DataFrame, attributes: list[str], indent: int = 2) -> DataFrame:
     """The tree as pretty-printed JSON, one row per piece of text, to be read in order of ``seq``.
 
     Every node opens before and closes after its subtree, so no subtree is ever held in one cell;
-    ordering the rows and writing them out as text gives the file.  Keys are in sorted order, with
-    ``children`` left out at leaves.
+    ordering the rows and writing them out as text gives the file.  ``seq`` is the step of a walk around
+    the tree: before a node opens, all nodes with smaller numbers have opened, and all of these but its
+    ancestors have closed.  Keys are in sorted order, with ``children`` left out at leaves.
     """
-    last = nodes.groupBy("parent_id").agg(F.max("ordinal").alias("_last"))
-    parents = nodes.select(F.col("parent_id").alias("node_id")).filter("node_id IS NOT NULL").distinct()
-    flagged = (
-        nodes.alias("n")
-        .join(paths.select(F.col("node_id").alias("_pid"), "path"), F.col("node_id") == F.col("_pid"))
-        .join(last.withColumnRenamed("parent_id", "_lp"), F.col("parent_id").eqNullSafe(F.col("_lp")))
-        .join(parents.withColumn("_inner", F.lit(True)), "node_id", "left")
-    )
-    key = pre_order_key()
-    pad = F.repeat(F.lit(" " * (2 * indent)), F.size("path") - 1)
+    ends = labels.select(F.col("node_id").alias("_parent"), F.col("last").alias("_last"))
+    flagged = left_join(nodes.join(labels, "node_id"), ends, F.col("parent_id"), "_parent")
+    opens = 2 * F.col("first") - F.col("depth")
+    closes = opens + 2 * (F.col("last") - F.col("first")) + 1
+    pad = F.repeat(F.lit(" " * (2 * indent)), F.col("depth"))
     inner_pad = F.concat(pad, F.lit(" " * indent))
     names = sorted([*attributes, "children"])
     before = names[: names.index("children")]
@@ -175,7 +294,7 @@ def tree_json_lines(nodes: DataFrame, paths: DataFrame, attributes: list[str], i
             for c in columns
         ]
 
-    has_children = F.coalesce("_inner", F.lit(False))
+    has_children = F.col("last") > F.col("first")
     opening = F.array_join(
         F.array_compact(
             F.array(
@@ -187,7 +306,7 @@ def tree_json_lines(nodes: DataFrame, paths: DataFrame, attributes: list[str], i
         "\n",
     )
     closing_fields = F.array_join(F.array(*fields(after)), ",\n")
-    comma = F.when((F.col("ordinal") < F.col("_last")) & F.col("parent_id").isNotNull(), F.lit(",")).otherwise(F.lit(""))
+    comma = F.when(F.col("last") < F.col("_last"), F.lit(",")).otherwise(F.lit(""))
     closing = F.concat(
         F.when(has_children, F.concat(inner_pad, F.lit("],\n"))).otherwise(F.lit("")),
         closing_fields,
@@ -196,12 +315,5 @@ def tree_json_lines(nodes: DataFrame, paths: DataFrame, attributes: list[str], i
         F.lit("}"),
         comma,
     )
-    return flagged.select(
-        "node_id",
-        F.explode(
-            F.array(
-                F.struct(F.concat(key, F.lit("/")).alias("seq"), opening.alias("text")),
-                F.struct(F.concat(key, F.lit("/~")).alias("seq"), closing.alias("text")),
-            )
-        ).alias("_l"),
-    ).select("node_id", "_l.seq", "_l.text")
+    lines = F.array(F.struct(opens.alias("seq"), opening.alias("text")), F.struct(closes.alias("seq"), closing.alias("text")))
+    return flagged.select("node_id", F.explode(lines).alias("_l")).select("node_id", "_l.seq", "_l.text")

@@ -79,6 +79,26 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], alias: str = "idx") -
     )
 
 
+def with_sum_before(df: DataFrame, order_by: Sequence[str], value: str, alias: str) -> DataFrame:
+    """The sum of ``value`` over all rows before each row, in a total order given by unique keys.
+
+    As ``with_row_index``: sums within a stretch of the range, shifted by the sums of the stretches before.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order_by).withColumn("_stretch", F.spark_partition_id())
+    ranged = written(ranged, "sum-before")
+    sums = ranged.groupBy("_stretch").agg(F.sum(value).alias("_n"))
+    before = W.orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)  # one row per partition of the range
+    offsets = sums.select("_stretch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = W.partitionBy("_stretch").orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
+    return (
+        ranged.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
+        .join(F.broadcast(offsets), "_stretch")
+        .withColumn(alias, F.col("_offset") + F.col("_within"))
+        .drop("_stretch", "_offset", "_within")
+    )
+
+
 def sample_with_replacement(df: DataFrame, order_by: Sequence[str], k: int, seed: int) -> DataFrame:
     """Exactly k seeded draws, each uniform over all rows, so a row may come up more than once."""
     indexed = with_row_index(df, order_by)

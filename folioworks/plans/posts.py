@@ -10,7 +10,7 @@ from folioworks.functions.text import title_key
 from folioworks.html.extract import chapter_links, dedicated_category, headline, labelled_link, related_links
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.sections import with_transcripts
-from folioworks.operators.hierarchy import associated_items
+from folioworks.operators.hierarchy import Associations
 from folioworks.operators.lists import gather
 from folioworks.operators.quality import multiple, orphans, require_none
 from folioworks.operators.tables import left_join, lookup
@@ -106,21 +106,23 @@ def enrich(
     facts: DataFrame,
     targets: DataFrame,
     items: DataFrame,
-    downloads: DataFrame,
-    nodes: DataFrame,
-    tree: DataFrame,
+    associations: Associations,
+    *,
+    lists: bool = True,
 ) -> DataFrame:
     """Posts with chapters, book link, related posts and associated downloads.
 
-    ``targets(url, nodes)`` are the pages links lead to, as far as they were landed;
-    ``downloads(item_id, category_id)`` reach a post through the ``tree`` closure of its chapter.
+    ``targets(url, nodes)`` are the pages links lead to, as far as they were landed.  The downloads of a post
+    are a range of the ``places`` of its ``associations``, whose owners are the posts by their chapter; without
+    ``lists`` a post keeps that range, ``downloads_from`` and ``downloads_to``, in place of a list.
     """
     links = with_headlines(facts.select("id", F.explode("links").alias("href")), targets)
     related = related_posts(links, items).select(F.col("id").alias("_rid"), "related_posts")
-    owners = facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
-    associated = associated_items(owners, downloads, nodes, tree).select(
-        F.col("owner_id").alias("_aid"), F.col("items").alias("associated_downloads")
-    )
+    if lists:
+        associated = associations.associated_items().select(F.col("owner_id").alias("_aid"), F.col("items").alias("associated_downloads"))
+    else:
+        places = [F.col("items_from").alias("downloads_from"), F.col("items_to").alias("downloads_to")]
+        associated = associations.owner_ranges().select(F.col("owner_id").alias("_aid"), *places)
     return (
         posts.join(facts.drop("links"), "id", "left")
         .join(related, F.col("id") == F.col("_rid"), "left")
@@ -130,6 +132,11 @@ def enrich(
     )
 
 
+def owners_of(facts: DataFrame) -> DataFrame:
+    """``(owner_id, chapter_id)``: posts as the owners of what is filed under their chapter."""
+    return facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
+
+
 def sections(documents: DataFrame, media: DataFrame, doc: str = "id") -> DataFrame:
     return with_transcripts(cut_sections(documents, doc), media)
 

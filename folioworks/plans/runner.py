@@ -18,7 +18,7 @@ from folioworks.functions.links import Site
 from folioworks.html.extract import category_nodes
 from folioworks.html.parser import parse
 from folioworks.html.sections import TRACK
-from folioworks.operators.hierarchy import associated_owners, closure, root_paths
+from folioworks.operators.hierarchy import Associations, interval_labels
 from folioworks.operators.quality import orphans, require_none
 from folioworks.operators.tables import head, sample_with_replacement
 from folioworks.plans import bibliography, catalogue, posts
@@ -127,7 +127,6 @@ def articles(run: Run) -> None:
     spark = run.spark
     categories = written(category_nodes(parse(run.read("category_list"), track=("li",)), "id").drop("id"), "categories")
     nodes = categories.select(_number("node_id"), _number("parent_id"), "ordinal", "name")
-    tree = closure(root_paths(nodes))
 
     names = nodes.select(F.col("node_id").alias("id"), "name")
     downloads = written(catalogue.downloads(parse(run.read("category_pages")), "id", names, run.site_url), "downloads")
@@ -161,10 +160,10 @@ def articles(run: Run) -> None:
     facts = written(posts.read_facts(documents, run.site), "facts")
     known = landed.select("id", "url", "title")
     targets = parse(run.read("link_targets"))
-    run.publish(posts.enrich(plain, facts, targets, known, filed, nodes, tree), contracts.POSTS)
+    associations = Associations(posts.owners_of(facts), filed, interval_labels(nodes))
+    run.publish(posts.enrich(plain, facts, targets, known, associations), contracts.POSTS)
 
-    owners = facts.select(F.col("id").alias("owner_id"), F.col("download_chapter_dedicated").alias("chapter_id"))
-    listed = associated_owners(owners, filed, nodes, tree).select(
+    listed = associations.associated_owners().select(
         F.col("item_id").alias("data_id"), F.col("category_id").alias("data_category_id"), F.col("owners").alias("associated_posts")
     )
     complete = catalogue.with_payloads(downloads.join(listed, ["data_id", "data_category_id"]), payloads)

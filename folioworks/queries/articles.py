@@ -12,10 +12,10 @@ from folioworks.html.render import markdown, sanitize
 from folioworks.html.sections import TEXT_EDITOR, TRACK, WIDGET, unknown_widgets
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.select import has_class, select_nodes
-from folioworks.operators.hierarchy import closure, root_paths
+from folioworks.operators.hierarchy import Associations, interval_labels
 from folioworks.operators.quality import orphans
 from folioworks.operators.tables import value_counts
-from folioworks.plans.posts import enrich, read_facts, related_posts, resolve_links, sections, with_headlines
+from folioworks.plans.posts import enrich, owners_of, read_facts, related_posts, resolve_links, sections, with_headlines
 from folioworks.queries.registry import query, view
 from folioworks.queries.relations import NORMALISED, NORMALISED_VIEWS, joined, normalised
 from folioworks.session import written
@@ -325,15 +325,9 @@ def related_items(spark, folder):
 )
 def post_enriched(spark, folder):
     tree_nodes = view(spark, folder, "v_chapter").withColumn("ordinal", F.col("node_id"))
-    enriched = enrich(
-        normalised(spark, folder),
-        written(facts(spark, folder), "facts"),
-        targets(spark, folder),
-        view(spark, folder, "v_post"),
-        view(spark, folder, "v_filed"),
-        tree_nodes,
-        closure(root_paths(tree_nodes)),
-    )
+    found = written(facts(spark, folder), "facts")
+    associations = Associations(owners_of(found), view(spark, folder, "v_filed"), interval_labels(tree_nodes))
+    enriched = enrich(normalised(spark, folder), found, targets(spark, folder), view(spark, folder, "v_post"), associations)
     return enriched.select(
         "id", "date", "title", "stage", joined("tool_types", "none"), joined("topics"),
         joined("download_chapters_further"), "book_chapter", "download_chapter_dedicated",

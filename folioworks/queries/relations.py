@@ -222,10 +222,20 @@ def tree_levels(spark, folder):
 )
 def preorder(spark, folder):
     nodes = view(spark, folder, "v_node").filter(F.col("node_id").isNotNull() & (F.col("node_id") != ""))
-    keyed = hierarchy.root_paths(nodes).select(
-        "node_id", (F.size("path") - 1).alias("depth"), hierarchy.pre_order_key().alias("seq")
-    )
-    return tables.with_row_index(keyed, ["seq"]).drop("seq")
+    return hierarchy.interval_labels(nodes).select("node_id", "depth", F.col("first").alias("idx"))
+
+
+_LABELS = f"""{_CLOSURE}, path AS (
+    SELECT node_id, lpad(CAST(ordinal AS VARCHAR), 12, '0') AS seq FROM v_node WHERE parent_id IS NULL
+    UNION ALL SELECT n.node_id, concat(p.seq, '/', lpad(CAST(n.ordinal AS VARCHAR), 12, '0')) FROM v_node n JOIN path p ON n.parent_id = p.node_id),
+  numbered AS (SELECT node_id, row_number() OVER (ORDER BY seq) - 1 AS first FROM path),
+  label AS (SELECT n.node_id, first, first + size - 1 AS last FROM numbered n
+    JOIN (SELECT ancestor_id, count(*) AS size FROM closure GROUP BY ancestor_id) s ON s.ancestor_id = n.node_id)"""
+
+
+@query("tree_labels", f"{_LABELS} SELECT node_id, first, last FROM label", ("v_node",))
+def tree_labels(spark, folder):
+    return hierarchy.interval_labels(view(spark, folder, "v_node")).drop("depth")
 
 
 _PAIRS = f"""{_CLOSURE}, scope AS (
@@ -234,6 +244,50 @@ _PAIRS = f"""{_CLOSURE}, scope AS (
     WHERE chapter_id IS NOT NULL AND chapter_id NOT IN (SELECT node_id FROM v_node))"""
 
 
+def associations(spark, folder):
+    labels = hierarchy.interval_labels(view(spark, folder, "v_node"))
+    return hierarchy.Associations(view(spark, folder, "v_owner"), view(spark, folder, "v_download"), labels)
+
+
+@query(
+    "chapter_item_rows",
+    f"""{_PAIRS} SELECT ancestor_id AS chapter_id, item_id FROM scope JOIN v_download ON category_id = node_id
+        WHERE ancestor_id IN (SELECT chapter_id FROM v_owner)""",
+    ("v_node", "v_owner", "v_download"),
+)
+def chapter_item_rows(spark, folder):
+    return associations(spark, folder).chapter_item_rows()
+
+
+@query(
+    "category_chapter_rows",
+    f"""{_PAIRS} SELECT node_id AS category_id, ancestor_id AS chapter_id FROM scope
+        WHERE ancestor_id IN (SELECT chapter_id FROM v_owner) AND node_id IN (SELECT category_id FROM v_download)""",
+    ("v_node", "v_owner", "v_download"),
+)
+def category_chapter_rows(spark, folder):
+    return associations(spark, folder).category_chapter_rows()
+
+
+@query(
+    "owner_item_ranges",
+    f"""{_LABELS}, known AS (
+          SELECT * FROM label UNION ALL
+          SELECT id, n, n FROM (SELECT id, (SELECT count(*) FROM v_node) + row_number() OVER (ORDER BY id) - 1 AS n
+            FROM (SELECT category_id AS id FROM v_download UNION SELECT chapter_id FROM v_owner)
+            WHERE id IS NOT NULL AND id NOT IN (SELECT node_id FROM v_node))),
+        filed AS (SELECT first, count(*) AS n FROM v_download JOIN known ON node_id = category_id GROUP BY first),
+        chapter AS (SELECT DISTINCT chapter_id, first, last FROM v_owner JOIN known ON node_id = chapter_id),
+        ranges AS (SELECT chapter_id, coalesce(sum(n) FILTER (f.first < c.first), 0)::BIGINT AS items_from,
+                     coalesce(sum(n) FILTER (f.first <= c.last), 0)::BIGINT AS items_to FROM chapter c CROSS JOIN filed f GROUP BY chapter_id)
+        SELECT owner_id, chapter_id, items_from, items_to FROM v_owner LEFT JOIN ranges USING (chapter_id)""",
+    ("v_node", "v_owner", "v_download"),
+)
+def owner_item_ranges(spark, folder):
+    """The items of an owner as a range of places among all items in order of the tree."""
+    return associations(spark, folder).owner_ranges()
+
+
 @query(
     "associated_items",
     f"""{_PAIRS} SELECT owner_id, chapter_id, string_agg(CAST(item_id AS VARCHAR), '|' ORDER BY item_id) AS items
@@ -242,10 +296,7 @@ _PAIRS = f"""{_CLOSURE}, scope AS (
     ("v_node", "v_owner", "v_download"),
 )
 def associated_items(spark, folder):
-    nodes = view(spark, folder, "v_node")
-    return hierarchy.associated_items(
-        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    ).select("owner_id", "chapter_id", joined("items"))
+    return associations(spark, folder).associated_items().select("owner_id", "chapter_id", joined("items"))
 
 
 @query(
@@ -256,10 +307,7 @@ def associated_items(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def associated_owners(spark, folder):
-    nodes = view(spark, folder, "v_node")
-    return hierarchy.associated_owners(
-        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    ).select("item_id", "category_id", joined("owners"))
+    return associations(spark, folder).associated_owners().select("item_id", "category_id", joined("owners"))
 
 
 @query(
@@ -269,11 +317,7 @@ def associated_owners(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def chapter_items(spark, folder):
-    nodes = view(spark, folder, "v_node")
-    lists = hierarchy.chapter_items(
-        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    )
-    return lists.select("chapter_id", joined("items"))
+    return associations(spark, folder).chapter_items().select("chapter_id", joined("items"))
 
 
 @query(
@@ -284,11 +328,7 @@ def chapter_items(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def category_owners(spark, folder):
-    nodes = view(spark, folder, "v_node")
-    lists = hierarchy.category_owners(
-        view(spark, folder, "v_owner"), view(spark, folder, "v_download"), nodes, closure_of(nodes)
-    )
-    return lists.select("category_id", joined("owners"))
+    return associations(spark, folder).category_owners().select("category_id", joined("owners"))
 
 
 def _edges(spark, folder):

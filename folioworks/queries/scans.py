@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioworks.contracts import PUBLICATIONS, Contract, Enum, Field, ListOf
 from folioworks.functions.links import file_type
 from folioworks.operators import quality
-from folioworks.operators.hierarchy import root_paths, tree_json_lines
+from folioworks.operators.hierarchy import interval_labels, tree_json_lines
 from folioworks.operators.tables import add_missing
 from folioworks.plans.bibliography import is_insecure, records, repeated_tags, split_tags
 from folioworks.queries.registry import query, view
@@ -200,18 +200,19 @@ def tree_from_json(spark, folder):
        q AS (SELECT p.*, repeat('    ', depth) AS pad, last,
                     EXISTS (SELECT 1 FROM v_node c WHERE c.parent_id = p.node_id) AS inner_node
              FROM p LEFT JOIN last ON p.parent_id = last.parent_id)
+       SELECT node_id, row_number() OVER (ORDER BY seq) - 1 AS seq, text FROM (
        SELECT node_id, concat(seq, '/') AS seq,
               concat(pad, '{', CASE WHEN inner_node THEN concat(chr(10), pad, '  "children": [') ELSE '' END) AS text FROM q
        UNION ALL
        SELECT node_id, concat(seq, '/~'),
               concat(CASE WHEN inner_node THEN concat(pad, '  ],', chr(10)) ELSE '' END, pad, '  "name": "', name, '",', chr(10),
                      pad, '  "node_id": "', node_id, '"', chr(10), pad, '}',
-                     CASE WHEN ordinal < last THEN ',' ELSE '' END) FROM q""",
+                     CASE WHEN ordinal < last THEN ',' ELSE '' END) FROM q)""",
     ("v_node",),
 )
 def tree_to_json(spark, folder):
     nodes = view(spark, folder, "v_node")
-    return tree_json_lines(nodes, root_paths(nodes), ["node_id", "name"])
+    return tree_json_lines(nodes, interval_labels(nodes), ["node_id", "name"])
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.contracts import Contract
-from folioworks.operators.hierarchy import root_paths, tree_json_lines
+from folioworks.operators.hierarchy import interval_labels, tree_json_lines
 from folioworks.operators.quality import cast, reconcile, rules
 
 
@@ -97,6 +97,6 @@ def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = Fal
 
 def export_tree_json(nodes: DataFrame, folder: str, attributes: list[str]) -> None:
     """Write the hierarchy as JSON text; the part files, in order of name, are the document."""
-    lines = tree_json_lines(nodes, root_paths(nodes), attributes)
+    lines = tree_json_lines(nodes, interval_labels(nodes), attributes)
     ordered = lines.repartitionByRange("seq").sortWithinPartitions("seq")
     ordered.select(F.col("text").alias("value")).write.mode("overwrite").text(folder)

@@ -66,15 +66,15 @@ def test_association_both_ways_with_hot_chapters(spark):
     items = [(i, rng.choice([59, rng.randrange(60), rng.choice([None, 900])])) for i in range(120)]
     expected = brute_force(nodes, owners, items)
     tree_nodes = frame(spark, nodes)
-    tree = hierarchy.closure(hierarchy.root_paths(tree_nodes))
     o = spark.createDataFrame(owners, "owner_id bigint, chapter_id bigint")
     i = spark.createDataFrame(items, "item_id bigint, category_id bigint")
-    forward = hierarchy.associated_items(o, i, tree_nodes, tree).collect()
+    both = hierarchy.Associations(o, i, hierarchy.interval_labels(tree_nodes))
+    forward = both.associated_items().collect()
     assert {(r.owner_id, x) for r in forward for x in r["items"] or []} == expected
     assert sum(len(r["items"] or []) for r in forward) == len(expected)
     assert {r.owner_id for r in forward} == {k for k, _ in owners}
     assert all(r["items"] is None or r["items"] for r in forward)  # none at all is null
-    backward = hierarchy.associated_owners(o, i, tree_nodes, tree).collect()
+    backward = both.associated_owners().collect()
     assert {(x, r.item_id) for r in backward for x in r.owners or []} == expected
     assert sum(len(r.owners or []) for r in backward) == len(expected)
     assert len(forward) == len(owners) and len(backward) == len(items)
@@ -85,6 +85,81 @@ def test_deep_chain_resolves(spark):
     assert hierarchy.root_paths(chain).selectExpr("max(size(path))", "count(*)").first() == (3000, 3000)
 
 
+def walked(rows):
+    """Labels by a plain walk; siblings by ordinal, then id."""
+    ids = {n for n, _, _ in rows}
+    below = {}
+    for n, p, o in rows:
+        below.setdefault(p if p in ids else None, []).append((o, n))
+    out, stack, number = {}, [(n, 0) for _, n in sorted(below[None], reverse=True)], 0
+    order = []
+    while stack:
+        node, depth = stack.pop()
+        out[node] = [number, number, depth]
+        order.append(node)
+        number += 1
+        stack += [(n, depth + 1) for _, n in sorted(below.get(node, []), reverse=True)]
+    parent = {n: p for n, p, _ in rows}
+    for node in reversed(order):
+        up = parent[node]
+        if up in out:
+            out[up][1] = max(out[up][1], out[node][1])
+    return {(n, *v) for n, v in out.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_labels_match_a_walk(spark, seed):
+    rng = random.Random(seed)
+    # Ordinals of 15 digits, negative ones and ties; several roots, one under a parent that is not there.
+    rows = [(i, rng.choice([None, 77_000, 0]) if i < 4 else rng.randrange(0, i), rng.choice([-5, 0, 0, 10**14 + i, -(10**14) - i])) for i in range(150)]
+    rows[0] = (0, None, 3)
+    nodes = spark.createDataFrame(rows, "node_id bigint, parent_id bigint, ordinal bigint")
+    assert {tuple(r) for r in hierarchy.interval_labels(nodes).collect()} == walked(rows)
+    sizes = {r.node_id: r.size for r in hierarchy.subtree_sizes(nodes).collect()}
+    assert sizes == {n: last - first + 1 for n, first, last, _ in walked(rows)}
+    assert hierarchy.interval_labels(nodes.limit(0)).count() == 0
+
+
+def test_chain_and_star(spark):
+    chain = spark.range(2000).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN id - 1 END AS parent_id", "0 AS ordinal")
+    assert hierarchy.interval_labels(chain).filter("first = node_id AND depth = node_id AND last = 1999").count() == 2000
+    star = spark.range(1_000_000).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN 0L END AS parent_id", "-id AS ordinal")
+    labels = hierarchy.interval_labels(star)
+    assert labels.filter("node_id > 0 AND first = 1000000 - node_id AND last = first AND depth = 1").count() == 999_999
+    assert hierarchy.root_paths(star).filter("size(path) = 2").count() == 999_999
+
+
+def test_cycles_name_their_nodes(spark):
+    rows = [(1, None, 0), (2, 4, 0), (3, 2, 0), (4, 3, 0), (5, 4, 0), (6, 5, 0)]
+    for labelled in (hierarchy.interval_labels, hierarchy.root_paths):
+        with pytest.raises(ValueError, match="cycle.*2, 3, 4$"):
+            labelled(frame(spark, rows))
+
+
+def test_stabbing_matches_brute_force(spark):
+    rng = random.Random(5)
+    points = [(i, rng.randrange(0, 300)) for i in range(80)] + [(90, 2**40)]
+    intervals = [(i, *sorted((rng.randrange(0, 300), rng.randrange(0, 300)))) for i in range(60)] + [(70, 0, 2**41), (71, 2**40, 2**40)]
+    got = hierarchy.stabbed(
+        spark.createDataFrame(points, "p bigint, at bigint"), "at", spark.createDataFrame(intervals, "i bigint, a bigint, b bigint"), "a", "b"
+    ).select("p", "i").collect()
+    expected = {(p, i) for p, at in points for i, a, b in intervals if a <= at <= b}
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
+def test_owners_and_categories_in_the_ten_thousands_make_no_pairs(spark):
+    n = 10_000
+    nodes = spark.range(n).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN 0L END AS parent_id", "id AS ordinal")
+    owners = spark.range(n).selectExpr("id AS owner_id", "0L AS chapter_id")
+    items = spark.range(n).selectExpr("id AS item_id", "id AS category_id")
+    both = hierarchy.Associations(owners, items, hierarchy.interval_labels(nodes))
+    assert both.category_chapter_rows().count() == n
+    assert both.chapter_owners().selectExpr("size(owners)").first()[0] == n
+    assert both.owner_ranges().filter(f"items_from = 0 AND items_to = {n}").count() == n
+    plan = both.owner_ranges()._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_levels(spark):
     nodes = frame(spark, [(0, None, 0), (1, 0, 0), (2, 0, 1), (3, 1, 0)])
     got = {tuple(r) for r in hierarchy.levels(nodes, hierarchy.root_paths(nodes)).collect()}
