@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html import unescape
 from html.parser import HTMLParser
@@ -35,6 +36,9 @@ VOID = frozenset(
 # The elements that are lists of items.
 LISTS = ("ul", "ol")
 
+# Elements that break the line.
+BREAKS = ("br", "hr")
+
 # Elements whose white space counts.
 KEEP_BLANKS = ("pre", "textarea")
 
@@ -50,6 +54,11 @@ NODE = T.StructType(
         T.StructField("text", T.StringType()),
         T.StructField("scopes", T.MapType(T.StringType(), T.IntegerType())),  # label -> nearest enclosing node
         T.StructField("lists", T.IntegerType()),  # number of lists around the node
+        # Running counts up to and including the node; what a subtree holds is the difference at its ends.
+        T.StructField("texts", T.IntegerType()),  # texts that are not blank
+        T.StructField("images", T.IntegerType()),  # img elements
+        T.StructField("breaks", T.IntegerType()),  # br and hr elements
+        T.StructField("chars", T.IntegerType()),  # characters of text
     ]
 )
 
@@ -66,6 +75,8 @@ TOKEN = re.compile(
     re.VERBOSE,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'<>=`]++)))?""")
+# What is visible: anything but white space and the blanks that `strip` knows.
+VISIBLE = re.compile("[^\\s\u00a0\u2000-\u200a\u202f\u3000]", re.ASCII)
 RAW_END = {tag: re.compile(rf"</\s*{tag}\s*>", re.I) for tag in ("script", "style")}
 
 
@@ -111,6 +122,7 @@ class NodeBuilder(HTMLParser):
     def _begin(self) -> None:
         # Open elements as (position, tag, scopes inside, counts of child tags, lists open inside); the bottom is the document.
         self.open = [(-1, None, {}, {}, 0)]
+        self.standing = Counter()  # open elements by tag
         self.in_text = False
 
     def read(self, html: str | None) -> None:
@@ -169,7 +181,7 @@ class NodeBuilder(HTMLParser):
         if self.in_text:
             self.in_text = False
             text = self.text[-1]
-            if not text.strip(" \t\n\r\f") and not any(entry[1] in KEEP_BLANKS for entry in self.open):
+            if not text.strip(" \t\n\r\f") and not any(self.standing[tag] for tag in KEEP_BLANKS):
                 self.text[-1] = "\n" if "\n" in text else " "
 
     def _append(self, tag, text, attrs=None) -> int:
@@ -199,7 +211,8 @@ class NodeBuilder(HTMLParser):
 
     def _close_top(self) -> None:
         self._end_text()
-        pre = self.open.pop()[0]
+        pre, tag = self.open.pop()[:2]
+        self.standing[tag] -= 1
         self.last[self.first + pre] = len(self.tag) - self.first - 1
 
     def updatepos(self, i, j):
@@ -217,6 +230,7 @@ class NodeBuilder(HTMLParser):
         if labels:
             scopes = {**scopes, **dict.fromkeys(labels, pre)}
         self.open.append((pre, tag, scopes, {}, self.open[-1][4] + (tag in LISTS)))
+        self.standing[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -225,7 +239,7 @@ class NodeBuilder(HTMLParser):
 
     def handle_endtag(self, tag):
         self._end_text()
-        if any(entry[1] == tag for entry in reversed(self.open)):
+        if self.standing[tag]:
             while self.open[-1][1] != tag:
                 self._close_top()
             self._close_top()
@@ -250,6 +264,20 @@ class NodeBuilder(HTMLParser):
     def unknown_decl(self, data):
         self._end_text()
 
+    def _running(self, ends: np.ndarray) -> Iterator[pa.Array]:
+        """Running counts, each starting anew with its document."""
+        n = len(self.tag)
+        seen = VISIBLE.search
+        marks = [
+            np.fromiter((t == TEXT and seen(x) is not None for t, x in zip(self.tag, self.text, strict=True)), np.int32, n),
+            np.fromiter((t == "img" for t in self.tag), np.int32, n),
+            np.fromiter((t in BREAKS for t in self.tag), np.int32, n),
+            np.fromiter((len(x) if t == TEXT else 0 for t, x in zip(self.tag, self.text, strict=True)), np.int32, n),
+        ]
+        for mark in marks:
+            total = np.concatenate([[0], np.cumsum(mark, dtype=np.int64)])
+            yield pa.array((total[1:] - np.repeat(total[ends[:-1]], np.diff(ends))).astype(np.int32))
+
     def column(self) -> pa.ListArray:
         """All documents as one Arrow array of node lists."""
         ends = np.asarray([0, *self.ends], dtype=np.int32)
@@ -273,6 +301,7 @@ class NodeBuilder(HTMLParser):
                 strings(self.text),
                 pa.MapArray.from_arrays(offsets(self.scope_ends), strings(self.labels), pa.array(self.places, pa.int32())),
                 pa.array(self.lists, pa.int32()),
+                *self._running(ends),
             ],
             names=[f.name for f in NODE.fields],
         )

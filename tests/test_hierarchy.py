@@ -6,6 +6,7 @@ import random
 import pytest
 
 from folioworks.operators import graph, hierarchy
+from folioworks.operators import containment
 from folioworks.operators.containment import contains_pairs, first_containing
 from folioworks.operators.navigation import fill_levels, url_hierarchy
 from folioworks.sinks.publish import export_tree_json
@@ -245,6 +246,26 @@ def test_containment_matches_brute_force(spark, seed):
     assert {tuple(r) for r in got} == expected and len(got) == len(expected)
 
 
+@pytest.mark.parametrize("hot", [1 << 20, 7])
+def test_keys_with_a_common_start_meet_by_their_rarest_grams(spark, monkeypatch, hot):
+    monkeypatch.setattr(containment, "HOT", hot)
+    start = "https://www.example.com/watch/video?id="
+    rng = random.Random(9)
+    names = [f"{rng.randrange(10**12):012d}" for _ in range(40)]
+    texts = [(i, " ".join([start * 20, rng.choice(["", "x", "ab"]), start + names[i % 50] if i % 50 < 40 else start])) for i in range(200)]
+    keys = [(j, start + n) for j, n in enumerate(names)] + [(99, start)]
+    t, k = spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame(keys, "j int, k string")
+    got = contains_pairs(t, "i", "t", k, "j", "k").collect()
+    assert {tuple(r) for r in got} == {(i, j) for i, text in texts for j, key in keys if key in text}
+    grams = containment.key_grams(k.filter("j < 99"), "k")
+    blocks = containment.text_blocks(t, "i", "t", grams)
+    chosen = containment.anchors(grams, blocks)
+    # The blocks met by the chosen grams against those that the grams at the start would meet.
+    met = blocks.join(chosen.select("_q", "_gram").distinct(), ["_q", "_gram"]).count()
+    first = blocks.join(grams.filter("_r = _class").select("_q", "_gram").distinct(), ["_q", "_gram"]).count()
+    assert met < first / 5
+
+
 def test_first_containing(spark):
     media = spark.createDataFrame([(1, "v1"), (2, "v10"), (3, "zz"), (4, None), (5, "v1")], "id int, k string")
     table = spark.createDataFrame([(7, "u/v10 ", "b"), (3, "u/v1 ", "a"), (9, "u/v1", "c")], "pos int, url string, x string")

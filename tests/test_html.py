@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import time
 
 import pytest
@@ -158,6 +160,77 @@ def test_markdown_of_a_long_list_takes_the_time_of_its_length(one):
     assert text.startswith("1. item 0  + in 0  + in 1") and "8000. item 7999" in text
 
 
+def nest(tags, inner, close=True):
+    return "".join(f"<{t}>" for t in tags) + inner + ("".join(f"</{t.split()[0]}>" for t in reversed(tags)) if close else "")
+
+
+@pytest.mark.parametrize(
+    ("html", "start", "end"),
+    [
+        (nest(["b"] * 100_000, " x "), "**" * 20, "**" * 20),
+        (nest(["b"] * 100_000, " x", close=False), "**" * 20, "**" * 20),
+        (nest(["b", "a href='u'"] * 50_000, "x"), "**[**[", "](u)**](u)**"),
+        ("<b> x </b>" * 100_000, "**x** ", "**x**"),
+        ("<pre>" + " " * 100_000 + "x</pre><p>" + "&nbsp;<i></i>" * 50_000 + "</p>", "```", "\xa0"),
+    ],
+)
+def test_markdown_of_very_many_marks_takes_the_time_of_their_number(one, html, start, end):
+    began = time.monotonic()
+    text = value(one(html), markdown(F.col("nodes")))
+    assert time.monotonic() - began < 60
+    assert text.startswith(start) and text.endswith(end.strip(" "))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_markdown_moves_blanks_out_of_marks_as_plain_patterns_do(one, seed):
+    """The same by patterns over marks of several signs, which need as much stack as there are marks."""
+    rng = random.Random(seed)
+    html, stack = [], []
+    for _ in range(120):
+        move = rng.random()
+        if move < 0.35:
+            tag = rng.choice(["b", "i", "del", "code", 'a href="/u" title="t"'])
+            html.append(f"<{tag}>")
+            stack.append(tag.split()[0])
+        elif move < 0.6 and stack:
+            html.append(f"</{stack.pop()}>")
+        else:
+            html.append(rng.choice([" ", "x", " x", "x ", " x "]))
+    html = "".join(html) + "z" + "".join(f"</{t}>" for t in reversed(stack))
+    marks = {"b": "**", "i": "*", "del": "~~", "code": "`", "a": "["}
+    text, opened = "", []
+    tree = plain_events(html)
+    for kind, item in tree:
+        if kind == "open":
+            text += "\ufdd0" + marks[item] if item else ""
+        elif kind == "close":
+            text += ("](/u \"t\")" if item == "a" else marks[item]) + "\ufdd1" if item else ""
+        else:
+            text += re.sub(" +", " ", item)
+    text = re.sub(r"((?:\ufdd0(?:\*\*|\*|~~|`|\[))+)( +)", r"\2\1", text)
+    text = re.sub(r"( +)((?:(?:\*\*|\*|~~|`|\]\([^\n]*?\))\ufdd1)+)", r"\2\1", text)
+    assert value(one("<p>" + html + "</p>"), markdown(F.col("nodes"))) == re.sub("[\ufdd0\ufdd1]", "", text).strip(" ")
+
+
+def plain_events(html):
+    """Opening, closing and text events of well-formed markup; elements without text have no name."""
+    parts = re.findall(r"<(/?)(\w+)[^>]*>|([^<]+)", html)
+    out, stack = [], []
+    for closing, tag, text in parts:
+        if text:
+            out.append(["text", text])
+            if text.strip():
+                for at in stack:
+                    out[at][1] = out[at][2]
+        elif not closing:
+            stack.append(len(out))
+            out.append(["open", None, tag])
+        else:
+            at = stack.pop()
+            out.append(["close", out[at][1]])
+    return [(e[0], e[1]) for e in out]
+
+
 def test_markdown_counts_lists_inside_the_stretch_only(one):
     html = "<ul><li><div class='x'><ol start='3'><li>a<ul><li>b</li></ul></li></ol></div></li></ul>"
     area = content_area(F.col("nodes"), F.lit("x"))
