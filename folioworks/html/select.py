@@ -59,6 +59,16 @@ def at(nodes: Column, pre: Column) -> Column:
     return F.when(offset >= 0, F.get(nodes, offset))
 
 
+def enclosing(marked: Column, node: Column) -> Column:
+    """Of some nodes in document order, the nearest that encloses a node; null if none does.
+
+    Intervals say it: an enclosing node begins before and ends no earlier, and of those the nearest
+    begins last.  So any test will do, whatever the parser was told to track.
+    """
+    around = F.filter(marked, lambda m: (m["pre"] < node["pre"]) & (m["last"] >= node["last"]))
+    return let(around, lambda found: F.get(found, F.size(found) - 1))
+
+
 def find_all(nodes: Column, test: Test) -> Column:
     return F.filter(nodes, test)
 

@@ -43,7 +43,11 @@ def subtree_sizes(nodes: DataFrame) -> DataFrame:
     pointer of the pointer.  Sums are combined before they are shuffled, and a pointer shared by many
     is looked up once.
     """
-    state, rounds = _with_parents(nodes, F.lit(1).cast("bigint").alias("size")), _rounds(nodes)
+    return _sizes(_with_parents(nodes))
+
+
+def _sizes(linked: DataFrame) -> DataFrame:
+    state, rounds = linked.select("node_id", "jump", F.lit(1).cast("bigint").alias("size")), _rounds(linked)
     while True:
         moving = state.filter("jump IS NOT NULL")
         if moving.isEmpty():
@@ -70,10 +74,8 @@ def interval_labels(nodes: DataFrame) -> DataFrame:
     order, so a node with very many children is no single task's work, and those from the root down by
     doubling.  A cycle is an error that names nodes on it.
     """
-    sizes = subtree_sizes(nodes)
-    known = nodes.select("node_id", "parent_id", "ordinal").join(sizes, "node_id")
-    # A parent that is not in the table makes a root.
-    linked = _with_parents(known, "ordinal", "size")
+    linked = _with_parents(nodes, "ordinal")  # a parent that is not in the table makes a root
+    linked = linked.join(_sizes(linked), "node_id")
     ordered = with_sum_before(linked.withColumn("_inner", F.col("jump").isNotNull()), ["_inner", "jump", "ordinal", "node_id"], "size", "_before")
     ordered = written(ordered.drop("_inner"), "tree-siblings")
     eldest = ordered.filter("jump IS NOT NULL").groupBy("jump").agg(F.min("_before").alias("_start")).withColumnRenamed("jump", "_parent")
@@ -85,8 +87,7 @@ def interval_labels(nodes: DataFrame) -> DataFrame:
     while not state.isEmpty():
         tops = state.select(F.col("jump").alias("_top")).distinct()
         known = done.unionByName(state).select(F.col("node_id").alias("_top"), F.col("jump").alias("_next"), F.col("first").alias("_first"), F.col("depth").alias("_depth"))
-        tops = written(tops.join(known, "_top"), "tree-tops")
-        moved = left_join(state, tops, F.col("jump"), "_top").select(
+        moved = left_join(state, tops.join(known, "_top"), F.col("jump"), "_top").select(
             "node_id", F.col("_next").alias("jump"), "size", (F.col("first") + F.col("_first")).alias("first"), (F.col("depth") + F.col("_depth")).alias("depth")
         )
         moved = written(moved, "tree-steps")
@@ -111,8 +112,7 @@ def root_paths(nodes: DataFrame) -> DataFrame:
         rounds -= 1
         tops = state.select(F.col("jump").alias("_top")).distinct()
         known = done.unionByName(state).select(F.col("node_id").alias("_top"), F.col("jump").alias("_next"), F.col("path").alias("_path"))
-        tops = written(tops.join(known, "_top"), "path-tops")
-        grown = left_join(state, tops, F.col("jump"), "_top")
+        grown = left_join(state, tops.join(known, "_top"), F.col("jump"), "_top")
         grown = written(grown.select("node_id", F.col("_next").alias("jump"), F.concat("_path", "path").alias("path")), "paths")
         done, state = done.unionByName(grown.filter("jump IS NULL")), grown.filter("jump IS NOT NULL")
     return done.select("node_id", "path")

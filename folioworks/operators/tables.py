@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from folioworks.session import written
 
+#: Stretches that an order is cut into for drawing, a power of two.
+STRETCHES = 1024
 
 def value_counts(df: DataFrame, column: str, *, alias: str = "n") -> DataFrame:
     """Rows per value, null being a value; ties in order of the value."""
@@ -99,16 +103,55 @@ def with_sum_before(df: DataFrame, order_by: Sequence[str], value: str, alias: s
     )
 
 
+def _stretch_of(key: Column, bounds: Column) -> Column:
+    """How many of STRETCHES - 1 ascending bounds are not above the key: a binary search."""
+    halves = F.array(*[F.lit(STRETCHES >> i) for i in range(1, STRETCHES.bit_length())])
+    step = lambda low, half: F.when(F.get(bounds, low + half - 1) <= key, low + half).otherwise(low)
+    return F.aggregate(halves, F.lit(0), step)
+
+
+def _key_bounds(df: DataFrame, order_by: Sequence[str], total: int, seed: int) -> Column | None:
+    """Bounds that cut the order into stretches of about equal numbers of rows, from a sample of bounded size."""
+    share = min(1.0, 16 * STRETCHES / total)
+    keys = df.select(*order_by)
+    sampled = keys.sample(fraction=share, seed=seed).orderBy(*order_by).limit(32 * STRETCHES)
+    rows = [r[0] for r in sampled.select(F.to_json(F.struct(*order_by))).collect()]
+    if not rows:
+        return None
+    chosen = ",".join(rows[len(rows) * i // STRETCHES] for i in range(1, STRETCHES))
+    return F.from_json(F.lit(f"[{chosen}]"), T.ArrayType(keys.schema))  # a constant
+
+
 def sample_with_replacement(df: DataFrame, order_by: Sequence[str], k: int, seed: int) -> DataFrame:
-    """Exactly k seeded draws, each uniform over all rows, so a row may come up more than once."""
-    indexed = with_row_index(df, order_by)
-    total = indexed.count()
+    """Exactly k seeded draws, each uniform over all rows, so a row may come up more than once.
+
+    A draw is a place in the order of the rows.  Bounds from a sample cut the order into stretches; the
+    rows are counted per stretch, so every draw is dealt to a stretch and a place within it.  Only the
+    rows of drawn stretches are fetched and numbered; the table itself is neither sorted nor written.
+    The sample decides how even the stretches are, not which rows are drawn.
+    """
+    total = df.count()
     if total == 0:
         raise ValueError("cannot draw from an empty table")
     digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("id").cast("string")))
     number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-    draws = df.sparkSession.range(k).select(F.col("id").alias("draw"), F.pmod(number, F.lit(total)).alias("idx"))
-    return draws.join(indexed, "idx").drop("idx")
+    draws = df.sparkSession.range(k).select(F.col("id").alias("draw"), F.pmod(number, F.lit(total)).alias("_at"))
+    bounds = _key_bounds(df, order_by, total, seed)
+    if bounds is None:
+        indexed = with_row_index(df, order_by)
+        return draws.join(indexed, F.col("_at") == F.col("idx")).drop("_at", "idx")
+    placed = df.withColumn("_part", _stretch_of(F.struct(*order_by), bounds))
+    counts = dict(placed.groupBy("_part").count().collect())  # at most STRETCHES rows
+    starts = [0, *accumulate(counts.get(i, 0) for i in range(STRETCHES))][:STRETCHES]
+    numbers = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    dealt = draws.withColumn("_part", _stretch_of(F.col("_at"), F.slice(numbers, 2, STRETCHES - 1)))
+    first = F.element_at(numbers, F.col("_part") + 1)
+    dealt = dealt.select("draw", "_part", (F.col("_at") - first).alias("_within"))
+    drawn = dealt.select("_part").distinct()  # at most STRETCHES rows
+    fetched = with_row_index(placed.join(drawn, "_part", "left_semi"), ["_part", *order_by], "_place")
+    heads = fetched.groupBy("_part").agg(F.min("_place").alias("_head"))
+    found = fetched.join(heads, "_part").withColumn("_within", F.col("_place") - F.col("_head"))
+    return dealt.join(found, ["_part", "_within"]).select("draw", *df.columns)
 
 
 def add_missing(df: DataFrame, extra: DataFrame, key: str) -> DataFrame:

@@ -72,17 +72,17 @@ def select_class(spark, folder):
     return rows.select("page_id", text_of(F.col("sub")).alias("text"))
 
 
-_ANCHORS = f"""SELECT page_id, {decoded("a[1]")} AS href, {decoded("a[2]")} AS text FROM (
+ANCHORS = f"""SELECT page_id, {decoded("a[1]")} AS href, {decoded("a[2]")} AS text FROM (
     SELECT page_id, unnest(list_zip(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1),
                                     regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2))) AS a FROM pages)"""
 
 
-@query("anchors", _ANCHORS)
+@query("anchors", ANCHORS)
 def all_anchors(spark, folder):
     return anchors(parsed(spark, folder), "page_id").drop("pos")
 
 
-@query("distinct_links", f"SELECT href, count(*) AS n FROM (SELECT DISTINCT page_id, href FROM ({_ANCHORS})) GROUP BY href")
+@query("distinct_links", f"SELECT href, count(*) AS n FROM (SELECT DISTINCT page_id, href FROM ({ANCHORS})) GROUP BY href")
 def distinct_links(spark, folder):
     found = anchors(parsed(spark, folder), "page_id").select("page_id", "href").distinct()
     return found.groupBy("href").agg(F.count(F.lit(1)).alias("n"))
@@ -106,6 +106,12 @@ def fallback_title(spark, folder):
     )
 
 
+TITLES = f"""SELECT page_id, coalesce(nullif(trim({decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)")}), ''),
+                                nullif(split_part(url, '/', -2), ''), 'Unknown') AS title
+        FROM (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN html ELSE regexp_replace(html, '<title>[^<]*</title>', '') END AS html FROM pages
+              UNION ALL SELECT -1 - page_id, url, html FROM pages)"""
+
+
 def title_or_folder(spark, folder):
     """Titles of all pages; pages without one are made of the same pages."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
@@ -128,6 +134,11 @@ def paragraph_text(spark, folder):
     return found.filter(text.present(F.col("text")))
 
 
+_P = _plain("regexp_replace(p, '</p>.*$', '', 's')")
+PARAGRAPHS = f"""SELECT page_id, trim({_P}) AS text
+        FROM (SELECT page_id, unnest(string_split(regexp_replace(html, '</article>.*$', '', 's'), '<p>')[2:]) AS p FROM pages) WHERE trim({_P}) <> ''"""
+
+
 def all_paragraphs(spark, folder):
     """Texts of all paragraphs, whatever they hold; one that is not closed ends where the next begins."""
     rows = select_nodes(parsed(spark, folder), ["page_id"], is_tag("p"))

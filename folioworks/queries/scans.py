@@ -12,7 +12,8 @@ from folioworks.operators.tables import add_missing
 from folioworks.plans.bibliography import is_insecure, records, repeated_tags, split_tags
 from folioworks.queries.registry import query, view
 from folioworks.session import fresh_path
-from folioworks.sinks.publish import publish
+from folioworks.sinks.publish import publish, target_path
+from folioworks.sinks.versions import publish_version, read_current, versions
 from folioworks.sources.landing import (
     child_rows,
     expected_resources,
@@ -411,6 +412,28 @@ def publish_replace(spark, folder):
     return read[0].unionByName(read[1])
 
 
+@query(
+    "publish_versions",
+    """SELECT 'read before' AS name, id, 'old' AS title, stage_id AS stage FROM v_post
+       UNION ALL SELECT 'current', id, title, stage_id FROM v_post
+       UNION ALL SELECT 'version', v, CAST((SELECT count(*) FROM orders) AS VARCHAR), '' FROM (VALUES (1), (2)) AS t(v)""",
+    ("v_post",),
+)
+def publish_versions(spark, folder):
+    """Two versions: whoever began with the first goes on reading it, the pointer names the second."""
+    target = fresh_path(spark, "versions")
+    rows = view(spark, folder, "v_post").select(
+        "id", "date", "title", F.col("stage_id").alias("stage"), F.split("title", " ").alias("words")
+    )
+    publish_version(rows.withColumn("title", F.lit("old")), _PUBLISHED, target)
+    before = read_current(spark, target, _PUBLISHED.name)
+    publish_version(rows, _PUBLISHED, target)
+    shown = [df.select(F.lit(n).alias("name"), "id", "title", "stage") for n, df in (("read before", before), ("current", read_current(spark, target, _PUBLISHED.name)))]
+    log = versions(spark, target_path(target, _PUBLISHED.name))
+    log = log.select(F.lit("version").alias("name"), F.col("version").alias("id"), F.col("rows").cast("string").alias("title"), F.lit("").alias("stage"))
+    return shown[0].unionByName(shown[1]).unionByName(log)
+
+
 @query("sheet_scan", "SELECT url_medium, url_transkript, 1 AS places FROM v_lookup", ("v_lookup",))
 def sheet_scan(spark, folder):
     """The lookup sheet, landed as CSV; every line has a place of its own."""

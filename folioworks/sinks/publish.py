@@ -75,6 +75,17 @@ def _promote(spark: SparkSession, staging: str, path: str) -> None:
     folders.delete(aside)
 
 
+def write_checked(shaped: DataFrame, contract: Contract, path: str) -> int:
+    """Write rows and count them and the rules they break on the way; a broken rule is an error."""
+    seen = Observation()
+    broken = [F.count_if(bad).alias(label) for label, bad in rules(contract, shaped.columns).items()]
+    shaped.observe(seen, F.count(F.lit(1)).alias("rows"), *broken).write.mode("overwrite").parquet(path)
+    failed = {label: n for label, n in seen.get.items() if label != "rows" and n}
+    if failed:
+        raise ValueError(f"{contract.name} breaks its contract: {failed}; the rows are in {path}")
+    return seen.get["rows"]
+
+
 def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = False) -> str:
     """Write the table and replace the published one by it if every row keeps the contract.
 
@@ -82,15 +93,9 @@ def publish(df: DataFrame, contract: Contract, folder: str, *, smoke: bool = Fal
     once and the rows are written once.  A run that is broken off leaves the old table in its place or
     beside it, from where ``recover``, or the next run, puts it back.
     """
-    shaped = conform(df, contract)
     path = target_path(folder, contract.name, smoke=smoke)
     staging = f"{path}.staging"
-    seen = Observation()
-    broken = [F.count_if(bad).alias(label) for label, bad in rules(contract, shaped.columns).items()]
-    shaped.observe(seen, F.count(F.lit(1)).alias("rows"), *broken).write.mode("overwrite").parquet(staging)
-    failed = {label: n for label, n in seen.get.items() if label != "rows" and n}
-    if failed:
-        raise ValueError(f"{contract.name} breaks its contract: {failed}; the rows are in {staging}")
+    write_checked(conform(df, contract), contract, staging)
     _promote(df.sparkSession, staging, path)
     return path
 

@@ -17,11 +17,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def missing_pages(pages: DataFrame) -> DataFrame:
-    """Gaps in ``pages(page, total_pages)``: how many pages were announced, and how many of these numbers are there."""
+    """Gaps in ``pages(page, total_pages)``: how many pages were announced, and how many of these numbers are there.
+
+    No page at all is a gap, too: even an empty resource has a page that says so.
+    """
     announced = F.max("total_pages").alias("announced")
     landed = F.count_distinct(F.when(F.col("page").between(1, F.col("total_pages")), F.col("page"))).alias("landed")
     return pages.agg(landed, announced, F.max("page").alias("last")).filter(
-        (F.col("landed") != F.col("announced")) | (F.col("last") > F.col("announced"))
+        F.col("announced").isNull() | (F.col("landed") != F.col("announced")) | (F.col("last") > F.col("announced"))
     ).drop("last")
 
 

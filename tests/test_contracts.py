@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import threading
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from folioworks.operators import quality
 from folioworks.session import shared_dir
 from folioworks.sinks import publish as publishing
 from folioworks.sinks.publish import conform, publish, target_path
+from folioworks.sinks.versions import current_path, publish_version, read_current, versions
 from folioworks.sources.landing import missing_pages, scan_files, scan_paged, with_file_type
 
 
@@ -154,6 +156,10 @@ def test_paged_scan_needs_every_page(spark, tmp_path):
     assert missing_pages(pages).count() == 0
 
 
+def test_no_page_at_all_is_a_gap(spark):
+    assert missing_pages(spark.createDataFrame([], "page bigint, total_pages bigint")).count() == 1
+
+
 def test_binary_files_keep_their_bytes(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(bytes(range(256)) * 4)
     row = with_file_type(scan_files(spark, str(tmp_path)).withColumn("ct", F.lit("image/png")), "ct").first()
@@ -178,3 +184,35 @@ def test_dates_are_dates(spark):
     contract = C.Contract("d", (C.Field("day", "date"),))
     df = spark.createDataFrame([("2024-05-06 07:08:09",)], "day string").withColumn("day", F.col("day").cast("timestamp"))
     assert quality.cast(df, contract).first().day == datetime.date(2024, 5, 6)
+
+
+def test_versions_behind_a_pointer(spark, tmp_path):
+    contract = C.Contract("numbers", (C.Field("id", "int64"), C.Field("kind", C.Enum(("a", "b")))))
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, kind string")
+    folder = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, folder, "numbers")
+    first = publish_version(rows, contract, folder)
+    held = read_current(spark, folder, "numbers")
+    with pytest.raises(ValueError, match="domain:kind"):
+        publish_version(rows.withColumn("kind", F.lit("c")), contract, folder)
+    assert current_path(spark, f"{folder}/numbers.parquet") == first  # a broken version is not pointed to
+    # Readers in a loop, while versions are published: each sees one whole version.
+    stop, seen, wrong = threading.Event(), [], []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(sorted({r.id for r in read_current(spark, folder, "numbers").collect()})))
+            except Exception as error:  # any miss is what this test is about
+                wrong.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(3):
+        publish_version(rows.withColumn("id", F.col("id") + 10 * (n + 1)), contract, folder)
+    stop.set()
+    reader.join()
+    assert not wrong and set(seen) <= {(1, 2), (11, 12), (21, 22), (31, 32)} and seen
+    assert sorted(r.id for r in held.collect()) == [1, 2]
+    assert [r.rows for r in versions(spark, f"{folder}/numbers.parquet").orderBy("version").collect()] == [2, 2, 2, 2]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -81,6 +82,19 @@ def test_row_index_is_gapless_and_sample_is_repeatable(spark):
         sample_with_replacement(rows.filter("x < 0"), ["x"], 1, 5)
 
 
+@pytest.mark.parametrize("n", [1, 50, 30_000])
+def test_draws_are_places_in_the_order(spark, n):
+    """Against the sorted rows themselves; copies, nulls and two keys."""
+    rows = [(None if i % 7 == 0 else i // 3, f"k{i % 3}", i) for i in range(n)]
+    df = spark.createDataFrame(rows, "x bigint, y string, id int")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    drawn = sample_with_replacement(df.select("x", "y"), ["x", "y"], 300, 5).collect()
+    assert sorted(r.draw for r in drawn) == list(range(300))
+    for r in drawn:
+        at = int(hashlib.md5(f"5-{r.draw}".encode()).hexdigest()[:15], 16) % n
+        assert (r.x, r.y) == order[at][:2]
+
+
 def test_picks(spark):
     rows = spark.createDataFrame([("u", 3, "c"), ("u", 1, "a"), ("w", 2, None), ("w", 1, "x")], "k string, p int, v string")
     assert {tuple(r) for r in first_per_key(rows, ["k"], ["p"], ["v"]).collect()} == {("u", "a"), ("w", "x")}
