@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from itertools import count
-
+import re
+import sys
+from collections.abc import Iterator
+from itertools import islice
+from json import loads
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioworks.functions.links import file_type
 from folioworks.operators.quality import require_none
-from folioworks.session import written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,30 +93,97 @@ def with_file_type(df: DataFrame, content_type: str) -> DataFrame:
 
 
 def tree_rows(documents: DataFrame, tree: str, json: str, attributes: list[str]) -> DataFrame:
-    """Nested JSON hierarchies, one per row, as adjacency rows.
+    """Nested JSON hierarchies, one per row, as adjacency rows; the first attribute is a node's id.
 
-    Each round opens one level of all trees at once; subtrees stay text until their level is
-    reached.  ``ordinal`` is the rank among siblings.
+    One pass over each text, token by token, for any depth: nothing recurs and no subtree is written out
+    again.  A node's children wait for its id, which may stand behind them; nothing else is held.
+    ``ordinal`` is the rank among siblings.  Text that is no JSON is an error that names the tree.
     """
-    fields = ", ".join(f"{a} string" for a in attributes)
-    node = F.from_json("json", f"{fields}, children array<string>")
-    level = documents.select(
-        F.col(tree).alias("tree_id"),
-        F.lit(None).cast("string").alias("parent_id"),
-        F.lit(0).alias("depth"),
-        F.lit(0).alias("ordinal"),
-        F.col(json).alias("json"),
-    )
-    rows = None
-    for depth in count():  # the text gets shorter at every level
-        opened = written(level.withColumn("n", node).drop("json"), "tree-level")
-        found = opened.select("tree_id", "parent_id", "depth", "ordinal", *[F.col(f"n.{a}").alias(a) for a in attributes])
-        rows = found if rows is None else rows.unionByName(found)
-        level = opened.select(
-            "tree_id",
-            F.col(f"n.{attributes[0]}").alias("parent_id"),
-            F.lit(depth + 1).alias("depth"),
-            F.posexplode("n.children").alias("ordinal", "json"),
-        )
-        if level.isEmpty():
-            return rows
+    picked = documents.select(F.col(tree).alias("tree_id"), F.col(json).alias("json"))
+    strings = [T.StructField(a, T.StringType()) for a in attributes]
+    numbers = [T.StructField(n, T.IntegerType()) for n in ("depth", "ordinal")]
+    schema = T.StructType([picked.schema["tree_id"], T.StructField("parent_id", T.StringType()), *numbers, *strings])
+    types = [pa.string(), pa.int32(), pa.int32(), *[pa.string()] * len(attributes)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in range(batch.num_rows):
+                text = batch.column(1)[place].as_py()
+                found = walk_tree(text, attributes, batch.column(0)[place].as_py()) if text is not None else iter(())
+                while rows := list(islice(found, _ROWS)):
+                    ids = batch.column(0).take(pa.array([place] * len(rows)))
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
+
+    return picked.mapInArrow(run, schema)
+
+
+#: Rows of a tree that go out together.
+_ROWS = 20_000
+_TOKEN = re.compile(r'[ \t\r\n]*+(?:([{}\[\],:])|("(?:[^"\\]++|\\.)*+")|([^ \t\r\n{}\[\],:"]++))', re.DOTALL)
+
+
+def _plain(token: str) -> str | None:
+    """A scalar as text; null is null."""
+    value = loads(token, strict=False)
+    return value if isinstance(value, str) else None if value is None else token
+
+
+def walk_tree(text: str, attributes: list[str], name: object = None) -> Iterator[tuple]:
+    """``(parent id, depth, ordinal, *attributes)`` of all nodes of a nested JSON text, children once their parent is complete."""
+    wanted = {a: i for i, a in enumerate(attributes)}
+    opened: list[list] = []  # nodes that are open: values, rows of their children, whether in their list of children
+    root: list | None = None
+    at, key, start, inner = 0, None, 0, 0  # inner: brackets open in a value that is no list of children
+    expected = "value"
+    while True:
+        token = _TOKEN.match(text, at)
+        if token is None:
+            break
+        sign, quoted, other = token.groups()
+        begin, at = token.start(token.lastindex), token.end()
+        if inner:
+            inner += (sign in ("{", "[")) - (sign in ("}", "]"))
+            if not inner:
+                if key in wanted:
+                    opened[-1][0][wanted[key]] = text[start:at]
+                expected = "end"
+        elif expected == "value" and (quoted or other) and opened and not opened[-1][2]:
+            value = _plain(quoted or other)
+            if key in wanted:
+                opened[-1][0][wanted[key]] = value
+            expected = "end"
+        elif expected in ("value", "first") and sign == "{" and (opened and opened[-1][2] or not opened and root is None):
+            opened.append([[None] * len(attributes), [], False])
+            expected = "key or close"
+        elif expected == "value" and sign == "[" and key == "children" and not opened[-1][2]:
+            opened[-1][2], expected = True, "first"
+        elif expected == "value" and sign in ("{", "[") and opened and not opened[-1][2]:
+            start, inner = begin, 1
+        elif expected in ("key", "key or close") and quoted:
+            key, expected = loads(quoted, strict=False), "colon"
+        elif expected == "colon" and sign == ":":
+            expected = "value"
+        elif expected == "end" and sign == ",":
+            expected = "value" if opened[-1][2] else "key"
+        elif sign == "]" and expected in ("end", "first") and opened and opened[-1][2]:
+            opened[-1][2], expected = False, "end"
+        elif sign == "}" and expected in ("end", "key or close") and opened and not opened[-1][2]:
+            values, children, _ = opened.pop()
+            depth = len(opened)
+            for ordinal, child in enumerate(children):
+                yield (values[0], depth + 1, ordinal, *child)
+            if opened:
+                opened[-1][1].append(values)
+                expected = "end"
+            else:
+                root, expected = values, "nothing"
+        else:
+            raise ValueError(f"tree {name}: unexpected {token.group().strip()!r} at character {begin}")
+    if root is None or text[at:].strip():
+        raise ValueError(f"tree {name}: the text ends or cannot be read at character {at}")
+    yield (None, 0, 0, *root)
+
+
+# Send this module along with the tasks, so that the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,7 @@ from folioworks.operators import containment
 from folioworks.operators.containment import contains_pairs, first_containing
 from folioworks.operators.navigation import fill_levels, url_hierarchy
 from folioworks.sinks.publish import export_tree_json
-from folioworks.sources.landing import tree_rows
+from folioworks.sources.landing import tree_rows, walk_tree
 
 
 def random_tree(n, seed):
@@ -182,6 +182,39 @@ def test_tree_json_round_trip(spark, tmp_path):
     assert {(r.node_id, r.parent_id, r.name) for r in back} == {(n, p, name) for n, p, _, name in rows}
 
 
+def flat(node, names, parent=None, depth=0, ordinal=0):
+    yield (parent, depth, ordinal, *[None if node.get(n) is None else str(node[n]) for n in names])
+    for i, child in enumerate(node.get("children", [])):
+        yield from flat(child, names, node.get(names[0]), depth + 1, i)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_tree_text_in_one_pass(spark, seed):
+    rng = random.Random(seed)
+    odd = ['a"b', "{", "]}", "\\", "ü\n", "", None, "children", 'x\\"']
+
+    def grow(depth):
+        node = {"children": [grow(depth - 1) for _ in range(rng.randrange(0, 4))]} if depth and rng.random() < 0.8 else {}
+        node |= {"other": {"children": [{"id": "no"}], "t": ["]", "}"]}, "name": rng.choice(odd), "id": str(rng.randrange(10**6))}
+        return dict(rng.sample(list(node.items()), len(node)))
+
+    trees = [grow(5) for _ in range(8)]
+    rows = [(i, json.dumps(t, indent=rng.choice([None, 2]), ensure_ascii=rng.random() < 0.5)) for i, t in enumerate(trees)] + [(99, None)]
+    got = tree_rows(spark.createDataFrame(rows, "t int, j string"), "t", "j", ["id", "name"]).collect()
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(repr((i, *r)) for i, t in enumerate(trees) for r in flat(t, ["id", "name"]))
+
+
+def test_deep_and_broken_tree_texts():
+    deep = '{"id":"0","children":[' * 3000 + '{"id":"x"}' + "]}" * 3000
+    rows = list(walk_tree(deep, ["id"]))
+    assert len(rows) == 3001 and max(r[1] for r in rows) == 3000
+    wide = '{"children":[' + ",".join(f'{{"id":{i},"f":true}}' for i in range(5)) + '],"id":"top","f":null}'
+    assert list(walk_tree(wide, ["id", "f"])) == [("top", 1, i, str(i), "true") for i in range(5)] + [(None, 0, 0, "top", None)]
+    for broken in ("", "[]", "{", '{"id":1', '{"id":1}}', '{"id" 1}', '{"children":[1]}', '{"id":1,}', '{"id":tru}', '{"a":"b}', '{"children":[{}', '{}{}'):
+        with pytest.raises(ValueError):
+            list(walk_tree(broken, ["id"], 7))
+
+
 def walk_nav(links):
     category = subcategory = None
     out = {}

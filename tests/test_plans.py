@@ -14,7 +14,7 @@ PARSED = {
     "anchors", "area_extract", "chapter_links", "council_list", "distinct_links", "fallback_title", "headline", "link_headlines", "post_enriched",
     "glossary_terms", "guide_pages", "html_markdown", "html_nodes", "html_sanitize", "html_scope", "labelled_link", "legal_texts",
     "nav_tree", "nth_element", "page_title", "paragraph_text", "related_items", "sanitized_text", "scoped_attr", "section_counts",
-    "section_orphans", "sections", "select_class", "unknown_widgets", "all_paragraphs", "title_or_folder", "enclosing_widget",
+    "section_orphans", "sections", "select_class", "unknown_widgets", "all_paragraphs", "title_or_folder", "enclosing_widget", "tree_from_json",
 }
 # The table function is a Python step of its own kind.
 IN_SQL = {"html_nodes_sql"}
