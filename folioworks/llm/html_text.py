@@ -3,7 +3,7 @@
 A page is cut into blocks.  What stands in scripts, styles, forms, menus, headers, footers, side bars,
 notices, adverts and reader comments, by element, role or class, is never main text; class words and ids do
 not drop html, body, main, article or an element that contains a marked article, and names that tell a
-state, as ``has-sidebar`` does, drop nothing.  Where a page marks its article (``article``, ``main`` or an
+state, as ``has-sidebar`` does, drop nothing.  Within an article only whole class names count, no parts and no ids.  Where a page marks its article (``article``, ``main`` or an
 article body; of several kinds the one with most text of its own), the rest of that is the main text.
 
 Where it does not, the host decides.  The token streams of a host's distinct pages are laid end to end and
@@ -15,7 +15,7 @@ host reaches it in one of its shards; those substrings are then counted in all s
 those of the whole host.
 
 Blocks of marked articles are judged by the same array, but whole: one goes where substrings on
-``PAGES`` distinct pages and on ``BLOCK_SHARE`` in a hundred cover all its tokens, so passages that some
+``BLOCK_PAGES`` distinct pages and on ``BLOCK_SHARE`` in a hundred cover all its tokens, so passages that some
 articles quote stay.  An article that would lose all its blocks keeps them: the page's own mark stands.
 
 Defined cases: a null or empty html has an empty text and is no page that counts;
@@ -46,7 +46,9 @@ RUN = 8
 PAGES = 3
 #: A repeated run is boilerplate where so many of a hundred distinct pages of its host hold it.
 RUN_SHARE = 20
-#: A whole block of a marked article goes only where runs on so many of a hundred cover all of it.
+#: A whole block of a marked article goes only where runs on so many distinct pages, and on so many of a
+#: hundred, cover all of it: a headline that a few pages have as a teaser is no boilerplate.
+BLOCK_PAGES = 12
 BLOCK_SHARE = 50
 SHARD_PAGES = 512
 
@@ -78,8 +80,10 @@ _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>
 #: A tag whose quotes do not match ends at the next bracket.
 _BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
 _ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
-_SPACE = re.compile(r"[ \t\n\x0b\f\r\xa0]+")
+_SPACE = re.compile(r"\s+")
 _DROP = -1
+#: Within these marks, a part of a name says nothing: an article may be about shares, notices and social history.
+_ARTICLE = 1 << 3 | 1 << 1
 
 
 def _names_in(words: frozenset[str], names: list[str]) -> bool:
@@ -90,9 +94,9 @@ def _names_in(words: frozenset[str], names: list[str]) -> bool:
     return any(not words.isdisjoint(p) and _STATES.isdisjoint(p) for p in parts)
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, int]:
-    """Whether the element is never main text, is not by its names, and (both) outside an article; its rank as an article, 0 for a comment."""
-    never, rank, names = tag in _NEVER, {"article": 3, "main": 2}.get(tag, -1), []
+def _marks(tag: str, attrs: str) -> tuple[bool, tuple[bool, bool], bool, bool, int]:
+    """Whether the element is never main text; is not by a whole class, or by a part of a name; and (both) outside an article; its rank as an article, 0 for a comment."""
+    never, rank, names, classes = tag in _NEVER, {"article": 3, "main": 2}.get(tag, -1), [], []
     if attrs and not attrs.isspace():
         for name, *values in _ATTR.findall(attrs):
             name, value = name.lower(), "".join(values).lower()
@@ -101,6 +105,7 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, int]:
                 rank = max(rank, {"article": 3, "main": 2}.get(value, -1))
             elif name in ("class", "id"):
                 names += value.split()
+                classes += value.split() if name == "class" else []
             elif name == "itemprop":
                 rank = max(rank, 1 if value == "articlebody" else -1)
             elif name == "hidden" or value == "true":
@@ -110,7 +115,7 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool, bool, int]:
     if rank > 0 and tag != "main" and not _COMMENT_CLASSES.isdisjoint(names):
         rank = 0
     free = rank >= 0 or tag in _WHOLE or not names
-    return never, not free and _names_in(_NEVER_CLASSES, names), tag == "header", not free and _names_in(_NEVER_OUTSIDE, names), -1 if never else rank
+    return never, (not free and not _NEVER_CLASSES.isdisjoint(classes), not free and _names_in(_NEVER_CLASSES, names)), tag == "header", not free and _names_in(_NEVER_OUTSIDE, names), -1 if never else rank
 
 
 def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
@@ -177,7 +182,7 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[str, bool]]]:
                 while not holds[inner]:
                     holds[inner] = True
                     inner = around[inner]
-            elif named or (named_outside and ranks < 2):
+            elif named[0 if ranks & _ARTICLE else 1] or (named_outside and ranks < 2):
                 around.append(drop)
                 holds.append(False)
                 drop = len(around) - 1
@@ -386,7 +391,7 @@ def _left(page: list[tuple[str, str]], runs: np.ndarray, most: np.ndarray) -> li
 
 def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHARD_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    parsed = parse(pages)
+    parsed = written(parse(pages), "page-blocks")  # read for the hosts and again for the texts
     hosts = parsed.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / shard_pages).alias("shards"), F.count_distinct("content").alias("pages"))
     hosts = written(hosts.withColumnRenamed("host", "_host"), "page-hosts")
     # One deal serves all three passes; the passes hand on substrings only.
@@ -405,7 +410,8 @@ def main_text(pages: DataFrame, least_pages: int = PAGES, shard_pages: int = SHA
     wanted = by_shard.applyInArrow(found, FOUND).distinct()
     counted = by_shard.cogroup(everywhere(wanted)).applyInArrow(_counted, COUNTED).groupBy("host", "pages", "hash").agg(F.sum("n").alias("n"))
     repeated = counted.filter((F.col("n") >= least_pages) & (100 * F.col("n") >= RUN_SHARE * F.col("pages")))
-    repeated = repeated.select("host", "hash", (100 * F.col("n") >= BLOCK_SHARE * F.col("pages")).alias("wide"))
+    wide = (F.col("n") >= BLOCK_PAGES) & (100 * F.col("n") >= BLOCK_SHARE * F.col("pages"))
+    repeated = repeated.select("host", "hash", wide.alias("wide"))
     schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
     decided = by_shard.cogroup(everywhere(repeated)).applyInArrow(_texts, schema)
     return decided.select("*", F.length("text").cast("bigint").alias("n_chars"))

@@ -1,8 +1,8 @@
 """Secret scans: patterns find candidates, corpus-wide ownership tells copied examples from live ones.
 
 Every candidate value is hashed and counted over the distinct repositories and owners it appears in.
-A value that several owners share is an example that people copy; one that stays with its owner looks
-live.  Long mixed tokens of no known form are reported only if one owner alone has them.
+A value that several owners share, or that stands in many repositories, is an example that people copy;
+one that stays with its owner in few places looks live.  Long mixed tokens of no known form are reported only if one owner alone has them.
 
 Defined cases: a null text is empty; a null owner or repository is one nameless owner or repository;
 rows that repeat are scanned one by one, each giving a row; other columns are ignored.  Positions
@@ -12,6 +12,7 @@ count code points, ends are exclusive.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,8 +37,9 @@ KINDS = {
     "mixed": "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}",
 }
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
-#: From so many owners on, a value is a copied example.
+#: From so many owners, or so many repositories, on, a value is a copied example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 5
 
 
 def _hits(text: Column, kind: str) -> Column:
@@ -117,15 +119,17 @@ def classified(
     owner: str = "source",
     repository: Sequence[str] = ("source", "lang"),
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """Candidates with ``live``: known to fewer owners than an example is."""
+    """Candidates with their owners and repositories and ``live``: in fewer of both than an example is."""
     found = written(candidates(docs, keys, owner, repository), "secret-candidates")
     lone = (F.col("kind") != "mixed") | (F.col("n_owners") == 1)
     # Rows without a candidate have no hash, and would all meet in one task of the join.
     counted = found.filter("kind IS NOT NULL").join(ownership(found), "hash")
-    counted = counted.withColumn("live", F.col("n_owners") < example_owners).withColumn("kind", F.when(lone, F.col("kind")))
-    bare = found.filter("kind IS NULL").withColumn("live", F.lit(None).cast("boolean"))
-    return counted.select(*bare.columns).unionByName(bare)
+    few = (F.col("n_owners") < example_owners) & (F.col("n_repositories") < example_repositories)
+    counted = counted.withColumn("live", few).withColumn("kind", F.when(lone, F.col("kind")))
+    shown = [*found.columns, "n_owners", "n_repositories", "live"]
+    return counted.select(*shown).unionByName(found.filter("kind IS NULL"), allowMissingColumns=True)
 
 
 def scan(
@@ -134,9 +138,13 @@ def scan(
     owner: str = "source",
     repository: Sequence[str] = ("source", "lang"),
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document: counts, spans in order, how many of them look live and how many are examples."""
-    found = classified(docs, keys, owner, repository, example_owners)
+    """One row per document: counts, spans in order, how many of them look live and how many are examples.
+
+    ``most_owners`` and ``most_repositories`` are those of its most widely used value, 0 without any.
+    """
+    found = classified(docs, keys, owner, repository, example_owners, example_repositories)
     order = F.create_map(*[x for k, i in ORDER.items() for x in (F.lit(k), F.lit(i))])
     span = F.when(
         F.col("kind").isNotNull(),
@@ -156,6 +164,7 @@ def scan(
             F.collect_list(span).alias("_spans"),
             F.count(F.when(F.col("kind").isNotNull() & F.col("live"), 1)).alias("n_live"),
             F.count(F.when(F.col("kind").isNotNull() & ~F.col("live"), 1)).alias("n_example"),
+            *[F.coalesce(F.max(F.when(F.col("kind").isNotNull(), F.col(f"n_{c}"))), F.lit(0)).alias(f"most_{c}") for c in ("owners", "repositories")],
         )
         .select(
             "_keys.*",
@@ -164,6 +173,8 @@ def scan(
             joined(spans).alias("spans"),
             "n_live",
             "n_example",
+            "most_owners",
+            "most_repositories",
         )
     )
 
@@ -171,30 +182,41 @@ def scan(
 MASK = "[SECRET]"
 
 
-def mask_live(docs: DataFrame, key: str = "doc_id", owner: str = "source", repository: Sequence[str] = ("source", "lang")) -> DataFrame:
+def mask_live(docs: DataFrame, owner: str = "source", repository: Sequence[str] = ("source", "lang")) -> DataFrame:
     """The documents with live-looking values masked in ``text`` and ``n_chars`` brought up to date.
 
-    No row is dropped.  Rows that share a key share the values found in any of them; rows with a null
-    key pass as they are.
+    A value is masked at the places where it was found and nowhere else.  Whether it looks live is said of
+    the value, so equal texts are masked alike and a text's digest is what brings its places back to it;
+    keys, null or repeated, play no part.  No row is dropped; texts without a candidate are not moved.
     """
-    live = (
-        classified(docs, (key,), owner, repository)
-        .filter("kind IS NOT NULL AND live")
-        .select(F.col(f"_keys.{key}").alias("_key"), "value")
-        .filter("_key IS NOT NULL")
-        .groupBy("_key")
-        # Longer values first, so that none is cut by another that it holds.
-        .agg(F.reverse(F.array_sort(F.transform(F.collect_set("value"), lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))).alias("_values"))
-        .select("_key", F.concat(F.lit(r"\Q"), F.array_join(F.transform("_values", lambda s: s["v"]), r"\E|\Q"), F.lit(r"\E")).alias("_pattern"))
+    own = fresh_name(docs, "_digest")
+    held = F.coalesce(reduce(lambda a, b: a | b, [F.col("text").rlike(pattern) for pattern in KINDS.values()]), F.lit(False))
+    some = docs.filter(held).withColumn(own, F.md5("text"))
+    # The value is the end of its match.
+    span = F.struct((F.col("end") - F.length("value")).alias("begin"), F.col("end").alias("end"))
+    live = classified(some, (own,), owner, repository).filter("kind IS NOT NULL AND live")
+    live = live.groupBy(F.col(f"_keys.{own}").alias("_of")).agg(F.array_sort(F.collect_set(span)).alias("_spans"))
+    spans, of = fresh_name(some, "_spans"), fresh_name(some, "_of")
+    joined = some.join(live.select(F.col("_of").alias(of), F.col("_spans").alias(spans)), F.col(own) == F.col(of), "left")
+    text = F.col("text")
+    part = lambda low, high: F.substring(text, (low + 1).cast("int"), (high - low).cast("int"))
+    # Spans of several kinds may overlap; together they are one mask.
+    done = F.aggregate(
+        F.col(spans),
+        F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
+        lambda acc, s: F.struct(
+            F.when(s["begin"] >= acc["at"], F.concat(acc["out"], part(acc["at"], s["begin"]), F.lit(MASK))).otherwise(acc["out"]).alias("out"),
+            F.greatest(acc["at"], s["end"]).alias("at"),
+        ),
+        lambda acc: F.concat(acc["out"], part(acc["at"], F.length(text))),
     )
-    # Names that the documents do not have.
-    own, pattern = fresh_name(docs, "_key"), fresh_name(docs, "_pattern")
-    joined = docs.join(live.select(F.col("_key").alias(own), F.col("_pattern").alias(pattern)), F.col(key) == F.col(own), "left")
-    masked = F.when(F.col(pattern).isNotNull(), F.regexp_replace(F.col("text"), F.col(pattern), F.lit(MASK))).otherwise(F.col("text"))
-    changes = {"text": masked}
+    masked = fresh_name(joined, "_masked")
+    joined = joined.withColumn(masked, F.when(F.col(spans).isNotNull(), done).otherwise(text))
+    changes = {"text": F.col(masked)}
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col(pattern).isNotNull(), F.length(masked).cast("bigint")).otherwise(F.col("n_chars"))
-    return joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in docs.columns])
+        changes["n_chars"] = F.when(F.col(spans).isNotNull(), F.length(masked).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    joined = joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in docs.columns])
+    return joined.unionByName(docs.filter(~held))
 
 
 SQL = rf"""
@@ -215,13 +237,15 @@ pos AS (
 v AS (SELECT *, CASE WHEN kind = 'assign' THEN regexp_extract(hit, '{ASSIGN.replace("'", "''")}', 2) ELSE hit END AS val FROM pos),
 ok AS (SELECT * FROM v WHERE CASE kind WHEN 'assign' THEN length(val) >= 6
         WHEN 'mixed' THEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') ELSE true END),
-f AS (SELECT val, count(DISTINCT own) AS owners FROM ok GROUP BY val),
-x AS (SELECT r, kind, no, b, concat(kind, ':', b, ':', e) AS span, owners < {EXAMPLE_OWNERS} AS live FROM ok JOIN f USING (val) WHERE kind <> 'mixed' OR owners = 1),
+f AS (SELECT val, count(DISTINCT own) AS owners, count(DISTINCT repo) AS repos FROM ok GROUP BY val),
+x AS (SELECT r, kind, no, b, concat(kind, ':', b, ':', e) AS span, owners, repos, owners < {EXAMPLE_OWNERS} AND repos < {EXAMPLE_REPOSITORIES} AS live FROM ok JOIN f USING (val) WHERE kind <> 'mixed' OR owners = 1),
 a AS (SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
         count(*) FILTER (WHERE kind = 'hex') AS n_hex, count(*) FILTER (WHERE kind = 'mixed') AS n_mixed,
         string_agg(span, ',' ORDER BY b, no) FILTER (WHERE no < 3) AS base, string_agg(span, ',' ORDER BY b, no) AS spans,
-        count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example FROM x GROUP BY r)
+        count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example,
+        max(owners) AS owners, max(repos) AS repos FROM x GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_mixed, 0) AS n_mixed,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(owners, 0) AS most_owners, coalesce(repos, 0) AS most_repositories
 FROM d LEFT JOIN a USING (r)
 """

@@ -139,16 +139,19 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SH
 
 
 def keep_first(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with the columns it came with.
+    """One row of each group, the one with the smallest doc_id, with the columns it came with.
 
-    Rows without a doc_id all stay; of rows that share a doc_id, one stays for each distinct row.
+    Rows are told apart by the hashes of all their columns, so rows that share a doc_id, or have none, are
+    rows of their own; a row without a doc_id stays only where its group has no other.  Of rows that agree
+    in all columns, one stays.
     """
-    firsts = near_duplicates(docs.select("doc_id", "text"), max_bits, shingle).filter("doc_id = component_id").select("doc_id").distinct()
-    firsts = written(firsts, "kept-ids")
-    row = fresh_name(docs, "_row")
-    kept = docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
-    kept = kept.withColumn(row, F.xxhash64(*docs.columns)).dropDuplicates(["doc_id", row]).drop(row)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    names = [fresh_name(docs, n) for n in ("_row_a", "_row_b")]
+    hashed = docs.withColumns({n: F.xxhash64(F.lit(i), *docs.columns) for i, n in enumerate(names)})
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), *[F.col(n).alias(x) for n, x in zip(names, "ab", strict=True)])
+    firsts = near_duplicates(hashed.select(place.alias("doc_id"), "text"), max_bits, shingle)
+    firsts = firsts.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*[F.col(f"doc_id.{x}").alias(n) for n, x in zip(names, "ab", strict=True)])
+    kept = hashed.join(written(firsts.distinct(), "kept-rows"), names, "left_semi")
+    return kept.dropDuplicates(names).select(*docs.columns)
 
 
 by_value(__name__)
