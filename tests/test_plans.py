@@ -15,6 +15,7 @@ PARSED = {
     "glossary_terms", "guide_pages", "html_markdown", "html_nodes", "html_sanitize", "html_scope", "labelled_link", "legal_texts",
     "nav_tree", "nth_element", "page_title", "paragraph_text", "related_items", "sanitized_text", "scoped_attr", "section_counts",
     "section_orphans", "sections", "select_class", "unknown_widgets", "all_paragraphs", "title_or_folder", "enclosing_widget", "tree_from_json",
+    "markdown_shapes", "sanitize_shapes",
 }
 # The table function is a Python step of its own kind.
 IN_SQL = {"html_nodes_sql"}
