@@ -40,9 +40,9 @@ from folioworks.session import written
 CAPACITY = 2048
 END = 0
 #: Schemes tried: the share of a sequence up to which a length is small, and the number of groups above it.
-SCHEMES = ((1 / 4, 32), (1 / 4, 64), (1 / 8, 32))
+SCHEMES = ((1 / 3, 64), (1 / 4, 64))
 #: Shares of the programme's sequences that are opened before best fit goes on.
-SHARES = (1.0, 0.9, 0.8)
+SHARES = (1.0, 0.7, 0.4)
 _BATCH_BYTES = 8 << 20
 _TOLERANCE = 1e-9
 
