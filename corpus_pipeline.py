@@ -2,6 +2,11 @@
 
 Each stage takes all that its predecessor kept, written as Parquet and read again.  All but the last
 return the columns of documents; the last returns what the mix takes of each document.
+
+Defined cases: a null or empty text breaks the quality rules and goes in the first stage; of rows that agree
+in all columns one stays; rows with a null or repeated doc_id are rows of their own, a row without one
+staying only where its group has no other; an empty table goes through all stages as an empty table;
+columns beyond those of documents pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -48,7 +53,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mix),
 ]
 
-#: SimHash groups and window fingerprints have no SQL form; tests hold each stage against brute force.
+#: SimHash groups and window fingerprints have no SQL form; tests/llm holds the run against a plain one on a small table.
 ORACLE_SQL = None
 
 
