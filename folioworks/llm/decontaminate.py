@@ -4,7 +4,7 @@ Items are put into classes of nearly equal length.  For each class, windows of i
 every text; a window's SimHash over its shingles of five words is looked up in four tables of 16 bits
 each.  Two fingerprints that differ in at most 19 bits differ in at most four bits in one of the
 tables, and the tables list every item under all values that near, so every item within the radius is
-met.  Each candidate is then compared exactly: around the place found, the windows with as many words
+met, and no item is compared that no table lists.  Each candidate is then compared exactly: around the place found, the windows with as many words
 as the item are laid on it, and the best similarity of the bags of shingles, sum of minima over sum of
 maxima, decides.
 
@@ -134,40 +134,50 @@ class WindowSums:
 
 
 class HammingTables:
-    """All fingerprints within a radius, through four tables of 16 bits.
+    """All fingerprints of a group within a radius, through four tables of 16 bits for each group.
 
-    A table tells for each value whether one of up to 32 fingerprints is near it in these 16 bits; more
-    fingerprints are held in several such sets.  Where a table says so, the distances are taken.
+    For each value of 16 bits a table has a bucket: the numbers of the group's fingerprints that differ
+    from it in at most a quarter of the radius there.  Only what a bucket names is compared; at a radius of
+    19 a bucket names one in 26 of the group, the four together one in seven.
     """
 
-    def __init__(self, prints: np.ndarray, radius: int) -> None:
-        self.prints, self.radius, self.sets = prints, radius, []
+    def __init__(self, groups: Sequence[np.ndarray], radius: int) -> None:
+        self.prints, self.radius = np.concatenate([np.zeros(0, np.uint64), *groups]), radius
         values = np.arange(1 << 16, dtype=np.uint16)
         near = values[np.bitwise_count(values) <= radius // 4]
-        for first in range(0, len(prints), 32):
-            tables = np.zeros((4, 1 << 16), dtype=np.uint8)
-            for value in prints[first : first + 32].tolist():
-                for block in range(4):
-                    tables[block, near ^ np.uint16(value >> 16 * block & 0xFFFF)] = 1
-            self.sets.append((first, tables))
-
-    def within(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (place in ``queries``, place in ``prints``), each once."""
-        rows, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        blocks = [queries.view(np.uint16)[k::4].astype(np.intp) for k in range(4)]
-        for first, tables in self.sets:
-            near = np.take(tables[0], blocks[0])
-            for block in (1, 2, 3):
-                near |= np.take(tables[block], blocks[block])
-            some = np.nonzero(near)[0]
-            picked = np.take(queries, some)
-            for k, value in enumerate(self.prints[first : first + 32]):
-                close = np.bitwise_count(picked ^ value) <= self.radius
-                if close.any():
-                    close = some[np.nonzero(close)[0]]
-                    rows.append(close)
-                    items.append(np.full(len(close), first + k, np.int64))
-        return np.concatenate(rows), np.concatenate(items)
+        sizes, named, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], 0
+        for prints in groups:
+            for block in range(4):
+                key = ((prints >> np.uint64(16 * block)).astype(np.uint16)[:, None] ^ near).ravel()
+                sizes.append(np.bincount(key, minlength=1 << 16))
+                named.append((np.argsort(key, kind="stable") // len(near) + first).astype(np.int32))
+            first += len(prints)
+        #: The buckets of all tables in a row: how many numbers each has, where it begins, and the numbers.
+        sizes, self.named = np.concatenate(sizes), np.concatenate(named)
+        self.size = sizes.astype(np.min_scalar_type(int(sizes.max(initial=0))))
+        self.begin = (np.cumsum(sizes) - sizes).astype(np.int32)
+
+    def candidates(self, queries: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place in ``queries``, number of a fingerprint) that a bucket names, one for each bucket."""
+        bucket = queries.view(np.uint16).astype(np.int32).reshape(-1, 4)
+        bucket += np.arange(4, dtype=np.int32) << 16
+        bucket += (group.astype(np.int32) << 18)[:, None]
+        bucket = bucket.ravel()
+        size = np.take(self.size, bucket)
+        some = np.flatnonzero(size)
+        size = np.take(size, some).astype(np.int32)
+        upto = np.cumsum(size, dtype=np.int32)
+        shift = np.take(self.begin, np.take(bucket, some)) - upto + size
+        at = np.repeat(shift, size)
+        at += np.arange(len(at), dtype=np.int32)
+        return np.repeat(some >> 2, size), np.take(self.named, at)
+
+    def within(self, queries: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place in ``queries``, number of a fingerprint of its group), each once."""
+        rows, items = self.candidates(queries, group)
+        close = np.flatnonzero(np.bitwise_count(np.take(queries, rows) ^ np.take(self.prints, items)) <= self.radius)
+        pairs = np.unique(rows[close] * max(len(self.prints), 1) + items[close])
+        return np.divmod(pairs, max(len(self.prints), 1))
 
 
 class Matcher:
@@ -189,20 +199,22 @@ class Matcher:
             self.sizes.append(len(words))
             self.shingles.append(hashed)
             self.bags.append(Counter(hashed.tolist()))
-        self.classes = defaultdict(list)
+        #: By the words of a shingle: the classes, their items in a row, and the tables over these.
+        self.classes, self.members, self.tables = defaultdict(list), {}, {}
+        prints = defaultdict(list)
         for (size, _), members in classes.items():
             length = round(sum(self.sizes[m] for m in members) / len(members))
             stride = max(1, length // STRIDE_PART)
             spread = max(abs(self.sizes[m] - length) for m in members)
-            prints = []
-            for m in members:
-                signs = _signs(self.shingles[m], np.ones(len(self.shingles[m]), dtype=bool))
-                prints.append(_packed(signs.sum(axis=0, dtype=np.int64))[0])
-            tables = HammingTables(np.array(prints, dtype=np.uint64), radius)
-            self.classes[size].append((length, stride, stride + spread, np.array(members), tables))
+            signs = [_signs(self.shingles[m], np.ones(len(self.shingles[m]), dtype=bool)) for m in members]
+            prints[size].append(np.concatenate([_packed(s.sum(axis=0, dtype=np.int64)) for s in signs]))
+            self.classes[size].append((length, stride, stride + spread))
+            self.members.setdefault(size, []).extend(members)
         self.longest = max(self.sizes, default=1)
+        for size, groups in prints.items():
+            self.tables[size] = HammingTables(groups, radius)
         #: All shingles of the items, sorted, by the words they have.
-        self.known = {size: np.unique(np.concatenate([self.shingles[m] for c in classes for m in c[3]])) for size, classes in self.classes.items()}
+        self.known = {size: np.unique(np.concatenate([self.shingles[m] for m in members])) for size, members in self.members.items()}
 
     def find(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, float, int, int, int]]:
         """(place of the text, place of the item, similarity, first word, words, differing bits), the best for each pair."""
@@ -248,31 +260,34 @@ class Matcher:
             # Texts that no window fits into are windows themselves.
             short = np.nonzero((lengths >= size) & (lengths < max(c[0] for c in classes)))[0]
             whole = np.array([_packed(signs[begins[k] : ends[k]].sum(axis=0, dtype=np.int64))[0] for k in short], dtype=np.uint64)
-            for length, stride, slack, members, tables in classes:
+            starts, windows, counts = [], [], []
+            for length, stride, slack in classes:
                 # Every so many words, and the last place of each text.
                 start = np.arange(0, max(len(words) - length + 1, 0), stride)
                 start = np.concatenate([start[left[start] >= length], ends[lengths >= length] - length])
-                prints = sums.prints(start, length - size + 1)
                 little = (lengths[short] < length) & (lengths[short] - size + 1 >= self.similarity * (length - slack - size + 1))
-                start, prints = np.concatenate([start, begins[short[little]]]), np.concatenate([prints, whole[little]])
-                rows, items = tables.within(prints)
-                # A place around which no item's shingle stands holds none.
-                at, part = start[rows], owner[start[rows]]
-                low, high = np.maximum(at - slack, begins[part]), np.minimum(at + length + slack, ends[part])
-                some = n_known[np.maximum(high - size + 1, low)] > n_known[low]
-                rows, items = rows[some], items[some]
-                for row, number in zip(rows.tolist(), items.tolist(), strict=True):
-                    at, item = int(start[row]), int(members[number])
-                    part = int(owner[at])
-                    found = self._exact(shingles, item, size, max(at - slack, int(begins[part])), min(at + length + slack, int(ends[part])))
-                    if found and found[0] >= self.similarity:
-                        place, offset, _ = held[part]
-                        bits = int(np.bitwise_count(prints[row] ^ tables.prints[number]))
-                        new = (found[0], offset + found[1] - int(begins[part]), bits)
-                        old = best.get((place, item))
-                        # The most similar window, then the first, then the nearest fingerprint.
-                        if old is None or (-new[0], new[1], new[2]) < (-old[0], old[1], old[2]):
-                            best[place, item] = new
+                starts += [start, begins[short[little]]]
+                windows += [sums.prints(start, length - size + 1), whole[little]]
+                counts.append(len(start) + int(little.sum()))
+            group = np.repeat(np.arange(len(classes)), counts)
+            start, prints, tables = np.concatenate(starts), np.concatenate(windows), self.tables[size]
+            rows, items = tables.within(prints, group)
+            # A place around which no item's shingle stands holds none.
+            length, _, slack = np.array(classes)[group[rows]].T
+            at, part = start[rows], owner[start[rows]]
+            low, high = np.maximum(at - slack, begins[part]), np.minimum(at + length + slack, ends[part])
+            some = n_known[np.maximum(high - size + 1, low)] > n_known[low]
+            for row, number, low, high, part in zip(*[c[some].tolist() for c in (rows, items, low, high, part)], strict=True):
+                item = self.members[size][number]
+                found = self._exact(shingles, item, size, low, high)
+                if found and found[0] >= self.similarity:
+                    place, offset, _ = held[part]
+                    bits = int(np.bitwise_count(prints[row] ^ tables.prints[number]))
+                    new = (found[0], offset + found[1] - int(begins[part]), bits)
+                    old = best.get((place, item))
+                    # The most similar window, then the first, then the nearest fingerprint.
+                    if old is None or (-new[0], new[1], new[2]) < (-old[0], old[1], old[2]):
+                        best[place, item] = new
 
     def _exact(self, shingles: np.ndarray, item: int, size: int, low: int, high: int) -> tuple[float, int] | None:
         """Best similarity of a window with the item's number of words between two places, the first such window."""

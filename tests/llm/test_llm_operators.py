@@ -229,12 +229,26 @@ def test_hamming_tables_find_all_within_the_radius():
 
     rng = np.random.default_rng(2)
     prints = rng.integers(0, 1 << 63, 70).astype(np.uint64)
-    near = prints[rng.integers(0, 70, 4000)].copy()
-    for _ in range(17):
+    group = np.repeat([0, 1, 2], [1, 60, 9])
+    number = rng.integers(0, 70, 4000)
+    near = prints[number].copy()
+    for _ in range(24):
         near ^= np.where(rng.random(4000) < 0.8, np.uint64(1) << rng.integers(0, 64, 4000).astype(np.uint64), np.uint64(0))
-    rows, items = decontaminate.HammingTables(prints, 15).within(near)
-    want = {(i, j) for i in range(4000) for j in np.nonzero(np.bitwise_count(prints ^ near[i]) <= 15)[0].tolist()}
-    assert set(zip(rows.tolist(), items.tolist(), strict=True)) == want
+    tables = decontaminate.HammingTables(np.split(prints, [1, 61]), decontaminate.RADIUS)
+    rows, items = tables.within(near, group[number])
+    want = {
+        (i, j) for i in range(4000) for j in np.nonzero((np.bitwise_count(prints ^ near[i]) <= decontaminate.RADIUS) & (group == group[number[i]]))[0].tolist()
+    }
+    assert len(rows) == len(want) and set(zip(rows.tolist(), items.tolist(), strict=True)) == want
+
+
+def test_hamming_tables_select():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    prints, queries = (rng.integers(0, 1 << 64, n, dtype=np.uint64) for n in (3000, 1000))
+    rows, items = decontaminate.HammingTables([prints], decontaminate.RADIUS).candidates(queries, np.zeros(1000, np.int64))
+    assert len(rows) < 0.16 * 3000 * 1000
 
 
 def test_tokens_are_those_of_a_plain_search(odd):
