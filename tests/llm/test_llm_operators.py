@@ -106,6 +106,48 @@ def test_chat_round_trip(spark):
     assert digests[1].loss_chars == sum(len(t or "") for t in texts[1::2]) and digests[4].n_turns == 2
 
 
+@pytest.mark.parametrize(
+    "template",
+    [
+        chat_format.TEMPLATE,
+        chat_format.Template(open="[[", close="]]\n", end="[[end]]\n"),
+        chat_format.Template(open="### ", close=": ", end=" </turn>\n"),
+        chat_format.Template(open="aa", close="a", end="ab"),
+        chat_format.Template(open="<|", close="\n", end="|<"),
+        chat_format.Template(open="$(", close=")", end="^]-"),
+    ],
+)
+def test_chat_marks_of_any_template_read_back(spark, template):
+    rng = random.Random(6)
+    marks = [template.open, template.close, template.end, "end", "\\", "\\\\", "%", "%3C;", "x", "\n", "$1", " "]
+    signs = sorted(set("".join(marks)))
+    text = lambda: "".join(rng.choice(marks if rng.random() < 0.4 else signs) for _ in range(rng.randrange(9)))
+    turns = [(c, t, rng.choice(["user", "assistant", "end", text()]), text()) for c in range(150) for t in range(rng.randrange(1, 7))]
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat_format.format_chats(frame, template)
+    read = formatted.select("conv_id", "segments", "formatted", chat_format.read_turns(formatted["formatted"], template).alias("turns"))
+    read = read.select("*", chat_format.loss_text(read["turns"], template).alias("loss"))
+    for row in read.collect():
+        want = [(r, t) for c, _, r, t in turns if c == row.conv_id]
+        assert [(t.role, t.text) for t in row.turns] == want
+        assert row.loss == "".join(t for r, t in want if r == "assistant")
+        assert "".join(s.text for s in row.segments) == row.formatted
+        assert [s.loss for s in row.segments] == [flag for r, _ in want for flag in (False, r == "assistant", False)]
+
+
+def test_chat_marks_that_cannot_be_escaped_are_refused():
+    for marks in ({"open": "<"}, {"end": "\\|"}, {"end": "x\\"}, {"close": ""}, {"close": "%"}):
+        with pytest.raises(ValueError):
+            chat_format.Template(**marks)
+
+
+def test_chat_digests_match_their_sql(spark):
+    turns = [(1, 0, "user", "a<"), (1, 1, "assistant", "<\\"), (2, 0, "us<|er%", "<<|end|>\n<"), (3, None, None, None), (None, 0, "user", "x"), (None, 1, "assistant", "<|")]
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    for rows in (frame, frame.limit(0)):
+        same_rows(chat_format.digests(chat_format.format_chats(chat_format.with_probe(rows))), chat_format.SQL, conversations=rows)
+
+
 def test_secrets_on_odd_rows(odd, spark):
     rows = secret_scan.scan(odd).collect()
     assert len(rows) == len(ODD)
