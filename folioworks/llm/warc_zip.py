@@ -40,6 +40,8 @@ from folioworks.session import fresh_path, written
 LEAST_BYTES = 0
 PACKAGE_BYTES = 32 << 20
 RANGE_BYTES = 4 << 20
+#: Tasks that read at most; beyond that each reads more ranges, one after the other.
+MOST_TASKS = 20_000
 #: The table has no time of capture.
 DATE = "2024-01-01T00:00:00Z"
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -302,9 +304,12 @@ def read_packages(spark: SparkSession, manifest: DataFrame, folder: str) -> Data
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
 
-    found = manifest.select("path").repartition("path").mapInArrow(ranges, RANGES)
+    n_packages, n_bytes = manifest.agg(F.count("path"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    # By number, as the planner would go by the bytes of the ranges' rows, which tell nothing of the records.
+    tasks = lambda n: max(1, min(n, MOST_TASKS))
+    found = manifest.select("path").repartition(tasks(n_packages), "path").mapInArrow(ranges, RANGES)
     # Stretches of a package, not whole packages, are dealt to the tasks.
-    dealt = found.repartition("path", F.floor(F.col("start") / RANGE_BYTES)).sortWithinPartitions("path", "start")
+    dealt = found.repartition(tasks(n_bytes // RANGE_BYTES), "path", F.floor(F.col("start") / RANGE_BYTES)).sortWithinPartitions("path", "start")
     return dealt.mapInArrow(records, RECORDS)
 
 
