@@ -221,9 +221,13 @@ def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES
     return docs.filter(verdict)
 
 
-_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_STOP, _LISTED, _UNKNOWN = (", ".join(f"'{w}'" for w in words) for words in (STOP_WORDS, STOP_LANGUAGES, UNKNOWN))
 SQL = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(lower(trim(lang)), '') AS lang FROM documents),
+sc AS (SELECT r, CASE WHEN lang NOT IN ({_UNKNOWN}) THEN regexp_extract(lang, '^[a-z]*') NOT IN ({_LISTED})
+         ELSE 2 * length(regexp_replace(letters, '\p{{Latin}}', '', 'g')) > length(letters) END AS is_foreign,
+         2 * (length(letters) - length(regexp_replace(letters, '[\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]', '', 'g'))) > length(letters) AS unspaced
+       FROM (SELECT r, lang, regexp_replace(text, '[^\p{{L}}]', '', 'g') AS letters FROM d)),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
 u AS (SELECT r, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word, ws FROM w),
 g AS (SELECT r, i, list_aggregate(list_slice(ws, i, i + 7), 'string_agg', ' ') AS gram FROM u WHERE i + 7 <= len(ws)),
@@ -235,7 +239,7 @@ st AS (SELECT r, sum(CASE WHEN trim(lower(word), '.,;:!?"''()[]') IN ({_STOP}) T
               sum(CASE WHEN word = prev THEN 1 ELSE 0 END) AS n_stut,
               sum(CASE WHEN regexp_matches(word, '\p{{L}}') THEN 1 ELSE 0 END) AS n_letter
        FROM (SELECT r, word, lag(word) OVER (PARTITION BY r ORDER BY i) AS prev FROM u) GROUP BY r),
-m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+m AS (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
        CAST(length(translate(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)), '')) AS BIGINT) AS word_chars,
        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
        CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_bangs,
@@ -243,11 +247,11 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
        CAST(coalesce(n_stut, 0) AS BIGINT) AS n_stutters, CAST(coalesce(n_letter, 0) AS BIGINT) AS n_letter_words,
        CAST(coalesce(ln.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(ln.n - distinct_lines, 0) AS BIGINT) AS n_dup_lines
       FROM w LEFT JOIN cov USING (r) LEFT JOIN ln USING (r) LEFT JOIN st USING (r)),
-j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, concat_ws(',',
+j AS (SELECT m.*, is_foreign, unspaced, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, concat_ws(',',
        CASE WHEN n_symbols > 0.10::DOUBLE * n_words THEN 'symbols' END, CASE WHEN n_bangs > 0.25::DOUBLE * n_words THEN 'shouting' END,
-       CASE WHEN n_stutters > 0.20::DOUBLE * n_words THEN 'stuttering' END, CASE WHEN n_stop_words < 0.06::DOUBLE * n_words THEN 'few_stop_words' END,
+       CASE WHEN n_stutters > 0.20::DOUBLE * n_words THEN 'stuttering' END, CASE WHEN n_stop_words < 0.06::DOUBLE * n_words AND NOT is_foreign THEN 'few_stop_words' END,
        CASE WHEN n_dup_lines > 0.40::DOUBLE * n_lines THEN 'repeated_lines' END, CASE WHEN word_chars < 2.5::DOUBLE * n_words THEN 'short_words' END,
-       CASE WHEN word_chars > 12.0::DOUBLE * n_words THEN 'long_words' END, CASE WHEN n_letter_words < 0.70::DOUBLE * n_words THEN 'no_letters' END) AS broken_rules
-      FROM m)
-SELECT *, NOT base_failed AND broken_rules = '' AS kept FROM j
+       CASE WHEN word_chars > 12.0::DOUBLE * n_words AND NOT unspaced THEN 'long_words' END, CASE WHEN n_letter_words < 0.70::DOUBLE * n_words THEN 'no_letters' END) AS broken_rules
+      FROM m JOIN sc USING (r))
+SELECT * EXCLUDE (r, is_foreign, unspaced), NOT base_failed AND broken_rules = '' AS kept FROM j
 """

@@ -88,6 +88,7 @@ def test_other_languages_pass_the_stop_words(spark):
     got = {r.doc_id: (r.kept, r.broken_rules) for r in quality_rules.judge(docs).collect()}
     assert got == {i: (want, "" if want else "few_stop_words") for i, _, _, want in rows}
     assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == {r[0] for r in rows if r[3]}
+    same_rows(quality_rules.judge(docs), quality_rules.SQL, documents=docs)
     bare = {r.doc_id: r.kept for r in quality_rules.judge(docs.drop("lang")).collect()}
     assert bare[2] and bare[4] and not bare[6]
 
