@@ -10,9 +10,10 @@ logarithms add up to the score.
 How it runs.  Tasks gather the texts they read into blocks of bounded size.  A block sends its distinct
 words and its distinct byte strings (context and next byte) with their training counts, packed, cut
 into buckets by hash, and its own packed texts, which wait for the answers; a bucket merges what all
-blocks sent.  The merged strings are grouped by the two latest bytes of the
-context, so that each group holds whole subtrees; the two levels above, at most 255 * 257 nodes, are
-summed by Spark and handed back.  Buckets answer each block's strings with their code lengths and its
+blocks sent.  The merged strings are grouped by the three latest bytes of the
+context, so that each group holds whole subtrees.  Of the three levels above, the nodes of two bytes are
+summed by Spark and join the groups that lie below them; the two levels on top, at most 255 * 257 nodes
+whatever the corpus, go to all tasks.  Buckets answer each block's strings with their code lengths and its
 words with their counts, in the order they were asked, and the block scores its texts.  So the model
 never sits in one place, each string travels once per block, and texts move once.  Answers are single
 precision, which changes a score by less than a ten-millionth part.
@@ -221,15 +222,14 @@ MERGED = "part bigint, bucket bigint, keys binary, counts binary, n bigint"
 
 
 def _merge(parts: int):
-    """A bucket's strings with their counts in all training texts, apart by the two latest bytes of the context."""
+    """A bucket's strings with their counts in all training texts, apart by the three latest bytes of the context."""
 
     def run(bucket: pa.Table) -> pa.Table:
         keys = np.concatenate([unpack_sorted(c) for c in bucket.column("keys").to_pylist()])
         counts = np.concatenate([unpack(c) for c in bucket.column("counts").to_pylist()])
         own, inverse = np.unique(keys, return_inverse=True)
         total = np.bincount(inverse, weights=counts).astype(np.int64)
-        latest = (own >> 8) & 0xFFFF
-        part = ((latest * 40503) >> 3) % parts
+        part = _bucket_of((own >> 8) & 0xFFFFFF, parts)
         rows = [(int(p), own[part == p], total[part == p]) for p in np.unique(part)]
         number = bucket.column("bucket")[0].as_py()
         return pa.table(
@@ -279,9 +279,10 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Subtrees:
-    """The nodes of depth 2 to ``depth`` over some strings, for one of the eight decisions of a byte.
+    """The nodes of depth 3 to ``depth`` over some strings, for one of the eight decisions of a byte.
 
     ``reversed_keys`` are the strings' contexts, latest byte first, and their last byte, in rising order.
+    What the strings give to the nodes of depth 2 are sums in part, as other strings lie below the same nodes.
     """
 
     def __init__(self, reversed_keys: np.ndarray, counts: np.ndarray, bit: int, depth: int) -> None:
@@ -295,49 +296,73 @@ class Subtrees:
         weighted = kt_log(zeros, ones)
         # From the leaves up: place of each string's node, counts, probability of stopping.
         self.levels = [(place, zeros, ones, None)]
-        for _ in range(depth - 2):
+        for left in range(depth - 3, -1, -1):
             keys, up = _grouped(keys >> 16 << 8 | keys & 0xFF)
             ones, zeros = np.bincount(up, weights=ones), np.bincount(up, weights=zeros)
             below = np.bincount(up, weights=weighted)
-            own = kt_log(zeros, ones)
-            weighted = np.logaddexp(own, below) - math.log(2)
             place = up[place]
-            self.levels.append((place, zeros, ones, np.exp(own - math.log(2) - weighted)))
-        self.keys, self.zeros, self.n_ones, self.weighted = keys, zeros, ones, weighted
-
-    def predict(self) -> np.ndarray:
+            if left:
+                own = kt_log(zeros, ones)
+                weighted = np.logaddexp(own, below) - math.log(2)
+                self.levels.append((place, zeros, ones, np.exp(own - math.log(2) - weighted)))
+        # Two context bytes, the latest first, and the decisions so far behind a leading one.
+        self.pairs, self.place = keys >> 8 << 8 | 1 << bit | keys & 0xFF, place
+        self.zeros, self.n_ones, self.below = zeros, ones, below
+
+    def predict(self, pairs: Pairs) -> np.ndarray:
         """Probability of each string's bit, mixed from the leaf up to depth 2."""
         out = None
-        for place, zeros, ones, stop in self.levels:
+        for place, zeros, ones, stop in [*self.levels, (self.place, *pairs.of(self.pairs))]:
             own = (np.where(self.ones, ones[place], zeros[place]) + 0.5) / (zeros + ones + 1.0)[place]
             out = own if out is None else stop[place] * own + (1 - stop[place]) * out
         return out
 
 
-TOP = "latest bigint, node bigint, zeros double, ones double, weighted double"
+class Pairs:
+    """The nodes of depth 2 above some strings, with the sums of all strings below."""
+
+    def __init__(self, nodes: np.ndarray, *values: np.ndarray) -> None:
+        order = np.argsort(nodes)
+        self.nodes, self.values = nodes[order], [v[order] for v in values]
+
+    def of(self, nodes: np.ndarray) -> list[np.ndarray]:
+        """Zeros, ones and the probability of stopping."""
+        place = np.searchsorted(self.nodes, nodes)
+        return [v[place] for v in self.values]
+
+
+TOP = "part bigint, node bigint, zeros double, ones double, below double"
 
 
 def _tops(depth: int):
-    """The depth-2 nodes of a part, summed over the older of their two bytes."""
+    """What a part gives to the nodes of depth 2."""
 
     def run(part: pa.Table) -> pa.Table:
         codes, counts = _strings_of(part)
         keys = reversed_keys(codes, depth)
         order = np.argsort(keys)
         ordered, counts = keys[order], counts[order]
-        rows = []
-        for bit in range(8):
-            tree = Subtrees(ordered, counts, bit, depth)
-            # Keys are two context bytes, the latest first, and the decisions so far in this byte.
-            keys, up = _grouped(tree.keys >> 16 << 8 | tree.keys & 0xFF)
-            sums = [np.bincount(up, weights=v) for v in (tree.zeros, tree.n_ones, tree.weighted)]
-            rows.append((keys >> 8, (1 << bit) | (keys & 0xFF), *sums))
-        names = ["latest", "node", "zeros", "ones", "weighted"]
-        return pa.table({name: pa.array(np.concatenate(column)) for name, column in zip(names, zip(*rows, strict=True), strict=True)})
+        trees = [Subtrees(ordered, counts, bit, depth) for bit in range(8)]
+        columns = {name: np.concatenate([getattr(t, own) for t in trees]) for name, own in (("node", "pairs"), ("zeros", "zeros"), ("ones", "n_ones"), ("below", "below"))}
+        number = np.full(len(columns["node"]), part.column("part")[0].as_py())
+        return pa.table({"part": number, **columns})
 
     return run
 
 
+PAIR = "node bigint, zeros double, ones double, stop double, weighted double"
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of depth 2, mixed with what lies below them."""
+    for batch in batches:
+        node, zeros, ones, below = (batch.column(c).to_numpy() for c in ("node", "zeros", "ones", "below"))
+        own = kt_log(zeros, ones)
+        weighted = np.logaddexp(own, below) - math.log(2)
+        columns = [node, zeros, ones, np.exp(own - math.log(2) - weighted), weighted]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "zeros", "ones", "stop", "weighted"])
+
+
 def _strings_of(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([unpack_sorted(c) for c in part.column("keys").to_pylist()])
     return keys, np.concatenate([unpack(c) for c in part.column("counts").to_pylist()]).astype(float)
@@ -371,14 +396,14 @@ class Crown:
         return stop * estimate(self.root_zeros[node], self.root_ones[node]) + (1 - stop) * out
 
 
-def log10_of(codes: np.ndarray, counts: np.ndarray, crown: Crown, depth: int = DEPTH) -> np.ndarray:
+def log10_of(codes: np.ndarray, counts: np.ndarray, crown: Crown, pairs: Pairs, depth: int = DEPTH) -> np.ndarray:
     """Log10 of each string's probability of its last byte."""
     keys = reversed_keys(codes, depth)
     order = np.argsort(keys)
     codes, keys, counts = codes[order], keys[order], counts[order]
     total = np.zeros(len(codes))
     for bit in range(8):
-        total += np.log10(crown.predict(codes, bit, Subtrees(keys, counts, bit, depth).predict()))
+        total += np.log10(crown.predict(codes, bit, Subtrees(keys, counts, bit, depth).predict(pairs)))
     out = np.empty(len(codes))
     out[order] = total
     return out
@@ -388,9 +413,10 @@ WEIGHED = "bucket bigint, keys binary, logs binary"
 
 
 def _weigh(crown: Crown, depth: int):
-    def run(part: pa.Table) -> pa.Table:
+    def run(part: pa.Table, above: pa.Table) -> pa.Table:
         codes, counts = _strings_of(part)
-        logs = log10_of(codes, counts, crown, depth)
+        pairs = Pairs(*[above.column(c).to_numpy() for c in ("node", "zeros", "ones", "stop")])
+        logs = log10_of(codes, counts, crown, pairs, depth)
         ends = np.cumsum(part.column("n").to_numpy())[:-1]
         return pa.table({"bucket": part.column("bucket"), "keys": part.column("keys"), "logs": _binary([pack(v.astype(np.float32)) for v in np.split(logs, ends)])})
 
@@ -473,8 +499,8 @@ def _score(buckets: int, depth: int, n_tokens: int, n_types: int, names: list[st
 
 def score(docs: DataFrame, depth: int = DEPTH, text: str = "text") -> DataFrame:
     """Scores of all texts under the model learnt from the training texts."""
-    if not 2 <= depth <= 6:
-        raise ValueError("the depth must lie between 2 and 6")
+    if not 3 <= depth <= 6:
+        raise ValueError("the depth must lie between 3 and 6")
     picked = docs.select("doc_id", F.col(text).alias("text"))
     size = picked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(32, size // BUCKET_BYTES)
@@ -482,13 +508,16 @@ def score(docs: DataFrame, depth: int = DEPTH, text: str = "text") -> DataFrame:
     words, codes = [asked.filter(F.col("kind") == k).select("block", "bucket", "keys", "counts") for k in "ws"]
     answered = written(words.groupBy("bucket").applyInArrow(_answer_words, ANSWER), "ctw-words")
     n_tokens, n_types = answered.filter("block = -1").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
-    # A part holds whole pairs of latest bytes; below a pair there are at most 256 ** (depth - 1) strings.
+    # A part holds whole triples of latest bytes; below a triple there are at most 256 ** (depth - 2) strings.
     parts = min(1 << 13, max(32, size // (PART_STRINGS << 5)))
     merged = written(codes.groupBy("bucket").applyInArrow(_merge(parts), MERGED), "ctw-merged")
-    tops = merged.groupBy("part").applyInArrow(_tops(depth), TOP)
-    tops = tops.groupBy("latest", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")])
-    crown = Crown([tuple(r) for r in tops.collect()])  # at most 256 * 255 rows
-    weighed = merged.groupBy("part").applyInArrow(_weigh(crown, depth), WEIGHED)
+    tops = written(merged.groupBy("part").applyInArrow(_tops(depth), TOP), "ctw-tops")
+    summed = tops.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
+    pairs = written(summed.mapInArrow(_pairs, PAIR), "ctw-pairs")
+    rows = pairs.groupBy(F.shiftright("node", 16).alias("latest"), F.col("node").bitwiseAND(0xFF).alias("node")).agg(*[F.sum(c) for c in ("zeros", "ones", "weighted")])
+    crown = Crown([tuple(r) for r in rows.collect()])  # at most 256 * 255 rows
+    above = tops.select("part", "node").join(pairs.select("node", "zeros", "ones", "stop"), "node")
+    weighed = merged.groupBy("part").cogroup(above.groupBy("part")).applyInArrow(_weigh(crown, depth), WEIGHED)
     coded = codes.groupBy("bucket").cogroup(weighed.groupBy("bucket")).applyInArrow(_answer_strings, ANSWER)
     answers = answered.filter("block >= 0").unionByName(coded).select("block", "kind", "bucket", "answer")
     fields = [picked.schema["doc_id"], T.StructField("held_out", T.BooleanType())]
