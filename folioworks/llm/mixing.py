@@ -115,7 +115,10 @@ def mix(
     text: str = "text",
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken and the source of every document."""
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(whole(text), F.lit(f"({WORD})")).cast("bigint").alias("size"))
+    # Rows go to shards by id and text, so that rows without an id, or with one they share, are spread too.
+    name = F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(whole(text).cast("binary")))
+    size = F.regexp_count(whole(text), F.lit(f"({WORD})")).cast("bigint")
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), F.md5(name).alias("_digest"))
     sized = written(sized, "mix-sizes")
     targets = source_targets(sized.select("source", "size"), weights, repeats)
     total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
@@ -127,11 +130,9 @@ def mix(
         ).drop("_all"),
         "mix-quotas",
     )
-    digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     placed = (
         sized.filter("size > 0")
         .join(sources.select("source", "rank", F.ceil(F.col("source_size") / shard_words).alias("_shards")).withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-        .select("doc_id", "size", "rank", digest.alias("_digest"), "_shards")
         .select("doc_id", "size", "rank", "_digest", F.pmod(_number(F.col("_digest"), 1), F.col("_shards")).alias("shard"))
     )
     line = W.partitionBy("rank", "shard").orderBy(F.substring("_digest", 9, 24), "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -164,7 +165,7 @@ def mix(
 
 
 SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, md5(coalesce(text, '')) AS hash, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS rank FROM d GROUP BY source),
 s1 AS (SELECT *, [1, 2, 3][rank % 3 + 1]::BIGINT AS weight, sum(source_size) OVER ()::BIGINT AS total FROM s0),
 s2 AS (SELECT *, coalesce(sum(3 * source_size) OVER w, 0)::BIGINT AS caps, (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::BIGINT AS open_w FROM s1
@@ -175,7 +176,7 @@ s4 AS (SELECT *, total - coalesce(sum(3 * source_size) FILTER (WHERE is_full) OV
 s5 AS (SELECT source, rank, source_size, total, CASE WHEN is_full THEN (3 * source_size)::DOUBLE ELSE weight * rest::DOUBLE / ws END AS target FROM s4),
 q1 AS (SELECT rank, total, target / (2 * k + 1) AS quotient, k FROM (SELECT *, unnest(range(0, CAST(ceil(source_size / {BLOCK_WORDS}.0) * {REPEATS} AS BIGINT))) AS k FROM s5)),
 q2 AS (SELECT rank, count(*) AS blocks FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, rank) AS place FROM q1) WHERE place <= total // {BLOCK_WORDS} GROUP BY rank),
-m AS (SELECT d.r, d.doc_id, d.size, s5.rank, md5(concat('{SEED}-', coalesce(d.doc_id::VARCHAR, 'null'))) AS digest,
+m AS (SELECT d.r, d.doc_id, d.size, s5.rank, md5(concat('{SEED}-', coalesce(d.doc_id::VARCHAR, 'null'), '-', d.hash)) AS digest,
         CAST(ceil(s5.source_size / {SHARD_WORDS}.0) AS BIGINT) AS shards FROM d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source WHERE d.size > 0),
 l AS (SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % shards AS shard FROM m),
 l2 AS (SELECT *, sum(size) OVER (PARTITION BY rank, shard ORDER BY substr(digest, 9, 24), doc_id, size, r ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM l),
