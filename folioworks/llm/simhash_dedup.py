@@ -37,6 +37,8 @@ SHINGLE = 4
 MAX_BITS = 4
 #: Offset and width of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: Fingerprints with as many rows, and the thousandth part of all, are dealt out in pieces.
+HOT_ROWS, MOST_HOT, PIECES = 10_000, 1_000, 256
 _CHUNK = 1 << 16
 
 
@@ -125,15 +127,27 @@ def linked_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return group.select(F.col("fp").alias("node"), F.coalesce("component", "group").alias("component"))
 
 
+def _dealt(rows: DataFrame, fp: str, hot: DataFrame, pieces) -> DataFrame:
+    """Rows with the pieces, dealt by ``pieces``, that a frequent fingerprint is split into; 0 for any other."""
+    frequent = F.broadcast(hot.select(F.col("fp").alias("_hot")))
+    return rows.join(frequent, F.col(fp) == F.col("_hot"), "left").select(*rows.columns, pieces(F.col("_hot").isNotNull()).alias("_piece"))
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable, of every row."""
     prints = written(fingerprints(docs, text, shingle), "fingerprints")
     # One row per fingerprint: equal texts meet nowhere else.
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
     groups = distinct.join(linked_groups(distinct, max_bits), F.col("fp") == F.col("node"))
     smallest = groups.groupBy("component").agg(F.min("first").alias("component_id"))
     named = groups.join(smallest, "component").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp")).select(
+    # Each of these is the thousandth part of all rows at least, so they are a thousand at most.
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = distinct.filter(F.col("n") >= max(total / MOST_HOT, HOT_ROWS))
+    dealt = _dealt(prints, "fp", hot, lambda is_hot: F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(PIECES))).otherwise(F.lit(0)))
+    copies = _dealt(named, "_fp", hot, lambda is_hot: F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))))
+    copies = copies.select("_fp", "component_id", F.col("_piece").cast("bigint").alias("_own"))
+    return dealt.join(copies, (F.col("fp") == F.col("_fp")) & (F.col("_piece") == F.col("_own"))).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 
-from folioworks.llm import html_text, secret_scan, simhash_dedup
+from folioworks.llm import html_text, mixing, secret_scan, simhash_dedup
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, _digest string, _spans string, _row_a string"
 
@@ -76,3 +77,23 @@ def test_small_hosts_take_no_block_of_an_article(spark, n):
     ]
     rows = html_text.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()
     assert {r.page_id: r.text for r in rows} == {i: f"{lead}\n{lead}\nown text number {i} {'x' * i}".strip() for i in range(n)}
+
+
+def test_frequent_fingerprints_are_dealt_out_whole(spark, monkeypatch):
+    docs = [(i, "one text that a third of all rows hold") for i in range(50)] + [(None, "") for _ in range(20)] + [(i, f"text {i} of its {i * 7} own {i}") for i in range(100, 130)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    read = lambda: sorted((r.doc_id is None, r.doc_id or 0, r.fingerprint, r.component_id or -1) for r in simhash_dedup.near_duplicates(frame).collect())
+    want = read()
+    monkeypatch.setattr(simhash_dedup, "HOT_ROWS", 3)
+    assert read() == want and len(want) == len(docs)
+
+
+def test_rows_without_an_id_are_mixed_one_by_one(spark):
+    docs = [(None if i % 3 else 5, f"word {i} " * (40 + i % 7), f"s{i % 2}") for i in range(300)] + [(None, None, None), (None, "", "s0")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    rows = mixing.mix(frame).collect()
+    con = duckdb.connect()
+    con.register("documents", frame.toArrow())
+    want = con.sql(mixing.SQL)
+    assert sorted(map(repr, (tuple(r[c] for c in want.columns) for r in rows))) == sorted(map(repr, want.fetchall()))
+    assert len(rows) == len(docs) and all(r.taken <= 3 * r.size for r in rows)
