@@ -115,6 +115,21 @@ def test_left_join_keeps_rows_without_a_key(spark):
     assert sorted(map(tuple, got)) == [(1, None), (2, 10), (3, None), (4, None)]
 
 
+def test_rows_without_a_key_are_in_many_partitions(spark):
+    rows = spark.range(2000).select("id", F.when(F.col("id") < 5, F.col("id")).alias("k"))
+    side = spark.createDataFrame([(1, 10), (None, 99)], "key bigint, x int").groupBy("key").agg(F.min("x").alias("x"))
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = left_join(rows, side, F.col("k"), "key").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sorted((r.id, r.x) for r in got) == [(i, 10 if i == 1 else None) for i in range(2000)]
+    assert len({r.part for r in got if r.k is None}) == 4
+
+
 def test_left_join_takes_rows_with_maps(spark):
     rows = spark.sql("SELECT * FROM VALUES (1, 'a', map('x', 1)), (2, NULL, map('y', 2)) AS t(id, k, m)")
     side = spark.createDataFrame([("a", 5)], "key string, x int")
