@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.operators.lists import gather
 from folioworks.operators.tables import left_join, with_row_index, with_sum_before
 from folioworks.session import written
 
-#: Places that a range of items is spelt out by, and powers of two that an interval is cut into.
+#: Places that a range of items is spelt out by, pieces that a list of items is put together from, and powers of two that an interval is cut into.
 PLACES = 1024
+PIECES = 256
 LEVELS = 62
 
 
@@ -206,11 +208,14 @@ class Associations:
 
     def chapter_items(self) -> DataFrame:
         """``(chapter_id, items)``, the same as one list per chapter."""
-        return gather(self.chapter_item_rows(), ["chapter_id"], "item_id", alias="items")
+        return gather(self.chapter_item_rows(), ["chapter_id"], "item_id", alias="items", pieces=PIECES)
 
-    def associated_items(self) -> DataFrame:
-        """``(owner_id, chapter_id, items)``; owners without items have a null list."""
-        lists = self.chapter_items().withColumnRenamed("chapter_id", "_chapter")
+    def associated_items(self, form: Callable[[str], Column] = F.col) -> DataFrame:
+        """``(owner_id, chapter_id, items)``; owners without items have a null list.
+
+        ``form`` may write a list in another way, which is then done once per chapter, not once per owner.
+        """
+        lists = self.chapter_items().select(F.col("chapter_id").alias("_chapter"), form("items").alias("items"))
         return left_join(self.owners, lists, F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
 
     def category_chapter_rows(self) -> DataFrame:
@@ -225,17 +230,22 @@ class Associations:
         """``(chapter_id, owners)``: who has exactly this chapter, once per chapter."""
         return gather(self.owners.filter("chapter_id IS NOT NULL"), ["chapter_id"], "owner_id", alias="owners")
 
-    def category_owners(self) -> DataFrame:
-        """``(category_id, owners)``: the lists of the chapters above, merged; categories under the same chapters share one list."""
+    def category_owners(self, form: Callable[[str], Column] = F.col) -> DataFrame:
+        """``(category_id, owners)``: the lists of the chapters above, merged; categories under the same chapters share one list.
+
+        ``form`` may write a list in another way, which is then done once for all that share it.
+        """
         above = self.category_chapter_rows().groupBy("category_id").agg(F.sort_array(F.collect_list("chapter_id")).alias("_chapters"))
         above = written(above, "category-chapters")
         chains = above.select("_chapters").distinct().select("_chapters", F.explode("_chapters").alias("chapter_id"))
-        merged = chains.join(self.chapter_owners(), "chapter_id").groupBy("_chapters").agg(F.sort_array(F.flatten(F.collect_list("owners"))).alias("owners"))
-        return above.join(merged, "_chapters").select("category_id", "owners")
+        # The planner knows the compressed size of a written frame alone and would send what it grows to through the driver.
+        owned = chains.hint("merge").join(self.chapter_owners(), "chapter_id")
+        merged = owned.groupBy("_chapters").agg(F.sort_array(F.flatten(F.collect_list("owners"))).alias("owners"))
+        return above.hint("merge").join(merged.select("_chapters", form("owners").alias("owners")), "_chapters").select("category_id", "owners")
 
-    def associated_owners(self) -> DataFrame:
+    def associated_owners(self, form: Callable[[str], Column] = F.col) -> DataFrame:
         """``(item_id, category_id, owners)``, the inverse of ``associated_items``."""
-        lists = self.category_owners().withColumnRenamed("category_id", "_category")
+        lists = self.category_owners(form).withColumnRenamed("category_id", "_category").hint("merge")
         return left_join(self.items, lists, F.col("category_id"), "_category").select("item_id", "category_id", "owners")
 
 

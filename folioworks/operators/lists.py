@@ -18,11 +18,13 @@ def gather(
     keep_nulls: bool = False,
     distinct: bool = False,
     count_alias: str | None = None,
+    pieces: int = 1,
 ) -> DataFrame:
     """One sorted list per key, with ``count_alias`` for the rows behind it.
 
     Equal entries are counted before anything is shuffled, so copies cost nothing.  A list is one
-    value; what has no such bound by nature is better kept as rows.
+    value; what has no such bound by nature is better kept as rows.  Lists of very many entries take
+    less memory in several ``pieces`` that are put together at the end, at the cost of a shuffle.
     """
     counted = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     copies = F.least(F.col("_n"), F.lit(1)) if distinct else F.col("_n")
@@ -30,6 +32,10 @@ def gather(
     if not keep_nulls:
         entries = F.when(F.col("_v").isNull(), F.array().cast(entries_type(df, value))).otherwise(entries)
     figures = [F.sum("_n").alias(count_alias)] if count_alias else []
+    if pieces > 1:
+        piece = F.pmod(F.xxhash64("_v"), F.lit(pieces)).alias("_piece")
+        counted = counted.groupBy(*keys, piece).agg(F.flatten(F.collect_list(entries)).alias("_v"), F.sum("_n").alias("_n"))
+        entries = F.col("_v")
     return counted.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list(entries))).alias(alias), *figures)
 
 

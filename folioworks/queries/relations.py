@@ -296,7 +296,7 @@ def owner_item_ranges(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def associated_items(spark, folder):
-    return associations(spark, folder).associated_items().select("owner_id", "chapter_id", joined("items"))
+    return associations(spark, folder).associated_items(joined)
 
 
 @query(
@@ -307,7 +307,7 @@ def associated_items(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def associated_owners(spark, folder):
-    return associations(spark, folder).associated_owners().select("item_id", "category_id", joined("owners"))
+    return associations(spark, folder).associated_owners(joined)
 
 
 @query(
@@ -328,7 +328,7 @@ def chapter_items(spark, folder):
     ("v_node", "v_owner", "v_download"),
 )
 def category_owners(spark, folder):
-    return associations(spark, folder).category_owners().select("category_id", joined("owners"))
+    return associations(spark, folder).category_owners(joined)
 
 
 def _edges(spark, folder):

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioworks.operators import graph, hierarchy
 from folioworks.operators import containment
@@ -81,6 +82,19 @@ def test_association_both_ways_with_hot_chapters(spark):
     assert len(forward) == len(owners) and len(backward) == len(items)
 
 
+def test_lists_are_written_once_and_not_sent_through_the_driver(spark):
+    tree_nodes = spark.createDataFrame([("r", None, 0, "r"), ("a", "r", 0, "a")], "node_id string, parent_id string, ordinal int, name string")
+    owners = spark.createDataFrame([(i, "r") for i in range(50)] + [(99, None)], "owner_id bigint, chapter_id string")
+    items = spark.createDataFrame([(i % 3000, "a") for i in range(4000)], "item_id bigint, category_id string")
+    both = hierarchy.Associations(owners, items, hierarchy.interval_labels(tree_nodes))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), "|")
+    expected = "|".join(str(i) for i in sorted(i % 3000 for i in range(4000)))
+    assert {(r.owner_id, r["items"]) for r in both.associated_items(text).collect()} == {*((i, expected) for i in range(50)), (99, None)}
+    backward = both.associated_owners(text)
+    assert {r.owners for r in backward.collect()} == {"|".join(map(str, range(50)))}
+    assert "Broadcast" not in backward._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_deep_chain_resolves(spark):
     chain = spark.range(3000).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN id - 1 END AS parent_id", "0 AS ordinal")
     assert hierarchy.root_paths(chain).selectExpr("max(size(path))", "count(*)").first() == (3000, 3000)
