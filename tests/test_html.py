@@ -342,3 +342,21 @@ def test_scalar_rules(spark):
     for bad in ("/", "https://g.example/", "mailto:x", None):
         with pytest.raises(Exception, match="leaves the site"):
             run(lambda c: absolute(c, "https://g.example"), bad)
+
+
+def test_regular_markup_is_read_without_a_call_per_node(monkeypatch):
+    def called(*_):
+        raise AssertionError("a call per node")
+
+    for name in ("_append", "handle_starttag", "handle_endtag", "handle_data"):
+        monkeypatch.setattr(NodeBuilder, name, called)
+    builder = NodeBuilder((".x",))
+    builder.read('<ul class="x y"><li>a &amp; b<br><img src="i"></li> <li/></ul>')
+    nodes = builder.column().to_pylist()[0]
+    assert [(n["pre"], n["last"], n["parent"], n["nth"], n["tag"], n["text"], n["lists"]) for n in nodes] == [
+        (0, 6, -1, 0, "ul", None, 0), (1, 4, 0, 0, "li", None, 1), (2, 2, 1, 0, "#text", "a & b", 1), (3, 3, 1, 0, "br", None, 1),
+        (4, 4, 1, 0, "img", None, 1), (5, 5, 0, 0, "#text", " ", 1), (6, 6, 0, 1, "li", None, 1),
+    ]
+    assert [dict(n["scopes"]) for n in nodes] == [{}] + [{".x": 0}] * 6
+    assert [n["classes"] for n in nodes[:2]] == [["x", "y"], []]
+    assert [n["texts"] for n in nodes] == [0, 0, 1, 1, 1, 1, 1] and [n["breaks"] for n in nodes][-1] == 1
