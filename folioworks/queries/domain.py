@@ -93,10 +93,16 @@ def download_catalogue(spark, folder):
     """Category pages with a hundred file links each, every link on the page twice."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     key = F.col("o_orderkey")
-    link = _text(
-        '<a class="wpfd-file-link" data-id="', key, '" data-category_id="', F.col("o_custkey"), '" title="File ', key, '">get</a>'
-    )
-    pages = _pages(orders.withColumn("page", F.floor(key / 100)), "page", "o_orderkey", _text(link, link))
+
+    def link(o):
+        return _text(
+            '<a class="wpfd-file-link" data-id="', o["o_orderkey"], '" data-category_id="', o["o_custkey"], '" title="File ', o["o_orderkey"], '">get</a>'
+        )
+
+    # Numbers are gathered; what they are written as comes after the shuffle.
+    linked = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_custkey")))
+    html = F.array_join(F.transform(linked, lambda o: _text(link(o), link(o))), "")
+    pages = orders.groupBy(F.floor(key / 100).alias("page")).agg(html.alias("html"))
     documents = parse(pages)
     categories = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     payloads = orders.filter(key % 9 > 0).select(
