@@ -23,6 +23,10 @@ from folioworks.html.select import (
 )
 
 
+# The fields of a node that are read for links by the class of what holds them.
+LINK_FIELDS = ("pre", "last", "tag", "classes", "attrs")
+
+
 def _linked(nodes: Column, container) -> Column:
     """Addresses of all links inside each container, container by container."""
     return F.flatten(

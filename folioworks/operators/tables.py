@@ -182,3 +182,12 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, value: str, a
     """Left lookup of one column; without a match it is null."""
     side = dimension.select(F.col(key).alias("_key"), F.col(value).alias(alias))
     return left_join(df, side, F.col(on), "_key").drop("_key")
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key over all shuffle partitions of the session.
+
+    For rows that are short where they are shuffled and long to work on behind it: left to itself the
+    planner merges partitions by their bytes, down to fewer tasks than there are cores to share them.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

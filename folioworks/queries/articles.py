@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.links import Site
 from folioworks.html import extract
-from folioworks.html.parser import parse
+from folioworks.html.parser import NODE, parse
 from folioworks.html.render import markdown, sanitize
 from folioworks.html.sections import TEXT_EDITOR, TRACK, WIDGET, unknown_widgets
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.select import has_class, select_nodes
 from folioworks.operators.hierarchy import Associations, interval_labels
 from folioworks.operators.quality import orphans
-from folioworks.operators.tables import value_counts
+from folioworks.operators.tables import dealt, value_counts
 from folioworks.plans.posts import enrich, owners_of, read_facts, related_posts, resolve_links, sections, with_headlines
 from folioworks.queries.registry import query, view
 from folioworks.queries.relations import NORMALISED, NORMALISED_VIEWS, joined, normalised
@@ -102,22 +102,23 @@ HTML = {
 
 def articles(spark, folder) -> DataFrame:
     """One article per order that has lines, one widget per line number."""
-    number = F.col("k").cast("string")
-    template = None
-    for kind, html in HTML.items():
-        even, odd = html if isinstance(html, tuple) else (html, html)
-        choice = F.when(F.col("k") % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
-        here = F.col("kind") == kind
-        template = F.when(here, choice) if template is None else template.when(here, choice)
-    fragments = view(spark, folder, "v_widget").select(
-        "doc_id", F.struct("w", F.replace(template, F.lit("@"), number).alias("html")).alias("f")
-    )
-    html = F.array_join(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["html"]), "")
-    return fragments.groupBy("doc_id").agg(html.alias("html")).withColumnRenamed("doc_id", "id")
+    def fragment(w):
+        template = None
+        for kind, html in HTML.items():
+            even, odd = html if isinstance(html, tuple) else (html, html)
+            choice = F.when(w["k"] % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
+            here = w["kind"] == kind
+            template = F.when(here, choice) if template is None else template.when(here, choice)
+        return F.replace(template, F.lit("@"), w["k"].cast("string"))
+
+    # Only numbers are gathered; the HTML is written behind the shuffle.
+    gathered = dealt(view(spark, folder, "v_widget"), "doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("w", "kind", "k")).alias("f"))
+    html = F.array_join(F.transform(F.array_sort("f"), fragment), "")
+    return gathered.select(F.col("doc_id").alias("id"), html.alias("html"))
 
 
-def documents(spark, folder) -> DataFrame:
-    return parse(articles(spark, folder), track=TRACK)
+def documents(spark, folder, fields=NODE.names) -> DataFrame:
+    return parse(articles(spark, folder), track=TRACK, fields=fields)
 
 
 def _section(kind, sub, type_, title="NULL", text="NULL", link="NULL", media="NULL", where="true"):
@@ -241,7 +242,7 @@ def facts(spark, folder):
 @query("chapter_links", f"SELECT doc_id AS id, {_CHAPTERS} AS chapters FROM v_widget GROUP BY doc_id", ("v_widget",))
 def chapters(spark, folder):
     found = extract.chapter_links(F.col("nodes"), SITE).cast("array<string>")
-    return documents(spark, folder).select("id", F.array_join(found, "|").alias("chapters"))
+    return documents(spark, folder, extract.LINK_FIELDS).select("id", F.array_join(found, "|").alias("chapters"))
 
 
 @query("labelled_link", f"SELECT doc_id AS id, {_BOOK} AS book_chapter FROM v_widget GROUP BY doc_id", ("v_widget",))

@@ -360,3 +360,31 @@ def test_regular_markup_is_read_without_a_call_per_node(monkeypatch):
     assert [dict(n["scopes"]) for n in nodes] == [{}] + [{".x": 0}] * 6
     assert [n["classes"] for n in nodes[:2]] == [["x", "y"], []]
     assert [n["texts"] for n in nodes] == [0, 0, 1, 1, 1, 1, 1] and [n["breaks"] for n in nodes][-1] == 1
+
+
+def test_only_the_fields_asked_for_are_made(spark):
+    html = '<ul class="a"><li title="t">x<br></li><li>y</li></ul>'
+    df = spark.createDataFrame([(1, html)], "id int, html string")
+    whole = parse(df, track=("li",)).head().nodes
+    for fields in (("pre", "tag"), ("text", "last", "breaks"), ("scopes", "attrs", "chars", "classes")):
+        nodes = parse(df, track=("li",), fields=fields).head().nodes
+        assert {*nodes[0].asDict()} == {*fields}
+        assert [n.asDict() for n in nodes] == [{f: n[f] for f in fields} for n in whole]
+    with pytest.raises(ValueError, match="no such fields"):
+        parse(df, fields=("pre", "colour"))
+
+
+def test_tags_written_alike_are_taken_apart_once(monkeypatch):
+    taken = []
+    real = NodeBuilder._taken_apart
+    monkeypatch.setattr(NodeBuilder, "_taken_apart", lambda self, markup: taken.append(markup) or real(self, markup))
+    nodes = built(*['<p class="x">a<br>b</p><!-- c -->'] * 5, track=(".x",))
+    assert taken == ['p class="x"', "br", "/p", "!-- c --"]
+    assert [n["tag"] for n in nodes] == ["p", TEXT, "br", TEXT] and [n["scopes"] for n in nodes[1:]] == [{".x": 0}] * 3
+
+
+def test_open_quotes_take_the_time_of_their_number():
+    start = time.perf_counter()
+    builder = NodeBuilder(())
+    assert builder._pieces('<a "' * 200_000) is None
+    assert time.perf_counter() - start < 5
