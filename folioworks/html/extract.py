@@ -26,6 +26,9 @@ from folioworks.html.select import (
 # The fields of a node that are read for links by the class of what holds them.
 LINK_FIELDS = ("pre", "last", "tag", "classes", "attrs")
 
+# The fields of a node that `category_nodes` reads.
+CATEGORY_FIELDS = ("pre", "last", "tag", "classes", "attrs", "text", "scopes")
+
 
 def _linked(nodes: Column, container) -> Column:
     """Addresses of all links inside each container, container by container."""
@@ -116,8 +119,7 @@ def category_nodes(documents: DataFrame, doc: str) -> DataFrame:
         return F.coalesce(node["attrs"][name], F.lit(""))
 
     def item(n):
-        sub = subtree(F.col("nodes"), n)
-        title = find(sub, has_class("title", "span"))
+        title = find(subtree(F.col("nodes"), n), has_class("title", "span"))
         return F.struct(
             attr(n, "data-id").alias("node_id"),
             let(at(F.col("nodes"), n["scopes"]["li"]), lambda p: F.when(p.isNotNull(), attr(p, "data-id"))).alias("parent_id"),
@@ -125,7 +127,7 @@ def category_nodes(documents: DataFrame, doc: str) -> DataFrame:
             attr(n, "data-level").alias("level"),
             n["pre"].alias("ordinal"),
             let(
-                title, lambda t: F.when(t.isNull(), F.lit("Untitled")).otherwise(stripped_text_of(subtree(sub, t)))
+                title, lambda t: F.when(t.isNull(), F.lit("Untitled")).otherwise(stripped_text_of(subtree(F.col("nodes"), t)))
             ).alias("name"),
         )
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioworks.contracts import PUBLICATIONS
-from folioworks.html.extract import category_nodes
+from folioworks.html.extract import CATEGORY_FIELDS, category_nodes
 from folioworks.html.parser import parse
 from folioworks.operators.navigation import fill_levels, url_hierarchy
 from folioworks.operators.quality import orphans, reasons
+from folioworks.operators.tables import dealt
 from folioworks.plans import bibliography, catalogue
 from folioworks.queries.registry import STATE_OF_CUSTOMER, query, view
 from folioworks.session import written
@@ -63,21 +64,30 @@ def _pages(rows, block, order, html, before="", after=""):
 def nav_tree(spark, folder):
     """Orders and their line numbers as nested lists, a hundred orders to a page."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    key, line = F.col("o_orderkey"), F.col("l_linenumber")
-    item = _text(
-        '<li class="dd-item" data-id="l', F.col("l_orderkey"), "-", line, '" data-level="2" data-parent-id="o', F.col("l_orderkey"),
-        '"><span class="title"> Line ', line, " </span></li>",
-    )
-    nested = _pages(lines, "l_orderkey", "l_linenumber", item, '<ol class="dd-list">', "</ol>")
-    title = F.when(key % 9 == 0, F.lit("")).otherwise(_text('<span class="title">Order ', key, "</span>"))
-    entry = _text('<li data-id="o', key, '" data-level="1">', title, F.coalesce("html", F.lit("")), "</li>")
-    orders = table(spark, folder, "orders").select("o_orderkey", F.floor(key / 100).alias("page"))
-    # A title of its own comes first; an order without one must not borrow that of a line.
-    listed = orders.join(nested, key == F.col("l_orderkey"), "left").withColumn(
-        "html", F.when(key % 9 == 0, _text('<span class="title">Untitled</span>', F.coalesce("html", F.lit("")))).otherwise(F.col("html"))
-    )
-    pages = _pages(listed, "page", "o_orderkey", entry, '<ol class="dd-list">', "</ol>")
-    return category_nodes(parse(pages, track=("li",)), "page").drop("ordinal", "data_parent_id")
+    nested = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("lines"))
+    orders = table(spark, folder, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 100).alias("page"))
+
+    def item(key, line):
+        return _text(
+            '<li class="dd-item" data-id="l', key, "-", line, '" data-level="2" data-parent-id="o', key,
+            '"><span class="title"> Line ', line, " </span></li>",
+        )
+
+    def entry(order):
+        key = order["o_orderkey"]
+        # A title of its own comes first; an order without one must not borrow that of a line.
+        title = F.when(key % 9 == 0, F.lit('<span class="title">Untitled</span>')).otherwise(
+            _text('<span class="title">Order ', key, "</span>")
+        )
+        inner = _text('<ol class="dd-list">', F.array_join(F.transform(order["lines"], lambda line: item(key, line)), ""), "</ol>")
+        return _text('<li data-id="o', key, '" data-level="1">', title, F.coalesce(inner, F.lit("")), "</li>")
+
+    # Only numbers are gathered; the HTML is written behind the shuffle.
+    listed = orders.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    gathered = dealt(listed, "page").groupBy("page").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "lines"))).alias("orders"))
+    html = _text('<ol class="dd-list">', F.array_join(F.transform("orders", entry), ""), "</ol>")
+    pages = gathered.select("page", html.alias("html"))
+    return category_nodes(parse(pages, track=("li",), fields=CATEGORY_FIELDS), "page").drop("ordinal", "data_parent_id")
 
 
 @query(

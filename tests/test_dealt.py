@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from folioworks.operators.tables import dealt
-from folioworks.queries import articles
+from folioworks.queries import QUERIES, articles
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,15 @@ def test_dealt_rows_stay_in_all_partitions(spark):
     assert len(rows) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(rows) == 1000
 
 
-def test_articles_are_parsed_in_all_partitions(spark, folder):
+def test_articles_and_navigation_are_parsed_in_all_partitions(spark, folder):
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert articles.documents(spark, folder, ("pre",)).rdd.getNumPartitions() == asked
+    assert QUERIES["nav_tree"](spark, folder).rdd.getNumPartitions() == asked
+
+
+def test_navigation_of_orders(spark, folder):
+    found = QUERIES["nav_tree"](spark, folder).filter("page = 4 AND (node_id IN ('o404', 'o405') OR parent_id IN ('o404', 'o405'))")
+    assert sorted((r.node_id, r.parent_id, r.level, r.name) for r in found.collect()) == [
+        *[(f"l{o}-{n}", f"o{o}", "2", f"Line {n}") for o in (404, 405) for n in range(3)],
+        ("o404", None, "1", "Order 404"), ("o405", None, "1", "Untitled"),
+    ]
