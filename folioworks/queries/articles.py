@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioworks.functions.links import Site
 from folioworks.html import extract
 from folioworks.html.parser import NODE, parse
-from folioworks.html.render import markdown, sanitize
+from folioworks.html.render import MARKDOWN_FIELDS, SANITIZE_FIELDS, markdown, sanitize
 from folioworks.html.sections import TEXT_EDITOR, TRACK, WIDGET, unknown_widgets
 from folioworks.html.sections import sections as cut_sections
 from folioworks.html.select import has_class, select_nodes
@@ -172,12 +172,12 @@ def all_sections(spark, folder):
 
 @query("section_counts", f"SELECT type, count(*) AS n FROM ({_ROWS}) GROUP BY type", ("v_widget",))
 def section_counts(spark, folder):
-    return value_counts(cut_sections(documents(spark, folder), "id"), "type")
+    return value_counts(cut_sections(documents(spark, folder, MARKDOWN_FIELDS), "id"), "type")
 
 
 @query("section_orphans", f"SELECT DISTINCT doc_id AS key FROM ({_ROWS}) WHERE doc_id % 10 = 3", ("v_widget",))
 def section_orphans(spark, folder):
-    found = cut_sections(documents(spark, folder), "id")
+    found = cut_sections(documents(spark, folder, MARKDOWN_FIELDS), "id")
     return orphans(found, "post_id", view(spark, folder, "v_post").filter(F.col("id") % 10 != 3), "id")
 
 
@@ -214,7 +214,7 @@ _EDITORS = "SELECT doc_id AS id, {} AS text FROM v_widget WHERE kind = 0 UNION A
     ("v_widget",),
 )
 def html_markdown(spark, folder):
-    return select_nodes(documents(spark, folder), ["id"], has_class(TEXT_EDITOR)).select(
+    return select_nodes(documents(spark, folder, MARKDOWN_FIELDS), ["id"], has_class(TEXT_EDITOR)).select(
         "id", markdown(F.col("sub")).alias("text")
     )
 
@@ -225,7 +225,7 @@ def html_markdown(spark, folder):
     ("v_widget",),
 )
 def html_sanitize(spark, folder):
-    return select_nodes(documents(spark, folder), ["id"], has_class(TEXT_EDITOR)).select(
+    return select_nodes(documents(spark, folder, SANITIZE_FIELDS), ["id"], has_class(TEXT_EDITOR)).select(
         "id", sanitize(F.col("sub")).alias("text")
     )
 
