@@ -9,6 +9,7 @@ that no list of names asks for, so the rows carry only what is wanted.
 from __future__ import annotations
 
 import sys
+from itertools import accumulate
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -29,6 +30,11 @@ def _names(argument: AnalyzeArgument | None, what: str) -> list[str]:
     return (argument.value or "").split()
 
 
+def _by_node(entries: list, nodes: list[int], counts: list[int]) -> dict[int, list]:
+    """The entries of each node that has any."""
+    return {node: entries[end - n : end] for node, n, end in zip(nodes, counts, accumulate(counts), strict=True)}
+
+
 class HtmlNodes:
     """``html_nodes(html, selectors, attributes)``; each attribute asked for is a column ``attr_<name>``."""
 
@@ -52,12 +58,12 @@ class HtmlNodes:
         wanted = set((selectors or "").split())
         names = (attributes or "").split()
         pieces = [x if t == TEXT else "" for t, x in zip(built.tag, built.text, strict=True)]
+        classes = _by_node(built.classes, built.class_at, built.class_n)
+        held_names, held_values = (_by_node(x, built.attr_at, built.attr_n) for x in (built.names, built.values))
         for pre, tag in enumerate(built.tag):
-            classes = built.classes[built.class_ends[pre - 1] if pre else 0 : built.class_ends[pre]]
-            if wanted and tag not in wanted and not any(f".{c}" in wanted for c in classes):
+            if wanted and tag not in wanted and not any(f".{c}" in wanted for c in classes.get(pre, ())):
                 continue
-            start = built.attr_ends[pre - 1] if pre else 0
-            held = dict(zip(built.names[start : built.attr_ends[pre]], built.values[start : built.attr_ends[pre]], strict=True)) if names else {}
+            held = dict(zip(held_names.get(pre, ()), held_values.get(pre, ()), strict=True)) if names else {}
             last = built.last[pre]
             yield (pre, last, built.parent[pre], tag, "".join(pieces[pre : last + 1]), *[held.get(n) for n in names])
 
