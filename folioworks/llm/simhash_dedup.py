@@ -11,6 +11,10 @@ its keys, where the distance allows, which joins dense groups at a cost linear i
 second joins on the keys, looking only at pairs not yet joined.  So a group of many copies never
 becomes all its pairs, and no link between different groups is lost.
 
+Joins of rows that grow with the documents are merge joins by hint.  The planner takes keys for as many
+bytes as the fingerprints they are made of, and written columns for what they are compressed to, and would
+send them through the driver.
+
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of fewer
 words than a shingle is one shingle; a null ``doc_id`` stands for no document that could be linked to,
 its row keeps the component of its fingerprint; rows that repeat come back as often; other columns are
@@ -113,17 +117,17 @@ def linked_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= 4:
         raise ValueError("the keys find fingerprints within four bits")
     keys = written(fuzzy_keys(prints.select("fp").distinct()), "fuzzy-keys")
-    stars = keys.join(keys.groupBy("key").agg(F.min("fp").alias("least")), "key")
+    stars = keys.join(keys.groupBy("key").agg(F.min("fp").alias("least")).hint("merge"), "key")
     stars = stars.filter((F.col("fp") != F.col("least")) & (_distance("fp", "least") <= max_bits))
     first = components(stars.select(F.col("fp").alias("a"), F.col("least").alias("b")))
-    named = prints.select("fp").distinct().join(first, F.col("fp") == F.col("node"), "left")
+    named = prints.select("fp").distinct().join(first.hint("merge"), F.col("fp") == F.col("node"), "left")
     named = written(named.select("fp", F.coalesce("component", "fp").alias("group")), "first-groups")
     keys = fuzzy_keys(named)
     left = keys.select("key", F.col("fp").alias("fp_a"), F.col("group").alias("a"))
     right = keys.select(F.col("key").alias("key_b"), F.col("fp").alias("fp_b"), F.col("group").alias("b"))
-    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (_distance("fp_a", "fp_b") <= max_bits))
+    met = left.join(right.hint("merge"), (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (_distance("fp_a", "fp_b") <= max_bits))
     second = components(met.select("a", "b").distinct())
-    group = named.join(second.withColumnRenamed("node", "_group"), F.col("group") == F.col("_group"), "left")
+    group = named.join(second.withColumnRenamed("node", "_group").hint("merge"), F.col("group") == F.col("_group"), "left")
     return group.select(F.col("fp").alias("node"), F.coalesce("component", "group").alias("component"))
 
 
@@ -138,16 +142,16 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SH
     prints = written(fingerprints(docs, text, shingle), "fingerprints")
     # One row per fingerprint: equal texts meet nowhere else.
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
-    groups = distinct.join(linked_groups(distinct, max_bits), F.col("fp") == F.col("node"))
+    groups = distinct.join(linked_groups(distinct, max_bits).hint("merge"), F.col("fp") == F.col("node"))
     smallest = groups.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = groups.join(smallest, "component").select(F.col("fp").alias("_fp"), "component_id")
+    named = groups.join(smallest.hint("merge"), "component").select(F.col("fp").alias("_fp"), "component_id")
     # Each of these is the thousandth part of all rows at least, so they are a thousand at most.
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = distinct.filter(F.col("n") >= max(total / MOST_HOT, HOT_ROWS))
     dealt = _dealt(prints, "fp", hot, lambda is_hot: F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(PIECES))).otherwise(F.lit(0)))
     copies = _dealt(named, "_fp", hot, lambda is_hot: F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))))
     copies = copies.select("_fp", "component_id", F.col("_piece").cast("bigint").alias("_own"))
-    return dealt.join(copies, (F.col("fp") == F.col("_fp")) & (F.col("_piece") == F.col("_own"))).select(
+    return dealt.join(copies.hint("merge"), (F.col("fp") == F.col("_fp")) & (F.col("_piece") == F.col("_own"))).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

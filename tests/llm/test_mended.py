@@ -97,3 +97,15 @@ def test_rows_without_an_id_are_mixed_one_by_one(spark):
     want = con.sql(mixing.SQL)
     assert sorted(map(repr, (tuple(r[c] for c in want.columns) for r in rows))) == sorted(map(repr, want.fetchall()))
     assert len(rows) == len(docs) and all(r.taken <= 3 * r.size for r in rows)
+
+
+def test_no_keys_and_no_rows_of_documents_go_through_the_driver(spark, monkeypatch):
+    """However small the planner takes them for: of the tables joined, only the frequent fingerprints are broadcast."""
+    docs = frame(spark, [(i, f"text {i % 40} of its {i % 40 * 7} own {i % 40}", "en", "a") for i in range(80)])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    linked, components = [], simhash_dedup.components
+    monkeypatch.setattr(simhash_dedup, "components", lambda links: linked.append(plan(links)) or components(links))
+    rows = simhash_dedup.near_duplicates(docs)
+    assert len(linked) == 2 and all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in linked)
+    assert plan(rows).count("BroadcastHashJoin") == 2 and plan(rows).count("[_hot#") == 2
+    assert rows.count() == 80
