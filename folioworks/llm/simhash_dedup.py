@@ -168,7 +168,7 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), *[F.col(n).alias(x) for n, x in zip(names, "ab", strict=True)])
     firsts = near_duplicates(hashed.select(place.alias("doc_id"), "text"), max_bits, shingle)
     firsts = firsts.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*[F.col(f"doc_id.{x}").alias(n) for n, x in zip(names, "ab", strict=True)])
-    kept = hashed.join(written(firsts.distinct(), "kept-rows"), names, "left_semi")
+    kept = hashed.join(written(firsts.distinct(), "kept-rows").hint("merge"), names, "left_semi")
     return kept.dropDuplicates(names).select(*docs.columns)
 
 
