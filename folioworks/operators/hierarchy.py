@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.operators.lists import gather
-from folioworks.operators.tables import left_join, with_row_index, with_sum_before
+from folioworks.operators.tables import dealt, left_join, with_row_index, with_sum_before
 from folioworks.session import written
 
 #: Places that a range of items is spelt out by, pieces that a list of items is put together from, and powers of two that an interval is cut into.
@@ -214,9 +214,12 @@ class Associations:
         """``(owner_id, chapter_id, items)``; owners without items have a null list.
 
         ``form`` may write a list in another way, which is then done once per chapter, not once per owner.
+        Owners come in no order of their chapters: a writer of files takes the rows to come for as long as those it
+        has seen, and a long list repeated by owner after owner, behind many short ones, would fill its memory.
         """
         lists = self.chapter_items().select(F.col("chapter_id").alias("_chapter"), form("items").alias("items"))
-        return left_join(self.owners, lists, F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
+        mixed = dealt(self.owners, "owner_id", "chapter_id")
+        return left_join(mixed, lists.hint("shuffle_hash"), F.col("chapter_id"), "_chapter").select("owner_id", "chapter_id", "items")
 
     def category_chapter_rows(self) -> DataFrame:
         """``(category_id, chapter_id)``: the chapters in use at or above each category with items."""

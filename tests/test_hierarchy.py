@@ -162,6 +162,26 @@ def test_stabbing_matches_brute_force(spark):
     assert {tuple(r) for r in got} == expected and len(got) == len(expected)
 
 
+def test_long_lists_do_not_come_owner_after_owner_behind_short_ones(spark):
+    """A writer of files looks at its memory after so many rows as would have filled it, were they like those before."""
+    tree = [("r", None, 0), ("n", "r", 0), *[(f"c{i}", "n", i) for i in range(600)]]
+    tree_nodes = spark.createDataFrame(tree, "node_id string, parent_id string, ordinal int")
+    owners = spark.createDataFrame([(i, "n" if i % 4 == 0 else f"c{i}") for i in range(600)], "owner_id bigint, chapter_id string")
+    items = spark.createDataFrame([(i, f"c{i}") for i in range(600)], "item_id bigint, category_id string")
+    both = hierarchy.Associations(owners, items, hierarchy.interval_labels(tree_nodes))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if the lists were long in all
+    try:
+        parts = both.associated_items().select("owner_id", F.size("items").alias("n")).rdd.glom().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    rows = [r for part in parts for r in part]
+    assert {(r.owner_id, r.n) for r in rows} == {(i, 600 if i % 4 == 0 else 1) for i in range(600)} and len(rows) == 600
+    part = next(part for part in parts if any(r.n == 600 for r in part))
+    runs = "".join("n" if r.n == 600 else " " for r in part).split()
+    assert max(map(len, runs)) < 75, "all 150 owners of one chapter in a row, or nearly so"
+
+
 def test_owners_and_categories_in_the_ten_thousands_make_no_pairs(spark):
     n = 10_000
     nodes = spark.range(n).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN 0L END AS parent_id", "id AS ordinal")
