@@ -29,6 +29,12 @@ def test_articles_and_navigation_are_parsed_in_all_partitions(spark, folder):
     assert QUERIES["nav_tree"](spark, folder).rdd.getNumPartitions() == asked
 
 
+@pytest.mark.parametrize("name", ["markdown_shapes", "sanitize_shapes"])
+def test_shapes_are_parsed_in_all_partitions(spark, folder, name):
+    rows = QUERIES[name](spark, folder).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(rows) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(rows) == 1000
+
+
 def test_navigation_of_orders(spark, folder):
     found = QUERIES["nav_tree"](spark, folder).filter("page = 4 AND (node_id IN ('o404', 'o405') OR parent_id IN ('o404', 'o405'))")
     assert sorted((r.node_id, r.parent_id, r.level, r.name) for r in found.collect()) == [
